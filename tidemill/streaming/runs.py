@@ -128,7 +128,7 @@ def lag_gauge(
     checkpoint: str,
     trigger: Mapping = ONCE,
 ) -> StreamingQuery:
-    """Write, per micro-batch, how far the target is behind the partitions that moved.
+    """Write, per micro-batch, how far the target is behind each topic of the source.
 
     ``target`` returns the replica's end offsets (topic, partition, end_offset) as of now.
     """
@@ -142,8 +142,8 @@ def lag_gauge(
         lag.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
-        end_offsets(source)
-        .writeStream.outputMode("update")
+        end_offsets(source)  # one state row per topic partition, so the whole gauge is small
+        .writeStream.outputMode("complete")
         .foreachBatch(measure)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
