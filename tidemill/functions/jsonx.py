@@ -40,26 +40,34 @@ def raw_text(value: Column) -> Column:
     return F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
 
 
-def flat_entries(value: Column, delim: str = ".", max_depth: int = 16, prefix: str | None = None) -> Column:
+def flat_entries(value: Column, delim: str = ".", max_depth: int = 64) -> Column:
     """(key, value) pairs of an object with nested keys joined by ``delim``.
 
-    One pass per nesting level, all within the row.  Arrays, empty objects and what
-    lies deeper than ``max_depth`` stay as they are.
+    All within the row: each step opens one nesting level, and a document without nested
+    members left is passed on as it is.  Arrays, empty objects and what lies deeper
+    than ``max_depth`` stay as they are.
     """
-    pairs = F.map_entries(members(value))
+
+    def pair(key: Column, item: Column) -> Column:
+        return F.struct(key.alias("key"), item.alias("value"), members(item).alias("inner"))
+
+    def is_open(entry: Column) -> Column:
+        return F.coalesce(F.size(entry["inner"]) > 0, F.lit(False))
 
     def descend(entry: Column) -> Column:
-        inner = members(entry["value"])
         nested = F.transform(
-            F.map_entries(inner),
-            lambda e: F.struct(F.concat(entry["key"], F.lit(delim), e["key"]).alias("key"), e["value"].alias("value")),
+            F.map_entries(entry["inner"]), lambda e: pair(F.concat(entry["key"], F.lit(delim), e["key"]), e["value"])
         )
-        same = F.array(F.struct(entry["key"].alias("key"), entry["value"].alias("value")))
-        return F.when(F.size(inner) > 0, nested).otherwise(same)
-
-    for _ in range(max_depth):
-        pairs = F.flatten(F.transform(pairs, descend))
-    return pairs
+        return F.when(is_open(entry), nested).otherwise(F.array(entry))
+
+    top = F.transform(F.map_entries(members(value)), lambda e: pair(e["key"], e["value"]))
+    if max_depth < 1:
+        return top
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(max_depth)),
+        top,
+        lambda pairs, _: F.when(F.exists(pairs, is_open), F.flatten(F.transform(pairs, descend))).otherwise(pairs),
+    )
 
 
 def object_text(pairs: Column) -> Column:

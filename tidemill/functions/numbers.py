@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SPLIT = 134217729.0  # 2**27 + 1 halves the 53 bits of a double
 
 
-def _halves(x: Column) -> tuple[Column, Column]:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _split_double(x: float) -> tuple[float, float]:
     c = x * _SPLIT
     high = c - (c - x)
     return high, x - high
@@ -24,35 +31,55 @@ def format_fixed(col: Column, decimals: int) -> Column:
     """
     if not 0 <= decimals <= 15:
         raise ValueError("decimals must be between 0 and 15")
-    scale = float(10**decimals)
-    x = col.cast("double")
-    size = F.when(~F.isnan(x) & (F.abs(x) < float(2**63)), F.abs(x))
-    whole = F.floor(size).cast("double")
-    frac = size - whole
-    product = frac * scale
-    # product + error == frac * scale exactly
-    f_hi, f_lo = _halves(frac)
-    s_hi, s_lo = _py_halves(scale)
-    error = ((f_hi * s_hi - product) + f_hi * s_lo + f_lo * s_hi) + f_lo * s_lo
-    down = F.floor(product).cast("bigint")
-    gap = product - down.cast("double")
-    last_digit = down if decimals else whole.cast("bigint")
-    tie_up = F.when(error != 0, error > 0).otherwise(last_digit % 2 != 0)
-    up = F.when(gap == 0.5, tie_up).otherwise(gap > 0.5)
-    units = down + up.cast("bigint")
     limit = 10**decimals
-    carry = (units >= limit).cast("bigint")
-    head = (whole.cast("bigint") + carry).cast("string")
-    digits = F.lpad((units - carry * limit).cast("string"), decimals, "0") if decimals else None
-    body = F.concat(head, F.lit("."), digits) if decimals else head
-    negative = x.cast("string").startswith("-")  # also for the negative zero
-    return F.concat(F.when(negative, "-").otherwise(""), body)
+    scale = float(limit)
+    s_hi, s_lo = _split_double(scale)
+    x = col.cast("double")
 
+    def of_size(size: Column) -> Column:
+        whole = F.floor(size).cast("bigint")
+        return let(F.struct(whole.alias("whole"), (size - whole.cast("double")).alias("frac")), of_parts)
 
-def _py_halves(x: float) -> tuple[float, float]:
-    c = x * _SPLIT
-    high = c - (c - x)
-    return high, x - high
+    def of_parts(p: Column) -> Column:
+        high = let(p["frac"] * _SPLIT, lambda c: c - (c - p["frac"]))
+        scaled = F.struct(
+            p["whole"].alias("whole"),
+            p["frac"].alias("frac"),
+            high.alias("high"),
+            (p["frac"] * scale).alias("product"),
+        )
+        return let(scaled, of_product)
+
+    def of_product(p: Column) -> Column:
+        low = p["frac"] - p["high"]
+        # product + error is frac * scale exactly
+        error = ((p["high"] * s_hi - p["product"]) + p["high"] * s_lo + low * s_hi) + low * s_lo
+        down = F.floor(p["product"]).cast("bigint")
+        state = F.struct(
+            p["whole"].alias("whole"),
+            down.alias("down"),
+            (p["product"] - F.floor(p["product"]).cast("double")).alias("gap"),
+            error.alias("error"),
+        )
+        return let(state, of_state)
+
+    def of_state(p: Column) -> Column:
+        last_digit = p["down"] if decimals else p["whole"]
+        tie_up = F.when(p["error"] != 0, p["error"] > 0).otherwise(last_digit % 2 != 0)
+        up = F.when(p["gap"] == 0.5, tie_up).otherwise(p["gap"] > 0.5)
+        return let(F.struct(p["whole"].alias("whole"), (p["down"] + up.cast("bigint")).alias("units")), of_units)
+
+    def of_units(p: Column) -> Column:
+        carry = (p["units"] >= limit).cast("bigint")
+        head = (p["whole"] + carry).cast("string")
+        if not decimals:
+            return head
+        digits = F.lpad((p["units"] - carry * limit).cast("string"), decimals, "0")
+        return F.concat(head, F.lit("."), digits)
+
+    size = F.when(~F.isnan(x) & (F.abs(x) < float(2**63)), F.abs(x))
+    sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")  # also for the negative zero
+    return F.concat(sign, let(size, lambda a: F.when(a.isNotNull(), of_size(a))))
 
 
 def truncating_div(value: Column, divisor: int) -> Column:

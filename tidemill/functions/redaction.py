@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.numbers import format_fixed
 
-#: column builder: (input text, parameters) -> (output text, error message or null)
-ColumnForm = Callable[[Column, Mapping[str, Any]], tuple[Column, Column | None]]
+#: column builder: (input text, parameters) -> output text, null where it fails
+ColumnForm = Callable[[Column, Mapping[str, Any]], Column]
 TextForm = Callable[[str, Mapping[str, Any]], str]
 
 
@@ -27,6 +27,8 @@ class RedactionFunction:
     parameters: Mapping[str, type]
     column: ColumnForm
     text: TextForm | None = None
+    #: what is wrong with an input that gave null
+    failure: str = "cannot be redacted"
 
     def check(self, config: Mapping[str, Any]) -> None:
         """Raise ``ValueError`` naming every missing or mistyped parameter."""
@@ -44,18 +46,27 @@ REGISTRY: dict[str, RedactionFunction] = {}
 
 
 def register_function(
-    name: str, column: ColumnForm, parameters: Mapping[str, type] | None = None, text: TextForm | None = None
+    name: str,
+    column: ColumnForm,
+    parameters: Mapping[str, type] | None = None,
+    text: TextForm | None = None,
+    failure: str = "cannot be redacted",
 ) -> None:
     """Make a redaction function available to configurations by name."""
-    REGISTRY[name] = RedactionFunction(name, dict(parameters or {}), column, text)
+    REGISTRY[name] = RedactionFunction(name, dict(parameters or {}), column, text, failure)
 
 
-def bind(config: Mapping[str, Any] | None) -> Callable[[Column], tuple[Column, Column | None]]:
+def bind(config: Mapping[str, Any] | None) -> Callable[[Column], Column]:
     """The column form of a configured function, checked."""
     fn = _lookup(config)
     return lambda col: fn.column(col, config)
 
 
+def failure_of(config: Mapping[str, Any]) -> str:
+    """The message for an input on which the configured function gives null."""
+    return _lookup(config).failure
+
+
 def bind_text(config: Mapping[str, Any] | None) -> Callable[[str], str]:
     """The plain-string form of a configured function, checked."""
     fn = _lookup(config)
@@ -72,16 +83,9 @@ def _lookup(config: Mapping[str, Any] | None) -> RedactionFunction:
     return REGISTRY[name]
 
 
-def _never_fails(build: Callable[[Column, Mapping[str, Any]], Column]) -> ColumnForm:
-    return lambda col, config: (build(col, config), None)
-
-
-def _before_separator(col: Column, config: Mapping[str, Any]) -> tuple[Column, Column]:
-    sep = config["separator"]
-    found = (F.length(col) - F.length(F.replace(col, F.lit(sep), F.lit("")))) / len(sep)
-    error = F.when(found < 1, "separator not found").when(found > 1, "several separators")
-    tail = F.substring_index(col, sep, -1)
-    return F.when(error.isNull(), F.concat(F.lit(config["replacement"] + sep), tail)), error
+def _before_separator(col: Column, config: Mapping[str, Any]) -> Column:
+    cells = F.split(col, f"\\Q{config['separator']}\\E", -1)
+    return F.when(F.size(cells) == 2, F.concat(F.lit(config["replacement"] + config["separator"]), F.get(cells, F.lit(1))))
 
 
 def _before_separator_text(text: str, config: Mapping[str, Any]) -> str:
@@ -91,15 +95,9 @@ def _before_separator_text(text: str, config: Mapping[str, Any]) -> str:
     return config["replacement"] + sep + tail
 
 
-def _fixed(col: Column, config: Mapping[str, Any]) -> tuple[Column, Column]:
-    number = col.try_cast("double")
-    out = format_fixed(number, config["decimals"])
-    return out, F.when(col.isNotNull() & out.isNull(), "not a number")
-
-
-def _camel(col: Column, config: Mapping[str, Any]) -> tuple[Column, Column]:
+def _camel(col: Column, config: Mapping[str, Any]) -> Column:
     upper = F.concat(F.lit(config["prefix"]), F.upper(F.substring(col, 1, 1)), F.substr(col, F.lit(2)))
-    return F.when(F.length(col) > 0, upper), F.when(F.length(col) == 0, "empty text")
+    return F.when(F.length(col) > 0, upper)
 
 
 def _camel_text(text: str, config: Mapping[str, Any]) -> str:
@@ -108,39 +106,42 @@ def _camel_text(text: str, config: Mapping[str, Any]) -> str:
     return config["prefix"] + text[0].upper() + text[1:]
 
 
-def _x_digits(col: Column, config: Mapping[str, Any]) -> tuple[Column, Column]:
+def _x_digits(col: Column, config: Mapping[str, Any]) -> Column:
     keep = config["i"]
     # one character per UTF-8 byte, because the kept tail is counted in bytes
     raw = F.decode(F.encode(col, "UTF-8"), "ISO-8859-1")
     head = F.substr(raw, F.lit(1), F.length(raw) - keep)
     masked = F.concat(F.regexp_replace(head, "[0-9]", "X"), F.right(raw, F.lit(keep)))
-    error = F.when(F.length(raw) < keep, f"shorter than {keep} bytes")
-    return F.when(error.isNull(), F.decode(F.encode(masked, "ISO-8859-1"), "UTF-8")), error
+    return F.when(F.octet_length(col) >= keep, F.decode(F.encode(masked, "ISO-8859-1"), "UTF-8"))
 
 
 register_function(
     "replace",
-    _never_fails(lambda c, p: F.when(c.isNotNull(), F.lit(p["replacement"]))),
+    lambda c, p: F.when(c.isNotNull(), F.lit(p["replacement"])),
     {"replacement": str},
     lambda t, p: p["replacement"],
 )
 register_function(
-    "replaceBeforeSeparator", _before_separator, {"replacement": str, "separator": str}, _before_separator_text
+    "replaceBeforeSeparator",
+    _before_separator,
+    {"replacement": str, "separator": str},
+    _before_separator_text,
+    "does not hold exactly one separator",
+)
+register_function(
+    "truncateFloat64",
+    lambda c, p: format_fixed(c.try_cast("double"), p["decimals"]),
+    {"decimals": int},
+    lambda t, p: f"{float(t):.{p['decimals']}f}",
+    "not a number",
 )
-register_function("truncateFloat64", _fixed, {"decimals": int}, lambda t, p: f"{float(t):.{p['decimals']}f}")
-register_function("md5", _never_fails(lambda c, p: F.md5(c)), text=lambda t, p: hashlib.md5(t.encode()).hexdigest())
-register_function("sha1", _never_fails(lambda c, p: F.sha1(c)), text=lambda t, p: hashlib.sha1(t.encode()).hexdigest())
+register_function("md5", lambda c, p: F.md5(c), text=lambda t, p: hashlib.md5(t.encode()).hexdigest())
+register_function("sha1", lambda c, p: F.sha1(c), text=lambda t, p: hashlib.sha1(t.encode()).hexdigest())
 register_function(
-    "prepend",
-    _never_fails(lambda c, p: F.concat(F.lit(p["prefix"]), c)),
-    {"prefix": str},
-    lambda t, p: p["prefix"] + t,
+    "prepend", lambda c, p: F.concat(F.lit(p["prefix"]), c), {"prefix": str}, lambda t, p: p["prefix"] + t
 )
-register_function("camelPrepend", _camel, {"prefix": str}, _camel_text)
+register_function("camelPrepend", _camel, {"prefix": str}, _camel_text, "empty text")
 register_function(
-    "append",
-    _never_fails(lambda c, p: F.concat(c, F.lit(p["suffix"]))),
-    {"suffix": str},
-    lambda t, p: t + p["suffix"],
+    "append", lambda c, p: F.concat(c, F.lit(p["suffix"])), {"suffix": str}, lambda t, p: t + p["suffix"]
 )
-register_function("x-digits", _x_digits, {"i": int})
+register_function("x-digits", _x_digits, {"i": int}, failure="too short to mask")

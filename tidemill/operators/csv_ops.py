@@ -32,23 +32,30 @@ def csv_lines_to_json(
     ``whole_record`` one bad line rejects all lines of its record.
     """
     lines = F.split(F.col(column).cast("string"), "\n", -1)
+    cells = F.transform(lines, lambda line: F.split(line, ",", -1))
+    parsed = F.transform(
+        cells,
+        lambda c: F.struct(
+            F.size(c).alias("n"), F.get(c, F.lit(0)).alias("item"), leading_int(F.get(c, F.lit(1))).alias("quantity")
+        ),
+    )
 
-    def checked(line: Column) -> Column:
-        cells = F.split(line, ",", -1)
-        quantity = leading_int(F.get(cells, F.lit(1)))
-        error = F.when(F.size(cells) != 2, "unexpected number of columns").when(quantity.isNull(), "invalid quantity")
-        return F.struct(F.get(cells, F.lit(0)).alias("item"), quantity.alias("quantity"), error.alias("error"))
+    def error_of(line: Column) -> Column:
+        wrong = F.when(line["n"] != 2, "unexpected number of columns")
+        return wrong.when(line["quantity"].isNull(), "invalid quantity")
 
-    rows = df.withColumn("_lines", F.transform(lines, checked))
+    rows = df.withColumn("_lines", parsed)
+    if whole_record:
+        bad = F.get(F.filter("_lines", lambda s: (s["n"] != 2) | s["quantity"].isNull()), F.lit(0))
+        rows = rows.withColumn("_bad", bad)
+    rows = rows.withColumn("_line", F.explode("_lines")).drop("_lines")
+    error = error_of(F.col("_line"))
     if whole_record:
-        rows = rows.withColumn("_bad", F.get(F.filter("_lines", lambda s: s["error"].isNotNull()), F.lit(0))["error"])
-    else:
-        rows = rows.withColumn("_bad", F.lit(None).cast("string"))
-    rows = rows.withColumn("_line", F.explode("_lines"))
-    error = F.coalesce(F.col("_bad"), F.col("_line.error"))
+        error = F.when(F.col("_bad").isNotNull(), error_of(F.col("_bad")))
     body = F.to_json(F.struct("_line.item", "_line.quantity"))
-    out = rows.withColumn(column, F.when(error.isNull(), body))
-    return with_errors(out.withColumn("_e", error).drop("_lines"), F.col("_e"), on_error).drop("_line", "_bad", "_e")
+    tagged = with_errors(rows, error, "reject").drop("_bad")
+    out = tagged.withColumn(column, F.when(F.col("_error").isNull(), body)).drop("_line")
+    return with_errors(out, F.lit(None).cast("string"), on_error)
 
 
 def csv_to_record(
@@ -64,16 +71,25 @@ def csv_to_record(
     A line of another length, or with an unreadable number, is bad: ``null`` gives an empty
     record, else it is an error with the named policy.
     """
-    cells = F.split(F.col(column).cast("string"), f"\\Q{sep}\\E", -1)
-    text_at = [F.get(cells, F.lit(i)) for i in range(len(schema.fields))]
-    typed = [t.try_cast(f.dataType) for t, f in zip(text_at, schema.fields)]
-    unread = any_of([t.isNotNull() & c.isNull() for t, c in zip(text_at, typed)])
-    error = F.when(F.size(cells) != len(schema.fields), "unexpected number of columns").when(
-        unread, "malformed field"
+    rows = df.withColumn("_cells", F.split(F.col(column).cast("string"), f"\\Q{sep}\\E", -1))
+    text_at = [F.get("_cells", F.lit(i)) for i in range(len(schema.fields))]
+    typed = [t.try_cast(f.dataType).alias(f.name) for t, f in zip(text_at, schema.fields)]
+    rows = rows.withColumn(out, F.when(F.size("_cells") == len(schema.fields), F.struct(*typed)))
+    unread = any_of(
+        [
+            t.isNotNull() & F.col(out)[f.name].isNull()
+            for t, f in zip(text_at, schema.fields)
+            if not isinstance(f.dataType, T.StringType)
+        ]
+    )
+    error = (
+        F.when(F.col(column).isNull(), "missing value")
+        .when(F.size("_cells") != len(schema.fields), "unexpected number of columns")
+        .when(unread, "malformed field")
     )
-    record = F.struct(*[c.alias(f.name) for c, f in zip(typed, schema.fields)])
-    built = df.withColumn(out, F.when(error.isNull(), record))
-    return built if on_bad == "null" else with_errors(built, error, on_bad)
+    tagged = with_errors(rows, error, "reject").drop("_cells")
+    built = tagged.withColumn(out, F.when(F.col("_error").isNull(), F.col(out)))
+    return built.drop("_error") if on_bad == "null" else with_errors(built, F.lit(None).cast("string"), on_bad)
 
 
 def rows_to_json(df: DataFrame, out: str = "value") -> DataFrame:

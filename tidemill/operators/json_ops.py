@@ -19,11 +19,15 @@ def _parsed(df: DataFrame, column: str) -> tuple[DataFrame, Column]:
     return df.withColumn("_doc", J.parse(F.col(column))), F.col("_doc")
 
 
+def _doc_error(column: str) -> Column:
+    return F.when(F.col(column).isNull(), "missing value").when(F.col("_doc").isNull(), "invalid JSON")
+
+
 def flatten_json(
     df: DataFrame,
     column: str = "value",
     delim: str = ".",
-    max_depth: int = 16,
+    max_depth: int = 64,
     on_error: str = "reject",
 ) -> DataFrame:
     """Nested objects as one level of ``a<delim>b`` keys.
@@ -34,14 +38,11 @@ def flatten_json(
     """
     rows = df.filter(F.col(column).isNotNull() & (F.octet_length(column) > 0))
     rows, doc = _parsed(rows, column)
-    flat = J.object_text(J.flat_entries(doc, delim, max_depth))
-    error = F.when(flat.isNull(), "not a JSON object")
-    # decided before the column is replaced by its flat form
-    tagged = with_errors(rows, error, "reject").withColumn(column, flat).drop("_doc")
-    return with_errors(tagged, F.lit(None).cast("string"), on_error)
+    flat = rows.withColumn(column, J.object_text(J.flat_entries(doc, delim, max_depth))).drop("_doc")
+    return with_errors(flat, F.when(F.col(column).isNull(), "not a JSON object"), on_error)
 
 
-def json_paths(df: DataFrame, column: str = "value", delim: str = ".", max_depth: int = 16) -> DataFrame:
+def json_paths(df: DataFrame, column: str = "value", delim: str = ".", max_depth: int = 64) -> DataFrame:
     """One row per leaf: the other columns, ``path``, ``type`` and ``leaf`` (JSON text)."""
     rows, doc = _parsed(df, column)
     exploded = rows.withColumn("_leaf", F.explode(J.flat_entries(doc, delim, max_depth)))
@@ -78,7 +79,7 @@ def split_objects(df: DataFrame, column: str = "value") -> DataFrame:
 def json_delete(df: DataFrame, paths: Sequence[str], column: str = "value", on_error: str = "reject") -> DataFrame:
     """Remove members by dotted path; absent ones are ignored."""
     rows, doc = _parsed(df, column)
-    tagged = with_errors(rows, J.parse_error(F.col(column)), "reject")
+    tagged = with_errors(rows, _doc_error(column), "reject")
     out = tagged.withColumn(column, F.to_json(J.without_paths(doc, list(paths)))).drop("_doc")
     return with_errors(out, F.lit(None).cast("string"), on_error)
 
@@ -101,7 +102,7 @@ def json_construct(
     members = [
         (J.at(doc, source) if isinstance(source, str) else source).alias(name) for name, source in fields.items()
     ]
-    tagged = with_errors(rows, J.parse_error(F.col(column)), "reject")
+    tagged = with_errors(rows, _doc_error(column), "reject")
     built = F.to_json(F.struct(*members), {"ignoreNullFields": "false"})
     out = tagged.withColumn(column, F.when(F.col("_error").isNull(), built)).drop("_doc", KEY_TEXT)
     return with_errors(out, F.lit(None).cast("string"), on_error)
@@ -115,7 +116,7 @@ def json_filter(
     Malformed documents are errors, not misses: ``reject`` keeps them with a message.
     """
     rows, doc = _parsed(df, column)
-    tagged = with_errors(rows, J.parse_error(F.col(column)), "reject")
+    tagged = with_errors(rows, _doc_error(column), "reject")
     kept = tagged.filter(F.col("_error").isNotNull() | predicate(J.at(doc, path, data_type))).drop("_doc")
     return with_errors(kept, F.lit(None).cast("string"), on_error)
 
@@ -124,7 +125,7 @@ def json_explode(df: DataFrame, path: str, column: str = "value") -> DataFrame:
     """One record per element of the array at ``path``, each with the same key."""
     rows, doc = _parsed(df, column)
     elements = J.at(doc, path, "array<variant>")
-    return rows.withColumn(column, F.explode(F.transform(elements, F.to_json))).drop("_doc")
+    return rows.withColumn(column, F.explode(F.transform(elements, lambda v: F.to_json(v)))).drop("_doc")
 
 
 def validate_json(df: DataFrame, column: str = "value", on_error: str = "reject") -> DataFrame:

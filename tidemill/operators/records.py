@@ -167,8 +167,7 @@ def chat_lines(df: DataFrame, column: str = "value", on_error: str = "drop") ->
     doc = F.from_json(F.col(column).cast("string"), "user string, username string, message string")
     user = F.coalesce(doc["user"], doc["username"])
     line = F.concat(user, F.lit(": "), doc["message"])
-    tagged = with_errors(df.withColumn("line", line), F.when(line.isNull(), "not a chat message"), on_error)
-    return tagged
+    return with_errors(df.withColumn("line", line), F.when(F.col("line").isNull(), "not a chat message"), on_error)
 
 
 # -- routing ---------------------------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions import jsonx as J
 from tidemill.functions.errors import first_error, with_errors
-from tidemill.functions.redaction import bind, bind_text
+from tidemill.functions.redaction import bind, bind_text, failure_of
 
 # --- fixed values: the built-in redactors -----------------------------------------------
 BUILTIN_REDACTORS: list[dict[str, Any]] = [
@@ -54,9 +54,14 @@ class Edit:
     path: tuple[str, ...]
     drop: bool
     new_name: str | None = None  # set when the key changes too
-    value: Callable[[Column], tuple[Column, Column | None]] | None = None
+    value: Callable[[Column], Column] | None = None
     quote: bool = True
     numeric: bool = False
+    failure: str = ""
+
+    @property
+    def dotted(self) -> str:
+        return ".".join(self.path)
 
 
 def load_config(source: Mapping | str | bytes) -> dict:
@@ -109,10 +114,11 @@ def _compile_redactor(entry: Mapping[str, Any]) -> Callable[[tuple[str, ...]], E
         raise ValueError(f"redactor {entry.get('name')!r} has an unknown type {kind!r}")
     value = bind(entry.get("value"))
     numeric = entry["value"]["function"] == "truncateFloat64"
+    failure = failure_of(entry["value"])
     if kind == "value":
-        return lambda path: Edit(path, drop=False, value=value, quote=quote, numeric=numeric)
+        return lambda path: Edit(path, False, None, value, quote, numeric, failure)
     rename = bind_text(entry.get("key"))
-    return lambda path: Edit(path, True, rename(path[-1]), value, quote, numeric)
+    return lambda path: Edit(path, True, rename(path[-1]), value, quote, numeric, failure)
 
 
 def redact(
@@ -124,16 +130,31 @@ def redact(
     JSON document of unknown shape and comes back as JSON text.  All values
     are computed from the original document, so redactions do not chain.
     """
-    edits = compile_config(config)
+    edits = _not_below_dropped(compile_config(config))
     data_type = df.schema[column].dataType
-    if isinstance(data_type, T.StructType):
-        out, error = _edit_struct(df[column], data_type, edits)
-    else:
-        out, error = _edit_document(df[column], data_type, edits)
-    tagged = with_errors(df, error, "reject")
+    known = data_type if isinstance(data_type, T.StructType) else None
+    # document, old texts and new texts are computed in steps, each of them once
+    doc = df[column] if known or isinstance(data_type, T.VariantType) else J.parse(df[column])
+    rows = df.withColumn("_doc", doc)
+    texts, news, errors = {}, {}, []
+    if known is None:
+        errors.append(F.when(F.col(column).isNotNull() & F.col("_doc").isNull(), "invalid JSON"))
+    for i, edit in enumerate(edits):
+        leaf = _leaf_text(F.col("_doc"), known, edit) if edit.value is not None else None
+        if leaf is None:
+            continue
+        texts[f"_t{i}"] = leaf
+        news[f"_n{i}"] = edit.value(F.col(f"_t{i}"))
+        errors.append(F.when(F.col("_doc").isNotNull() & F.col(f"_t{i}").isNull(), f"missing path {edit.dotted}"))
+        errors.append(F.when(F.col(f"_t{i}").isNotNull() & F.col(f"_n{i}").isNull(), f"{edit.dotted}: {edit.failure}"))
+    rows = rows.withColumns(texts).withColumns(news) if texts else rows
+    tree = _tree_of(edits)
+    out = _rebuild(F.col("_doc"), known, tree) if known else F.to_json(_rewrite(F.col("_doc"), tree))
+    tagged = with_errors(rows, first_error(*errors), "reject")
     # a failed record must not leak its unredacted value
     hidden = F.when(F.col("_error").isNull(), out)
-    return with_errors(tagged.withColumn(column, hidden), F.lit(None).cast("string"), on_error)
+    done = tagged.withColumn(column, hidden).drop("_doc", *texts, *news)
+    return with_errors(done, F.lit(None).cast("string"), on_error)
 
 
 def _not_below_dropped(edits: Sequence[Edit]) -> list[Edit]:
@@ -141,94 +162,84 @@ def _not_below_dropped(edits: Sequence[Edit]) -> list[Edit]:
     return [e for e in edits if not any(len(g) < len(e.path) and e.path[: len(g)] == g for g in gone)]
 
 
-# -- known shape -----------------------------------------------------------------------------
-
-
-def _field_type(data_type: T.DataType, path: Sequence[str]) -> T.DataType | None:
-    for part in path:
-        if not isinstance(data_type, T.StructType) or part not in data_type.names:
-            return None
-        data_type = data_type[part].dataType
-    return data_type
-
-
-def _edit_struct(doc: Column, schema: T.StructType, edits: Sequence[Edit]) -> tuple[Column, Column]:
-    out, errors, drops, appended = doc, [], [], []
-    for edit in _not_below_dropped(edits):
-        leaf_type = _field_type(schema, edit.path)
-        dotted = ".".join(f"`{p}`" for p in edit.path)
-        if leaf_type is None:
-            if edit.value is None:
-                continue  # nothing to drop
-            raise ValueError(f"no field {'.'.join(edit.path)!r} to redact")
-        if edit.value is not None:
-            leaf = doc
-            for part in edit.path:
-                leaf = leaf[part]
-            text = leaf.cast("string") if isinstance(leaf_type, T.AtomicType) else F.to_json(leaf)
-            new, error = edit.value(text)
-            missing = F.when(doc.isNotNull() & leaf.isNull(), f"missing path {'.'.join(edit.path)}")
-            errors += [missing, error]
-            if edit.numeric and not edit.quote:
-                new = new.cast("double")
-            if edit.new_name is None:
-                out = out.withField(dotted, new)
-                continue
-            parent = ".".join(f"`{p}`" for p in (*edit.path[:-1], edit.new_name))
-            appended.append((parent, new))
-        drops.append(dotted)
-    if drops:
-        out = out.dropFields(*drops)
-    for path, new in appended:
-        out = out.withField(path, new)
-    return out, first_error(*errors)
-
-
-# -- unknown shape ---------------------------------------------------------------------------
-
-
-def _edit_document(doc: Column, data_type: T.DataType, edits: Sequence[Edit]) -> tuple[Column, Column]:
-    value = doc if isinstance(data_type, T.VariantType) else J.parse(doc)
-    errors = [F.when(doc.isNotNull() & value.isNull(), "invalid JSON")]
+def _tree_of(edits: Sequence[Edit]) -> dict[str, Any]:
+    """Edits by path part; a leaf is (edit, its number)."""
     tree: dict[str, Any] = {}
-    for edit in _not_below_dropped(edits):
-        change: dict[str, Any] = {"edit": edit, "new": None}
-        if edit.value is not None:
-            leaf = J.at(value, ".".join(edit.path))
-            text, error = edit.value(J.raw_text(leaf))
-            dotted = ".".join(edit.path)
-            errors += [F.when(value.isNotNull() & leaf.isNull(), f"missing path {dotted}"), error]
-            # quoted text becomes a JSON string, bare text must be JSON itself
-            new = F.to_variant_object(F.array(text)) if edit.quote else None
-            change["new"] = F.variant_get(new, "$[0]", "variant") if edit.quote else J.parse(text)
+    for i, edit in enumerate(edits):
         node = tree
         for part in edit.path[:-1]:
             node = node.setdefault(part, {})
-        node[edit.path[-1]] = change
-    return F.to_json(_rewrite(value, tree)), first_error(*errors)
+        node[edit.path[-1]] = (edit, i)
+    return tree
+
+
+def _leaf_text(doc: Column, schema: T.StructType | None, edit: Edit) -> Column:
+    """The text a redactor sees: a scalar without quotes, anything else as JSON."""
+    if schema is None:
+        return J.raw_text(J.at(doc, edit.dotted))
+    leaf, leaf_type = doc, schema
+    for part in edit.path:
+        if not isinstance(leaf_type, T.StructType) or part not in leaf_type.names:
+            raise ValueError(f"no field {edit.dotted!r} to redact")
+        leaf, leaf_type = leaf[part], leaf_type[part].dataType
+    return leaf.cast("string") if isinstance(leaf_type, T.AtomicType) else F.to_json(leaf)
+
+
+def _rebuild(doc: Column, schema: T.StructType, tree: Mapping[str, Any]) -> Column:
+    """A struct of known shape as one projection: kept, replaced and nested fields in place,
+    renamed ones at the end (in place of a field that has the name already)."""
+    renamed = {node[0].new_name: node for node in tree.values() if isinstance(node, tuple) and node[0].new_name}
+
+    def new(node: tuple[Edit, int]) -> Column:
+        made = F.col(f"_n{node[1]}")
+        return made.cast("double") if node[0].numeric and not node[0].quote else made
+
+    fields = []
+    for f in schema.fields:
+        node = tree.get(f.name)
+        if f.name in renamed:
+            continue
+        if node is None:
+            fields.append(doc[f.name].alias(f.name))
+        elif isinstance(node, Mapping):
+            nested = isinstance(f.dataType, T.StructType)
+            fields.append((_rebuild(doc[f.name], f.dataType, node) if nested else doc[f.name]).alias(f.name))
+        elif not node[0].drop:
+            fields.append(new(node).alias(f.name))
+    fields += [new(node).alias(name) for name, node in renamed.items()]
+    if not fields:
+        raise ValueError("the redactions leave an empty document")
+    return F.when(doc.isNotNull(), F.struct(*fields))
 
 
 def _rewrite(value: Column, tree: Mapping[str, Any]) -> Column:
-    """Rebuild an object: drop, replace in place, descend, then append renamed members."""
+    """A document of unknown shape, rebuilt: drop, replace in place, descend, then append
+    renamed members."""
     inner = J.members(value)
     gone: list[str] = []
     replaced: dict[str, Callable[[Column], Column]] = {}
     appended: dict[str, Column] = {}
     for name, node in tree.items():
-        edit = node.get("edit") if isinstance(node.get("edit"), Edit) else None
-        if edit is None:
+        if isinstance(node, Mapping):
             replaced[name] = lambda v, node=node: _rewrite(v, node)
-        elif edit.new_name is not None:
-            gone.append(name)
-            appended[edit.new_name] = node["new"]
-        elif edit.drop:
+            continue
+        edit, number = node
+        if edit.value is None:
             gone.append(name)
+            continue
+        # quoted text becomes a JSON string, bare text must be JSON itself
+        made = F.col(f"_n{number}")
+        new = F.variant_get(F.to_variant_object(F.array(made)), "$[0]", "variant") if edit.quote else J.parse(made)
+        if edit.new_name is None:
+            replaced[name] = lambda v, new=new: new
         else:
-            replaced[name] = lambda v, node=node: node["new"]
+            gone.append(name)
+            appended[edit.new_name] = new
     out = inner
     if gone or appended:
         out = F.map_filter(out, lambda k, _: ~k.isin([*gone, *appended]))
     if replaced:
+
         def step(k: Column, v: Column) -> Column:
             chain = F
             for name, make in replaced.items():

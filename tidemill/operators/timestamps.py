@@ -67,18 +67,16 @@ def parse_target(text: str) -> Target:
     raise ValueError(f"invalid target {text!r}")
 
 
-def convert_column(col: Column, data_type: T.DataType, target: Target, fmt: str | None = None) -> tuple[Column, Column]:
-    """(converted column, message where a non-null input could not be converted)."""
+def convert_column(col: Column, data_type: T.DataType, target: Target, fmt: str | None = None) -> Column:
+    """The converted column; null where a value cannot be converted."""
     ticks = I.read_instant(col, data_type, fmt)
     if target.kind == "unix":
-        out = I.scale(ticks, target.argument)
-    elif target.kind == "date":
-        out = I.epoch_day(ticks)
-    elif target.kind == "time":
-        out = I.micros_of_day(ticks)
-    else:
-        out = I.strftime(ticks, target.argument)
-    return out, F.when(col.isNotNull() & out.isNull(), f"cannot convert to {target.kind}")
+        return I.scale(ticks, target.argument)
+    if target.kind == "date":
+        return I.epoch_day(ticks)
+    if target.kind == "time":
+        return I.micros_of_day(ticks)
+    return I.strftime(ticks, target.argument)
 
 
 def convert_ts(
@@ -101,17 +99,22 @@ def convert_ts(
     if how.field is None:
         if isinstance(data_type, T.StructType):
             raise ValueError(f"column {name!r} is a record: name a field, as in {how.side}[field]")
-        out, error = convert_column(df[name], data_type, goal, fmt)
+        source, source_type = df[name], data_type
     else:
         if not isinstance(data_type, T.StructType):
             raise ValueError(f"column {name!r} is no record, so it has no field {how.field!r}")
         if how.field not in data_type.names:
-            out, error = df[name], F.lit(None).cast("string")
-        else:
-            member, error = convert_column(df[name][how.field], data_type[how.field].dataType, goal, fmt)
-            out = F.when(df[name].isNotNull(), df[name].withField(f"`{how.field}`", member))
+            return with_errors(df, F.lit(None).cast("string"), on_error)
+        source, source_type = df[name][how.field], data_type[how.field].dataType
+    # converted once, in a column of its own
+    rows = df.withColumn("_new", convert_column(source, source_type, goal, fmt))
+    out = F.col("_new")
+    if how.field is not None:
+        members = [(out if f.name == how.field else F.col(name)[f.name]).alias(f.name) for f in data_type.fields]
+        out = F.when(F.col(name).isNotNull(), F.struct(*members))
+    failed = F.when(source.isNotNull() & F.col("_new").isNull(), f"cannot convert to {goal.kind}")
     # the message needs the column before it is replaced
-    tagged = with_errors(df, error, "reject").withColumn(name, out)
+    tagged = with_errors(rows, failed, "reject").withColumn(name, out).drop("_new")
     return with_errors(tagged, F.lit(None).cast("string"), on_error)
 
 

@@ -123,10 +123,10 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {_HITS} SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(1 / (1 + distance), 6) AS score FROM hits
-    WHERE 1 / (1 + distance) >= 0.52"""
+    WHERE 1 / (1 + distance) >= 0.505"""
 )
 def vector_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    hits = N.above_threshold(_hits(spark, sf), 0.52)
+    hits = N.above_threshold(_hits(spark, sf), 0.505)
     return hits.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 

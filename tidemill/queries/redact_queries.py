@@ -86,7 +86,7 @@ def redact_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """SELECT CASE WHEN c_custkey % 4 = 0 THEN 'missing path address.phone' WHEN c_custkey % 4 = 1
-    THEN 'shorter than 4 bytes' WHEN c_custkey % 4 = 2 THEN 'invalid JSON' END AS error, count(*) AS n,
+    THEN 'address.phone: too short to mask' WHEN c_custkey % 4 = 2 THEN 'invalid JSON' END AS error, count(*) AS n,
     count(CASE WHEN c_custkey % 4 = 3 THEN 1 END) AS kept FROM customer GROUP BY 1"""
 )
 def redact_failures(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,7 +126,7 @@ def redact_functions(spark: SparkSession, sf: str) -> DataFrame:
         "appended": ({"function": "append", "suffix": "-s"}, name),
         "x_digits": ({"function": "x-digits", "i": 4}, name),
     }
-    cols = [bind(config)(col)[0].alias(out) for out, (config, col) in calls.items()]
+    cols = [bind(config)(col).alias(out) for out, (config, col) in calls.items()]
     return table(spark, sf, "customer").select("c_custkey", *cols)
 
 

@@ -75,9 +75,9 @@ def stream_throughput(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """WITH e AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt FROM events
       WHERE event_type IN ('error', 'purchase')),
-    wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS at FROM events WHERE event_type IN ('error', 'purchase'))
+    wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm_at FROM events WHERE event_type IN ('error', 'purchase'))
     SELECT user_id, epoch_us(ts) AS last_seen_us, epoch_us(ts + INTERVAL 12 HOUR) AS alert_us FROM e, wm
-    WHERE (nxt IS NULL OR nxt >= ts + INTERVAL 12 HOUR) AND date_trunc('millisecond', ts + INTERVAL 12 HOUR) <= at"""
+    WHERE (nxt IS NULL OR nxt >= ts + INTERVAL 12 HOUR) AND date_trunc('millisecond', ts + INTERVAL 12 HOUR) <= wm_at"""
 )
 def stream_silent_keys(spark: SparkSession, sf: str) -> DataFrame:
     """One alert when a key has been silent for twelve hours."""
