@@ -17,11 +17,16 @@ def first_error(*errors: Column | None) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
-def with_errors(df: DataFrame, error: Column, on_error: str = "reject") -> DataFrame:
+def with_errors(df: DataFrame, error: Column, on_error: str = "reject", costly: bool = False) -> DataFrame:
     """Attach ``error`` as ``_error`` and apply a policy.
 
     ``reject`` keeps every row with its message, ``drop`` removes failed rows,
     ``fail`` stops the job at the first failed row.
+
+    ``costly`` is for messages that take parsing to find out: the optimizer would copy
+    the parsing into a filter below, once per mention.  A non-deterministic column next to
+    the message keeps the filter where it is; filters on other columns then have to be
+    stated before the operator.
     """
     if on_error not in POLICIES:
         raise ValueError(f"on_error must be one of {POLICIES}, not {on_error!r}")
@@ -30,10 +35,14 @@ def with_errors(df: DataFrame, error: Column, on_error: str = "reject") -> DataF
     tagged = df.withColumn(ERROR, error)
     if on_error == "reject":
         return tagged
+    here = F.lit(True)
+    if costly:
+        tagged = tagged.withColumn("_task", F.spark_partition_id())
+        here = F.col("_task") >= 0
     if on_error == "drop":
-        return tagged.filter(F.col(ERROR).isNull()).drop(ERROR)
+        return tagged.filter(F.col(ERROR).isNull() & here).drop(ERROR, "_task")
     stop = F.when(F.col(ERROR).isNotNull(), F.raise_error(F.col(ERROR)).cast("boolean")).otherwise(True)
-    return tagged.filter(stop).drop(ERROR)
+    return tagged.filter(stop & here).drop(ERROR, "_task")
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -83,24 +83,17 @@ def utc_micros(col: Column) -> Column:
 
 
 def _nanos_of_text(col: Column, fmt: str | None) -> Column:
+    thousand = F.lit(1_000).cast("bigint")
     if fmt is None:
-        whole = F.concat(
-            F.translate(F.substring(col, 1, 19), "t ", "TT"),
-            F.upper(F.regexp_extract(col, r"([Zz]|[+-][0-9]{2}:[0-9]{2})$", 1)),
-        )
-        at = F.when(col.rlike(_RFC3339), F.try_to_timestamp(whole, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
-        fraction = F.rpad(F.regexp_extract(col, r"\.([0-9]{1,9})", 1), 9, "0").cast("bigint")
-        fraction = F.coalesce(fraction, F.lit(0).cast("bigint"))
-    elif fmt == "%s":
-        at = F.timestamp_seconds(F.trim(col).try_cast("bigint"))
-        fraction = F.lit(0).cast("bigint")
-    else:
-        at = F.try_to_timestamp(col, F.lit(parse_pattern(fmt)))
-        fraction = F.unix_micros(at) % 1_000_000 * 1_000
-        fraction = F.pmod(fraction, F.lit(NANOS).cast("bigint"))
-    seconds = F.unix_seconds(at)
-    # what does not fit 64-bit nanoseconds is null, not a wrapped number
-    return F.try_add(F.try_multiply(seconds, F.lit(NANOS).cast("bigint")), fraction)
+        # the cast reads six digits of the fraction, the last three are taken from the text
+        at = F.unix_micros(F.when(col.rlike(_RFC3339), F.upper(col)).try_cast("timestamp"))
+        tail = F.rpad(F.regexp_extract(col, r"\.[0-9]{6}([0-9]{1,3})", 1), 3, "0").cast("bigint")
+        tail = F.when(F.length(col) > 26, tail).otherwise(F.lit(0).cast("bigint"))
+        # what does not fit 64-bit nanoseconds is null, not a wrapped number
+        return F.try_add(F.try_multiply(at, thousand), tail)
+    if fmt == "%s":
+        return F.try_multiply(F.trim(col).try_cast("bigint"), F.lit(NANOS).cast("bigint"))
+    return F.try_multiply(F.unix_micros(F.try_to_timestamp(col, F.lit(parse_pattern(fmt)))), thousand)
 
 
 def scale(ticks: Ticks, per_second: int) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemill.functions.numbers import let
+
 OBJECT = "map<string,variant>"
 
 
@@ -60,21 +62,33 @@ def flat_entries(value: Column, delim: str = ".", max_depth: int = 64) -> Column
         )
         return F.when(is_open(entry), nested).otherwise(F.array(entry))
 
+    def any_open(pairs: Column) -> Column:
+        return F.exists(pairs, is_open)
+
+    def open_levels(pairs: Column, levels: int) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(levels)),
+            pairs,
+            lambda p, _: F.when(any_open(p), F.flatten(F.transform(p, descend))).otherwise(p),
+        )
+
     top = F.transform(F.map_entries(members(value)), lambda e: pair(e["key"], e["value"]))
     if max_depth < 1:
         return top
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(max_depth)),
-        top,
-        lambda pairs, _: F.when(F.exists(pairs, is_open), F.flatten(F.transform(pairs, descend))).otherwise(pairs),
-    )
+    few = min(max_depth, 4)
+    flat = open_levels(top, few)
+    if max_depth > few:  # deep documents are rare and pay for the further steps alone
+        flat = let(flat, lambda p: F.when(any_open(p), open_levels(p, max_depth - few)).otherwise(p))
+    return flat
 
 
 def object_text(pairs: Column) -> Column:
     """JSON text of (key, value) pairs in their order; repeated keys are kept."""
     def member(e: Column) -> Column:
+        plain = F.concat(F.lit('"'), e["key"], F.lit('":'), F.to_json(e["value"]))
         one = F.to_json(F.create_map(e["key"], e["value"]))
-        return F.substr(one, F.lit(2), F.length(one) - 2)
+        quoted = F.substr(one, F.lit(2), F.length(one) - 2)
+        return F.when(e["key"].rlike(r'["\\\\\x00-\x1f\x7f]'), quoted).otherwise(plain)
 
     return F.concat(F.lit("{"), F.array_join(F.transform(pairs, member), ","), F.lit("}"))
 

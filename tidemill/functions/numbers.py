@@ -89,4 +89,6 @@ def truncating_div(value: Column, divisor: int) -> Column:
 
 def leading_int(text: Column) -> Column:
     """The integer a text starts with (``12abc`` -> 12), null if there is none."""
-    return F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint")
+    digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1)
+    # a failing cast is costly, an empty match is common
+    return F.nullif(digits, F.lit("")).try_cast("bigint")

@@ -27,8 +27,8 @@ class RedactionFunction:
     parameters: Mapping[str, type]
     column: ColumnForm
     text: TextForm | None = None
-    #: what is wrong with an input that gave null
-    failure: str = "cannot be redacted"
+    #: what is wrong with an input that gave null; ``None`` for a function that cannot fail
+    failure: str | None = None
 
     def check(self, config: Mapping[str, Any]) -> None:
         """Raise ``ValueError`` naming every missing or mistyped parameter."""
@@ -50,7 +50,7 @@ def register_function(
     column: ColumnForm,
     parameters: Mapping[str, type] | None = None,
     text: TextForm | None = None,
-    failure: str = "cannot be redacted",
+    failure: str | None = None,
 ) -> None:
     """Make a redaction function available to configurations by name."""
     REGISTRY[name] = RedactionFunction(name, dict(parameters or {}), column, text, failure)
@@ -62,7 +62,7 @@ def bind(config: Mapping[str, Any] | None) -> Callable[[Column], Column]:
     return lambda col: fn.column(col, config)
 
 
-def failure_of(config: Mapping[str, Any]) -> str:
+def failure_of(config: Mapping[str, Any]) -> str | None:
     """The message for an input on which the configured function gives null."""
     return _lookup(config).failure
 

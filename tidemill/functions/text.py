@@ -45,9 +45,43 @@ def ascii_boundaries(pattern: str) -> str:
     return "".join(out)
 
 
-def as_text(col: Column) -> Column:
-    """Bytes as UTF-8 text; strings stay."""
-    return col.cast("string")
+def required_text(pattern: str) -> str:
+    """A text every match must contain, or an empty one.
+
+    Looking for it first spares the pattern on most rows.  Patterns with groups or
+    alternatives are not looked into.
+    """
+    runs, run, i = [], "", 0
+    while i < len(pattern):
+        ch, step = pattern[i], 1
+        literal = ch
+        if ch in "(|":
+            return ""
+        if ch == "[":
+            close = pattern.find("]", i + 2)
+            if close < 0 or pattern[i + 1 : close].endswith("\\"):
+                return ""
+            literal, step = "", close + 1 - i
+        elif ch == "\\":
+            literal, step = pattern[i + 1 : i + 2], 2
+            if literal.isalnum():
+                if literal not in "bBdDwWsSAzZnrt":
+                    return ""
+                literal = ""
+        elif ch in ".^$":
+            literal = ""
+        after = pattern[i + step : i + step + 1]
+        if after in ("*", "?", "{"):  # may be absent
+            literal = ""
+        runs.append(run)
+        run = run + literal if literal else ""
+        runs.append(run)
+        i += step
+        if after and after in "*+?{":
+            run = ""
+            while i < len(pattern) and pattern[i] in "*+?{":
+                i = pattern.find("}", i) + 1 if pattern[i] == "{" else i + 1
+    return max(runs, key=len, default="")
 
 
 def contains_any(col: Column, words: Sequence[str]) -> Column:
@@ -60,7 +94,7 @@ def mask_emails(col: Column, replacement: str = "redacted") -> Column:
     """Replace the user part of every e-mail address and keep the domain."""
     user, domain = EMAIL_PATTERN.split("@")
     pattern = ascii_boundaries(f"{user}(@{domain})")
-    return F.regexp_replace(col, pattern, f"{replacement}$1")
+    return F.when(col.contains("@"), F.regexp_replace(col, pattern, f"{replacement}$1")).otherwise(col)
 
 
 def money_to_decimal(col: Column) -> Column:

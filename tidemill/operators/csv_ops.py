@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.errors import any_of, with_errors
-from tidemill.functions.numbers import leading_int
+from tidemill.functions.numbers import leading_int, let
 
 # --- fixed values: the stock record -----------------------------------------------------
 STOCK_SCHEMA = T.StructType(
@@ -32,30 +32,26 @@ def csv_lines_to_json(
     ``whole_record`` one bad line rejects all lines of its record.
     """
     lines = F.split(F.col(column).cast("string"), "\n", -1)
-    cells = F.transform(lines, lambda line: F.split(line, ",", -1))
-    parsed = F.transform(
-        cells,
-        lambda c: F.struct(
-            F.size(c).alias("n"), F.get(c, F.lit(0)).alias("item"), leading_int(F.get(c, F.lit(1))).alias("quantity")
-        ),
-    )
+    rows = df.withColumn("_lines", lines)
+    if whole_record:
 
-    def error_of(line: Column) -> Column:
-        wrong = F.when(line["n"] != 2, "unexpected number of columns")
-        return wrong.when(line["quantity"].isNull(), "invalid quantity")
+        def is_bad(line: Column) -> Column:
+            return let(F.split(line, ",", -1), lambda c: (F.size(c) != 2) | leading_int(F.get(c, F.lit(1))).isNull())
 
-    rows = df.withColumn("_lines", parsed)
-    if whole_record:
-        bad = F.get(F.filter("_lines", lambda s: (s["n"] != 2) | s["quantity"].isNull()), F.lit(0))
-        rows = rows.withColumn("_bad", bad)
+        rows = rows.withColumn("_bad", F.get(F.filter("_lines", is_bad), F.lit(0)))
+    # one row per line, then plain columns: they are compiled with the scan
     rows = rows.withColumn("_line", F.explode("_lines")).drop("_lines")
-    error = error_of(F.col("_line"))
+    rows = rows.withColumn("_cells", F.split("_line", ",", -1))
+    rows = rows.withColumn("_quantity", leading_int(F.get("_cells", F.lit(1))))
+    wrong = F.when(F.size("_cells") != 2, "unexpected number of columns")
+    error = wrong.when(F.col("_quantity").isNull(), "invalid quantity")
     if whole_record:
-        error = F.when(F.col("_bad").isNotNull(), error_of(F.col("_bad")))
-    body = F.to_json(F.struct("_line.item", "_line.quantity"))
-    tagged = with_errors(rows, error, "reject").drop("_bad")
-    out = tagged.withColumn(column, F.when(F.col("_error").isNull(), body)).drop("_line")
-    return with_errors(out, F.lit(None).cast("string"), on_error)
+        first = F.when(F.size(F.split("_bad", ",", -1)) != 2, "unexpected number of columns")
+        error = F.when(F.col("_bad").isNotNull(), first.otherwise("invalid quantity"))
+    body = F.to_json(F.struct(F.get("_cells", F.lit(0)).alias("item"), F.col("_quantity").alias("quantity")))
+    tagged = with_errors(rows, error, "reject")
+    out = tagged.withColumn(column, F.when(F.col("_error").isNull(), body))
+    return with_errors(out.drop("_bad", "_line", "_cells", "_quantity"), F.lit(None).cast("string"), on_error)
 
 
 def csv_to_record(
@@ -89,7 +85,7 @@ def csv_to_record(
     )
     tagged = with_errors(rows, error, "reject").drop("_cells")
     built = tagged.withColumn(out, F.when(F.col("_error").isNull(), F.col(out)))
-    return built.drop("_error") if on_bad == "null" else with_errors(built, F.lit(None).cast("string"), on_bad)
+    return built.drop("_error") if on_bad == "null" else with_errors(built, F.lit(None).cast("string"), on_bad, costly=True)
 
 
 def rows_to_json(df: DataFrame, out: str = "value") -> DataFrame:

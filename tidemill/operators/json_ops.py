@@ -38,8 +38,9 @@ def flatten_json(
     """
     rows = df.filter(F.col(column).isNotNull() & (F.octet_length(column) > 0))
     rows, doc = _parsed(rows, column)
-    flat = rows.withColumn(column, J.object_text(J.flat_entries(doc, delim, max_depth))).drop("_doc")
-    return with_errors(flat, F.when(F.col(column).isNull(), "not a JSON object"), on_error)
+    # the check needs the parsed document only, so a filter on it does not flatten twice
+    tagged = with_errors(rows, F.when(J.members(doc).isNull(), "not a JSON object"), on_error)
+    return tagged.withColumn(column, J.object_text(J.flat_entries(doc, delim, max_depth))).drop("_doc")
 
 
 def json_paths(df: DataFrame, column: str = "value", delim: str = ".", max_depth: int = 64) -> DataFrame:

@@ -27,10 +27,10 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 def compact(df: DataFrame, keep_tombstones: bool = False, keys: Sequence[str] = PARTITION_KEY) -> DataFrame:
     """Log compaction: the last record of a key *within each partition*; a null value is a
     tombstone and deletes its key.  Records without a key are not compacted away."""
-    keyed = latest_by_key(df.filter(F.col("key").isNotNull()), keys, ["offset"])
-    if not keep_tombstones:
-        keyed = keyed.filter(F.col("value").isNotNull())
-    return keyed.unionByName(df.filter(F.col("key").isNull()))
+    # a record without a key is a group of its own, so one scan and one shuffle do for all
+    alone = df.withColumn("_alone", F.when(F.col("key").isNull(), F.col("offset")))
+    kept = latest_by_key(alone, [*keys, "_alone"], ["offset"]).drop("_alone")
+    return kept if keep_tombstones else kept.filter(F.col("value").isNotNull() | F.col("key").isNull())
 
 
 def compact_with_lag(df: DataFrame, min_lag_seconds: int, as_of: datetime | Column) -> DataFrame:

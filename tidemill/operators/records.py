@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions import jsonx as J
 from tidemill.functions.errors import any_of, with_errors
-from tidemill.functions.text import ascii_boundaries, is_true_word
+from tidemill.functions.text import ascii_boundaries, is_true_word, required_text
 
 HEADER_TYPE = "array<struct<key:string,value:binary>>"
 #: column for column what Spark's Kafka source yields
@@ -75,7 +75,9 @@ def regex_filter(
     """Keep the records whose key (or value) contains the pattern; null never matches."""
     on_value = is_true_word(match_value) if isinstance(match_value, str) else match_value
     text = F.col(value if on_value else key).cast("string")
-    return df.filter(text.isNotNull() & text.rlike(ascii_boundaries(pattern)))
+    found = text.rlike(ascii_boundaries(pattern))
+    sure = required_text(pattern)
+    return df.filter(text.contains(sure) & found if sure else text.isNotNull() & found)
 
 
 def drop_empty(df: DataFrame, value: str = "value") -> DataFrame:
@@ -134,7 +136,7 @@ def project_json(
         return out
     needed = list(strict) or list(fields)
     error = F.when(any_of([F.col(n).isNull() for n in needed]), "missing or malformed field")
-    return with_errors(out, error, on_error)
+    return with_errors(out, error, on_error, costly=True)
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

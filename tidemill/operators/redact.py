@@ -57,7 +57,7 @@ class Edit:
     value: Callable[[Column], Column] | None = None
     quote: bool = True
     numeric: bool = False
-    failure: str = ""
+    failure: str | None = None
 
     @property
     def dotted(self) -> str:
@@ -146,7 +146,9 @@ def redact(
         texts[f"_t{i}"] = leaf
         news[f"_n{i}"] = edit.value(F.col(f"_t{i}"))
         errors.append(F.when(F.col("_doc").isNotNull() & F.col(f"_t{i}").isNull(), f"missing path {edit.dotted}"))
-        errors.append(F.when(F.col(f"_t{i}").isNotNull() & F.col(f"_n{i}").isNull(), f"{edit.dotted}: {edit.failure}"))
+        if edit.failure is not None:
+            failed = F.col(f"_t{i}").isNotNull() & F.col(f"_n{i}").isNull()
+            errors.append(F.when(failed, f"{edit.dotted}: {edit.failure}"))
     rows = rows.withColumns(texts).withColumns(news) if texts else rows
     tree = _tree_of(edits)
     out = _rebuild(F.col("_doc"), known, tree) if known else F.to_json(_rewrite(F.col("_doc"), tree))
@@ -154,7 +156,7 @@ def redact(
     # a failed record must not leak its unredacted value
     hidden = F.when(F.col("_error").isNull(), out)
     done = tagged.withColumn(column, hidden).drop("_doc", *texts, *news)
-    return with_errors(done, F.lit(None).cast("string"), on_error)
+    return with_errors(done, F.lit(None).cast("string"), on_error, costly=known is None)
 
 
 def _not_below_dropped(edits: Sequence[Edit]) -> list[Edit]:

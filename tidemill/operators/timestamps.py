@@ -115,7 +115,8 @@ def convert_ts(
     failed = F.when(source.isNotNull() & F.col("_new").isNull(), f"cannot convert to {goal.kind}")
     # the message needs the column before it is replaced
     tagged = with_errors(rows, failed, "reject").withColumn(name, out).drop("_new")
-    return with_errors(tagged, F.lit(None).cast("string"), on_error)
+    parsed = isinstance(source_type, T.StringType)
+    return with_errors(tagged, F.lit(None).cast("string"), on_error, costly=parsed)
 
 
 def derive_schema(schema: T.StructType, mode: str, target: str, column: str | None = None) -> T.StructType:

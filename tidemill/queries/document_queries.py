@@ -24,7 +24,7 @@ PROMPT = "Use the context to answer.\n\n{context}\n\nQuestion: {question}\nAnswe
     SELECT page_id, url, trim(regexp_replace(h, '[ \t\r\n\f]+', ' ', 'g')) AS text FROM b"""
 )
 def html_to_text(spark: SparkSession, sf: str) -> DataFrame:
-    return D.pages_to_text(table(spark, sf, "pages"))
+    return D.pages_to_text(table(spark, sf, "pages", spread=True))
 
 
 @query(
@@ -33,14 +33,14 @@ def html_to_text(spark: SparkSession, sf: str) -> DataFrame:
     SELECT doc_id, chunk_no, chunk_no * 1800 AS start, md5(substring(text, chunk_no * 1800 + 1, 2000)) AS chunk_md5 FROM s"""
 )
 def chunk_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = D.chunk_fixed(table(spark, sf, "documents").select("doc_id", "text"))
+    chunks = D.chunk_fixed(table(spark, sf, "documents", spread=True).select("doc_id", "text"))
     return chunks.select("doc_id", "chunk_no", "start", F.md5("chunk").alias("chunk_md5"))
 
 
 @query()
 def chunk_recursive(spark: SparkSession, sf: str) -> DataFrame:
     """No SQL twin: the cut points depend on each other.  The tests check the invariants."""
-    chunks = D.chunk_recursive(table(spark, sf, "documents").select("doc_id", "text"))
+    chunks = D.chunk_recursive(table(spark, sf, "documents", spread=True).select("doc_id", "text"))
     return chunks.select("doc_id", "chunk_no", "start", F.char_length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
 
 
@@ -52,7 +52,7 @@ def chunk_recursive(spark: SparkSession, sf: str) -> DataFrame:
 )
 def document_messages(spark: SparkSession, sf: str) -> DataFrame:
     """JSON messages of text and metadata, read back."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    docs = table(spark, sf, "documents", spread=True).select("doc_id", "lang", "source", "text")
     messages = D.document_messages(D.chunk_fixed(docs), ["lang", "source"]).select("doc_id", "chunk_no", "value")
     doc = F.from_json("value", "text string, metadata map<string,string>")
     return messages.select(
@@ -113,7 +113,7 @@ def _questions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _hits(spark: SparkSession, sf: str, **how) -> DataFrame:
-    return N.top_k(table(spark, sf, "embeddings"), _questions(spark, sf), **how)
+    return N.top_k(table(spark, sf, "embeddings", spread=True), _questions(spark, sf), **how)
 
 
 @query(f"WITH {_HITS} SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance FROM hits")

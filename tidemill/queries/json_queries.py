@@ -16,7 +16,7 @@ from tidemill.queries.base import REC, event_records, query, table, text
     CAST(props->>'$.k' AS VARCHAR) AS k, '["' || event_type || '",' || event_id || ']' AS tags FROM rec"""
 )
 def flatten_json(spark: SparkSession, sf: str) -> DataFrame:
-    flat = J.flatten_json(event_records(spark, sf), on_error="drop")
+    flat = J.flatten_json(event_records(spark, sf, spread=True), on_error="drop")
 
     def member(name: str):
         return F.get_json_object(F.col("value"), f"$['{name}']")
@@ -42,7 +42,7 @@ def flatten_json(spark: SparkSession, sf: str) -> DataFrame:
     SELECT * FROM leaves"""
 )
 def json_paths(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf).select("topic", F.col("partition").alias("part"), F.col("offset").alias("off"), "value")
+    rows = event_records(spark, sf, spread=True).select("topic", F.col("partition").alias("part"), F.col("offset").alias("off"), "value")
     return J.json_paths(rows)
 
 
@@ -65,7 +65,7 @@ def flatten_struct(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {REC} SELECT topic, off, value FROM rec UNION ALL SELECT topic, off, props FROM rec")
 def split_objects(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf).select("topic", F.col("offset").alias("off"), F.col("value").cast("string").alias("v"))
+    rows = event_records(spark, sf, spread=True).select("topic", F.col("offset").alias("off"), F.col("value").cast("string").alias("v"))
     props = F.regexp_extract("v", r'"props":(\{[^}]*\})', 1)
     return J.split_objects(rows.withColumn("value", F.concat("v", F.lit("\n"), props)).drop("v"))
 
@@ -76,7 +76,7 @@ def split_objects(spark: SparkSession, sf: str) -> DataFrame:
     FROM rec"""
 )
 def json_delete(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf).select("topic", F.col("offset").alias("off"), "value")
+    rows = event_records(spark, sf, spread=True).select("topic", F.col("offset").alias("off"), "value")
     return J.json_delete(rows, ["user.type", "props", "not.there"], on_error="drop")
 
 
@@ -85,14 +85,14 @@ def json_delete(spark: SparkSession, sf: str) -> DataFrame:
     || '","gone":null}}' AS value FROM rec"""
 )
 def json_construct(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf).select("key", "topic", F.col("offset").alias("off"), "value")
+    rows = event_records(spark, sf, spread=True).select("key", "topic", F.col("offset").alias("off"), "value")
     fields = {"uid": "user.id", "kind": "user.type", "key": F.col("KEY"), "gone": "no.such"}
     return J.json_construct(rows, fields, on_error="drop").drop("key")
 
 
 @query(f"WITH {REC} SELECT topic, off, CAST(props->>'$.k' AS BIGINT) AS k FROM rec WHERE CAST(props->>'$.k' AS BIGINT) > 50")
 def json_filter(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf).select("topic", F.col("offset").alias("off"), "value")
+    rows = event_records(spark, sf, spread=True).select("topic", F.col("offset").alias("off"), "value")
     kept = J.json_filter(rows, "props.k", "bigint", lambda k: k > 50, on_error="drop")
     return kept.select("topic", "off", F.get_json_object(F.col("value").cast("string"), "$.props.k").cast("bigint").alias("k"))
 
@@ -103,7 +103,7 @@ def json_filter(spark: SparkSession, sf: str) -> DataFrame:
 )
 def json_explode(spark: SparkSession, sf: str) -> DataFrame:
     value = text('{"items":[{"part":', F.col("l_partkey"), "},", F.col("l_suppkey"), "]}")
-    return J.json_explode(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), value.alias("value")), "items")
+    return J.json_explode(table(spark, sf, "lineitem", spread=True).select(F.col("l_orderkey").alias("key"), value.alias("value")), "items")
 
 
 @query(
@@ -134,7 +134,7 @@ def json_errors(spark: SparkSession, sf: str) -> DataFrame:
 def csv_lines_to_json(spark: SparkSession, sf: str) -> DataFrame:
     """Five lines per value: good, a number with a tail, three columns, no number, empty."""
     value = text("part-", F.col("l_partkey"), ",", F.col("l_linenumber"), "\nsupp-", F.col("l_suppkey"), ",12abc\na,1,2\nb,x\n")
-    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), value.alias("value"))
+    rows = table(spark, sf, "lineitem", spread=True).select(F.col("l_orderkey").alias("key"), value.alias("value"))
     return V.csv_lines_to_json(rows).withColumnRenamed("_error", "error")
 
 
@@ -147,7 +147,7 @@ def csv_whole_records(spark: SparkSession, sf: str) -> DataFrame:
     """One bad line rejects its whole record."""
     second = F.when(F.col("l_partkey") % 2 == 0, "b,7").otherwise("b,x")
     value = text("part-", F.col("l_partkey"), ",", F.col("l_linenumber"), "\n", second)
-    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), value.alias("value"))
+    rows = table(spark, sf, "lineitem", spread=True).select(F.col("l_orderkey").alias("key"), value.alias("value"))
     return V.csv_lines_to_json(rows, on_error="drop", whole_record=True)
 
 
@@ -164,7 +164,7 @@ def stock_lines(orders: DataFrame) -> DataFrame:
     o_custkey AS "Volume", CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders"""
 )
 def csv_to_record(spark: SparkSession, sf: str) -> DataFrame:
-    typed = V.csv_to_record(stock_lines(table(spark, sf, "orders")), on_bad="drop")
+    typed = V.csv_to_record(stock_lines(table(spark, sf, "orders", spread=True)), on_bad="drop")
     r = F.col("record")
     return typed.select(
         "o_orderkey",
@@ -180,7 +180,7 @@ def csv_to_record(spark: SparkSession, sf: str) -> DataFrame:
     count(*) AS n, count(CASE WHEN o_orderkey % 3 = 2 THEN 1 END) AS typed FROM orders GROUP BY 1"""
 )
 def csv_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = stock_lines(table(spark, sf, "orders"))
+    lines = stock_lines(table(spark, sf, "orders", spread=True))
     broken = F.when(F.col("o_orderkey") % 3 == 0, F.concat("value", F.lit(",more"))).when(
         F.col("o_orderkey") % 3 == 1, F.concat_ws(",", F.lit("01/01/2020,$1,many,$1,$1,$1"))
     ).otherwise(F.col("value"))

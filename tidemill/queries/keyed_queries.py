@@ -93,7 +93,7 @@ def change_records(orders: DataFrame) -> DataFrame:
     SELECT order_id, op, state, order_id * 10 + n AS ts_ms, o_custkey AS customer_id, o_totalprice AS total FROM c"""
 )
 def cdc_unwrap(spark: SparkSession, sf: str) -> DataFrame:
-    log = C.read_changes(change_records(table(spark, sf, "orders")), _ROW, on_error="drop")
+    log = C.read_changes(change_records(table(spark, sf, "orders", spread=True)), _ROW, on_error="drop")
     return K.unwrap_changes(log).select("order_id", "op", "state", "ts_ms", "customer_id", "total")
 
 
@@ -102,7 +102,7 @@ def cdc_unwrap(spark: SparkSession, sf: str) -> DataFrame:
     CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus ELSE 'new' END AS state FROM orders WHERE o_orderkey % 7 <> 0"""
 )
 def cdc_current(spark: SparkSession, sf: str) -> DataFrame:
-    log = C.read_changes(change_records(table(spark, sf, "orders")), _ROW, on_error="drop")
+    log = C.read_changes(change_records(table(spark, sf, "orders", spread=True)), _ROW, on_error="drop")
     rows = K.unwrap_changes(log).select("order_id", "op", "ts_ms", "customer_id", "total", "state")
     return K.current_rows(rows, ["order_id"], ["ts_ms"]).drop("op", "ts_ms")
 

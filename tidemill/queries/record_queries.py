@@ -17,7 +17,7 @@ from tidemill.sources import changes as C
     WHERE regexp_matches(text, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b')"""
 )
 def regex_filter_email(spark: SparkSession, sf: str) -> DataFrame:
-    docs = R.regex_filter(table(spark, sf, "documents"), EMAIL_PATTERN, True, value="text")
+    docs = R.regex_filter(table(spark, sf, "documents", spread=True), EMAIL_PATTERN, True, value="text")
     return docs.select("doc_id", "n_chars")
 
 
@@ -78,7 +78,7 @@ def project_json_props(spark: SparkSession, sf: str) -> DataFrame:
         "k": ("props.k", "int"),
         "absent": ("props.nothing", "string"),
     }
-    rows = R.project_json(event_records(spark, sf), fields, keep=["topic", "partition", "offset"])
+    rows = R.project_json(event_records(spark, sf, spread=True), fields, keep=["topic", "partition", "offset"])
     return rows.withColumnsRenamed({"partition": "part", "offset": "off"})
 
 
@@ -249,7 +249,7 @@ def issues_of(orders: DataFrame) -> DataFrame:
 
 
 def _mapped(spark: SparkSession, sf: str) -> DataFrame:
-    raw = issues_of(table(spark, sf, "orders"))
+    raw = issues_of(table(spark, sf, "orders", spread=True))
     typed = raw.select(F.from_json("value", C.ISSUE_SCHEMA).alias("i")).select("i.*")
     flat = C.map_issues(typed, "https://issues.example.com").drop("resolved")
     return flat.withColumns({"labels": F.array_join("labels", "|"), "components": F.array_join("components", "|")})
@@ -286,7 +286,7 @@ def routed_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     from tidemill.operators.flow import throughput
     from tidemill.operators.json_ops import flatten_json
 
-    kept = R.regex_filter(event_records(spark, sf), '"k": [1-9][0-9]', True)
+    kept = R.regex_filter(event_records(spark, sf, spread=True), '"k": [1-9][0-9]', True)
     flat = flatten_json(kept, on_error="drop").drop("topic")
     fields = {"kind": ("$['user.type']", "string"), "user_id": ("$['user.id']", "bigint")}
     rows = R.project_json(flat, fields, keep=["timestamp"])
