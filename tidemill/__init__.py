@@ -10,6 +10,13 @@ Every operator takes a ``DataFrame`` and returns a ``DataFrame``.  The packages
 * ``queries``   the registered queries and their SQL twins.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from tidemill.session import configure, local_session
 
+# the few functions that run in Python tasks travel with the job: executors need no install
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["configure", "local_session"]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.plans.skew import small_side
+
 # --- fixed values -----------------------------------------------------------------------
 #: a replica with at least this share of the source's messages is "close"
 CLOSE_PERCENT = 95
@@ -99,15 +101,14 @@ def config_matches(source: DataFrame, target: DataFrame, name: str = "cleanup.po
 def migration_summary(source: DataFrame, target: DataFrame, target_subjects: DataFrame) -> DataFrame:
     """One row: topics of the source, how many the target has, its schema count, and
     whether the migration is complete."""
-    topics = source.select("topic").distinct()
-    found = target.select("topic").distinct().withColumn("_there", F.lit(1))
-    counts = topics.join(found, "topic", "left").agg(
-        F.count(F.lit(1)).alias("total"), F.count("_there").alias("migrated")
+    found = target.select("topic").distinct().withColumn("found", F.lit(1))
+    topics = source.select("topic").distinct().join(found, "topic", "left").drop("topic")
+    subjects = target_subjects.select("subject").distinct()
+    rows = topics.withColumn("wanted", F.lit(1)).unionByName(subjects, allowMissingColumns=True)
+    counts = rows.agg(
+        F.count("wanted").alias("total"), F.count("found").alias("migrated"), F.count("subject").alias("schemas")
     )
-    schemas = target_subjects.select("subject").distinct().agg(F.count(F.lit(1)).alias("schemas"))
-    # two one-row tables, matched on a constant
-    out = counts.withColumn("_one", F.lit(1)).join(schemas.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return out.withColumn("complete", (F.col("migrated") == F.col("total")) & (F.col("schemas") > 0))
+    return counts.withColumn("complete", (F.col("migrated") == F.col("total")) & (F.col("schemas") > 0))
 
 
 # -- sets of names ---------------------------------------------------------------------------
@@ -150,8 +151,6 @@ def fail_over(source: DataFrame, target: DataFrame, cut: DataFrame) -> DataFrame
 
     Partitions without a cut stay with the source.  The cut has one row per partition.
     """
-    from tidemill.plans.skew import small_side
-
     at = small_side(cut.select("topic", "partition", F.col("offset").alias("_cut")))
     before = source.join(at, ["topic", "partition"], "left").filter(
         F.col("_cut").isNull() | (F.col("offset") < F.col("_cut"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions import wire as W
-from tidemill.functions.errors import with_errors
+from tidemill.functions.errors import ERROR, with_errors
 from tidemill.plans.skew import fits_broadcast, small_side
 
 REGISTRY_SCHEMA = "subject string, version int, id int, format string, schema string"
@@ -192,27 +192,41 @@ def decode_by_schema(
 ) -> dict[int, DataFrame]:
     """Framed records as one typed frame per schema id, with key, offsets and the payload's columns.
 
-    Records with an id outside the registry go to ``-1`` with a message.  The registry
-    must be small, since its ids become branches of the plan.
+    Records without a frame or with an id outside the registry go to ``-1`` with a message.
+    The registry must be small, since its ids become branches of the plan; each branch
+    reads the input, so land the frames by id first (``sources.sinks.land_typed``) when
+    there are many.
     """
+    return decode_bodies(unframe_records(df, column, "reject"), registry, decoder, column, on_error)
+
+
+def decode_bodies(
+    rows: DataFrame,
+    registry: DataFrame,
+    decoder: Callable[[Column, str], Column] = json_decoder,
+    column: str = "value",
+    on_error: str = "reject",
+) -> dict[int, DataFrame]:
+    """The same for rows that are unframed already (``schema_id``, body, ``_error``)."""
     if not fits_broadcast(registry, rows=1000):
         raise ValueError("the registry is too large to plan one branch per schema")
     schemas = {r["id"]: r["schema"] for r in registry.select("id", "schema").distinct().collect()}
-    rows = unframe_records(df, column, "reject")
-    meta = [c for c in df.columns if c != column]
+    meta = [c for c in rows.columns if c not in (column, "schema_id", ERROR)]
     out = {}
     for sid, schema in schemas.items():
-        mine = rows.filter((F.col("schema_id") == sid) & F.col("_error").isNull())
-        typed = decoder(F.col(column), schema)
-        mine = mine.withColumn("_p", typed)
-        out[sid] = with_errors(
-            mine.select(*meta, "_p.*", F.col("_p").isNull().alias("_bad")),
-            F.when(F.col("_bad"), "payload does not match its schema"),
-            on_error,
-        ).drop("_bad")
+        mine = rows.filter((F.col("schema_id") == sid) & F.col(ERROR).isNull())
+        typed = mine.withColumn("_p", decoder(F.col(column), schema)).select(*meta, "_p")
+        bad = F.when(F.col("_p").isNull(), "payload does not match its schema")
+        checked = with_errors(typed, bad, on_error, costly=True)
+        out[sid] = checked.select(*meta, "_p.*", *[c for c in checked.columns if c == ERROR])
     known = F.col("schema_id").isin(list(schemas)) if schemas else F.lit(False)
-    odd = rows.filter(F.col("_error").isNotNull() | (F.col("schema_id").isNotNull() & ~known))
-    out[-1] = odd.withColumn("_error", F.coalesce("_error", F.lit("unknown schema id")))
+    reason = (
+        F.when(F.col(ERROR).isNotNull(), F.col(ERROR))
+        .when(F.col("schema_id").isNull(), "missing value")
+        .otherwise("unknown schema id")
+    )
+    odd = rows.filter(F.col(ERROR).isNotNull() | F.col("schema_id").isNull() | ~known)
+    out[-1] = odd.withColumn(ERROR, reason)
     return out
 
 

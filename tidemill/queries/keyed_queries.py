@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import compare as X
 from tidemill.operators import keyed as K
+from tidemill.plans.shared import materialize
 from tidemill.queries.base import AS_OF, READABLE, REC, event_records, micros, query, readable, table, text
 from tidemill.queries.registry_queries import registry_of
 from tidemill.sources import changes as C
@@ -151,13 +152,12 @@ _TGT = f"""{REC}, tgt AS (
 
 
 def _replica(records: DataFrame) -> DataFrame:
-    top = records.agg(F.max("offset").alias("_top"))  # one row
-    rows = records.withColumn("_one", F.lit(1)).join(F.broadcast(top.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    kept = rows.filter(
+    top = records.agg(F.max("offset")).first()[0]  # one number
+    kept = records.filter(
         (F.col("topic") != "events-error")
-        & ~((F.col("topic") == "events-click") & (F.col("offset") > F.expr("_top * 96 div 100")))
-        & ~((F.col("topic") == "events-view") & (F.col("offset") > F.expr("_top div 2")))
-    ).drop("_top")
+        & ~((F.col("topic") == "events-click") & (F.col("offset") > top * 96 // 100))
+        & ~((F.col("topic") == "events-view") & (F.col("offset") > top // 2))
+    )
     moved = (F.col("topic") == "events-signup") & (F.col("offset") % 2 == 0)
     return kept.withColumn("topic", F.when(moved, "events-extra").otherwise(F.col("topic")))
 
@@ -289,7 +289,8 @@ _CUT = "cut AS (SELECT topic, part, max(off) // 2 AS cut FROM rec WHERE part < 3
 
 
 def _cut(records: DataFrame) -> DataFrame:
-    return (
+    """Committed offsets, as a table of their own: one row per topic partition."""
+    return materialize(
         records.filter(F.col("partition") < 3)
         .groupBy("topic", "partition")
         .agg(F.max("offset").alias("m"))

@@ -27,18 +27,14 @@ def replay(
     """
     keys = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
     rows = with_global_index(df, keys, "_i", slices)
-    size = df.count()
+    size = rows.count()
     out = rows.withColumn("loop", F.explode(F.sequence(F.lit(0), F.lit(loops))))
     out = out.withColumn("seq", F.col("loop") * F.lit(size) + F.col("_i"))
     if date_col is not None and loops:
         # reversed: the newest row comes first and its date is the one to go on from
-        last = rows.filter(F.col("_i") == (0 if reverse else size - 1)).select(
-            F.col(date_col).cast("date").alias("_last")
-        )
+        at = 0 if reverse else size - 1
+        last = rows.filter(F.col("_i") == at).select(F.col(date_col).cast("date")).first()  # one row
         days = ((F.col("loop") - 1) * F.lit(size) + F.col("_i") + 1).cast("int")
-        one_row = F.broadcast(last.limit(1).withColumn("_one", F.lit(1)))
-        out = out.withColumn("_one", F.lit(1)).join(one_row, "_one")
-        moved = F.date_add("_last", days).cast(df.schema[date_col].dataType)
+        moved = F.date_add(F.lit(last[0] if last else None).cast("date"), days).cast(df.schema[date_col].dataType)
         out = out.withColumn(date_col, F.when(F.col("loop") > 0, moved).otherwise(F.col(date_col)))
-        out = out.drop("_one", "_last")
     return out.drop("_i")

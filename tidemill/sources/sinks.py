@@ -10,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.documents import document_rows
 from tidemill.operators.limits import offset_order
-from tidemill.operators.registry import decode_by_schema, json_decoder
+from tidemill.operators.registry import decode_bodies, json_decoder, unframe_records
+from tidemill.plans.shared import run_dir
+from tidemill.plans.skew import fits_broadcast
 from tidemill.sources.topics import has_kafka
 
 # --- fixed values: output batching and commit cadence -----------------------------------
@@ -87,10 +89,22 @@ def land_typed(
     mode: str = "append",
 ) -> list[int]:
     """Land framed records typed by their schema, one table per schema id, rejects in
-    ``rejected``; returns the ids.  Each branch is a filter pushed to the scan."""
-    frames = decode_by_schema(df, registry, decoder)
+    ``rejected``; returns the ids.
+
+    The topic is read once: bodies are first written by schema id, then every typed table
+    reads its own folder only.
+    """
+    staged = run_dir(df.sparkSession, "frames")
+    unframed = unframe_records(df, on_error="reject")
+    unframed.withColumn("_schema", F.coalesce("schema_id", F.lit(-1))).write.partitionBy("_schema").parquet(staged)
+    bodies = df.sparkSession.read.parquet(staged)
+    known = [r["id"] for r in registry.select("id").distinct().collect()] if fits_broadcast(registry, 1000) else []
+    frames = decode_bodies(bodies, registry, decoder)
     for sid, rows in frames.items():
-        rows.write.mode(mode).parquet(f"{path}/{'rejected' if sid == -1 else f'schema_{sid}'}")
+        folder = "rejected" if sid == -1 else f"schema_{sid}"
+        # the folder filter prunes the scan to the branch's own partition(s)
+        own = (F.col("_schema") == sid) if sid != -1 else ~F.col("_schema").isin(known)
+        rows.filter(own).drop("_schema").write.mode(mode).parquet(f"{path}/{folder}")
     return sorted(i for i in frames if i != -1)
 
 
