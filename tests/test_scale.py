@@ -39,8 +39,9 @@ def test_null_keys_are_not_lost(spark):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_lookup_join_equals_a_plain_join(spark, skewed, how):
     dim = spark.range(0, 200).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("d"))
-    got = skew.lookup_join(skewed, dim, ["k"], how, min_rows=0)
+    got = skew.lookup_join(skewed, dim, ["k"], how, min_rows=0, max_dim_rows=10)
     want = skewed.join(dim, ["k"], how)
+    assert "Union" in plan_of(got) and "Union" not in plan_of(skew.lookup_join(skewed, dim, ["k"], how))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(got.columns).collect()))
 
 

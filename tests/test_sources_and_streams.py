@@ -164,3 +164,60 @@ def test_typed_landing_keeps_rejects(spark):
     assert [(r["n"], r["k"]) for r in spark.read.parquet(f"{path}/schema_0").collect()] == [(1, 5)]
     odd = spark.read.parquet(f"{path}/rejected")
     assert {(r["n"], r["_error"]) for r in odd.collect()} == {(2, "unknown schema id"), (3, "missing value"), (4, "frame too short")}
+
+
+def test_dedupe_with_and_without_salts(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows = [(i % 20, f"2024-01-01 00:00:{i % 60:02d}") for i in range(400)] + [(0, "2024-01-01 00:00:30")] * 300
+    df = spark.createDataFrame(rows, "k int, t string").withColumn("t", F.to_timestamp("t"))
+    df.repartition(6).write.parquet(source)
+    for salts in (1, 4):
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        out = run_dir(spark, "dd")
+        runs.append_query(runs.dedupe_stream(stream, ["k"], "t", "1 hour", salts), out, run_dir(spark, "cp")).awaitTermination()
+        assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == list(range(20))
+
+
+def test_query_progress(spark, sf):
+    stream = files.stream_table(spark, f"{sf}/events.parquet")
+    query = runs.run_transform(stream, lambda df: df.filter("user_id = 1"), run_dir(spark, "o"), run_dir(spark, "c"))
+    query.awaitTermination()
+    assert runs.query_lag(query)["input_rows"] >= 0
+
+
+def test_sessions_are_merged_before_the_shuffle(spark, sf):
+    stream = files.stream_table(spark, f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    alerts = runs.silent_keys(stream, ["user_id"], "ts", "1 hour", "1 hour")
+    query = runs.append_query(alerts, run_dir(spark, "o"), run_dir(spark, "c"))
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "MergingSessions" in plan[plan.index("Exchange") :]
+
+
+def test_operators_from_settings(spark):
+    from tidemill.functions.settings import arguments_from, configured
+    from tidemill.operators.json_ops import flatten_json
+    from tidemill.operators.records import regex_filter
+
+    df = spark.createDataFrame([("k", '{"a":{"b":1}}'), ("x", "{}")], "key string, value string")
+    assert df.transform(configured(regex_filter, {"PATTERN": "^k$"})).count() == 1
+    assert df.transform(configured(regex_filter, {"PATTERN": "b", "MATCH_VALUE": "Yes"})).count() == 1
+    assert "a/b" in df.transform(configured(flatten_json, {"FLATTEN_DELIM": "/"})).first()["value"]
+    assert arguments_from("frame_records", {"SCHEMA_ID": "7"}) == {"schema_id": 7}
+    with pytest.raises(ValueError):
+        arguments_from("regex_filter", {})
+
+
+def test_payload_codecs_are_detected(spark):
+    from tidemill.operators import registry
+
+    schema = '{"type":"record","name":"R","fields":[{"name":"a","type":"int"},{"name":"b","type":"string"}]}'
+    rows = spark.createDataFrame([(1, 2, "x"), (2, None, None)], "id int, a int, b string")
+    plain = registry.encode_rows(rows, schema).collect()
+    assert [bytes(r["value"]).decode() for r in plain] == ['{"a":2,"b":"x"}', '{"a":null,"b":null}']
+    encoder, decoder = registry.avro_encoder(spark), registry.avro_decoder(spark)
+    assert (encoder is None) == (decoder is None)
+    assert registry.protobuf_decoder(spark, "M", b"") is None or decoder is not None
+    if encoder is not None:
+        packed = registry.encode_rows(rows, schema, encoder)
+        assert packed.select(decoder(F.col("value"), schema).alias("r")).first()["r"]["a"] == 2

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.plans.skew import small_side
+from tidemill.plans.skew import lookup_join
 
 # --- fixed values -----------------------------------------------------------------------
 #: a replica with at least this share of the source's messages is "close"
@@ -151,9 +151,9 @@ def fail_over(source: DataFrame, target: DataFrame, cut: DataFrame) -> DataFrame
 
     Partitions without a cut stay with the source.  The cut has one row per partition.
     """
-    at = small_side(cut.select("topic", "partition", F.col("offset").alias("_cut")))
-    before = source.join(at, ["topic", "partition"], "left").filter(
+    at = cut.select("topic", "partition", F.col("offset").alias("_cut"))
+    before = lookup_join(source, at, ["topic", "partition"]).filter(
         F.col("_cut").isNull() | (F.col("offset") < F.col("_cut"))
     )
-    after = target.join(at, ["topic", "partition"]).filter(F.col("offset") >= F.col("_cut"))
+    after = lookup_join(target, at, ["topic", "partition"], "inner").filter(F.col("offset") >= F.col("_cut"))
     return before.drop("_cut").select(source.columns).unionByName(after.drop("_cut").select(source.columns))

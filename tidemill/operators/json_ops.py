@@ -99,7 +99,7 @@ def json_construct(
     """
     rows, doc = _parsed(df, column)
     if key is not None and key in df.columns:
-        rows = rows.withColumn(KEY_TEXT, F.col(key).cast("string"))
+        rows = rows.withColumn(KEY_TEXT, F.make_valid_utf8(F.col(key).cast("string")))
     members = [
         (J.at(doc, source) if isinstance(source, str) else source).alias(name) for name, source in fields.items()
     ]

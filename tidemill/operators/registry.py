@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions import wire as W
 from tidemill.functions.errors import ERROR, with_errors
-from tidemill.plans.skew import fits_broadcast, small_side
+from tidemill.plans.skew import fits_broadcast, lookup_join
 
 REGISTRY_SCHEMA = "subject string, version int, id int, format string, schema string"
 
@@ -69,7 +69,7 @@ def with_schema(df: DataFrame, registry: DataFrame, on_error: str = "reject") ->
     by_id = registry.groupBy(F.col("id").alias("schema_id")).agg(
         F.min("schema").alias("schema"), F.min("format").alias("format")
     )
-    joined = df.join(small_side(by_id), "schema_id", "left")
+    joined = lookup_join(df, by_id, ["schema_id"])
     unknown = F.when(F.col("schema_id").isNotNull() & F.col("schema").isNull(), "unknown schema id")
     return with_errors(joined, unknown, on_error)
 
@@ -166,17 +166,52 @@ def struct_of_avro(schema: str | dict | list) -> T.DataType:
     return struct_of_avro(kind)
 
 
+def _usable(build: Callable[[], Column], spark: SparkSession) -> bool:
+    try:
+        spark.range(1).select(build()).schema  # noqa: B018  resolving it is the test
+        return True
+    except Exception:
+        return False
+
+
 def avro_decoder(spark: SparkSession) -> Callable[[Column, str], Column] | None:
     """``from_avro`` if the session has the Avro package, else ``None``."""
-    try:
-        from pyspark.sql.avro.functions import from_avro
+    from pyspark.sql.avro.functions import from_avro
 
-        probe = spark.range(1).select(from_avro(F.unhex(F.lit("00")), '"string"'))
-        probe.schema  # noqa: B018  resolving it is the test
-        return from_avro
-    except Exception:
+    return from_avro if _usable(lambda: from_avro(F.unhex(F.lit("00")), '"string"'), spark) else None
+
+
+def avro_encoder(spark: SparkSession) -> Callable[[Column, str], Column] | None:
+    """``to_avro`` if the session has the Avro package, else ``None``."""
+    from pyspark.sql.avro.functions import to_avro
+
+    return to_avro if _usable(lambda: to_avro(F.lit("x"), '"string"'), spark) else None
+
+
+def protobuf_decoder(
+    spark: SparkSession, message: str, descriptor: bytes
+) -> Callable[[Column, str], Column] | None:
+    """``from_protobuf`` for one message type if the session has the package, else ``None``."""
+    try:
+        from pyspark.sql.protobuf.functions import from_protobuf
+    except ImportError:
         return None
 
+    def decode(body: Column, schema: str = "") -> Column:
+        return from_protobuf(body, message, binaryDescriptorSet=descriptor)
+
+    return decode if _usable(lambda: decode(F.unhex(F.lit(""))), spark) else None
+
+
+def encode_rows(
+    df: DataFrame, schema: str, encoder: Callable[[Column, str], Column] | None = None, out: str = "value"
+) -> DataFrame:
+    """Rows as payloads: Avro with an encoder, else the portable JSON body with null fields."""
+    names = [f["name"] for f in json.loads(schema)["fields"]]
+    row = F.struct(*names)
+    body = encoder(row, schema) if encoder else F.to_json(row, {"ignoreNullFields": "false"}).cast("binary")
+    return df.withColumn(out, body).drop(*[n for n in names if n != out])
+
 
 def json_decoder(body: Column, schema: str) -> Column:
     """The portable payload: a JSON body typed by the registered schema."""

@@ -51,27 +51,6 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataF
     return df.join(small, cond, "left_semi"), df.join(small, cond, "left_anti")
 
 
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    min_rows: int | None = None,
-) -> DataFrame:
-    """Join ``fact`` to a table with one row per key, whatever the key's distribution.
-
-    Rows of hot keys meet their (at most ``1 / HOT_SHARE``) partner rows by broadcast and
-    are not shuffled; the rest is a plain equi-join whose strategy Spark picks by size.
-    """
-    keys = list(keys)
-    hot = hot_keys(fact, keys, min_rows=min_rows)
-    if hot is None:
-        return fact.join(dim, keys, how)
-    hot_fact, cold_fact = split_hot(fact, keys, hot)
-    hot_dim = dim.join(F.broadcast(hot), keys, "left_semi")
-    return cold_fact.join(dim, keys, how).unionByName(hot_fact.join(F.broadcast(hot_dim), keys, how))
-
-
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Whether a table is proven small: counted, never estimated, and only up to the limit."""
     text = F.length(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])))
@@ -88,3 +67,28 @@ def small_side(df: DataFrame) -> DataFrame:
     """``df`` with a broadcast hint if it passed :func:`fits_broadcast`, else ``df`` as it is,
     which leaves the join to a shuffle."""
     return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def lookup_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    min_rows: int | None = None,
+    max_dim_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join ``fact`` to a table with one row per key, whatever the key's distribution.
+
+    A ``dim`` proven small is broadcast.  Otherwise the rows of hot keys meet their (at
+    most ``1 / HOT_SHARE``) partner rows by broadcast and are not shuffled, and the rest is a
+    plain equi-join.  On a stream, where keys cannot be counted, that is left to AQE.
+    """
+    keys = list(keys)
+    if fits_broadcast(dim, max_dim_rows):
+        return fact.join(F.broadcast(dim), keys, how)
+    hot = None if fact.isStreaming else hot_keys(fact, keys, min_rows=min_rows)
+    if hot is None:
+        return fact.join(dim, keys, how)
+    hot_fact, cold_fact = split_hot(fact, keys, hot)
+    hot_dim = dim.join(F.broadcast(hot), keys, "left_semi")
+    return cold_fact.join(dim, keys, how).unionByName(hot_fact.join(F.broadcast(hot_dim), keys, how))

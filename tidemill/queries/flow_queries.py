@@ -77,6 +77,12 @@ def stale_keys(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("user_id", "event_type", micros("ts").alias("updated_us"))
 
 
+@query("SELECT count(*) AS n FROM lineitem")
+def row_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a landed table."""
+    return table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+
+
 # -- limits and order --------------------------------------------------------------------------
 
 

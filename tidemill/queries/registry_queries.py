@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators import registry as G
+from tidemill.operators.records import project_json
 from tidemill.queries.base import query, table, text
 
 _REG = """
@@ -175,3 +176,18 @@ def decode_by_schema(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("schema_id", "k", "error").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    """SELECT event_id, '0000000007' || hex(encode('{"latitude":' || CAST(CAST(user_id || '.' || (event_id % 100) AS DOUBLE) AS VARCHAR)
+    || ',"timestamp":' || (epoch_us(ts) // 1000000) || '}')) AS frame FROM events WHERE event_id % 7 <> 0"""
+)
+def framed_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested JSON to typed rows to framed payloads; unreadable positions are dropped."""
+    lat = F.when(F.col("event_id") % 7 == 0, "n/a").otherwise(text(F.col("user_id"), ".", F.col("event_id") % 100))
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    value = text('{"timestamp":', at, ',"position":{"latitude":"', lat, '"}}')
+    rows = table(spark, sf, "events").withColumn("value", value)
+    fields = {"latitude": ("position.latitude", "double"), "timestamp": ("timestamp", "int")}
+    typed = project_json(rows, fields, keep=["event_id"], on_error="drop")
+    schema = '{"type":"record","name":"P","fields":[{"name":"latitude","type":"double"},{"name":"timestamp","type":"int"}]}'
+    framed = G.frame_records(G.encode_rows(typed, schema), 7)
+    return framed.select("event_id", F.hex("value").alias("frame"))

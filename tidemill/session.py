@@ -14,7 +14,6 @@ RUNTIME_CONF = {
     # a JSON object may repeat a key: the last one wins
     "spark.sql.variant.allowDuplicateKeys": "true",
     # merge session windows before the shuffle, so that a hot key sends few rows
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

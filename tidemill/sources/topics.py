@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.records import RECORD_SCHEMA
-from tidemill.plans.skew import small_side
+from tidemill.plans.skew import lookup_join
 
 StartingOffsets = str | Mapping[tuple[str, int], int]
 
@@ -98,8 +98,8 @@ def from_offsets(records: DataFrame, start: StartingOffsets) -> DataFrame:
 
 def from_offset_table(records: DataFrame, offsets: DataFrame) -> DataFrame:
     """The same from a table ``(topic, partition, offset)``, for resuming on a replica."""
-    at = small_side(offsets.select("topic", "partition", F.col("offset").alias("_from")))
-    kept = records.join(at, ["topic", "partition"], "left").filter(
+    at = offsets.select("topic", "partition", F.col("offset").alias("_from"))
+    kept = lookup_join(records, at, ["topic", "partition"]).filter(
         F.col("offset") >= F.coalesce(F.col("_from"), F.lit(0).cast("bigint"))
     )
     return kept.drop("_from").select(records.columns)

@@ -103,9 +103,19 @@ def silent_keys(
     return sessions.select(*keys, "last_seen", F.col("session_window.end").alias("alert_at"), "n")
 
 
-def dedupe_stream(source: DataFrame, keys: Sequence[str], time_col: str, lateness: str) -> DataFrame:
-    """One row per key within the watermark; older keys are forgotten."""
-    return source.withWatermark(time_col, lateness).dropDuplicatesWithinWatermark(list(keys))
+def dedupe_stream(
+    source: DataFrame, keys: Sequence[str], time_col: str, lateness: str, salts: int = 8
+) -> DataFrame:
+    """One row per key within the watermark; older keys are forgotten.
+
+    Copies are first reduced per salt, so that the copies of one key spread over up to
+    ``salts`` tasks, and what is left per key.  ``salts=1`` leaves the first step out.
+    """
+    rows = source.withWatermark(time_col, lateness)
+    if salts > 1:
+        salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        rows = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return rows.dropDuplicatesWithinWatermark(list(keys))
 
 
 def append_query(df: DataFrame, path: str, checkpoint: str, trigger: Mapping = ONCE) -> StreamingQuery:
@@ -151,6 +161,20 @@ def lag_gauge(
     )
 
 
+def query_lag(query: StreamingQuery) -> dict[str, float]:
+    """A running query's own lag: rows read, rows processed per second, and what the source
+    reports as being behind (Kafka's ``maxOffsetsBehindLatest``), from its last progress."""
+    last = query.lastProgress
+    if last is None:
+        return {}
+    out = {"input_rows": float(last["numInputRows"]), "rows_per_second": float(last["processedRowsPerSecond"] or 0)}
+    behind = [float(s["metrics"]["maxOffsetsBehindLatest"]) for s in last["sources"]
+              if "maxOffsetsBehindLatest" in (s.get("metrics") or {})]
+    if behind:
+        out["offsets_behind"] = max(behind)
+    return out
+
+
 def merge_changes(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that reduces a batch of changes to the last one per key
     and lands it; ``operators.keyed.current_rows`` over the folder is the table."""
