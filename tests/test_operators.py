@@ -356,6 +356,14 @@ def test_filters_reach_the_scan(spark, sf):
     assert "EqualTo(user_id,3)" in plan and "props" not in plan and "Exchange" not in plan
 
 
+def test_time_filters_reach_the_scan(spark, sf):
+    from datetime import datetime
+
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    for df in (records.since(events, "ts", 7, datetime(2024, 1, 30)), keyed.retain(events, 86400, datetime(2024, 1, 30), "ts")):
+        assert "GreaterThanOrEqual(ts,2024-01-2" in plan_of(df)
+
+
 def test_narrow_operators_do_not_shuffle(spark, sf):
     from tidemill.queries.base import event_records
 

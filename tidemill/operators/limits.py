@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.records import decode_cols
-from tidemill.plans.ordered import top_per_key
+from tidemill.plans.ordered import slice_count, top_per_key
 
 # --- fixed value: rows of an interactive query -------------------------------------------
 DEFAULT_LIMIT = 100
@@ -68,5 +68,5 @@ def offset_order(records: DataFrame, partitions: int | None = None) -> DataFrame
     into several consecutive runs instead of filling one task.
     """
     cols = ["topic", "partition", "offset"]
-    n = partitions or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or slice_count(records)
     return records.repartitionByRange(n, *cols).sortWithinPartitions(*cols)

@@ -11,9 +11,18 @@ from tidemill.plans.shared import materialize
 from tidemill.plans.skew import hot_keys, split_hot
 
 SLICE, POS = "_slice", "_pos"
+#: rows that one task sorts at most
+ROWS_PER_SLICE = 10_000_000
 _POS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
+def slice_count(df: DataFrame) -> int:
+    """Slices for an ordered layout: the shuffle partitions, or more if a slice would get
+    more than :data:`ROWS_PER_SLICE` rows."""
+    at_least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(at_least, -(-df.count() // ROWS_PER_SLICE))
+
+
 def ordered_slices(df: DataFrame, order: Sequence, slices: int | None = None) -> DataFrame:
     """Range-partition and sort by ``order``; number the slices and the rows in each.
 
@@ -21,7 +30,7 @@ def ordered_slices(df: DataFrame, order: Sequence, slices: int | None = None) ->
     several slices as well.  The result is checkpointed, because the slice bounds come
     from a sample and two runs need not agree on them.
     """
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = slices or slice_count(df)
     rid = F.monotonically_increasing_id()
     spread = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     numbered = spread.withColumn("_rid", rid)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import compare as X
 from tidemill.operators import keyed as K
+from tidemill.operators.records import to_records
 from tidemill.plans.shared import materialize
 from tidemill.queries.base import AS_OF, READABLE, REC, event_records, micros, query, readable, table, text
 from tidemill.queries.registry_queries import registry_of
@@ -234,43 +235,46 @@ def migration_summary(spark: SparkSession, sf: str) -> DataFrame:
     return X.migration_summary(source, _replica(source), registry_of(table(spark, sf, "supplier")))
 
 
-_CUST = "(SELECT DISTINCT c_nationkey AS nation FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 9000)"
-_SUPP = "(SELECT DISTINCT s_nationkey AS nation FROM supplier)"
-
-
-def _nations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    c = table(spark, sf, "customer").filter((F.col("c_mktsegment") == "MACHINERY") & (F.col("c_acctbal") > 9000))
-    s = table(spark, sf, "supplier")
-    return c.select(F.col("c_nationkey").alias("nation")), s.select(F.col("s_nationkey").alias("nation"))
-
-
-@query(f"SELECT nation FROM {_SUPP} EXCEPT SELECT nation FROM {_CUST}")
+@query(f"WITH {_TGT} SELECT topic FROM rec EXCEPT SELECT topic FROM tgt")
 def names_missing(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = _nations(spark, sf)
-    return X.only_in(b, a, ["nation"])
+    """Topics the replica lacks."""
+    source = event_records(spark, sf)
+    return X.only_in(source, _replica(source), ["topic"])
 
 
-@query(f"SELECT nation FROM {_CUST} INTERSECT SELECT nation FROM {_SUPP}")
+@query(f"WITH {_TGT} SELECT topic FROM rec INTERSECT SELECT topic FROM tgt")
 def names_in_both(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = _nations(spark, sf)
-    return X.in_both(a, b, ["nation"])
+    source = event_records(spark, sf)
+    return X.in_both(source, _replica(source), ["topic"])
 
 
 @query(
-    f"""WITH d AS (SELECT (SELECT count(*) FROM (SELECT nation FROM {_CUST} EXCEPT SELECT nation FROM {_SUPP})) AS a,
-      (SELECT count(*) FROM (SELECT nation FROM {_SUPP} EXCEPT SELECT nation FROM {_CUST})) AS b)
+    f"""WITH {_TGT}, d AS (SELECT (SELECT count(*) FROM (SELECT topic FROM rec EXCEPT SELECT topic FROM tgt)) AS a,
+      (SELECT count(*) FROM (SELECT topic FROM tgt EXCEPT SELECT topic FROM rec)) AS b)
     SELECT a AS only_first, b AS only_second, a = 0 AND b = 0 AS equal FROM d"""
 )
 def names_equal(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = _nations(spark, sf)
-    return X.sets_equal(a, b, ["nation"])
+    source = event_records(spark, sf)
+    return X.sets_equal(source, _replica(source), ["topic"])
 
 
-@query(f"WITH {REC} SELECT {READABLE} FROM rec")
+@query(
+    f"""WITH {REC} SELECT {READABLE} FROM rec
+    UNION ALL SELECT CAST(o_custkey AS VARCHAR), o_orderpriority, 'orders', CAST(o_orderkey % 12 AS INTEGER),
+      o_orderkey // 12, epoch_us(o_orderdate) FROM orders"""
+)
 def merge_topics(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf)
-    kinds = ["view", "signup", "error", "click", "purchase"]
-    return readable(X.merge_topics(*[rows.filter(F.col("topic") == f"events-{k}") for k in kinds]))
+    """Two tables' topics as one sequence of records."""
+    orders = to_records(
+        table(spark, sf, "orders"),
+        "orders",
+        F.col("o_orderpriority"),
+        F.col("o_custkey").cast("string"),
+        F.col("o_orderkey") % 12,
+        F.expr("o_orderkey div 12"),
+        F.col("o_orderdate"),
+    )
+    return readable(X.merge_topics(event_records(spark, sf), orders))
 
 
 @query(f"WITH {REC} SELECT {READABLE} FROM rec WHERE topic IN ('events-error', 'events-signup')")
