@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemill.functions.numbers import let
-
 OBJECT = "map<string,variant>"
 
 
@@ -42,12 +40,13 @@ def raw_text(value: Column) -> Column:
     return F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
 
 
-def flat_entries(value: Column, delim: str = ".", max_depth: int = 64) -> Column:
+def flat_entries(value: Column, delim: str = ".", max_depth: int = 64, text: Column | None = None) -> Column:
     """(key, value) pairs of an object with nested keys joined by ``delim``.
 
     All within the row: each step opens one nesting level, and a document without nested
     members left is passed on as it is.  Arrays, empty objects and what lies deeper
-    than ``max_depth`` stay as they are.
+    than ``max_depth`` stay as they are.  With the document's ``text`` there are no more steps
+    than it has opening braces.
     """
 
     def pair(key: Column, item: Column) -> Column:
@@ -62,24 +61,18 @@ def flat_entries(value: Column, delim: str = ".", max_depth: int = 64) -> Column
         )
         return F.when(is_open(entry), nested).otherwise(F.array(entry))
 
-    def any_open(pairs: Column) -> Column:
-        return F.exists(pairs, is_open)
-
-    def open_levels(pairs: Column, levels: int) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), F.lit(levels)),
-            pairs,
-            lambda p, _: F.when(any_open(p), F.flatten(F.transform(p, descend))).otherwise(p),
-        )
-
     top = F.transform(F.map_entries(members(value)), lambda e: pair(e["key"], e["value"]))
     if max_depth < 1:
         return top
-    few = min(max_depth, 4)
-    flat = open_levels(top, few)
-    if max_depth > few:  # deep documents are rare and pay for the further steps alone
-        flat = let(flat, lambda p: F.when(any_open(p), open_levels(p, max_depth - few)).otherwise(p))
-    return flat
+    steps = F.lit(max_depth)
+    if text is not None:
+        braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+        steps = F.least(F.greatest(braces, F.lit(1)), steps)
+    return F.aggregate(
+        F.sequence(F.lit(1), steps),
+        top,
+        lambda pairs, _: F.when(F.exists(pairs, is_open), F.flatten(F.transform(pairs, descend))).otherwise(pairs),
+    )
 
 
 def object_text(pairs: Column) -> Column:

@@ -40,13 +40,15 @@ def flatten_json(
     rows, doc = _parsed(rows, column)
     # the check needs the parsed document only, so a filter on it does not flatten twice
     tagged = with_errors(rows, F.when(J.members(doc).isNull(), "not a JSON object"), on_error)
-    return tagged.withColumn(column, J.object_text(J.flat_entries(doc, delim, max_depth))).drop("_doc")
+    pairs = J.flat_entries(doc, delim, max_depth, F.col(column).cast("string"))
+    return tagged.withColumn(column, J.object_text(pairs)).drop("_doc")
 
 
 def json_paths(df: DataFrame, column: str = "value", delim: str = ".", max_depth: int = 64) -> DataFrame:
     """One row per leaf: the other columns, ``path``, ``type`` and ``leaf`` (JSON text)."""
     rows, doc = _parsed(df, column)
-    exploded = rows.withColumn("_leaf", F.explode(J.flat_entries(doc, delim, max_depth)))
+    pairs = J.flat_entries(doc, delim, max_depth, F.col(column).cast("string"))
+    exploded = rows.withColumn("_leaf", F.explode(pairs))
     leaf = F.col("_leaf.value")
     return exploded.select(
         *[c for c in df.columns if c != column],
