@@ -221,3 +221,46 @@ def test_payload_codecs_are_detected(spark):
     if encoder is not None:
         packed = registry.encode_rows(rows, schema, encoder)
         assert packed.select(decoder(F.col("value"), schema).alias("r")).first()["r"]["a"] == 2
+
+
+def _operators():
+    from tidemill.operators import csv_ops, json_ops, records, registry
+    from tidemill.operators.documents import chunk_fixed, chunk_recursive
+    from tidemill.operators.redact import redact
+    from tidemill.operators.timestamps import convert_ts
+    from tidemill.queries.registry_queries import registry_of
+
+    def lookup(df):
+        reg = registry_of(df.sparkSession.read.parquet("/root/testdata/sf0.001/supplier.parquet"))
+        framed = registry.frame_records(df, (F.col("offset") % 12).cast("int"))
+        return registry.with_schema(registry.unframe_records(framed, on_error="drop"), reg)
+
+    conf = {"redactions": [{"path": "user.type", "type": "md5"}, {"path": "props", "type": "drop"}]}
+    return {
+        "regex": lambda df: records.regex_filter(df, "click", True),
+        "project": lambda df: records.project_json(df, {"k": ("props.k", "int")}, on_error="drop", keep=["topic"]),
+        "route": lambda df: records.route(df, [(F.col("partition") == 1, "one")], "rest"),
+        "flatten": lambda df: json_ops.flatten_json(df, on_error="drop"),
+        "paths": json_ops.json_paths,
+        "explode": lambda df: json_ops.json_explode(df, "tags"),
+        "delete": lambda df: json_ops.json_delete(df, ["user"], on_error="drop"),
+        "csv": lambda df: csv_ops.csv_lines_to_json(df),
+        "csv record": lambda df: csv_ops.csv_to_record(df),
+        "redact": lambda df: redact(df, conf, on_error="drop"),
+        "time": lambda df: convert_ts(df, "value", "string[%+]", value="timestamp"),
+        "lookup": lookup,
+        "chunks": lambda df: chunk_fixed(df.select("offset", F.col("value").cast("string").alias("text")), size=20, overlap=5),
+        "recursive": lambda df: chunk_recursive(df.select("offset", F.col("value").cast("string").alias("text")), size=20, overlap=5),
+    }
+
+
+@pytest.mark.parametrize("name", list(_operators()))
+def test_stream_equals_batch(spark, sf, rec, name):
+    operator = _operators()[name]
+    stream = records_of(files.stream_table(spark, f"{sf}/events.parquet"))
+    out = run_dir(spark, "eq")
+    runs.run_transform(stream, operator, out, run_dir(spark, "c")).awaitTermination()
+    want = operator(rec)
+    got = spark.read.schema(want.schema).parquet(out)
+    assert want.count() > 0
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

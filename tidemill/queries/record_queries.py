@@ -213,8 +213,8 @@ issues AS (
 flagged AS (
   SELECT *, o_orderstatus <> 'O' AS is_completed, priority IN ('Highest', 'High') AS is_high_priority FROM issues),
 routed AS (
-  SELECT *, CASE WHEN is_high_priority THEN 'issues.high-priority' WHEN is_completed THEN 'issues.completed'
-    ELSE 'issues.all' END AS topic FROM flagged)
+  SELECT *, CASE WHEN is_high_priority THEN 'jira.issues.high-priority' WHEN is_completed THEN 'jira.issues.completed'
+    ELSE 'jira.issues.all' END AS topic FROM flagged)
 """
 _ISSUE_COLS = (
     "issue_key, summary, status, priority, issue_type, url, assignee, reporter, created, updated, "

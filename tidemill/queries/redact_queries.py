@@ -60,16 +60,16 @@ def redact_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey, '{"address":{"hashedStreet":"' || md5(c_mktsegment) || '","house":"REDACTED","phone":"'
-    || regexp_replace(left(c_name, length(c_name) - 4), '[0-9]', 'X', 'g') || right(c_name, 4)
-    || '"},"id":' || c_custkey || ',"mail":"redacted@example.com"}' AS value FROM customer"""
+    """SELECT o_orderkey, '{"address":{"hashedStreet":"' || md5(o_orderpriority) || '","house":"REDACTED","phone":"C-XXXXX'
+    || right(lpad(CAST(o_custkey AS VARCHAR), 9, '0'), 4)
+    || '"},"id":' || o_orderkey || ',"mail":"redacted@example.com"}' AS value FROM orders"""
 )
 def redact_json(spark: SparkSession, sf: str) -> DataFrame:
     """The same on JSON text of unknown shape."""
     value = text(
-        '{"id":', F.col("c_custkey"), ',"secret":{"balance":', F.col("c_nationkey"), '},"mail":"u', F.col("c_custkey"),
-        '@example.com","address":{"street":"', F.col("c_mktsegment"), '","house":"', F.col("c_nationkey"),
-        '","phone":"', F.col("c_name"), '"}}',
+        '{"id":', F.col("o_orderkey"), ',"secret":{"status":"', F.col("o_orderstatus"), '"},"mail":"u', F.col("o_custkey"),
+        '@example.com","address":{"street":"', F.col("o_orderpriority"), '","house":"', F.col("o_custkey"),
+        '","phone":"C-', F.lpad(F.col("o_custkey").cast("string"), 9, "0"), '"}}',
     )
     config = {
         "redactions": [
@@ -81,7 +81,7 @@ def redact_json(spark: SparkSession, sf: str) -> DataFrame:
             {"path": "address.absent", "type": "drop"},
         ]
     }
-    return redact(table(spark, sf, "customer", spread=True).select("c_custkey", value.alias("value")), config, on_error="drop")
+    return redact(table(spark, sf, "orders", spread=True).select("o_orderkey", value.alias("value")), config, on_error="drop")
 
 
 @query(

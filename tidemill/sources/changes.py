@@ -21,7 +21,8 @@ DONE_WORDS = ("done", "closed", "resolved")
 HIGH_PRIORITIES = ("Highest", "High")
 NO_ASSIGNEE = "Unassigned"
 NO_REPORTER = "Unknown"
-ISSUE_TOPICS = {"high": "issues.high-priority", "done": "issues.completed", "rest": "issues.all"}
+ISSUE_PREFIX = "jira.issues"
+ISSUE_TOPICS = {"high": "high-priority", "done": "completed", "rest": "all"}
 ISSUE_SCHEMA = (
     "key string, fields struct<summary:string, status:struct<name:string>, priority:struct<name:string>, "
     "issuetype:struct<name:string>, assignee:struct<displayName:string>, reporter:struct<displayName:string>, "
@@ -89,12 +90,8 @@ def map_issues(issues: DataFrame, base_url: str) -> DataFrame:
     )
 
 
-def issue_rules() -> tuple[list[tuple[Column, str]], str]:
+def issue_rules(prefix: str = ISSUE_PREFIX) -> tuple[list[tuple[Column, str]], str]:
     """Routing rules and default topic for :func:`tidemill.operators.records.route`."""
-    return (
-        [
-            (F.col("is_high_priority"), ISSUE_TOPICS["high"]),
-            (F.col("is_completed"), ISSUE_TOPICS["done"]),
-        ],
-        ISSUE_TOPICS["rest"],
-    )
+    topic = {kind: f"{prefix}.{name}" for kind, name in ISSUE_TOPICS.items()}
+    rules = [(F.col("is_high_priority"), topic["high"]), (F.col("is_completed"), topic["done"])]
+    return rules, topic["rest"]

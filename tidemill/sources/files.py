@@ -56,7 +56,8 @@ def read_table(spark: SparkSession, path: str, spread_by: str | None = None) ->
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table as a file stream.  The trailing wildcard lets one pattern name a
-    single file as well as a folder of parts."""
+    """A parquet table as a file stream.  The path is written as a pattern that only itself
+    matches: that way it may name a single file as well as a folder of parts."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path.rstrip("/") + "*")
+    whole = path.rstrip("/")
+    return spark.readStream.schema(schema).parquet(f"{whole[:-1]}[{whole[-1]}]")
