@@ -223,6 +223,26 @@ def test_payload_codecs_are_detected(spark):
         assert packed.select(decoder(F.col("value"), schema).alias("r")).first()["r"]["a"] == 2
 
 
+def test_lake_landing_of_streams(spark, sf, rec):
+    from tidemill.operators import registry
+
+    source = f"{sf}/events.parquet"
+    stream = records_of(files.stream_table(spark, source))
+    with pytest.raises(ValueError):
+        sinks.land_key_value(stream, run_dir(spark, "kv"))
+    path = run_dir(spark, "kv")
+    sinks.land_key_value(stream, path, run_dir(spark, "c"), runs.ONCE).awaitTermination()
+    assert spark.read.parquet(path).drop("batch_id").count() == rec.count()
+    schema = '{"type":"record","name":"R","fields":[{"name":"k","type":"int"}]}'
+    reg = spark.createDataFrame([("s", 1, 0, "AVRO", schema)], registry.REGISTRY_SCHEMA)
+    props = files.stream_table(spark, source).select("event_id", F.col("props").cast("binary").alias("value"))
+    framed = registry.frame_records(props, (F.col("event_id") % 2).cast("int"))
+    typed = run_dir(spark, "typed")
+    sinks.land_typed_stream(framed, reg, typed, run_dir(spark, "c"), trigger=runs.ONCE).awaitTermination()
+    assert spark.read.parquet(f"{typed}/schema_0").filter("k IS NOT NULL").count() == 500
+    assert spark.read.parquet(f"{typed}/rejected").count() == 500
+
+
 def _operators():
     from tidemill.operators import csv_ops, json_ops, records, registry
     from tidemill.operators.documents import chunk_fixed, chunk_recursive

@@ -75,10 +75,32 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def land_key_value(df: DataFrame, path: str) -> None:
-    """Land records as they are: key and value bytes plus topic, partition, offset, time."""
+def land_key_value(
+    df: DataFrame, path: str, checkpoint: str | None = None, trigger: Mapping | None = None
+) -> StreamingQuery | None:
+    """Land records as they are: key and value bytes plus topic, partition, offset, time.
+
+    A stream lands one folder per batch, which a repeated batch replaces, and commits at the
+    lake's interval unless another trigger is given.
+    """
     kept = df.select("key", "value", "topic", "partition", "offset", "timestamp", "headers")
-    kept.write.mode("append").parquet(path)
+    if not df.isStreaming:
+        kept.write.mode("append").parquet(path)
+        return None
+    return _each_batch(kept, batch_writer(path), checkpoint, trigger)
+
+
+def _each_batch(
+    df: DataFrame, write: Callable[[DataFrame, int], object], checkpoint: str | None, trigger: Mapping | None
+) -> StreamingQuery:
+    if checkpoint is None:
+        raise ValueError("a stream needs a checkpoint folder")
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+
+    writer = df.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": LAKE_COMMIT_INTERVAL})).start()
 
 
 def land_typed(
@@ -87,12 +109,13 @@ def land_typed(
     path: str,
     decoder: Callable[[Column, str], Column] = json_decoder,
     mode: str = "append",
+    part: str = "",
 ) -> list[int]:
     """Land framed records typed by their schema, one table per schema id, rejects in
     ``rejected``; returns the ids.
 
     The topic is read once: bodies are first written by schema id, then every typed table
-    reads its own folder only.
+    reads its own folder only.  ``part`` names a sub-folder of every table.
     """
     staged = run_dir(df.sparkSession, "frames")
     unframed = unframe_records(df, on_error="reject")
@@ -104,10 +127,26 @@ def land_typed(
         folder = "rejected" if sid == -1 else f"schema_{sid}"
         # the folder filter prunes the scan to the branch's own partition(s)
         own = (F.col("_schema") == sid) if sid != -1 else ~F.col("_schema").isin(known)
-        rows.filter(own).drop("_schema").write.mode(mode).parquet(f"{path}/{folder}")
+        rows.filter(own).drop("_schema").write.mode(mode).parquet(f"{path}/{folder}{part}")
     return sorted(i for i in frames if i != -1)
 
 
+def land_typed_stream(
+    df: DataFrame,
+    registry: DataFrame,
+    path: str,
+    checkpoint: str | None,
+    decoder: Callable[[Column, str], Column] = json_decoder,
+    trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """:func:`land_typed` for a stream: one sub-folder per batch and table."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        land_typed(batch, registry, path, decoder, "overwrite", f"/batch_id={batch_id}")
+
+    return _each_batch(df, write, checkpoint, trigger)
+
+
 def write_vectors(
     df: DataFrame, path: str, text: str = "text", metadata: str = "metadata", embedding: str = "embedding"
 ) -> None:
