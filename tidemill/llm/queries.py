@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm.quality_rules import STOP_WORDS
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -25,7 +27,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query(
     r"""
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\v\f\r]+'), x -> x <> '') AS w FROM documents),
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w FROM documents),
 d AS (SELECT doc_id, coalesce(w, []) AS w, len(coalesce(w, [])) AS n FROM w),
 s AS (SELECT doc_id, unnest(range(1, n - 11)) AS i, w FROM d WHERE n > 12),
 h AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t FROM s),
@@ -33,7 +35,7 @@ f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) AS first FROM h),
 g AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS gone FROM f WHERE first < doc_id GROUP BY doc_id)
 SELECT doc_id, n AS n_words, coalesce(len(gone), 0) AS n_removed,
        sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
-         list_transform(list_filter(list_zip(w, range(1, n + 1)), x -> NOT list_contains(gone, x[2])), x -> x[1]) END, ' ')) AS kept_sha256
+         list_transform(list_filter(list_zip(w, range(1, n + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id)
 """
 )
@@ -51,3 +53,77 @@ def op6_longest_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = remove_repeated_strings(read(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
     n_spans = F.size("removed_spans").cast("long").alias("n_spans")
     return got.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query(
+    r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\v\f\r]')) AS lines FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) > 2),
+c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM s),
+r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM c WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, w, lines, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words,
+    list_transform(lines, lambda x: regexp_replace(x, '^[ \t\n\v\f\r]+|[ \t\n\v\f\r]+$', '', 'g')) AS t,
+    string_split('STOP', ' ') AS stop
+  FROM d LEFT JOIN r USING (doc_id)),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    word_chars >= 3 * n_words AND word_chars <= 10 * n_words AND n_symbols <= 0.1 * n_words
+    AND len(list_filter(w, lambda x: list_contains(stop, x))) >= 0.01 * n_words
+    AND n_dup_lines <= 0.5 * len(lines)
+    AND len(list_filter(t, lambda x: x[1:1] IN ('-', '*', '•', '·', '–'))) <= 0.9 * len(lines)
+    AND len(list_filter(t, lambda x: x LIKE '%...' OR x LIKE '%…')) <= 0.3 * len(lines)
+    AND len(list_filter(t, lambda x: right(x, 1) IN ('.', '!', '?', '"', '…', '»', '”', ':', ';', ')'))) >= 0.1 * len(lines) AS good FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good AS kept FROM v
+""".replace("STOP", " ".join(STOP_WORDS))
+)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.quality_rules import apply_rules
+
+    got = apply_rules(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+
+@query(
+    f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, w, least(13, len(w)) AS size FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+t AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS t
+      FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM b)),
+s AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS t
+      FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM b) WHERE len(w) >= size)),
+h AS (SELECT doc_id, i, size, item_id FROM s JOIN t USING (size, t)),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM h) GROUP BY doc_id),
+k AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+)
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.decontaminate import contamination
+
+    docs, benchmark = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")
+    got = contamination(docs, benchmark)
+    return got.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
+@query()
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.simhash import near_duplicates
+
+    got = near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, radius=4)
+    return got.select("doc_id", "fingerprint", "component_id")
