@@ -19,14 +19,14 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemill.llm.common import batch_of, chunks, keyed, mixed, pack, runs, shuffle_partitions, slots, spread, unpack, with_row
-from tidemill.llm.postings import BLOCKS, HITS, Combiner, hit_values, settle
+from tidemill.llm.postings import BLOCKS, Combiner, hit_blocks, hit_values, settle, told, unsettled
 from tidemill.llm.token_windows import SPANS, SPANS_TYPE, intervals
 
-_BLOCKS = pa.schema([("pid", pa.int32()), ("block", pa.binary()), ("rank", pa.int64()), ("th", pa.int64()), ("hits", pa.binary())])
-_HITS = pa.schema([("rank", pa.int64()), ("th", pa.int64()), ("hits", pa.binary())])
+_BLOCKS = pa.schema([("pid", pa.int32()), ("block", pa.binary()), ("settled", pa.bool_())])
+#: the place of an interval: start and end
+_SPAN = np.dtype("<u4,<u4")
 #: bytes of segments that a task gathers before it sends them, and that it remembers
 FLUSH_BYTES = 4 << 20
 REMEMBERED_BYTES = 24 << 20
@@ -80,7 +80,7 @@ def _post_seeds(length: int, partitions: int):
     return run
 
 
-def _segments(length: int, partitions: int):
+def _segments(length: int, partitions: int, text_col: str):
     """Strings whose seed another document holds too, as runs of neighbours with the same seed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,12 +109,11 @@ def _segments(length: int, partitions: int):
                 body = zstandard.ZstdCompressor(level=1).compress(b"".join([w[1] for w in part]))
                 ids.append(p)
                 blocks.append(len(head).to_bytes(8, "little") + head + body)
-            none = [None] * len(ids)
-            yield batch_of(_BLOCKS, [ids, blocks, none, none, none])
+            yield batch_of(_BLOCKS, [ids, blocks, [False] * len(ids)])
             waiting.clear()
 
-        for rows, data, offsets in chunks(batches):
-            settled = []
+        for rows, data, offsets in chunks(batches, text_col):
+            settled: list[tuple] = []
             cells = rows.column("hits").to_pylist()
             ranks, ths = rows.column("rank").to_pylist(), rows.column("th").to_pylist()
             for i, cell in enumerate(cells):
@@ -127,27 +126,25 @@ def _segments(length: int, partitions: int):
                 first = first[shared[first]]
                 last = np.searchsorted(runs(h), first, "right")
                 ends = np.append(runs(h)[1:], len(h))[last - 1]
-                raw, rank, done = own.tobytes(), ranks[i], []
+                raw, rank = own.tobytes(), ranks[i]
                 for a, b, key in zip(first.tolist(), ends.tolist(), h[first].tolist()):
                     piece = raw[a : b + length - 1]
                     if seen.get(piece, rank) < rank:  # all of it starts in a smaller document
-                        done.append((a, b + length - 1))
+                        settled.append((rank, ths[i], a, b + length - 1))
                         continue
                     if piece not in seen:
                         seen_bytes += len(piece) + 100
                     seen[piece] = rank
                     waiting.append((key, piece, a, rank, ths[i]))
                     waiting_bytes += len(piece)
-                if done:
-                    settled.append((ths[i] % partitions, rank, ths[i], np.array(done, np.uint32).tobytes()))
                 if seen_bytes > REMEMBERED_BYTES:
                     seen, seen_bytes = {}, 0
                 if waiting_bytes > FLUSH_BYTES:
                     yield from flush()
                     waiting_bytes = 0
             if settled:
-                p, r, t, v = zip(*settled)
-                yield batch_of(_BLOCKS, [p, [None] * len(p), r, t, v])
+                r, t, a, b = (np.array(x) for x in zip(*settled))
+                yield from hit_blocks(r, t, _spans(a, b), partitions)
         yield from flush()
 
     return run
@@ -188,19 +185,19 @@ def has_previous_factor(strings: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return out
 
 
-def _order(length: int):
+def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return np.stack((starts, ends), axis=1).astype(np.uint32).view(_SPAN).ravel()
+
+
+def _order(length: int, partitions: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: list[bytes] = []
+        yield from unsettled(batches, blocks)
         parts = []
-        for batch in batches:
-            block = batch.column("block")
-            settled = batch.filter(block.is_null())
-            if settled.num_rows:
-                yield settled.select(["rank", "th", "hits"])
-            for b in block.drop_null():
-                raw = b.as_py()
-                size = int.from_bytes(raw[:8], "little")
-                head = unpack(raw[8 : 8 + size], np.uint64, np.uint32, np.uint32, np.int64, np.int64)
-                parts.append((*head, raw[8 + size :]))
+        for raw in blocks:
+            size = int.from_bytes(raw[:8], "little")
+            head = unpack(raw[8 : 8 + size], np.uint64, np.uint32, np.uint32, np.int64, np.int64)
+            parts.append((*head, raw[8 + size :]))
         total = sum(int(p[1].sum()) - len(p[1]) * (length - 1) for p in parts)
         steps = -(-total // SLICE_ROWS)
         if not total:
@@ -218,12 +215,14 @@ def _order(length: int):
                     texts.append(np.frombuffer(raw, np.uint8)[edge[i] : edge[j]])
                     sizes.append(n[i:j]), starts.append(at[i:j]), rank.append(r[i:j]), th.append(t[i:j])
             if texts:
-                yield from _covered(length, *map(np.concatenate, (texts, sizes, starts, rank, th)))
+                spans = _covered(length, *map(np.concatenate, (texts, sizes, starts, rank, th)))
+                yield from hit_blocks(*spans, partitions)
 
     return run
 
 
-def _covered(length, text, sizes, starts, rank, th) -> Iterator[pa.RecordBatch]:
+def _covered(length, text, sizes, starts, rank, th) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rank, text hash and interval of what an earlier document holds."""
     sizes = sizes.astype(np.int64)
     begin = np.cumsum(sizes) - sizes
     n = sizes - length + 1
@@ -237,7 +236,7 @@ def _covered(length, text, sizes, starts, rank, th) -> Iterator[pa.RecordBatch]:
     del table
     segment, at = segment[gone], (starts[segment] + within)[gone].astype(np.int64)
     if not len(segment):
-        return
+        return rank[:0], th[:0], _spans(at, at)
     order = np.lexsort((at, th[segment], rank[segment]))
     r, t, at = rank[segment][order], th[segment][order], at[order]
     new_doc = np.concatenate(([True], (r[1:] != r[:-1]) | (t[1:] != t[:-1])))
@@ -245,34 +244,36 @@ def _covered(length, text, sizes, starts, rank, th) -> Iterator[pa.RecordBatch]:
     new_run[1:] |= at[1:] > at[:-1] + length  # runs that touch or overlap become one interval
     first = np.flatnonzero(new_run)
     last = np.append(first[1:], len(at)) - 1
-    spans = np.stack((at[first], at[last] + length), axis=1).astype(np.uint32)
-    docs = np.flatnonzero(new_doc[first])
-    for a in range(0, len(docs), 20_000):
-        d = docs[a : a + 20_000]
-        e = np.append(docs, len(first))[a + 1 : a + 1 + len(d)]
-        yield batch_of(_HITS, [r[first[d]], t[first[d]], [spans[i:j].tobytes() for i, j in zip(d, e)]])
-
-
-def _strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, data, offsets in chunks(batches):
-        n_bytes, n_removed, kept, spans = [], [], [], []
-        for i, cell in enumerate(rows.column("hits").to_pylist()):
-            own = data[offsets[i] : offsets[i + 1]]
-            pairs = hit_values(cell, np.uint32).reshape(-1, 2).astype(np.int64)
-            change = np.zeros(len(own) + 1, np.int32)
-            np.add.at(change, pairs[:, 0], 1)
-            np.add.at(change, pairs[:, 1], -1)
-            mask = np.cumsum(change[:-1]) > 0
-            a, b = intervals(mask)
-            n_bytes.append(len(own))
-            n_removed.append(int(mask.sum()))
-            spans.append([{"start": int(x), "end": int(y)} for x, y in zip(a, b)])
-            kept.append(own[~mask].tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("row"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
-             pa.array(spans, SPANS_TYPE), pa.array(kept, pa.binary())],
-            names=["row", "n_bytes", "n_removed", "removed_spans", "kept_bytes"],
-        )
+    return r[first], t[first], _spans(at[first], at[last] + length)
+
+
+def _strip(text_col: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in chunks(batches, text_col):
+            yield _stripped(rows, data, offsets)
+
+    return run
+
+
+def _stripped(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+    n_bytes, n_removed, kept, spans = [], [], [], []
+    for i, cell in enumerate(rows.column("hits").to_pylist()):
+        own = data[offsets[i] : offsets[i + 1]]
+        pairs = hit_values(cell, np.uint32).reshape(-1, 2).astype(np.int64)
+        change = np.zeros(len(own) + 1, np.int32)
+        np.add.at(change, pairs[:, 0], 1)
+        np.add.at(change, pairs[:, 1], -1)
+        mask = np.cumsum(change[:-1]) > 0
+        a, b = intervals(mask)
+        n_bytes.append(len(own))
+        n_removed.append(int(mask.sum()))
+        spans.append([{"start": int(x), "end": int(y)} for x, y in zip(a, b)])
+        kept.append(own[~mask].tobytes())
+    return pa.RecordBatch.from_arrays(
+        [rows.column("row"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
+         pa.array(spans, SPANS_TYPE), pa.array(kept, pa.binary())],
+        names=["row", "n_bytes", "n_removed", "removed_spans", "kept_bytes"],
+    )
 
 
 def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -294,14 +295,11 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
     rows = keyed(docs, id_col, text_col)
     n = shuffle_partitions(docs.sparkSession)
 
-    def told(blocks: DataFrame, decide) -> DataFrame:
-        hits = blocks.repartitionById(n, F.col("pid")).mapInArrow(decide, HITS)
-        return hits.groupBy("rank", "th").agg(F.collect_list("hits").alias("hits"))
-
     posted = rows.select("rank", "th", "text").mapInArrow(_post_seeds(length, n), BLOCKS)
-    shared = told(posted, lambda it: settle(it, False, np.uint64))
-    with_seeds = rows.join(shared, ["rank", "th"]).select("rank", "th", "text", "hits")
-    spans = told(with_seeds.mapInArrow(_segments(length, n), BLOCKS), _order(length))
-    joined = rows.join(spans, ["rank", "th"], "left").select("row", "text", "hits")
+    shared = told(posted, n, settle(n, False, np.uint64), np.uint64)
+    whole = rows.select("rank", "th", "row")  # shuffled once for both joins
+    segments = whole.join(shared, ["rank", "th"]).mapInArrow(_segments(length, n, text_col), BLOCKS)
+    spans = told(segments, n, _order(length, n), _SPAN)
+    joined = whole.join(spans, ["rank", "th"], "left").select("row", "hits")
     schema = with_row(joined, f"n_bytes long, n_removed long, {SPANS}, kept_bytes binary")
-    return spread(joined.mapInArrow(_strip, schema), "n_bytes", "n_removed", "removed_spans", "kept_bytes")
+    return spread(joined.mapInArrow(_strip(text_col), schema), "n_bytes", "n_removed", "removed_spans", "kept_bytes")

@@ -11,12 +11,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidemill.llm.common import batch_of, pack, runs, slots, unpack
+from tidemill.llm.common import batch_of, mixed, pack, runs, slots, unpack
 
-BLOCKS = "pid int, block binary, rank long, th long, hits binary"
+BLOCKS = "pid int, block binary, settled boolean"
 HITS = "rank long, th long, hits binary"
-_BLOCKS = pa.schema([("pid", pa.int32()), ("block", pa.binary()), ("rank", pa.int64()), ("th", pa.int64()), ("hits", pa.binary())])
+_BLOCKS = pa.schema([("pid", pa.int32()), ("block", pa.binary()), ("settled", pa.bool_())])
 _HITS = pa.schema([("rank", pa.int64()), ("th", pa.int64()), ("hits", pa.binary())])
 #: repeated hashes that a task remembers
 REMEMBERED = 1 << 18
@@ -66,7 +69,7 @@ class Combiner:
             o = np.lexsort((kr, k))
             keep = o[runs(k[o])]
             self.known, self.known_rank = k[keep], kr[keep]
-        yield from _hit_rows(doc[hit], value[hit], rank, th, self.n)
+        yield from hit_blocks(rank[doc[hit]], th[doc[hit]], value[hit], self.n)
         h, doc, value = h[send], doc[send], value[send]
         pid = slots(h, self.n)
         edge = np.searchsorted(pid, np.arange(self.n + 1))
@@ -76,36 +79,77 @@ class Combiner:
             docs, local = np.unique(doc[part], return_inverse=True)
             ids.append(p)
             blocks.append(pack(h[part], local.astype(np.uint32), value[part], rank[docs], th[docs]))
-        empty = [None] * len(ids)
-        yield batch_of(_BLOCKS, [ids, blocks, empty, empty, empty])
+        yield batch_of(_BLOCKS, [ids, blocks, [False] * len(ids)])
 
 
-def _by_doc(doc: np.ndarray, value: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
-    edge = np.append(runs(doc), len(doc))
-    for a, b in zip(edge[:-1], edge[1:]):
-        yield int(doc[a]), value[a:b].tobytes()
+def hit_blocks(rank: np.ndarray, th: np.ndarray, value: np.ndarray, partitions: int) -> Iterator[pa.RecordBatch]:
+    """Hits as one block for each partition of documents; a document's hits may lie in many blocks."""
+    if not len(rank):
+        return
+    pid = slots(mixed(rank.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + th.view(np.uint64)), partitions)
+    order = np.lexsort((th, rank, pid))
+    pid, rank, th, value = pid[order], rank[order], th[order], value[order]
+    edge = np.searchsorted(pid, np.arange(partitions + 1))
+    ids = np.flatnonzero(np.diff(edge))
+    blocks = []
+    for p in ids:
+        part = slice(edge[p], edge[p + 1])
+        r, t = rank[part], th[part]
+        first = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (t[1:] != t[:-1]))))
+        blocks.append(pack(r[first], t[first], np.diff(np.append(first, len(r))).astype(np.uint32), value[part]))
+    yield batch_of(_BLOCKS, [ids, blocks, [True] * len(ids)])
+
+
+def _per_document(dtype: type):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack(b.as_py(), np.int64, np.int64, np.uint32, dtype) for batch in batches for b in batch.column("block")]
+        if not parts:
+            return
+        rank, th, count, value = map(np.concatenate, zip(*parts))
+        del parts
+        ends = np.cumsum(count, dtype=np.int64)
+        order = np.lexsort((th, rank))
+        rank, th, begins, ends = rank[order], th[order], (ends - count)[order], ends[order]
+        edge = np.flatnonzero(np.concatenate(([True], (rank[1:] != rank[:-1]) | (th[1:] != th[:-1]))))
+        stop = np.append(edge[1:], len(rank))
+        for a in range(0, len(edge), 5_000):
+            e = edge[a : a + 5_000]
+            cells = [
+                b"".join([value[begins[k] : ends[k]].tobytes() for k in range(i, j)]) for i, j in zip(e, stop[a : a + 5_000])
+            ]
+            yield batch_of(_HITS, [rank[e], th[e], cells])
+
+    return run
+
+
+def told(blocks: DataFrame, partitions: int, decide, dtype: type) -> DataFrame:
+    """Deal blocks out, decide in each partition, and gather one row of hits for each document."""
+    decided = blocks.repartitionById(partitions, F.col("pid")).mapInArrow(decide, BLOCKS)
+    return decided.repartitionById(partitions, F.col("pid")).mapInArrow(_per_document(dtype), HITS)
+
+
+def unsettled(batches: Iterable[pa.RecordBatch], blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """Pass settled blocks on and put the others into ``blocks``."""
+    for batch in batches:
+        done = batch.column("settled")
+        if done.true_count:
+            yield batch.filter(done)
+        blocks.extend(batch.column("block").filter(pc.invert(done)).to_pylist())
 
 
-def _hit_rows(doc, value, rank, th, n) -> Iterator[pa.RecordBatch]:
-    got = list(_by_doc(doc, value))
-    if got:
-        d = np.array([x for x, _ in got])
-        spread_by = (th[d].astype(np.uint64) % np.uint64(n)).astype(np.int32)
-        yield batch_of(_BLOCKS, [spread_by, [None] * len(d), rank[d], th[d], [v for _, v in got]])
+def settle(partitions: int, need_earlier: bool, dtype: type):
+    """All postings of one partition: which documents get a hit."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: list[bytes] = []
+        yield from unsettled(batches, blocks)
+        yield from _settle(blocks, partitions, need_earlier, dtype)
 
-def settle(batches: Iterable[pa.RecordBatch], need_earlier: bool, dtype: type) -> Iterator[pa.RecordBatch]:
-    """All postings of one partition: which documents get a hit."""
-    parts = []
-    for batch in batches:
-        block = batch.column("block")
-        settled = batch.filter(block.is_null())
-        if settled.num_rows:
-            yield settled.select(["rank", "th", "hits"])
-        for b in block.drop_null():
-            parts.append(unpack(b.as_py(), np.uint64, np.uint32, dtype, np.int64, np.int64))
+    return run
+
+
+def _settle(blocks: list[bytes], partitions: int, need_earlier: bool, dtype: type) -> Iterator[pa.RecordBatch]:
+    parts = [unpack(b, np.uint64, np.uint32, dtype, np.int64, np.int64) for b in blocks]
     total = sum(len(p[0]) for p in parts)
     steps = -(-total // SLICE_ROWS)
     if not total:
@@ -120,10 +164,11 @@ def settle(batches: Iterable[pa.RecordBatch], need_earlier: bool, dtype: type) -
             if i < j:
                 h.append(ph[i:j]), rank.append(r[local[i:j]]), th.append(t[local[i:j]]), value.append(v[i:j])
         if h:
-            yield from _settled(np.concatenate(h), np.concatenate(rank), np.concatenate(th), np.concatenate(value), need_earlier)
+            hit = _hits(*map(np.concatenate, (h, rank, th, value)), need_earlier)
+            yield from hit_blocks(*hit, partitions)
 
 
-def _settled(h, rank, th, value, need_earlier) -> Iterator[pa.RecordBatch]:
+def _hits(h, rank, th, value, need_earlier):
     order = np.argsort(h)
     h, rank, th, value = h[order], rank[order], th[order], value[order]
     first = runs(h)
@@ -133,19 +178,9 @@ def _settled(h, rank, th, value, need_earlier) -> Iterator[pa.RecordBatch]:
         hit = rank > least
     else:
         hit = np.repeat(np.maximum.reduceat(rank, first), length) > least
-    rank, th, value = rank[hit], th[hit], value[hit]
-    if not len(rank):
-        return
-    order = np.lexsort((value, th, rank))
-    rank, th, value = rank[order], th[order], value[order]
-    edge = np.flatnonzero(np.concatenate(([True], (rank[1:] != rank[:-1]) | (th[1:] != th[:-1]))))
-    ends = np.append(edge[1:], len(rank))
-    for a in range(0, len(edge), 20_000):
-        e = edge[a : a + 20_000]
-        hits = [value[i:j].tobytes() for i, j in zip(e, ends[a : a + 20_000])]
-        yield batch_of(_HITS, [rank[e], th[e], hits])
-
-
-def hit_values(cell: list[bytes] | None, dtype: type) -> np.ndarray:
-    """The values of all hit rows of one document."""
-    return np.frombuffer(b"".join(cell), dtype) if cell else np.zeros(0, dtype)
+    return rank[hit], th[hit], value[hit]
+
+
+def hit_values(cell: bytes | None, dtype: type) -> np.ndarray:
+    """The hits of one document."""
+    return np.frombuffer(cell or b"", dtype)

@@ -11,10 +11,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemill.llm.common import chunks, keyed, mixed, shuffle_partitions, spread, with_row
-from tidemill.llm.postings import BLOCKS, HITS, Combiner, hit_values, settle
+from tidemill.llm.postings import BLOCKS, Combiner, hit_values, settle, told
 
 #: Odd multipliers of the two polynomial hashes (bytes of a word, words of a window).
 BYTE_BASE = 0x9E3779B97F4A7C15
@@ -106,12 +105,13 @@ def intervals(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _strip(window: int):
+def _strip(window: int, text_col: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, _ in chunks(batches):
+        for rows, data, offsets in chunks(batches, text_col):
+            raw = data.tobytes()
             n_words, n_removed, kept, spans = [], [], [], []
-            for text, cell in zip(rows.column("text").to_pylist(), rows.column("hits").to_pylist()):
-                words = text.encode().split()
+            for i, cell in enumerate(rows.column("hits").to_pylist()):
+                words = raw[offsets[i] : offsets[i + 1]].split()
                 mask = covered(hit_values(cell, np.uint32), window, len(words))
                 a, b = intervals(mask)
                 n_words.append(len(words))
@@ -146,10 +146,9 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """
     rows = keyed(docs, id_col, text_col)
     n = shuffle_partitions(docs.sparkSession)
-    blocks = rows.select("rank", "th", "text").mapInArrow(_post(window, n), BLOCKS).repartitionById(n, F.col("pid"))
-    hits = blocks.mapInArrow(lambda it: settle(it, True, np.uint32), HITS)
-    per_doc = hits.groupBy("rank", "th").agg(F.collect_list("hits").alias("hits"))
-    joined = rows.join(per_doc, ["rank", "th"], "left").select("row", "text", "hits")
+    blocks = rows.select("rank", "th", "text").mapInArrow(_post(window, n), BLOCKS)
+    hits = told(blocks, n, settle(n, True, np.uint32), np.uint32)
+    joined = rows.select("rank", "th", "row").join(hits, ["rank", "th"], "left").select("row", "hits")
     schema = with_row(joined, f"n_words long, n_removed long, {SPANS}, kept_text string")
-    done = joined.mapInArrow(_strip(window), schema)
+    done = joined.mapInArrow(_strip(window, text_col), schema)
     return spread(done, "n_words", "n_removed", "removed_spans", "kept_text")
