@@ -23,7 +23,6 @@ STOP_WORDS = (
     "der die und das von zu ist mit den ein eine nicht im auf dem "
     "el los las por con del se una su no es lo"
 ).split()
-SENTENCE_ENDS = (".", "!", "?", '"', "…", "»", "”", ":", ";", ")")
 BULLETS = ("-", "*", "•", "·", "–")
 
 
@@ -54,12 +53,11 @@ RULES = (
     Rule("repeated_lines", "dup_line_share", at_most=0.5),
     Rule("bullet_lines", "bullet_line_share", at_most=0.9),
     Rule("ellipsis_lines", "ellipsis_line_share", at_most=0.3),
-    Rule("unended_lines", "ended_line_share", at_least=0.1),
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SHARES = (
     "repeat_share", "mean_word_chars", "symbol_share", "stop_word_share",
-    "dup_line_share", "bullet_line_share", "ellipsis_line_share", "ended_line_share",
+    "dup_line_share", "bullet_line_share", "ellipsis_line_share",
 )
 
 
@@ -117,7 +115,6 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.size(F.filter("words", lambda w: w.isin(STOP_WORDS))).alias("n_stop"),
         F.size(F.filter("trimmed", lambda s: F.left(s, F.lit(1)).isin(*BULLETS))).alias("n_bullet"),
         F.size(F.filter("trimmed", lambda s: s.endswith("...") | s.endswith("…"))).alias("n_ellipsis"),
-        F.size(F.filter("trimmed", lambda s: F.right(s, F.lit(1)).isin(*SENTENCE_ENDS))).alias("n_ended"),
     )
     # a generator, so that a filter on the verdict is not copied below with all of the measuring
     return counts.select(
@@ -133,7 +130,6 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     _share(F.col("n_dup_lines"), "n_lines").alias("dup_line_share"),
                     _share(F.col("n_bullet"), "n_lines").alias("bullet_line_share"),
                     _share(F.col("n_ellipsis"), "n_lines").alias("ellipsis_line_share"),
-                    _share(F.col("n_ended"), "n_lines").alias("ended_line_share"),
                 )
             )
         ),

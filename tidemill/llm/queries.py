@@ -74,8 +74,7 @@ v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
     AND len(list_filter(w, lambda x: list_contains(stop, x))) >= 0.01 * n_words
     AND n_dup_lines <= 0.5 * len(lines)
     AND len(list_filter(t, lambda x: x[1:1] IN ('-', '*', '•', '·', '–'))) <= 0.9 * len(lines)
-    AND len(list_filter(t, lambda x: x LIKE '%...' OR x LIKE '%…')) <= 0.3 * len(lines)
-    AND len(list_filter(t, lambda x: right(x, 1) IN ('.', '!', '?', '"', '…', '»', '”', ':', ';', ')'))) >= 0.1 * len(lines) AS good FROM m)
+    AND len(list_filter(t, lambda x: x LIKE '%...' OR x LIKE '%…')) <= 0.3 * len(lines) AS good FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good AS kept FROM v
 """.replace("STOP", " ".join(STOP_WORDS))
 )
@@ -127,3 +126,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     got = near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, radius=4)
     return got.select("doc_id", "fingerprint", "component_id")
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemill.llm.bpe import decode, encode
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    both = decode(coded, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return both.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("tokens", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
