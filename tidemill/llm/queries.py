@@ -143,3 +143,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("tokens", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.fuzzy_lines import remove_similar_lines
+
+    got = remove_similar_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
