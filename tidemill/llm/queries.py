@@ -151,3 +151,25 @@ def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     got = remove_similar_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query(
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST((CAST('0x' || substr(h, 1 + 5 * CAST(i // 4 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+)
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.warc_index import capture_histories
+
+    # the table has no fetch times: pages were fetched one a second in the order of their ids
+    fetched = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce("page_id", F.lit(0)))
+    got = capture_histories(read(spark, sf_dir, "pages"), captured=fetched)
+    return got.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
