@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm.entropy_scan import ACCESS, ASSIGN, HEX, candidate
 from tidemill.llm.quality_rules import STOP_WORDS
 
 QUERIES: dict = {}
@@ -173,3 +174,43 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     fetched = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce("page_id", F.lit(0)))
     got = capture_histories(read(spark, sf_dir, "pages"), captured=fetched)
     return got.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _located_sql(pattern: str, keep: str = "true") -> str:
+    """Starts, ends and texts of all matches, by adding up what lies between them."""
+    p = pattern.replace("'", "''")
+    return f"""
+      (SELECT list({{'t': m, 's': s, 'e': s + length(m)}}) FROM (
+        SELECT m, i, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s
+        FROM (SELECT unnest(ms) AS m, unnest(range(1, len(ms) + 1)) AS i, g, ms
+              FROM (SELECT regexp_extract_all(text, '{p}') AS ms, string_split_regex(text, '{p}') AS g))) WHERE {keep})"""
+
+
+@query(
+    rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+f AS (SELECT doc_id, {_located_sql(ASSIGN, "length(regexp_extract(m, '" + ASSIGN.replace("'", "''") + "', 2)) >= 6")} AS a,
+  {_located_sql(ACCESS)} AS k, {_located_sql(HEX)} AS h, {_located_sql(candidate(20))} AS c FROM d),
+e AS (SELECT *, list_transform(list_filter(coalesce(c, []), lambda x: NOT regexp_matches(x.t, '^[A-Za-z+/_=-]+$') AND NOT regexp_matches(x.t, '^[0-9+/_=-]+$')
+    AND NOT regexp_matches(x.t, '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$')
+    AND NOT regexp_matches(x.t, '(?i)abcdefghij|0123456789|9876543210')),
+    lambda x: {{'s': x.s, 'w': list_filter(range(0, length(x.t) - 19), lambda i: list_aggregate(string_split(substr(x.t, 1 + i, 20), ''), 'entropy')
+       >= CASE WHEN regexp_matches(x.t, '^[0-9a-fA-F]+$') THEN 2.9 ELSE 3.7 END - 1e-9)}}) AS w FROM f),
+n AS (SELECT *, list_transform(coalesce(a, []), lambda x: {{'s': x.s, 'o': 0, 'e': x.e}}) AS na, list_transform(coalesce(k, []), lambda x: {{'s': x.s, 'o': 1, 'e': x.e}}) AS nk,
+    list_transform(coalesce(h, []), lambda x: {{'s': x.s, 'o': 2, 'e': x.e}}) AS nh,
+    list_transform(list_filter(w, lambda x: len(x.w) > 0), lambda x: {{'s': x.s + list_min(x.w), 'o': 3, 'e': x.s + list_max(x.w) + 20}}) AS ne FROM e),
+r AS (SELECT doc_id, len(na) AS n_assign, len(nk) AS n_access, len(nh) AS n_hex, list_sort(na || nk || nh) AS base, list_sort(na || nk || nh || ne) AS every FROM n)
+SELECT doc_id, n_assign, n_access, n_hex,
+  sha256(array_to_string(list_transform(base, lambda x: ['assign', 'access', 'hex', 'entropy'][CAST(x.o AS INTEGER) + 1] || ':' || x.s || ':' || x.e), ',')) AS base_sha256,
+  array_to_string(list_transform(every, lambda x: ['assign', 'access', 'hex', 'entropy'][CAST(x.o AS INTEGER) + 1] || ':' || x.s || ':' || x.e), ',') AS spans
+FROM r
+"""
+)
+def op9_entropy_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.entropy_scan import listed, scan
+
+    got = scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    base = F.sha2(listed(of("assign", "access", "hex")), 256).alias("base_sha256")
+    return got.select("doc_id", *counts, base, listed(F.col("secrets")).alias("spans"))
