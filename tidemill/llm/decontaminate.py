@@ -60,11 +60,11 @@ def contamination(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 13,
-    share: float = 0.05,
+    one_in: int = 20,
 ) -> DataFrame:
     """The input with ``n_words``, ``n_hit`` (words inside any occurrence of an item's window), ``hit_words`` (their
     places from 0, ascending), ``items`` (ids of items with occurring windows, sorted as strings) and
-    ``contaminated`` (``n_hit > 0`` and ``n_hit >= share * n_words``).
+    ``contaminated`` (one word in ``one_in`` or more, and at least one, is hit).
 
     A window is ``window`` consecutive words of an item; a shorter item that has words is one window.
     Words are runs of characters other than ASCII ones that are no digit or letter, after lower-casing A-Z.
@@ -142,5 +142,5 @@ def contamination(
         n_hit.alias("n_hit"),
         "hit_words",
         "items",
-        ((n_hit > 0) & (n_hit >= F.lit(share) * F.col("n_words"))).alias("contaminated"),
+        ((n_hit > 0) & (n_hit * one_in >= F.col("n_words"))).alias("contaminated"),
     )

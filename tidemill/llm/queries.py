@@ -117,7 +117,7 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        "contaminated",
     )
 
 
@@ -214,3 +214,11 @@ def op9_entropy_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
     base = F.sha2(listed(of("assign", "access", "hex")), 256).alias("base_sha256")
     return got.select("doc_id", *counts, base, listed(F.col("secrets")).alias("spans"))
+
+
+@query()
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.pseudonyms import pseudonymize
+
+    got = pseudonymize(read(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus-2024")
+    return got.select("doc_id", F.size("replaced").cast("long").alias("n_replaced"), F.col("safe_text").alias("text"))
