@@ -27,6 +27,11 @@ REMEMBERED = 1 << 18
 SLICE_ROWS = 1 << 20
 
 
+def steps_of(ascending: np.ndarray) -> np.ndarray:
+    """The first value and the differences: smaller numbers than the values."""
+    return np.concatenate((ascending[:1], np.diff(ascending)))
+
+
 class Combiner:
     """Settles in a task what a smaller document of the same task decides already.
 
@@ -78,7 +83,7 @@ class Combiner:
             part = slice(edge[p], edge[p + 1])
             docs, local = np.unique(doc[part], return_inverse=True)
             ids.append(p)
-            blocks.append(pack(h[part], local.astype(np.uint32), value[part], rank[docs], th[docs]))
+            blocks.append(pack(steps_of(h[part]), local.astype(np.uint32), value[part], rank[docs], th[docs]))
         yield batch_of(_BLOCKS, [ids, blocks, [False] * len(ids)])
 
 
@@ -150,6 +155,7 @@ def settle(partitions: int, need_earlier: bool, dtype: type):
 
 def _settle(blocks: list[bytes], partitions: int, need_earlier: bool, dtype: type) -> Iterator[pa.RecordBatch]:
     parts = [unpack(b, np.uint64, np.uint32, dtype, np.int64, np.int64) for b in blocks]
+    parts = [(np.cumsum(p[0], dtype=np.uint64), *p[1:]) for p in parts]
     total = sum(len(p[0]) for p in parts)
     steps = -(-total // SLICE_ROWS)
     if not total:
