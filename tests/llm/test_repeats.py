@@ -102,7 +102,7 @@ def test_a_hot_hash_is_sent_about_once():
     for step in range(10):
         ids = np.arange(step * 50, step * 50 + 50)
         h = np.full(50, 77, np.uint64)
-        for batch in combiner.step(h, np.arange(50), np.zeros(50, np.uint32), ids, ids):
+        for batch in combiner.step(h, np.arange(50), ids, ids, np.zeros(50, np.uint32)):
             for block, done in zip(batch.column("block"), batch.column("settled")):
                 settled += done.as_py()
                 sent += not done.as_py()
