@@ -21,17 +21,17 @@ def skewed(spark):
 
 
 def test_hot_keys(spark, skewed):
-    hot = skew.hot_keys(skewed, ["k"], share=0.1, min_rows=0)
+    hot = skew.hot_keys(skewed, ["k"], rows=200)
     assert [r["k"] for r in hot.collect()] == [0]
-    assert skew.hot_keys(skewed, ["k"], share=0.1) is None  # too small a table to matter
-    assert skew.hot_keys(skewed.limit(0), ["k"], min_rows=0) is None
+    assert skew.hot_keys(skewed, ["k"]) is None  # no key too large for one task
+    assert skew.hot_keys(skewed.limit(0), ["k"], rows=0) is None
     many, few = skew.split_hot(skewed, ["k"], hot)
     assert many.filter("k != 0").count() == 0 and many.count() + few.count() == 2000
 
 
 def test_null_keys_are_not_lost(spark):
     df = spark.createDataFrame([(None, i) for i in range(50)] + [(i, i) for i in range(50)], "k int, i int")
-    hot = skew.hot_keys(df, ["k"], share=0.3, min_rows=0)
+    hot = skew.hot_keys(df, ["k"], rows=30)
     many, few = skew.split_hot(df, ["k"], hot)
     assert (many.count(), few.count()) == (50, 50)
 
@@ -39,9 +39,9 @@ def test_null_keys_are_not_lost(spark):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_lookup_join_equals_a_plain_join(spark, skewed, how):
     dim = spark.range(0, 200).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("d"))
-    got = skew.lookup_join(skewed, dim, ["k"], how, min_rows=0, max_dim_rows=10)
+    got = skew.lookup_join(skewed, dim, ["k"], how, rows=200, max_dim_rows=10)
     want = skewed.join(dim, ["k"], how)
-    assert "Union" in plan_of(got) and "Union" not in plan_of(skew.lookup_join(skewed, dim, ["k"], how))
+    assert "Union" in plan_of(got) and "Union" not in plan_of(skew.lookup_join(skewed, dim, ["k"], how, max_dim_rows=10))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(got.columns).collect()))
 
 
@@ -52,6 +52,24 @@ def test_broadcast_needs_a_proven_size(spark):
     assert "ResolvedHint (strategy=broadcast)" in skew.small_side(small)._jdf.queryExecution().analyzed().toString()
 
 
+def test_broadcast_counts_bytes(spark):
+    text = spark.createDataFrame([("é" * 500,)] * 20, "t string")  # 20 kB in UTF-8
+    assert not skew.fits_broadcast(text, size=11_000) and skew.fits_broadcast(text, size=30_000)
+    arrays = spark.createDataFrame([([1.0] * 1000,)] * 10, "v array<double>")
+    assert not skew.fits_broadcast(arrays, size=50_000)
+
+
+def test_history_of_one_large_key_among_many(spark):
+    """A key of five slices among keys of one row each: found by its size, whatever its share."""
+    many = spark.range(20_000).selectExpr("id + 1 AS k", "id AS t", "id")
+    large = spark.range(1000).selectExpr("CAST(0 AS BIGINT) AS k", "id % 90 AS t", "id")
+    df = many.unionByName(large)
+    got = keyed.history_intervals(df, ["k"], ["t", "id"], rows=200)
+    assert "Union" in plan_of(got)
+    want = keyed.history_intervals(df, ["k"], ["t", "id"])
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(got.columns).collect()))
+
+
 def test_global_index(spark, skewed):
     rows = sorted((r["t"], r["id"]) for r in skewed.collect())
     got = ordered.with_global_index(skewed, ["t", "id"], slices=5).collect()
@@ -60,14 +78,14 @@ def test_global_index(spark, skewed):
 
 def test_history_of_hot_keys_equals_the_window(spark, skewed):
     want = {r["id"]: r["valid_to"] for r in keyed.history_intervals(skewed, ["k"], ["t", "id"]).collect()}
-    out = keyed.history_intervals(skewed, ["k"], ["t", "id"], min_rows=0)
+    out = keyed.history_intervals(skewed, ["k"], ["t", "id"], rows=20)
     got = {r["id"]: r["valid_to"] for r in out.collect()}
     assert got == want and len(got) == 2000
 
 
 def test_history_when_every_key_is_hot(spark):
     df = spark.range(200).select("id", (F.col("id") % 2).alias("k"), (F.col("id") * 3).alias("t"))
-    out = keyed.history_intervals(df, ["k"], ["t", "id"], min_rows=0)
+    out = keyed.history_intervals(df, ["k"], ["t", "id"], rows=20)
     assert {r["id"]: r["valid_to"] for r in out.collect()} == {i: (i + 2) * 3 if i < 198 else None for i in range(200)}
 
 

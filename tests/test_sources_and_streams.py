@@ -59,7 +59,7 @@ def test_changes_to_current_rows(spark):
         (b"junk",),
     ]
     log = changes.read_changes(spark.createDataFrame(rows, "value binary"), "id int, t double")
-    assert [r["_error"] for r in log.filter("_error IS NOT NULL").collect()] == ["not a change event"]
+    assert [r["_error"] for r in log.filter("_error IS NOT NULL").collect()] == ["unreadable change event"]
     flat = keyed.unwrap_changes(log.filter("_error IS NULL").drop("_error"))
     assert [(r["id"], r["t"]) for r in keyed.current_rows(flat, ["id"], ["ts_ms"]).collect()] == [(1, 9.0)]
     assert changes.topic_of("p", "db", "orders") == "p.db.orders"

@@ -45,6 +45,11 @@ def with_errors(df: DataFrame, error: Column, on_error: str = "reject", costly:
     return tagged.filter(stop & here).drop(ERROR, "_task")
 
 
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays where it is, above what it took to compute its columns."""
+    return df.withColumn("_task", F.spark_partition_id()).filter(condition & (F.col("_task") >= 0)).drop("_task")
+
+
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without the message, rejected rows with it)."""
     return df.filter(F.col(ERROR).isNull()).drop(ERROR), df.filter(F.col(ERROR).isNotNull())

@@ -9,8 +9,21 @@ OBJECT = "map<string,variant>"
 
 
 def parse(text: Column) -> Column:
-    """JSON text as VARIANT; null when it is not JSON."""
-    return F.try_parse_json(text.cast("string"))
+    """JSON text as VARIANT; null when it is not JSON, or has anything after its end.
+
+    The parser by itself stops at the end of the first value.  Inside brackets whatever follows
+    makes the text malformed, or a second element.
+    """
+    whole = text.cast("string")
+    listed = F.try_parse_json(F.concat(F.lit("["), whole, F.lit("]")))
+
+    def only(values: Column) -> Column:
+        second = F.try_variant_get(values, "$[1]", "variant")
+        return F.when(second.isNull(), F.try_variant_get(values, "$[0]", "variant"))
+
+    # a text that closes the bracket and opens another one doesn't get past a brace
+    escapes = whole.rlike(r"\]\s*,\s*\[") & F.try_parse_json(F.concat(F.lit('{"v":'), whole, F.lit("}"))).isNull()
+    return F.when(~escapes, F.get(F.transform(F.array(listed), only), 0))
 
 
 def parse_error(text: Column) -> Column:
@@ -40,13 +53,12 @@ def raw_text(value: Column) -> Column:
     return F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
 
 
-def flat_entries(value: Column, delim: str = ".", max_depth: int = 64, text: Column | None = None) -> Column:
+def flat_entries(value: Column, delim: str = ".", max_depth: int | None = None, text: Column | None = None) -> Column:
     """(key, value) pairs of an object with nested keys joined by ``delim``.
 
     All within the row: each step opens one nesting level, and a document without nested
     members left is passed on as it is.  Arrays, empty objects and what lies deeper
-    than ``max_depth`` stay as they are.  With the document's ``text`` there are no more steps
-    than it has opening braces.
+    than ``max_depth`` stay as they are.  The number of steps is the nesting of the document's ``text``.
     """
 
     def pair(key: Column, item: Column) -> Column:
@@ -62,12 +74,11 @@ def flat_entries(value: Column, delim: str = ".", max_depth: int = 64, text: Col
         return F.when(is_open(entry), nested).otherwise(F.array(entry))
 
     top = F.transform(F.map_entries(members(value)), lambda e: pair(e["key"], e["value"]))
-    if max_depth < 1:
+    if max_depth is not None and max_depth < 1:
         return top
-    steps = F.lit(max_depth)
-    if text is not None:
-        braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
-        steps = F.least(F.greatest(braces, F.lit(1)), steps)
+    steps = F.greatest(nesting(F.to_json(value) if text is None else text), F.lit(1))
+    if max_depth is not None:
+        steps = F.least(steps, F.lit(max_depth))
     return F.aggregate(
         F.sequence(F.lit(1), steps),
         top,
@@ -75,6 +86,31 @@ def flat_entries(value: Column, delim: str = ".", max_depth: int = 64, text: Col
     )
 
 
+def nesting(text: Column) -> Column:
+    """How deep the objects of a JSON text are nested, or more.  Few braces are taken for the
+    depth; where there are many they are followed, strings left out."""
+    braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    bare = F.regexp_replace(F.regexp_replace(text, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', ""), "[^{}]+", "")
+    walked = F.aggregate(
+        F.split(bare, ""),
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda s, c: F.struct(
+            (s["now"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)).alias("now"),
+            F.greatest(s["most"], s["now"] + F.when(c == "{", 1).otherwise(0)).alias("most"),
+        ),
+        lambda s: s["most"],
+    )
+    return F.when(braces <= 16, braces).otherwise(walked)
+
+
+def quote(text: Column) -> Column:
+    """A text as a JSON string."""
+    whole = F.to_json(F.array(text))
+    return F.when(text.rlike(r'["\\\x00-\x1f\x7f]'), F.substr(whole, F.lit(2), F.length(whole) - 2)).otherwise(
+        F.concat(F.lit('"'), text, F.lit('"'))
+    )
+
+
 def object_text(pairs: Column) -> Column:
     """JSON text of (key, value) pairs in their order; repeated keys are kept."""
     def member(e: Column) -> Column:

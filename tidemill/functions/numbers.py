@@ -27,7 +27,7 @@ def format_fixed(col: Column, decimals: int) -> Column:
     Rounding follows the exact binary value (0.25 -> 0.2, 0.35 -> 0.3 for one decimal),
     while Spark's own functions round the shortest decimal text.  The fraction is
     scaled with an error-free product, so a tie is recognised exactly.
-    Null for NaN, infinities and values of 2**63 and more.
+    Null for NaN and infinities.  From 2**126 on the digits after the seventeenth are zeros.
     """
     if not 0 <= decimals <= 15:
         raise ValueError("decimals must be between 0 and 15")
@@ -77,9 +77,21 @@ def format_fixed(col: Column, decimals: int) -> Column:
         digits = F.lpad((p["units"] - carry * limit).cast("string"), decimals, "0")
         return F.concat(head, F.lit("."), digits)
 
-    size = F.when(~F.isnan(x) & (F.abs(x) < float(2**63)), F.abs(x))
+    def of_large(a: Column) -> Column:
+        """Whole numbers from 2**63 on: 61 bits of them times a power of two."""
+        power = F.floor(F.log2(a)).cast("int") - 60
+        head = (a / F.pow(F.lit(2.0), power)).cast("bigint").cast("decimal(20,0)")
+        half = F.least(power, F.lit(40))
+        two = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), n).cast("decimal(20,0)")
+        exact = (head * two(half)).cast("decimal(38,0)") * two(power - half).cast("decimal(21,0)")
+        digits = F.when(a < float(2**126), exact.cast("decimal(38,0)").cast("string")).otherwise(F.format_string("%.0f", a))
+        return F.concat(digits, F.lit("." + "0" * decimals)) if decimals else digits
+
+    finite = ~F.isnan(x) & (F.abs(x) < float("inf"))
     sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")  # also for the negative zero
-    return F.concat(sign, let(size, lambda a: F.when(a.isNotNull(), of_size(a))))
+    small = F.when(finite & (F.abs(x) < float(2**63)), F.abs(x))
+    large = F.when(finite & (F.abs(x) >= float(2**63)), F.abs(x))
+    return F.concat(sign, F.when(large.isNotNull(), of_large(large)).otherwise(let(small, lambda a: F.when(a.isNotNull(), of_size(a)))))
 
 
 def truncating_div(value: Column, divisor: int) -> Column:

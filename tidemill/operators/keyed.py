@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.plans.ordered import with_next
-from tidemill.plans.skew import lookup_join
+from tidemill.plans.skew import HOT_ROWS, lookup_join
 
 PARTITION_KEY = ("topic", "partition", "key")
 
@@ -36,12 +36,14 @@ def compact(df: DataFrame, keep_tombstones: bool = False, keys: Sequence[str] =
 def compact_with_lag(df: DataFrame, min_lag_seconds: int, as_of: datetime | Column) -> DataFrame:
     """Compaction that keeps every record younger than the minimum lag.
 
-    Old records survive only as the last of their key.  No window is needed: the young ones
-    are a filter, the old survivors are the compacted records that are not young.
+    Old records survive only as the last of their key; a record without a time counts as old.  No
+    window is needed: the young ones are a filter, the old survivors are the compacted
+    records that are not young.
     """
     cutoff = _as_time(df, as_of) - F.make_dt_interval(secs=F.lit(float(min_lag_seconds)))
-    young = df.filter(F.col("timestamp") > cutoff)
-    old_survivors = compact(df).filter(F.col("timestamp") <= cutoff)
+    is_young = F.coalesce(F.col("timestamp") > cutoff, F.lit(False))
+    young = df.filter(is_young)
+    old_survivors = compact(df).filter(~is_young)
     return old_survivors.unionByName(young)
 
 
@@ -85,10 +87,10 @@ def history_intervals(
     order: Sequence[str],
     start: str = "valid_from",
     end: str = "valid_to",
-    min_rows: int | None = None,
+    rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each version of a row with the time it was valid; the current one has no end."""
-    out = with_next(df, keys, order, order[0], end, min_rows=min_rows)
+    out = with_next(df, keys, order, order[0], end, rows)
     return out.withColumn(start, F.col(order[0]))
 
 

@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 from tidemill.operators.records import decode_cols
 from tidemill.plans.ordered import slice_count, top_per_key
 
-# --- fixed value: rows of an interactive query -------------------------------------------
-DEFAULT_LIMIT = 100
-# ----------------------------------------------------------------------------------------
-
-
 def run_sql(
-    spark: SparkSession, text: str, limit: int | None = DEFAULT_LIMIT, decode: Sequence[str] = ()
+    spark: SparkSession, text: str, limit: int | None = None, decode: Sequence[str] = (), **frames: DataFrame
 ) -> DataFrame:
-    """A SQL text as a frame, with binary columns decoded and the row limit applied.
+    """A SQL text as a frame, with binary columns decoded and, if asked for, a row limit.
+    ``frames`` are the tables that the text names in braces; nothing is registered in the session.
     Keep the result in a variable to go on with it."""
-    df = decode_cols(spark.sql(text), decode)
+    df = decode_cols(spark.sql(text, **frames), decode)
     return df if limit is None else df.limit(limit)
 
 

@@ -151,7 +151,7 @@ def redact(
             errors.append(F.when(failed, f"{edit.dotted}: {edit.failure}"))
     rows = rows.withColumns(texts).withColumns(news) if texts else rows
     tree = _tree_of(edits)
-    out = _rebuild(F.col("_doc"), known, tree) if known else F.to_json(_rewrite(F.col("_doc"), tree))
+    out = _rebuild(F.col("_doc"), known, tree) if known else _rewrite(F.col("_doc"), tree)
     tagged = with_errors(rows, first_error(*errors), "reject")
     # a failed record must not leak its unredacted value
     hidden = F.when(F.col("_error").isNull(), out)
@@ -215,8 +215,8 @@ def _rebuild(doc: Column, schema: T.StructType, tree: Mapping[str, Any]) -> Colu
 
 
 def _rewrite(value: Column, tree: Mapping[str, Any]) -> Column:
-    """A document of unknown shape, rebuilt: drop, replace in place, descend, then append
-    renamed members."""
+    """JSON text of a document of unknown shape: drop, replace in place, descend, then append renamed
+    members.  New values are written as they are, so that ``-92.0`` keeps its decimal."""
     inner = J.members(value)
     gone: list[str] = []
     replaced: dict[str, Callable[[Column], Column]] = {}
@@ -231,24 +231,26 @@ def _rewrite(value: Column, tree: Mapping[str, Any]) -> Column:
             continue
         # quoted text becomes a JSON string, bare text must be JSON itself
         made = F.col(f"_n{number}")
-        new = F.variant_get(F.to_variant_object(F.array(made)), "$[0]", "variant") if edit.quote else J.parse(made)
+        new = J.quote(made) if edit.quote else F.when(J.parse(made).isNotNull(), made)
+        new = F.coalesce(new, F.lit("null"))
         if edit.new_name is None:
             replaced[name] = lambda v, new=new: new
         else:
             gone.append(name)
             appended[edit.new_name] = new
-    out = inner
-    if gone or appended:
-        out = F.map_filter(out, lambda k, _: ~k.isin([*gone, *appended]))
-    if replaced:
 
-        def step(k: Column, v: Column) -> Column:
-            chain = F
-            for name, make in replaced.items():
-                chain = chain.when(k == name, make(v))
-            return chain.otherwise(v)
+    def text_of(entry: Column) -> Column:
+        chain = F
+        for name, make in replaced.items():
+            chain = chain.when(entry["key"] == name, make(entry["value"]))
+        return chain.otherwise(F.to_json(entry["value"])) if replaced else F.to_json(entry["value"])
 
-        out = F.transform_values(out, step)
+    entries = F.map_entries(inner)
+    if gone or appended:
+        entries = F.filter(entries, lambda e: ~e["key"].isin([*gone, *appended]))
+    members = F.transform(entries, lambda e: F.concat(J.quote(e["key"]), F.lit(":"), text_of(e)))
     if appended:
-        out = F.map_concat(out, F.create_map(*[x for name, new in appended.items() for x in (F.lit(name), new)]))
-    return F.when(inner.isNotNull(), F.to_variant_object(out)).otherwise(value)
+        last = [F.concat(J.quote(F.lit(name)), F.lit(":"), new) for name, new in appended.items()]
+        members = F.concat(members, F.array(*last))
+    whole = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+    return F.when(inner.isNotNull(), whole).otherwise(F.to_json(value))

@@ -7,15 +7,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions import wire as W
-from tidemill.functions.errors import ERROR, with_errors
-from tidemill.plans.skew import fits_broadcast, lookup_join
+from tidemill.functions.errors import ERROR, keep_where, with_errors
+from tidemill.plans.skew import lookup_join
 
+MISMATCH = "payload does not match its schema"
 REGISTRY_SCHEMA = "subject string, version int, id int, format string, schema string"
 
 # --- fixed values -----------------------------------------------------------------------
@@ -119,12 +121,22 @@ def backward_compatible(old: DataFrame, new: DataFrame) -> DataFrame:
     """Whether readers with the new schema can read old data, per subject.
 
     Both are field tables as of :func:`schema_fields`, with one version per subject.  A
-    new field needs a default; a kept field must have the same or a wider type; a removed
-    field is allowed.
+    new field needs a default; a removed field is allowed; of a kept field, the reader must take
+    every type the writer may have used: the same, a wider one, or a union that holds one of these.
     """
-    wider = F.lit(False)
-    for narrow, targets in PROMOTIONS.items():
-        wider = wider | ((F.col("o.type") == narrow) & F.col("n.type").isin(targets))
+    unions = "array<string>"
+
+    def branches(type_text: Column) -> Column:
+        """The types of a union; a plain type is a union of one."""
+        return F.when(type_text.startswith("["), F.from_json(type_text, unions)).otherwise(F.array(type_text))
+
+    def takes(writer: Column) -> Column:
+        accepted = F.array(writer)
+        for narrow, targets in PROMOTIONS.items():
+            accepted = F.when(writer == narrow, F.array(*[F.lit(t) for t in [narrow, *targets]])).otherwise(accepted)
+        return F.arrays_overlap(branches(F.col("n.type")), accepted)
+
+    wider = F.forall(branches(F.col("o.type")), takes)
     both = old.alias("o").join(
         new.alias("n"), (F.col("o.subject") == F.col("n.subject")) & (F.col("o.field") == F.col("n.field")), "full"
     )
@@ -143,13 +155,18 @@ def backward_compatible(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def struct_of_avro(schema: str | dict | list) -> T.DataType:
-    """The Spark type of an Avro schema (records, arrays, maps, nullable unions)."""
+    """The Spark type of an Avro schema: records, arrays, maps, enums, fixed, and unions (null and one type
+    become that type, int and long a long, float and double a double, others one optional member each)."""
     node = json.loads(schema) if isinstance(schema, str) and schema[:1] in '{["' else schema
     if isinstance(node, list):
         real = [n for n in node if n != "null"]
-        if len(real) != 1:
-            raise ValueError("only unions of null and one type are supported")
-        return struct_of_avro(real[0])
+        if len(real) == 1:
+            return struct_of_avro(real[0])
+        if set(map(str, real)) <= {"int", "long"}:
+            return T.LongType()
+        if set(map(str, real)) <= {"float", "double"}:
+            return T.DoubleType()
+        return T.StructType([T.StructField(f"member{i}", struct_of_avro(n)) for i, n in enumerate(real)])
     if isinstance(node, str):
         if node not in AVRO_TYPES:
             raise ValueError(f"unsupported type {node!r}")
@@ -163,6 +180,10 @@ def struct_of_avro(schema: str | dict | list) -> T.DataType:
         return T.ArrayType(struct_of_avro(node["items"]))
     if kind == "map":
         return T.MapType(T.StringType(), struct_of_avro(node["values"]))
+    if kind == "enum":
+        return T.StringType()
+    if kind == "fixed":
+        return T.BinaryType()
     return struct_of_avro(kind)
 
 
@@ -214,8 +235,34 @@ def encode_rows(
 
 
 def json_decoder(body: Column, schema: str) -> Column:
-    """The portable payload: a JSON body typed by the registered schema."""
-    return F.from_json(body.cast("string"), struct_of_avro(schema))
+    """The portable payload: a JSON body typed by the registered schema.
+
+    Null for a body that is malformed or mistyped, or lacks a field that has no default and
+    is not nullable; ``from_json`` alone would give a row of nulls.
+    """
+    typed = struct_of_avro(schema)
+    checked = typed.add(_UNREAD, T.StringType()) if isinstance(typed, T.StructType) else typed
+    if not isinstance(typed, T.StructType):
+        return F.from_json(body.cast("string"), typed)
+    parsed = F.from_json(body.cast("string"), checked, {"columnNameOfCorruptRecord": _UNREAD})
+    required = required_fields(schema)
+
+    def whole(p: Column) -> Column:
+        good = p[_UNREAD].isNull()
+        for name in required:
+            good = good & p[name].isNotNull()
+        return F.when(good, F.struct(*[p[f.name].alias(f.name) for f in typed.fields if f.name != _UNREAD]))
+
+    return F.get(F.transform(F.array(parsed), whole), 0)
+
+
+_UNREAD = "_unread"
+
+
+def required_fields(schema: str) -> list[str]:
+    """Fields of a record schema that every body must have."""
+    fields = json.loads(schema).get("fields", [])
+    return [f["name"] for f in fields if "default" not in f and not (isinstance(f["type"], list) and "null" in f["type"])]
 
 
 def decode_by_schema(
@@ -227,10 +274,10 @@ def decode_by_schema(
 ) -> dict[int, DataFrame]:
     """Framed records as one typed frame per schema id, with key, offsets and the payload's columns.
 
-    Records without a frame or with an id outside the registry go to ``-1`` with a message.
-    The registry must be small, since its ids become branches of the plan; each branch
-    reads the input, so land the frames by id first (``sources.sinks.land_typed``) when
-    there are many.
+    Records without a frame, with an id outside the registry, or with a body that does not
+    match its schema go to ``-1`` with a message and their body.  Ids become branches of
+    the plan and each branch reads the input: for many schemas land the bodies once
+    (``sources.sinks.land_typed``) and read each with its schema.
     """
     return decode_bodies(unframe_records(df, column, "reject"), registry, decoder, column, on_error)
 
@@ -243,37 +290,47 @@ def decode_bodies(
     on_error: str = "reject",
 ) -> dict[int, DataFrame]:
     """The same for rows that are unframed already (``schema_id``, body, ``_error``)."""
-    if not fits_broadcast(registry, rows=1000):
-        raise ValueError("the registry is too large to plan one branch per schema")
-    schemas = {r["id"]: r["schema"] for r in registry.select("id", "schema").distinct().collect()}
+    # one row per schema, not per record: the number of schemas bounds the plan as well
+    schemas = {r["id"]: r["schema"] for r in registry.select("id", "schema").distinct().toLocalIterator()}
     meta = [c for c in rows.columns if c not in (column, "schema_id", ERROR)]
-    out = {}
+    out, rejected = {}, []
     for sid, schema in schemas.items():
         mine = rows.filter((F.col("schema_id") == sid) & F.col(ERROR).isNull())
-        typed = mine.withColumn("_p", decoder(F.col(column), schema)).select(*meta, "_p")
-        bad = F.when(F.col("_p").isNull(), "payload does not match its schema")
-        checked = with_errors(typed, bad, on_error, costly=True)
-        out[sid] = checked.select(*meta, "_p.*", *[c for c in checked.columns if c == ERROR])
+        typed = mine.withColumn("_p", decoder(F.col(column), schema))
+        bad = F.when(F.col("_p").isNull(), MISMATCH)
+        out[sid] = with_errors(typed, bad, "fail" if on_error == "fail" else "drop", costly=True).select(*meta, "_p.*")
+        rejected.append(keep_where(typed, F.col("_p").isNull()).withColumn(ERROR, F.lit(MISMATCH)).drop("_p"))
     known = F.col("schema_id").isin(list(schemas)) if schemas else F.lit(False)
     reason = (
         F.when(F.col(ERROR).isNotNull(), F.col(ERROR))
         .when(F.col("schema_id").isNull(), "missing value")
         .otherwise("unknown schema id")
     )
-    odd = rows.filter(F.col(ERROR).isNotNull() | F.col("schema_id").isNull() | ~known)
-    out[-1] = odd.withColumn(ERROR, reason)
+    odd = rows.filter(F.col(ERROR).isNotNull() | F.col("schema_id").isNull() | ~known).withColumn(ERROR, reason)
+    out[-1] = reduce(lambda a, b: a.unionByName(b), rejected, odd)
     return out
 
 
-def decode_click(df: DataFrame, column: str = "value") -> DataFrame:
-    """Clicks from JSON bodies with the defaults of absent fields; a zero time becomes now."""
-    doc = F.from_json(F.col(column).cast("string"), "user_id int, event_type string, ts_millis bigint")
+def decode_click(df: DataFrame, column: str = "value", on_error: str = "reject") -> DataFrame:
+    """Clicks from JSON bodies with the defaults of absent fields; a zero time becomes now.
+
+    A missing, malformed or mistyped body is an error and gets no defaults.
+    """
+    shape = f"user_id int, event_type string, ts_millis bigint, {_UNREAD} string"
+    parsed = F.from_json(F.col(column).cast("string"), shape, {"columnNameOfCorruptRecord": _UNREAD})
+    rows = df.withColumn("_c", parsed)
+    error = F.when(F.col(column).isNull(), "missing value").when(
+        F.col("_c").isNull() | F.col(f"_c.{_UNREAD}").isNotNull(), "not a click"
+    )
+    tagged = with_errors(rows, error, "reject")
     now = F.unix_micros(F.current_timestamp())
-    at = F.coalesce(doc["ts_millis"], F.lit(CLICK_DEFAULTS["ts_millis"]).cast("bigint"))
-    return df.withColumns(
+    at = F.coalesce(F.col("_c.ts_millis"), F.lit(CLICK_DEFAULTS["ts_millis"]).cast("bigint"))
+    good = lambda value: F.when(F.col(ERROR).isNull(), value)
+    out = tagged.withColumns(
         {
-            "user_id": F.coalesce(doc["user_id"], F.lit(CLICK_DEFAULTS["user_id"])),
-            "event_type": F.coalesce(doc["event_type"], F.lit(CLICK_DEFAULTS["event_type"])),
-            "ts_millis": F.when(at == 0, now).otherwise(at),
+            "user_id": good(F.coalesce("_c.user_id", F.lit(CLICK_DEFAULTS["user_id"]))),
+            "event_type": good(F.coalesce("_c.event_type", F.lit(CLICK_DEFAULTS["event_type"]))),
+            "ts_millis": good(F.when(at == 0, now).otherwise(at)),
         }
-    )
+    ).drop("_c")
+    return with_errors(out, F.lit(None).cast("string"), on_error, costly=True)

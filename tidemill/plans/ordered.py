@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.plans.shared import materialize
-from tidemill.plans.skew import hot_keys, split_hot
+from tidemill.plans.skew import HOT_ROWS, hot_keys, small_side, split_hot
 
 SLICE, POS = "_slice", "_pos"
 #: rows that one task sorts at most
@@ -49,7 +49,7 @@ def with_global_index(df: DataFrame, order: Sequence, out: str = "row_index", sl
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     return (
-        parts.join(F.broadcast(starts), SLICE)
+        parts.join(small_side(starts), SLICE)
         .withColumn(out, F.col("_start") + F.col(POS))
         .drop(SLICE, POS, "_start")
     )
@@ -61,7 +61,7 @@ def with_next(
     order: Sequence[str],
     value: str,
     out: str,
-    min_rows: int | None = None,
+    rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``value`` of the next row of the same key in ``order`` (null on the last one).
 
@@ -74,7 +74,7 @@ def with_next(
     def by_window(part: DataFrame) -> DataFrame:
         return part.withColumn(out, F.lead(value).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    hot = hot_keys(df, keys, min_rows=min_rows)
+    hot = hot_keys(df, keys, rows)
     if hot is None:
         return by_window(df)
     hot_rows, cold_rows = split_hot(df, keys, hot)
@@ -96,7 +96,7 @@ def _next_across_slices(df: DataFrame, keys: list[str], order: list[str], value:
     following = F.coalesce(F.col("_next"), F.col("_edge"))
     return (
         parts.withColumn("_next", F.lead(row).over(inside))
-        .join(F.broadcast(edges), SLICE, "left")
+        .join(small_side(edges), SLICE, "left")
         .withColumn(out, F.when(following["k"].eqNullSafe(me), following["v"]))
         .drop(SLICE, POS, "_next", "_edge")
     )

@@ -21,18 +21,6 @@ ORACLES: dict[str, str] = {}
 AS_OF = datetime(2024, 1, 30)
 
 
-#: keys by which small tables are dealt out to all cores
-SPREAD_BY = {
-    "events": "event_id",
-    "orders": "o_orderkey",
-    "lineitem": "l_orderkey",
-    "customer": "c_custkey",
-    "documents": "doc_id",
-    "pages": "page_id",
-    "embeddings": "vec_id",
-}
-
-
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a function under its name, with its SQL twin if there is one."""
 
@@ -49,9 +37,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One of the given tables; ``spread`` deals a small one out to all cores by its key."""
-    return read_table(spark, f"{sf_dir}/{name}.parquet", SPREAD_BY[name] if spread else None)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def text(*parts: Column | str) -> Column:
@@ -80,8 +68,8 @@ def records_of(events: DataFrame) -> DataFrame:
     )
 
 
-def event_records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    return records_of(table(spark, sf_dir, "events", spread))
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records_of(table(spark, sf_dir, "events"))
 
 
 #: the same records in SQL

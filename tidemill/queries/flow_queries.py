@@ -113,14 +113,12 @@ def last_of_topic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, key LIMIT 100"""
+    """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n FROM events GROUP BY 1"""
 )
 def sql_entry(spark: SparkSession, sf: str) -> DataFrame:
-    """A SQL text over records, with the binary key decoded and the default limit."""
-    event_records(spark, sf).createOrReplaceTempView("tidemill_records")
-    return L.run_sql(
-        spark, "SELECT key, count(*) AS n FROM tidemill_records GROUP BY key ORDER BY n DESC, CAST(key AS STRING)", decode=["key"]
-    )
+    """A SQL text over records, with the binary key decoded."""
+    text = "SELECT key, count(*) AS n FROM {records} GROUP BY key"
+    return L.run_sql(spark, text, decode=["key"], records=event_records(spark, sf))
 
 
 @query(f"WITH {REC} SELECT {READABLE} FROM rec")

@@ -16,7 +16,7 @@ from tidemill.queries.base import REC, event_records, query, table, text
     CAST(props->>'$.k' AS VARCHAR) AS k, '["' || event_type || '",' || event_id || ']' AS tags FROM rec"""
 )
 def flatten_json(spark: SparkSession, sf: str) -> DataFrame:
-    flat = J.flatten_json(event_records(spark, sf, spread=True), on_error="drop")
+    flat = J.flatten_json(event_records(spark, sf), on_error="drop")
 
     def member(name: str):
         return F.get_json_object(F.col("value"), f"$['{name}']")
@@ -42,8 +42,8 @@ def flatten_json(spark: SparkSession, sf: str) -> DataFrame:
     SELECT * FROM leaves"""
 )
 def json_paths(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf, spread=True).select("topic", F.col("partition").alias("part"), F.col("offset").alias("off"), "value")
-    return J.json_paths(rows)
+    rows = event_records(spark, sf).select("topic", F.col("partition").alias("part"), F.col("offset").alias("off"), "value")
+    return J.json_paths(rows, on_error="drop")
 
 
 @query(
@@ -65,9 +65,9 @@ def flatten_struct(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {REC} SELECT topic, off, value FROM rec UNION ALL SELECT topic, off, props FROM rec")
 def split_objects(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf, spread=True).select("topic", F.col("offset").alias("off"), F.col("value").cast("string").alias("v"))
+    rows = event_records(spark, sf).select("topic", F.col("offset").alias("off"), F.col("value").cast("string").alias("v"))
     props = F.regexp_extract("v", r'"props":(\{[^}]*\})', 1)
-    return J.split_objects(rows.withColumn("value", F.concat("v", F.lit("\n"), props)).drop("v"))
+    return J.split_objects(rows.withColumn("value", F.concat("v", F.lit("\n"), props)).drop("v"), on_error="drop")
 
 
 @query(
@@ -76,23 +76,24 @@ def split_objects(spark: SparkSession, sf: str) -> DataFrame:
     FROM rec"""
 )
 def json_delete(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf, spread=True).select("topic", F.col("offset").alias("off"), "value")
+    rows = event_records(spark, sf).select("topic", F.col("offset").alias("off"), "value")
     return J.json_delete(rows, ["user.type", "props", "not.there"], on_error="drop")
 
 
 @query(
-    f"""WITH {REC} SELECT topic, off, '{{"uid":' || user_id || ',"kind":"' || event_type || '","key":"' || key
+    f"""WITH {REC} SELECT key, topic, off, '{{"uid":' || user_id || ',"kind":"' || event_type || '","key":"' || key
     || '","gone":null}}' AS value FROM rec"""
 )
 def json_construct(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf, spread=True).select("key", "topic", F.col("offset").alias("off"), "value")
-    fields = {"uid": "user.id", "kind": "user.type", "key": F.col("KEY"), "gone": "no.such"}
-    return J.json_construct(rows, fields, on_error="drop").drop("key")
+    rows = event_records(spark, sf).select("key", "topic", F.col("offset").alias("off"), "value")
+    fields = {"uid": "user.id", "kind": "user.type", "key": F.col(J.KEY_TEXT), "gone": "no.such"}
+    built = J.json_construct(rows, fields, on_error="drop")
+    return built.withColumn("key", F.col("key").cast("string"))
 
 
 @query(f"WITH {REC} SELECT topic, off, CAST(props->>'$.k' AS BIGINT) AS k FROM rec WHERE CAST(props->>'$.k' AS BIGINT) > 50")
 def json_filter(spark: SparkSession, sf: str) -> DataFrame:
-    rows = event_records(spark, sf, spread=True).select("topic", F.col("offset").alias("off"), "value")
+    rows = event_records(spark, sf).select("topic", F.col("offset").alias("off"), "value")
     kept = J.json_filter(rows, "props.k", "bigint", lambda k: k > 50, on_error="drop")
     return kept.select("topic", "off", F.get_json_object(F.col("value").cast("string"), "$.props.k").cast("bigint").alias("k"))
 
@@ -103,7 +104,47 @@ def json_filter(spark: SparkSession, sf: str) -> DataFrame:
 )
 def json_explode(spark: SparkSession, sf: str) -> DataFrame:
     value = text('{"items":[{"part":', F.col("l_partkey"), "},", F.col("l_suppkey"), "]}")
-    return J.json_explode(table(spark, sf, "lineitem", spread=True).select(F.col("l_orderkey").alias("key"), value.alias("value")), "items")
+    return J.json_explode(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), value.alias("value")), "items", on_error="drop")
+
+
+_ODD_VALUES = """
+odd AS (SELECT topic, event_id, off, CASE event_id % 6 WHEN 0 THEN value WHEN 1 THEN NULL WHEN 2 THEN '{broken' WHEN 3 THEN '[1,2]'
+  WHEN 4 THEN '{"tags":{"no":"array"}}' ELSE value || ' junk' END AS value, event_id % 6 AS kind FROM rec)
+"""
+
+
+def _odd_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of which five in six have a missing, malformed or mistyped value."""
+    kind = F.pmod(F.col("offset") * 4 + F.col("partition"), F.lit(6))
+    value = F.col("value").cast("string")
+    odd = (
+        F.when(kind == 0, value).when(kind == 2, "{broken").when(kind == 3, "[1,2]")
+        .when(kind == 4, '{"tags":{"no":"array"}}').when(kind == 5, F.concat(value, F.lit(" junk")))
+    )
+    return event_records(spark, sf).withColumn("value", odd)
+
+
+@query(
+    f"""WITH {REC}, {_ODD_VALUES}, o AS (SELECT 'json_explode' AS op, CASE kind WHEN 1 THEN 'missing value' WHEN 2 THEN 'invalid JSON' WHEN 3 THEN 'no array at tags'
+      WHEN 4 THEN 'no array at tags' WHEN 5 THEN 'invalid JSON' END AS error, value, off FROM odd WHERE kind > 0
+    UNION ALL SELECT p.op, CASE kind WHEN 1 THEN 'missing value' WHEN 2 THEN 'invalid JSON' WHEN 3 THEN 'not a JSON object'
+      WHEN 5 THEN 'invalid JSON' END, value, off FROM odd, (SELECT unnest(['json_paths', 'split_objects']) AS op) p WHERE kind NOT IN (0, 4))
+    SELECT op, error, count(*) AS n, coalesce(sum(length(value)), 0)::BIGINT AS chars, sum(off)::BIGINT AS offsets FROM o GROUP BY op, error"""
+)
+def json_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What several operators reject, with the body and the offset that stay with the message."""
+    rows = _odd_records(spark, sf).select("key", F.col("offset").alias("off"), "value")
+    parts = {
+        "json_explode": J.json_explode(rows, "tags"),
+        "json_paths": J.json_paths(rows).withColumnRenamed("leaf", "value"),
+        "split_objects": J.split_objects(rows),
+    }
+    out = None
+    for name, df in parts.items():
+        bad = df.filter(F.col("_error").isNotNull()).select(F.lit(name).alias("op"), F.col("_error").alias("error"), "value", "off")
+        out = bad if out is None else out.unionByName(bad)
+    chars = F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("chars")
+    return out.groupBy("op", "error").agg(F.count(F.lit(1)).alias("n"), chars, F.sum("off").alias("offsets"))
 
 
 @query(
@@ -134,7 +175,7 @@ def json_errors(spark: SparkSession, sf: str) -> DataFrame:
 def csv_lines_to_json(spark: SparkSession, sf: str) -> DataFrame:
     """Five lines per value: good, a number with a tail, three columns, no number, empty."""
     value = text("part-", F.col("l_partkey"), ",", F.col("l_linenumber"), "\nsupp-", F.col("l_suppkey"), ",12abc\na,1,2\nb,x\n")
-    rows = table(spark, sf, "lineitem", spread=True).select(F.col("l_orderkey").alias("key"), value.alias("value"))
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), value.alias("value"))
     return V.csv_lines_to_json(rows).withColumnRenamed("_error", "error")
 
 
@@ -147,7 +188,7 @@ def csv_whole_records(spark: SparkSession, sf: str) -> DataFrame:
     """One bad line rejects its whole record."""
     second = F.when(F.col("l_partkey") % 2 == 0, "b,7").otherwise("b,x")
     value = text("part-", F.col("l_partkey"), ",", F.col("l_linenumber"), "\n", second)
-    rows = table(spark, sf, "lineitem", spread=True).select(F.col("l_orderkey").alias("key"), value.alias("value"))
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), value.alias("value"))
     return V.csv_lines_to_json(rows, on_error="drop", whole_record=True)
 
 
@@ -164,7 +205,7 @@ def stock_lines(orders: DataFrame) -> DataFrame:
     o_custkey AS "Volume", CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders"""
 )
 def csv_to_record(spark: SparkSession, sf: str) -> DataFrame:
-    typed = V.csv_to_record(stock_lines(table(spark, sf, "orders", spread=True)), on_bad="drop")
+    typed = V.csv_to_record(stock_lines(table(spark, sf, "orders")), on_bad="drop")
     r = F.col("record")
     return typed.select(
         "o_orderkey",
@@ -180,7 +221,7 @@ def csv_to_record(spark: SparkSession, sf: str) -> DataFrame:
     count(*) AS n, count(CASE WHEN o_orderkey % 3 = 2 THEN 1 END) AS typed FROM orders GROUP BY 1"""
 )
 def csv_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = stock_lines(table(spark, sf, "orders", spread=True))
+    lines = stock_lines(table(spark, sf, "orders"))
     broken = F.when(F.col("o_orderkey") % 3 == 0, F.concat("value", F.lit(",more"))).when(
         F.col("o_orderkey") % 3 == 1, F.concat_ws(",", F.lit("01/01/2020,$1,many,$1,$1,$1"))
     ).otherwise(F.col("value"))

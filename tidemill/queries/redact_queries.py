@@ -34,7 +34,7 @@ ORDER_REDACTIONS = {
 def redact_order(spark: SparkSession, sf: str) -> DataFrame:
     """A nested order document of known shape; whole sub-documents and fields go."""
     who = table(spark, sf, "customer").withColumn("o_custkey", F.col("c_custkey"))
-    rows = lookup_join(table(spark, sf, "orders", spread=True), who, ["o_custkey"], "inner")
+    rows = lookup_join(table(spark, sf, "orders"), who, ["o_custkey"], "inner")
     doc = F.struct(
         F.col("o_orderkey").alias("id"),
         F.struct("c_custkey", "c_name").alias("customer"),
@@ -60,16 +60,17 @@ def redact_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, '{"address":{"hashedStreet":"' || md5(o_orderpriority) || '","house":"REDACTED","phone":"C-XXXXX'
-    || right(lpad(CAST(o_custkey AS VARCHAR), 9, '0'), 4)
-    || '"},"id":' || o_orderkey || ',"mail":"redacted@example.com"}' AS value FROM orders"""
+    """SELECT o_orderkey, '{"address":{"house":"REDACTED","phone":"C-XXXXX' || right(lpad(CAST(o_custkey AS VARCHAR), 9, '0'), 4)
+    || '","hashedStreet":"' || md5(o_orderpriority) || '","truncatedSize":' || CASE WHEN o_custkey % 2 = 0 THEN '-92.0' ELSE '12.3' END
+    || '},"id":' || o_orderkey || ',"mail":"redacted@example.com"}' AS value FROM orders"""
 )
 def redact_json(spark: SparkSession, sf: str) -> DataFrame:
     """The same on JSON text of unknown shape."""
     value = text(
         '{"id":', F.col("o_orderkey"), ',"secret":{"status":"', F.col("o_orderstatus"), '"},"mail":"u', F.col("o_custkey"),
         '@example.com","address":{"street":"', F.col("o_orderpriority"), '","house":"', F.col("o_custkey"),
-        '","phone":"C-', F.lpad(F.col("o_custkey").cast("string"), 9, "0"), '"}}',
+        '","phone":"C-', F.lpad(F.col("o_custkey").cast("string"), 9, "0"), '","size":',
+        F.when(F.col("o_custkey") % 2 == 0, "-92.021109").otherwise("12.25001"), "}}",
     )
     config = {
         "redactions": [
@@ -78,10 +79,11 @@ def redact_json(spark: SparkSession, sf: str) -> DataFrame:
             {"path": "address.house", "type": "redact"},
             {"path": "address.street", "type": "md5"},
             {"path": "address.phone", "type": "x-digits"},
+            {"path": "address.size", "type": "truncate"},
             {"path": "address.absent", "type": "drop"},
         ]
     }
-    return redact(table(spark, sf, "orders", spread=True).select("o_orderkey", value.alias("value")), config, on_error="drop")
+    return redact(table(spark, sf, "orders").select("o_orderkey", value.alias("value")), config, on_error="drop")
 
 
 @query(
@@ -99,7 +101,7 @@ def redact_failures(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(text('{"address":{"phone":"', F.col("c_name"), '"}}'))
     )
     config = {"redactions": [{"path": "address.phone", "type": "x-digits"}]}
-    out = redact(table(spark, sf, "customer", spread=True).select("c_custkey", value.alias("value")), config)
+    out = redact(table(spark, sf, "customer").select("c_custkey", value.alias("value")), config)
     return out.groupBy(F.col("_error").alias("error")).agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("kept"))
 
 
@@ -135,7 +137,7 @@ def redact_functions(spark: SparkSession, sf: str) -> DataFrame:
     AS text_md5 FROM documents"""
 )
 def mask_emails(spark: SparkSession, sf: str) -> DataFrame:
-    return mask_emails_in(table(spark, sf, "documents", spread=True)).select("doc_id", F.md5("text").alias("text_md5"))
+    return mask_emails_in(table(spark, sf, "documents")).select("doc_id", F.md5("text").alias("text_md5"))
 
 
 # -- timestamps --------------------------------------------------------------------------------
@@ -194,7 +196,7 @@ def ts_to_string_items(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT event_id, (epoch_us(ts) - 3600000000) * 1000 + event_id % 1000 AS value FROM events")
 def string_to_ts(spark: SparkSession, sf: str) -> DataFrame:
     """RFC 3339 text with nine fraction digits and an offset, to nanoseconds."""
-    e = table(spark, sf, "events", spread=True)
+    e = table(spark, sf, "events")
     value = text(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lpad((F.col("event_id") % 1000).cast("string"), 3, "0"), "+01:00"
     )

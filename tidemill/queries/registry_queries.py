@@ -113,12 +113,12 @@ def sync_registry(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """WITH one AS (SELECT s_suppkey, s_nationkey,
       'topic-' || s_suppkey || '-value' AS subject FROM supplier)
-    SELECT subject, CAST(CASE s_suppkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE 1 END AS BIGINT) AS n_problems,
+    SELECT subject, CAST(CASE WHEN s_suppkey % 6 IN (1, 3, 5) THEN 1 ELSE 0 END AS BIGINT) AS n_problems,
     s_suppkey % 2 = 0 AS compatible FROM one"""
 )
 def backward_compatible(spark: SparkSession, sf: str) -> DataFrame:
-    """Per supplier: a wider type; a new field without default; a removed field and a new
-    one with default; a changed type."""
+    """Per supplier: a wider type; a new field without default; a removed field and a new one with default; a
+    changed type; a type that became one of a union; a union that became one of its types."""
     k = F.col("s_suppkey")
     subject = text("topic-", k, "-value").alias("subject")
     old = '{"type":"record","name":"R","fields":[{"name":"k","type":"int"},{"name":"s","type":"string"}]}'
@@ -126,24 +126,28 @@ def backward_compatible(spark: SparkSession, sf: str) -> DataFrame:
         0: '{"type":"record","name":"R","fields":[{"name":"k","type":"long"},{"name":"s","type":"string"}]}',
         1: '{"type":"record","name":"R","fields":[{"name":"k","type":"int"},{"name":"s","type":"string"},{"name":"n","type":"int"}]}',
         2: '{"type":"record","name":"R","fields":[{"name":"k","type":"int"},{"name":"n","type":["null","int"],"default":null}]}',
-        3: '{"type":"record","name":"R","fields":[{"name":"k","type":"string"},{"name":"s","type":"string"}]}',
+        3: '{"type":"record","name":"R","fields":[{"name":"k","type":"boolean"},{"name":"s","type":"string"}]}',
+        4: '{"type":"record","name":"R","fields":[{"name":"k","type":["null","int"]},{"name":"s","type":["null","string"]}]}',
+        5: '{"type":"record","name":"R","fields":[{"name":"k","type":"int"},{"name":"s","type":"string"}]}',
     }
     new = F
     for n, schema in news.items():
-        new = new.when(k % 4 == n, schema)
+        new = new.when(k % 6 == n, schema)
+    old = F.when(k % 6 == 5, '{"type":"record","name":"R","fields":[{"name":"k","type":["null","int"]},{"name":"s","type":"string"}]}').otherwise(old)
     s = table(spark, sf, "supplier")
-    before = s.select(subject, F.lit(1).alias("version"), F.lit(old).alias("schema"))
+    before = s.select(subject, F.lit(1).alias("version"), old.alias("schema"))
     after = s.select(subject, F.lit(2).alias("version"), new.alias("schema"))
     return G.backward_compatible(G.schema_fields(before), G.schema_fields(after))
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN -1 ELSE CAST(user_id AS INTEGER) END AS user_id,
-    CASE WHEN event_id % 3 = 1 THEN 'unknown' ELSE event_type END AS event_type,
-    CASE WHEN event_id % 3 = 2 THEN -1 ELSE epoch_us(ts) END AS ts_millis FROM events"""
+    """SELECT event_id, CASE WHEN event_id % 11 < 3 THEN NULL WHEN event_id % 3 = 0 THEN -1 ELSE CAST(user_id AS INTEGER) END AS user_id,
+    CASE WHEN event_id % 11 < 3 THEN NULL WHEN event_id % 3 = 1 THEN 'unknown' ELSE event_type END AS event_type,
+    CASE WHEN event_id % 11 < 3 THEN NULL WHEN event_id % 3 = 2 THEN -1 ELSE epoch_us(ts) END AS ts_millis,
+    CASE event_id % 11 WHEN 0 THEN 'not a click' WHEN 1 THEN 'not a click' WHEN 2 THEN 'missing value' END AS error FROM events"""
 )
 def decode_click(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON clicks, each lacking one field."""
+    """JSON clicks, each lacking one field; some are malformed, mistyped or missing."""
     k = F.col("event_id") % 3
     body = F.to_json(
         F.struct(
@@ -152,28 +156,34 @@ def decode_click(spark: SparkSession, sf: str) -> DataFrame:
             F.when(k != 2, F.unix_micros(F.col("ts").cast("timestamp"))).alias("ts_millis"),
         )
     )
+    odd = F.col("event_id") % 11
+    body = F.when(odd == 0, "{broken").when(odd == 1, '{"user_id":"x"}').when(odd > 2, body)
     rows = table(spark, sf, "events").select("event_id", body.alias("value"))
-    return G.decode_click(rows).drop("value")
+    return G.decode_click(rows).drop("value").withColumnRenamed("_error", "error")
 
 
 @query(
-    """SELECT CAST(event_id % 3 AS INTEGER) AS schema_id, CAST(CASE WHEN event_id % 3 < 2 THEN props->>'$.k' END AS INTEGER) AS k,
-    CASE WHEN event_id % 3 = 2 THEN 'unknown schema id' END AS error, count(*) AS n FROM events GROUP BY ALL"""
+    """SELECT CAST(event_id % 3 AS INTEGER) AS schema_id,
+    CAST(CASE WHEN event_id % 3 < 2 AND event_id % 5 > 1 THEN props->>'$.k' END AS INTEGER) AS k,
+    CASE WHEN event_id % 3 = 2 THEN 'unknown schema id' WHEN event_id % 5 < 2 THEN 'payload does not match its schema' END AS error,
+    count(*) AS n, coalesce(sum(CASE WHEN event_id % 3 = 2 OR event_id % 5 < 2 THEN
+      CASE event_id % 5 WHEN 0 THEN 7 WHEN 1 THEN 9 ELSE length(props) END END), 0)::BIGINT AS bytes FROM events GROUP BY ALL"""
 )
 def decode_by_schema(spark: SparkSession, sf: str) -> DataFrame:
-    """Typed rows per schema; the registry holds the schemas 0 and 1."""
+    """Typed rows per schema, for a registry of two; some bodies are malformed or mistyped, and rejects keep them."""
     e = table(spark, sf, "events")
-    rows = G.frame_records(e.select("event_id", F.col("props").cast("binary").alias("value")), (F.col("event_id") % 3).cast("int"))
-    registry = _registry(spark, sf).filter(F.col("id") < 2)
+    odd = F.col("event_id") % 5
+    body = F.when(odd == 0, "{broken").when(odd == 1, '{"k":"x"}').otherwise(F.col("props"))
+    rows = G.frame_records(e.select("event_id", body.cast("binary").alias("value")), (F.col("event_id") % 3).cast("int"))
+    registry = registry_of(table(spark, sf, "supplier").filter(F.col("s_suppkey") < 2))
     frames = G.decode_by_schema(rows, registry)
-    parts = [
-        f.select(F.lit(sid).alias("schema_id"), "k", F.col("_error").alias("error")) for sid, f in frames.items() if sid != -1
-    ]
-    parts.append(frames[-1].select("schema_id", F.lit(None).cast("int").alias("k"), F.col("_error").alias("error")))
-    out = parts[0]
-    for p in parts[1:]:
+    none = F.lit(None).cast("string").alias("error")
+    parts = [f.select(F.lit(sid).alias("schema_id"), "k", none, F.lit(0).alias("b")) for sid, f in frames.items() if sid != -1]
+    bad = frames[-1].select("schema_id", F.lit(None).cast("int").alias("k"), F.col("_error").alias("error"), F.octet_length("value").alias("b"))
+    out = bad
+    for p in parts:
         out = out.unionByName(p)
-    return out.groupBy("schema_id", "k", "error").agg(F.count(F.lit(1)).alias("n"))
+    return out.groupBy("schema_id", "k", "error").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("bytes"))
 
 
 @query(

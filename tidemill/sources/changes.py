@@ -21,8 +21,7 @@ DONE_WORDS = ("done", "closed", "resolved")
 HIGH_PRIORITIES = ("Highest", "High")
 NO_ASSIGNEE = "Unassigned"
 NO_REPORTER = "Unknown"
-ISSUE_PREFIX = "jira.issues"
-ISSUE_TOPICS = {"high": "high-priority", "done": "completed", "rest": "all"}
+ISSUE_TOPICS = {"high": "jira.issues.high-priority", "done": "jira.issues.completed", "rest": "jira.issues.all"}
 ISSUE_SCHEMA = (
     "key string, fields struct<summary:string, status:struct<name:string>, priority:struct<name:string>, "
     "issuetype:struct<name:string>, assignee:struct<displayName:string>, reporter:struct<displayName:string>, "
@@ -45,12 +44,17 @@ def read_changes(
     image = row if isinstance(row, str) else row.simpleString()
     if not image.startswith("struct<"):
         image = f"struct<{image}>"
-    envelope = F.from_json(F.col(column).cast("string"), f"op string, before {image}, after {image}, ts_ms bigint")
+    shape = f"op string, before {image}, after {image}, ts_ms bigint, _unread string"
+    envelope = F.from_json(F.col(column).cast("string"), shape, {"columnNameOfCorruptRecord": "_unread"})
     out = records.filter(F.col(column).isNotNull()).withColumn("_e", envelope)
-    bad = F.when(F.col("_e.op").isNull() | ~F.col("_e.op").isin(*OPERATIONS), "not a change event")
-    return with_errors(out.withColumn("_bad", bad).select("*", "_e.*").drop("_e", column), F.col("_bad"), on_error).drop(
-        "_bad"
-    )
+    bad = F.when(F.col("_e").isNull() | F.col("_e._unread").isNotNull(), "unreadable change event").when(
+        F.col("_e.op").isNull() | ~F.col("_e.op").isin(*OPERATIONS), "not a change event"
+    ).when(F.when(F.col("_e.op") == "d", F.col("_e.before")).otherwise(F.col("_e.after")).isNull(), "no row image")
+    tagged = with_errors(out, bad, on_error, costly=True)
+    # the message keeps its body, a good event its row images
+    body = [F.when(F.col("_error").isNotNull(), F.col(column)).alias(column)] if "_error" in tagged.columns else []
+    rest = [c for c in tagged.columns if c not in ("_e", column, "_error")]
+    return tagged.select(*rest, *[F.col(f"_e.{n}") for n in ("op", "before", "after", "ts_ms")], *body, *(["_error"] if body else []))
 
 
 def as_changes(op: Column, before: Column, after: Column, ts_ms: Column) -> Column:
@@ -90,8 +94,7 @@ def map_issues(issues: DataFrame, base_url: str) -> DataFrame:
     )
 
 
-def issue_rules(prefix: str = ISSUE_PREFIX) -> tuple[list[tuple[Column, str]], str]:
+def issue_rules(topic: dict[str, str] = ISSUE_TOPICS) -> tuple[list[tuple[Column, str]], str]:
     """Routing rules and default topic for :func:`tidemill.operators.records.route`."""
-    topic = {kind: f"{prefix}.{name}" for kind, name in ISSUE_TOPICS.items()}
     rules = [(F.col("is_high_priority"), topic["high"]), (F.col("is_completed"), topic["done"])]
     return rules, topic["rest"]

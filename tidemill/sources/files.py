@@ -41,18 +41,9 @@ def read_json_lines(
     return reader.schema(schema).json(path)
 
 
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """A parquet table.
-
-    ``spread_by`` is for work that costs far more than reading: a scan of fewer splits than
-    the cluster has cores is dealt out to all of them by that (unique) column.  A large
-    table has more splits than that and is left as it is.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, spread_by)
-    return df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table; ``spark.sql.files.maxPartitionBytes`` decides its splits."""
+    return spark.read.parquet(path)
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
