@@ -505,3 +505,23 @@ def test_recursive_chunks_keep_other_columns(spark):
     out = documents.chunk_recursive(df, size=5, overlap=2)
     assert out.schema["id"].dataType == T.IntegerType()
     assert [(r["id"], r["tag"], r["chunk_no"], r["start"], r["chunk"]) for r in out.collect()][0] == (1, "x", 0, 0, "a b c")
+
+
+def test_bodies_are_checked_against_schemas_as_data(spark):
+    schema = json.dumps(
+        {"type": "record", "name": "R", "fields": [
+            {"name": "i", "type": "int"}, {"name": "u", "type": ["null", "string"]}, {"name": "d", "type": "double", "default": 0},
+            {"name": "o", "type": {"type": "record", "name": "S", "fields": []}, "default": {}},
+            {"name": "a", "type": {"type": "array", "items": "int"}, "default": []}, {"name": "e", "type": {"type": "enum", "name": "E", "symbols": ["A"]}, "default": "A"},
+        ]}
+    )
+    reg = spark.createDataFrame([("s", 1, 0, "AVRO", schema), ("t", 1, 5, "AVRO", schema)], registry.REGISTRY_SCHEMA)
+    bodies = {
+        '{"i":1}': True, '{"i":1,"u":null,"d":2,"o":{"x":1},"a":[],"e":"A","more":9}': True, '{"i":1,"u":"x","d":2.5}': True,
+        '{"u":"x"}': False, '{"i":1.5}': False, '{"i":"1"}': False, '{"i":3000000000}': False, '{"i":null}': False,
+        '{"i":1,"u":2}': False, '{"i":1,"o":[]}': False, '{"i":1,"a":{}}': False, '{"i":1,"e":1}': False, "[1]": False, "": False,
+    }
+    rows = spark.createDataFrame([(b, b, s) for b in bodies for s in (0, 5, 6)], "b string, value string, schema_id int").withColumn("_error", F.lit(None).cast("string"))
+    out = registry.check_bodies(rows, reg).collect()
+    assert {(r.b, r._error is None) for r in out if r.schema_id != 6} == set(bodies.items())
+    assert {r._error for r in out if r.schema_id == 6} == {"unknown schema id"} and all(r.value == r.b for r in out)

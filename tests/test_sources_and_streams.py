@@ -160,9 +160,9 @@ def test_typed_landing_keeps_rejects(spark):
     framed = registry.frame_records(rows, F.col("sid")).drop("sid")
     framed = framed.unionByName(spark.createDataFrame([(3, None), (4, b"x")], "n int, value binary"))
     path = run_dir(spark, "typed")
-    assert sinks.land_typed(framed, reg, path) == [0]
-    assert [(r["n"], r["k"]) for r in spark.read.parquet(f"{path}/schema_0").collect()] == [(1, 5)]
-    odd = spark.read.parquet(f"{path}/rejected")
+    sinks.land_typed(framed, reg, path)
+    assert [(r["n"], r["k"]) for r in sinks.read_landed(spark, path, 0, schema).collect()] == [(1, 5)]
+    odd = sinks.read_rejected(spark, path)
     assert {(r["n"], r["_error"]) for r in odd.collect()} == {(2, "unknown schema id"), (3, "missing value"), (4, "frame too short")}
 
 
@@ -239,8 +239,8 @@ def test_lake_landing_of_streams(spark, sf, rec):
     framed = registry.frame_records(props, (F.col("event_id") % 2).cast("int"))
     typed = run_dir(spark, "typed")
     sinks.land_typed_stream(framed, reg, typed, run_dir(spark, "c"), trigger=runs.ONCE).awaitTermination()
-    assert spark.read.parquet(f"{typed}/schema_0").filter("k IS NOT NULL").count() == 500
-    assert spark.read.parquet(f"{typed}/rejected").count() == 500
+    assert sinks.read_landed(spark, typed, 0, reg.first()["schema"]).filter("k IS NOT NULL").count() == 500
+    assert sinks.read_rejected(spark, typed).count() == 500
 
 
 def _operators():

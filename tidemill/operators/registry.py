@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.functions import jsonx as J
 from tidemill.functions import wire as W
 from tidemill.functions.errors import ERROR, keep_where, with_errors
 from tidemill.plans.skew import lookup_join
@@ -311,6 +312,54 @@ def decode_bodies(
     return out
 
 
+#: names of JSON values, as VARIANT has them, that each Avro type takes
+_ACCEPTED = {
+    "int": ["BIGINT"], "long": ["BIGINT"], "float": ["BIGINT", "DECIMAL", "DOUBLE"], "double": ["BIGINT", "DECIMAL", "DOUBLE"],
+    "string": ["STRING"], "bytes": ["STRING"], "boolean": ["BOOLEAN"], "null": ["VOID"],
+    "record": ["OBJECT"], "map": ["OBJECT"], "array": ["ARRAY"], "enum": ["STRING"], "fixed": ["STRING"],
+}
+
+
+def check_bodies(rows: DataFrame, registry: DataFrame, column: str = "value") -> DataFrame:
+    """Unframed JSON bodies against the schemas of their ids; ``_error`` tells what does not match.
+
+    Schemas are data here, one row each, joined by id: the plan is the same for any number of them.  A body
+    must be an object; each field of its schema must have a value of the field's type, or of one
+    type of its union; a field may be absent if it has a default or takes null.
+    """
+    fields = F.from_json(F.min("schema"), _RECORD_FIELDS)["fields"]
+    raw = F.from_json(F.get_json_object(F.min("schema"), "$.fields"), "array<string>")
+    by_id = registry.groupBy(F.col("id").alias("schema_id")).agg(fields.alias("_f"), raw.alias("_r"))
+
+    def plain(kind: Column) -> Column:
+        """The bare type name of one branch."""
+        inner = F.when(kind.startswith("{"), F.get_json_object(kind, "$.type")).otherwise(kind)
+        return F.when(inner.startswith("{"), F.get_json_object(inner, "$.type")).otherwise(inner)
+
+    def known(f: Column, i: Column) -> Column:
+        kinds = F.when(f["type"].startswith("["), F.from_json(f["type"], "array<string>")).otherwise(F.array(f["type"]))
+        optional = F.array_contains(F.json_object_keys(F.get(F.col("_r"), i)), "default") | F.array_contains(kinds, "null")
+        return F.struct(f["name"].alias("name"), F.transform(kinds, plain).alias("kinds"), optional.alias("optional"))
+
+    by_id = by_id.select("schema_id", F.transform("_f", known).alias("_fields"))
+    joined = lookup_join(rows, by_id, ["schema_id"]).withColumn("_m", J.members(J.parse(F.col(column))))
+    accepted = F.create_map(*[x for k, v in _ACCEPTED.items() for x in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
+
+    def fits(f: Column) -> Column:
+        value = F.try_element_at(F.col("_m"), f["name"])
+        kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+        small = (kind != "BIGINT") | F.try_variant_get(value, "$", "int").isNotNull()
+        takes = F.exists(f["kinds"], lambda k: F.array_contains(F.try_element_at(accepted, k), kind) & ((k != "int") | small))
+        return F.coalesce(F.when(value.isNull(), f["optional"]).otherwise(takes), F.lit(False))
+
+    error = (
+        F.when(F.col(column).isNull() & F.col(ERROR).isNull(), "missing value")
+        .when(F.col("schema_id").isNotNull() & F.col("_fields").isNull(), "unknown schema id")
+        .when(F.col("_m").isNull() | ~F.forall("_fields", fits), MISMATCH)
+    )
+    return with_errors(joined, error, "reject").drop("_m", "_fields")
+
+
 def decode_click(df: DataFrame, column: str = "value", on_error: str = "reject") -> DataFrame:
     """Clicks from JSON bodies with the defaults of absent fields; a zero time becomes now.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import compare as X
 from tidemill.operators.records import decode_cols, regex_filter
-from tidemill.operators.registry import frame_records
+from tidemill.operators.registry import frame_records, json_decoder
 from tidemill.plans.shared import run_dir
 from tidemill.queries.base import READABLE, REC, event_records, micros, query, readable, records_of, table
 from tidemill.queries.json_queries import stock_lines
@@ -143,21 +143,40 @@ def land_key_value(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(user_id % 3 AS INTEGER) AS schema_id, event_id, CAST(props->>'$.k' AS INTEGER) AS k
-    FROM events WHERE user_id % 3 < 2"""
+    """WITH n AS (SELECT max(s_suppkey) AS top FROM supplier),
+    e AS (SELECT event_id, user_id % (top + 3) AS id, event_id % 7 AS odd, props, s_suppkey IS NULL AS unknown
+      FROM events, n LEFT JOIN supplier ON s_suppkey = user_id % (top + 3))
+    SELECT CAST(id AS INTEGER) AS schema_id, event_id, CAST(CASE WHEN NOT unknown AND odd > 3 THEN props->>'$.k' END AS INTEGER) AS k,
+      CASE WHEN unknown THEN 'unknown schema id' WHEN odd < 4 THEN 'payload does not match its schema' END AS error,
+      CASE WHEN unknown OR odd < 4 THEN CASE odd WHEN 0 THEN NULL WHEN 1 THEN '{broken' WHEN 2 THEN '{"k":"x"}' WHEN 3 THEN '{"k":1.5}' ELSE props END END AS body
+    FROM e"""
 )
 def land_typed(spark: SparkSession, sf: str) -> DataFrame:
-    """Framed records landed as one typed table per schema."""
-    e = table(spark, sf, "events")
-    rows = e.select("event_id", "user_id", F.col("props").cast("binary").alias("value"))
-    framed = frame_records(rows, (F.col("user_id") % 3).cast("int")).drop("user_id")
+    """Framed records of every supplier's schema landed and read back, rejects with their body."""
+    suppliers = table(spark, sf, "supplier")
+    top = suppliers.agg(F.max("s_suppkey").alias("top"))
+    e = table(spark, sf, "events").join(F.broadcast(top))  # one row
+    odd = F.col("event_id") % 7
+    body = F.when(odd == 1, "{broken").when(odd == 2, '{"k":"x"}').when(odd == 3, '{"k":1.5}').when(odd > 3, F.col("props"))
+    sid = F.col("user_id") % (F.col("top") + 3)
+    rows = e.select("event_id", sid.cast("int").alias("sid"), body.cast("binary").alias("value"))
     path = run_dir(spark, "typed")
-    registry = registry_of(table(spark, sf, "supplier")).filter(F.col("id") < 2)
-    out = None
-    for sid in S.land_typed(framed, registry, path):
-        part = spark.read.parquet(f"{path}/schema_{sid}").select(F.lit(sid).alias("schema_id"), "event_id", "k")
-        out = part if out is None else out.unionByName(part)
-    return out
+    empty = F.when(F.col("value").isNull(), F.lit(b""))
+    framed = frame_records(rows.withColumn("value", F.coalesce("value", empty)), F.col("sid")).drop("sid")
+    S.land_typed(framed, registry_of(suppliers), path)
+    # all schemas here have the field k; one of them types its own folders, the rest are read alike
+    landed = spark.read.parquet(path).filter(F.col(S.LANDED) != S.REJECTED)
+    good = landed.select("schema_id", "event_id", json_decoder(F.col("value"), _K_SCHEMA)["k"].alias("k"))
+    none = F.lit(None).cast("string")
+    good = good.withColumn("error", none).withColumn("body", none)
+    bad = S.read_rejected(spark, path).select(
+        "schema_id", "event_id", F.lit(None).cast("int").alias("k"), F.col("_error").alias("error"),
+        F.nullif(F.col("value").cast("string"), F.lit("")).alias("body"),
+    )
+    return good.unionByName(bad)
+
+
+_K_SCHEMA = '{"type":"record","name":"K","fields":[{"name":"k","type":"int"}]}'
 
 
 @query(f"WITH {REC} SELECT {READABLE} FROM rec")

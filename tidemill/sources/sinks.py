@@ -4,23 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.documents import document_rows
 from tidemill.operators.limits import offset_order
-from tidemill.operators.registry import decode_bodies, json_decoder, unframe_records
-from tidemill.plans.shared import run_dir
-from tidemill.plans.skew import fits_broadcast
+from tidemill.operators.registry import check_bodies, json_decoder, unframe_records
 from tidemill.sources.topics import has_kafka
 
-# --- fixed values: output batching and commit cadence -----------------------------------
-BATCH_RECORDS = 100
+# --- fixed values: commit cadence -------------------------------------------------------
 BATCH_INTERVAL = "1 second"
 LAKE_COMMIT_INTERVAL = "5 seconds"
-POLL_INTERVAL = "30 seconds"
 # ----------------------------------------------------------------------------------------
+#: the folder column of landed records, and its value for rejects
+LANDED = "landed"
+REJECTED = -1
 
 
 def assign_partition(df: DataFrame, number: Column, partitions: int) -> DataFrame:
@@ -103,46 +102,47 @@ def _each_batch(
     return writer.trigger(**(trigger or {"processingTime": LAKE_COMMIT_INTERVAL})).start()
 
 
-def land_typed(
-    df: DataFrame,
-    registry: DataFrame,
-    path: str,
-    decoder: Callable[[Column, str], Column] = json_decoder,
-    mode: str = "append",
-    part: str = "",
-) -> list[int]:
-    """Land framed records typed by their schema, one table per schema id, rejects in
-    ``rejected``; returns the ids.
-
-    The topic is read once: bodies are first written by schema id, then every typed table
-    reads its own folder only.  ``part`` names a sub-folder of every table.
+def land_typed(df: DataFrame, registry: DataFrame, path: str, mode: str = "append") -> None:
+    """Land framed records by their schema, in one pass and for a registry of any size.
+
+    Each body is checked against its schema where it is read (:func:`check_bodies`), and
+    everything is written once: good bodies to the folder of their schema id, rejects with
+    message and body to the folder :data:`REJECTED`.  :func:`read_landed` types a folder's bodies.
     """
-    staged = run_dir(df.sparkSession, "frames")
     unframed = unframe_records(df, on_error="reject")
-    unframed.withColumn("_schema", F.coalesce("schema_id", F.lit(-1))).write.partitionBy("_schema").parquet(staged)
-    bodies = df.sparkSession.read.parquet(staged)
-    known = [r["id"] for r in registry.select("id").distinct().collect()] if fits_broadcast(registry, 1000) else []
-    frames = decode_bodies(bodies, registry, decoder)
-    for sid, rows in frames.items():
-        folder = "rejected" if sid == -1 else f"schema_{sid}"
-        # the folder filter prunes the scan to the branch's own partition(s)
-        own = (F.col("_schema") == sid) if sid != -1 else ~F.col("_schema").isin(known)
-        rows.filter(own).drop("_schema").write.mode(mode).parquet(f"{path}/{folder}{part}")
-    return sorted(i for i in frames if i != -1)
+    checked = check_bodies(unframed, registry)
+    folder = F.when(F.col("_error").isNull(), F.col("schema_id")).otherwise(REJECTED)
+    writer = checked.withColumn(LANDED, folder).write.mode(mode)
+    writer.partitionBy(LANDED).parquet(path)
 
 
-def land_typed_stream(
-    df: DataFrame,
-    registry: DataFrame,
+def read_landed(
+    spark: SparkSession,
     path: str,
-    checkpoint: str | None,
+    schema_id: int,
+    schema: str,
     decoder: Callable[[Column, str], Column] = json_decoder,
-    trigger: Mapping | None = None,
+    column: str = "value",
+) -> DataFrame:
+    """The records of one schema with typed columns; only that schema's folders are read."""
+    rows = spark.read.parquet(path).filter(F.col(LANDED) == schema_id)
+    typed = rows.withColumn("_p", decoder(F.col(column), schema))
+    meta = [c for c in rows.columns if c not in (column, "schema_id", "_error", LANDED, "batch_id")]
+    return typed.select(*meta, "_p.*")
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """What could not be landed, with message and body."""
+    return spark.read.parquet(path).filter(F.col(LANDED) == REJECTED).drop(LANDED, "batch_id")
+
+
+def land_typed_stream(
+    df: DataFrame, registry: DataFrame, path: str, checkpoint: str | None, trigger: Mapping | None = None
 ) -> StreamingQuery:
-    """:func:`land_typed` for a stream: one sub-folder per batch and table."""
+    """:func:`land_typed` for a stream: one sub-folder per batch, which a repeated batch replaces."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        land_typed(batch, registry, path, decoder, "overwrite", f"/batch_id={batch_id}")
+        land_typed(batch, registry, f"{path}/batch_id={batch_id}", "overwrite")
 
     return _each_batch(df, write, checkpoint, trigger)
 
