@@ -107,6 +107,22 @@ def test_latest_is_combined_before_the_shuffle(skewed):
     assert "partial_max_by" in plan and "Window" not in plan
 
 
+def test_compaction_sorts_no_whole_records(spark, sf):
+    from tidemill.queries.base import event_records
+
+    plan = plan_of(keyed.compact(event_records(spark, sf)))
+    assert "SortAggregate" not in plan and "Sort " not in plan and "HashAggregate" in plan
+    assert "partial_max(" in plan and "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+
+
+def test_latest_of_hot_and_null_keys(spark):
+    rows = [(i % 3 if i % 7 else None, i, f"v{i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, t int, v string")
+    want = {k: max(r for r in rows if r[0] == k) if k is not None else max((r for r in rows if r[0] is None), key=lambda r: r[1]) for k in {r[0] for r in rows}}
+    for reread in (True, False):
+        assert sorted(map(tuple, keyed.latest_by_key(df, ["k"], ["t"], reread).collect()), key=str) == sorted(want.values(), key=str)
+
+
 def test_reconciliation_joins_reduced_rows_only(spark, sf):
     from tidemill.queries.base import event_records
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +15,21 @@ from tidemill.plans.skew import HOT_ROWS, lookup_join
 PARTITION_KEY = ("topic", "partition", "key")
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], reread: bool = True) -> DataFrame:
     """The last row of each key in ``order`` (which must be unique within a key).
 
-    ``max_by`` is combined before the shuffle: a key with many rows sends one per task.
+    With one order column the newest place of each key is hash-aggregated from the narrow columns, and the
+    rows at those places are kept by a hash join: no whole record is sorted, and as the place is part of
+    the join key, a hot key spreads over all tasks.  The input is read twice; ``reread=False`` is for
+    inputs that are costly to compute, and for several order columns: whole rows are then
+    combined before the shuffle, so that a key with many rows sends one per task.
     """
+    if reread and len(order) == 1 and not df.isStreaming:
+        named = {k: f"_key{i}" for i, k in enumerate(keys)}
+        newest = df.groupBy(*[F.col(k).alias(n) for k, n in named.items()]).agg(F.max(order[0]).alias("_place"))
+        pairs = [*named.items(), (order[0], "_place")]
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in pairs])
+        return df.join(newest.hint("shuffle_hash"), same, "left_semi")
     rest = [c for c in df.columns if c not in keys]
     last = F.max_by(F.struct(*rest), F.struct(*order))
     return df.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*").select(*df.columns)
@@ -78,7 +89,7 @@ def current_rows(
     changes: DataFrame, keys: Sequence[str], order: Sequence[str], op: str = "op"
 ) -> DataFrame:
     """Current table of a change log: the last change of each key, deleted rows left out."""
-    return latest_by_key(changes, keys, order).filter(F.col(op) != "d")
+    return latest_by_key(changes, keys, order, reread=False).filter(F.col(op) != "d")
 
 
 def history_intervals(
