@@ -29,7 +29,10 @@ def throughput(df: DataFrame, time_col: str, period: str = "day", by: Sequence[s
 def aging(
     df: DataFrame, created: str, width_days: int, as_of: datetime | Column, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Histogram of ages: items, youngest and oldest age in days per age bucket."""
+    """Histogram of ages: items, and youngest, oldest, median and 90th-percentile age in days per bucket.
+
+    Percentiles are exact: what is combined is a count for each of a bucket's ages, at most ``width_days``.
+    """
     days = F.datediff(F.lit(as_of).cast("date"), F.col(created).cast("date"))
     aged = df.withColumn("_age", days)
     bucket = F.floor(F.col("_age") / width_days).cast("bigint")
@@ -37,6 +40,8 @@ def aging(
         F.count(F.lit(1)).alias("n"),
         F.min("_age").cast("bigint").alias("min_age"),
         F.max("_age").cast("bigint").alias("max_age"),
+        F.percentile("_age", 0.5).alias("median_age"),
+        F.percentile("_age", 0.9).alias("p90_age"),
     )
 
 

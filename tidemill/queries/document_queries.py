@@ -122,11 +122,16 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_HITS} SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(1 / (1 + distance), 6) AS score FROM hits
-    WHERE 1 / (1 + distance) >= 0.505"""
+    """WITH d AS (SELECT q.vec_id AS query_id, e.vec_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS distance
+      FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0),
+    hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d QUALIFY rank <= 10)
+    SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(1 / (1 + distance), 6) AS score FROM hits WHERE 1 / (1 + distance) >= 0.75"""
 )
 def vector_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    hits = N.above_threshold(_hits(spark, sf), 0.505)
+    """The neighbours of every fiftieth vector that are near enough: most of the ten are cut."""
+    vectors = table(spark, sf, "embeddings")
+    asked = vectors.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    hits = N.above_threshold(N.top_k(vectors, asked))
     return hits.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 

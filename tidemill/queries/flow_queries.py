@@ -43,10 +43,12 @@ def throughput_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """WITH a AS (SELECT o_orderpriority, date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-02') AS age FROM orders)
-    SELECT age // 90 AS bucket, o_orderpriority, count(*) AS n, min(age) AS min_age, max(age) AS max_age FROM a GROUP BY 1, 2"""
+    SELECT age // 90 AS bucket, o_orderpriority, count(*) AS n, min(age) AS min_age, max(age) AS max_age,
+    quantile_cont(CAST(age AS DOUBLE), 0.5) AS median_age, round(quantile_cont(CAST(age AS DOUBLE), 0.9), 6) AS p90_age FROM a GROUP BY 1, 2"""
 )
 def aging_buckets(spark: SparkSession, sf: str) -> DataFrame:
-    return W.aging(table(spark, sf, "orders"), "o_orderdate", 90, datetime(2001, 8, 2), ["o_orderpriority"])
+    out = W.aging(table(spark, sf, "orders"), "o_orderdate", 90, datetime(2001, 8, 2), ["o_orderpriority"])
+    return out.withColumn("p90_age", F.round("p90_age", 6))
 
 
 @query(
