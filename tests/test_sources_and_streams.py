@@ -134,10 +134,25 @@ def test_state_survives_a_restart_between_files(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
         runs.stream_latest(stream, ["k"], ["t", "v"], out, progress).awaitTermination()
-    state = runs.read_latest(spark.read.parquet(out), ["k"], ["t", "v"])
+    state = runs.read_latest(spark, out, ["k"], ["t", "v"])
     assert sorted(map(tuple, state.collect())) == [(1, 2, "c"), (2, 5, "d"), (3, 1, "e")]
 
 
+def test_keyed_table_is_compacted(spark):
+    """Many batches, some run again: the folders stay as many, the table is that of all batches."""
+    table = runs.KeyedTable(run_dir(spark, "kt"), ["k"], ["t"], every=2)
+    want = {}
+    for batch_id in range(11):
+        rows = [(k, batch_id * 10 + k, f"b{batch_id}") for k in range(batch_id % 3, 6, 2)]
+        want.update({k: (k, t, v) for k, t, v in rows})
+        batch = spark.createDataFrame([*rows, (rows[0][0], -1, "old")], "k int, t int, v string")
+        for _ in range(1 + batch_id % 2):
+            table.write(batch, batch_id)
+    assert sorted(map(tuple, table.read(spark).collect())) == sorted(want.values())
+    assert spark.read.parquet(f"{table.path}/log").select("slot").distinct().count() <= 4
+    assert spark.read.parquet(f"{table.path}/base").select("slot").distinct().count() == 2
+
+
 def test_merged_changes_are_the_current_table(spark, tmp_path):
     schema = "id int, op string, ts_ms bigint"
     source, out, progress = str(tmp_path / "in"), run_dir(spark, "mc"), run_dir(spark, "cp")
@@ -147,7 +162,7 @@ def test_merged_changes_are_the_current_table(spark, tmp_path):
         merge = runs.merge_changes(out, ["id"], ["ts_ms"])
         query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", progress).trigger(availableNow=True)
         query.start().awaitTermination()
-    log = spark.read.parquet(out).drop("batch_id")
+    log = runs.read_latest(spark, out, ["id"], ["ts_ms"])
     assert sorted((r["id"], r["op"]) for r in keyed.current_rows(log, ["id"], ["ts_ms"]).collect()) == [(1, "u"), (3, "c")]
 
 

@@ -38,10 +38,13 @@ def stream_transform(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {REC} SELECT {READABLE} FROM rec")
 def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs with one checkpoint: the second finds nothing new, no record is written twice."""
+    """Two runs with one checkpoint; new input comes between them, and no record is written twice."""
     path, progress = _dirs(spark, "restart")
-    for _ in range(2):
-        source = records_of(_events_stream(spark, sf))
+    arrived = run_dir(spark, "arrivals")
+    events = table(spark, sf, "events")
+    for rest in range(2):
+        events.filter(F.col("event_id") % 2 == rest).write.mode("append").parquet(arrived)
+        source = records_of(spark.readStream.schema(events.schema).parquet(arrived))
         Z.run_transform(source, lambda df: df, path, progress).awaitTermination()
     return readable(spark.read.parquet(path))
 
@@ -54,22 +57,41 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     path, progress = _dirs(spark, "latest")
     source = _events_stream(spark, sf)
     Z.stream_latest(source, ["user_id"], ["ts", "event_id"], path, progress).awaitTermination()
-    state = Z.read_latest(spark.read.parquet(path), ["user_id"], ["ts", "event_id"])
+    state = Z.read_latest(spark, path, ["user_id"], ["ts", "event_id"])
     return state.select("event_id", "user_id", "event_type", micros("ts").alias("ts_us"))
 
 
 @query(
-    """WITH d AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2)
-    SELECT epoch_us(day) AS day_us, event_type, n FROM d
-    WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
+    """SELECT event_id % 500 AS id, epoch_us(max(ts)) AS ts_us, true AS kept
+    FROM events GROUP BY 1 HAVING arg_max(event_type, (ts, event_id)) <> 'error'"""
+)
+def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes merged batch by batch into a table; an error deletes its row."""
+    path, progress = _dirs(spark, "merge")
+    events = table(spark, sf, "events")
+    arrived = run_dir(spark, "changes")
+    op = F.when(F.col("event_type") == "error", "d").otherwise("u")
+    for part in range(3):
+        rows = events.filter(F.col("event_id") % 3 == part).withColumns({"id": F.col("event_id") % 500, "op": op})
+        rows.write.mode("append").parquet(arrived)
+        source = spark.readStream.schema(rows.schema).parquet(arrived)
+        merge = Z.merge_changes(path, ["id"], ["ts", "event_id"], every=2)
+        run = source.writeStream.foreachBatch(merge).option("checkpointLocation", progress).trigger(**Z.ONCE).start()
+        run.awaitTermination()
+    state = Z.read_latest(spark, path, ["id"], ["ts", "event_id"])
+    return state.filter("op <> 'd'").select("id", micros("ts").alias("ts_us"), F.lit(True).alias("kept"))
+
+
+@query(
+    """SELECT epoch_us(date_trunc('day', ts)) AS day_us, event_type, count(*) AS n FROM events GROUP BY 1, 2"""
 )
 def stream_throughput(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed daily windows; the last open one is not emitted."""
+    """Daily windows, the last open one included."""
     path, progress = _dirs(spark, "throughput")
     source = _events_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    windows = Z.throughput_windows(source, "ts", "1 day", "1 hour", ["event_type"])
-    Z.append_query(windows, path, progress).awaitTermination()
-    return spark.read.parquet(path).select(micros("period").alias("day_us"), "event_type", "n")
+    Z.throughput_table(source, "ts", "1 day", "1 hour", path, progress, ["event_type"]).awaitTermination()
+    out = Z.read_latest(spark, path, ["period", "event_type"], ["n"])
+    return out.select(micros("period").alias("day_us"), "event_type", "n")
 
 
 @query(
