@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.settings import configured
 from tidemill.functions.text import EMAIL_PATTERN, contains_any
 from tidemill.operators import records as R
 from tidemill.operators.json_ops import flatten_json
@@ -291,3 +292,43 @@ def routed_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     rules = [(F.col("kind") == "purchase", "activity.sales"), (F.col("kind") == "error", "activity.errors")]
     routed = R.route(rows, rules, "activity.all").withColumn("day", F.date_format("timestamp", "yyyy-MM-dd"))
     return routed.groupBy("topic", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users"))
+
+
+@query(f"WITH {REC} SELECT topic, off, unnest([event_type, CAST(event_id AS VARCHAR)]) AS tag FROM rec WHERE event_id % 3 <> 0")
+def record_callback(spark: SparkSession, sf: str) -> DataFrame:
+    """A callback over Arrow batches that gives none or two rows for a record."""
+    rows = event_records(spark, sf).select("topic", F.col("offset").alias("off"), "partition", "value")
+
+    def tags(batches):
+        import json
+
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for topic, off, part, value in zip(*(c.to_pylist() for c in batch.columns)):
+                if (off * 4 + part) % 3:
+                    out += [(topic, off, str(tag)) for tag in json.loads(value)["tags"]]
+            columns = list(zip(*out)) if out else [[], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())],
+                names=["topic", "off", "tag"],
+            )
+
+    return R.apply_each(rows, tags, "topic string, off long, tag string")
+
+
+@query("SELECT event_id, true AS stamped, 1::BIGINT AS times FROM events")
+def processing_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of a run has the same processing time, not before the run."""
+    rows = R.with_processing_time(table(spark, sf, "events").select("event_id"))
+    times = rows.agg(F.count_distinct("processed_at").alias("times"))
+    stamped = rows.select("event_id", (F.col("processed_at") > F.lit("2024-01-01").cast("timestamp")).alias("stamped"))
+    return stamped.join(F.broadcast(times))  # one row
+
+
+@query(f"WITH {REC} SELECT {READABLE} FROM rec WHERE regexp_matches(value, 'error')")
+def configured_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """A filter whose parameters come from settings by name."""
+    run = configured(R.regex_filter, {"PATTERN": "error", "MATCH_VALUE": "yes"})
+    return readable(event_records(spark, sf).transform(run))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import base64
+import gzip
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.instants import normalise_epoch
-from tidemill.functions.redaction import bind
+from tidemill.functions.redaction import bind, register_function
 from tidemill.operators.documents import mask_emails_in
 from tidemill.operators.redact import redact
 from tidemill.operators.timestamps import convert_ts
@@ -280,3 +284,28 @@ def normalised_epochs(spark: SparkSession, sf: str) -> DataFrame:
         k == 1, F.expr("unix_micros(CAST(ts AS timestamp)) div 1000")
     ).when(k == 2, us).otherwise(us * 1000)
     return table(spark, sf, "events").select("event_id", normalise_epoch(mixed).alias("us"))
+
+
+@query(
+    """SELECT o_orderkey, '{"id":' || o_orderkey || ',"priority":"' || reverse(o_orderpriority) || '","owner":"<' || o_custkey || '>"}' AS value
+    FROM orders"""
+)
+def redact_own(spark: SparkSession, sf: str) -> DataFrame:
+    """Redactors of one's own from a packed configuration, one of them with a function of one's own."""
+    register_function("mirror", lambda col, params: F.reverse(col))
+    config = {
+        "redactors": [
+            {"name": "redact", "type": "value", "quote": True, "value": {"function": "prepend", "prefix": "<"}},
+            {"name": "mirrored", "type": "value", "quote": True, "value": {"function": "mirror"}},
+        ],
+        "redactions": [{"path": "priority", "type": "mirrored"}, {"path": "owner", "type": "redact"}, {"path": "note", "type": "drop"}],
+    }
+    packed = base64.b64encode(gzip.compress(json.dumps(config).encode())).decode()
+    value = text('{"id":', F.col("o_orderkey"), ',"note":1,"priority":"', F.col("o_orderpriority"), '","owner":"', F.col("o_custkey"), '>"}')
+    rows = table(spark, sf, "orders").select("o_orderkey", value.alias("value"))
+    out = redact(rows, packed, on_error="drop")
+    # members come in the order of their names
+    member = lambda name: F.get_json_object("value", f"$.{name}")
+    return out.select(
+        "o_orderkey", text('{"id":', member("id"), ',"priority":"', member("priority"), '","owner":"', member("owner"), '"}').alias("value")
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemill.functions.errors import with_errors
 from tidemill.operators.limits import newest
 from tidemill.functions.text import contains_any
-from tidemill.operators.records import since
+from tidemill.operators.records import since, url_column
 
 #: read (snapshot), create, update, delete
 OPERATIONS = ("r", "c", "u", "d")
@@ -81,7 +81,7 @@ def map_issues(issues: DataFrame, base_url: str) -> DataFrame:
         f["status"]["name"].alias("status"),
         f["priority"]["name"].alias("priority"),
         f["issuetype"]["name"].alias("issue_type"),
-        F.concat(F.lit(f"{base_url}/browse/"), "key").alias("url"),
+        url_column(f"{base_url}/browse/", F.col("key")).alias("url"),
         F.when(f["assignee"].isNotNull(), f["assignee"]["displayName"]).otherwise(NO_ASSIGNEE).alias("assignee"),
         F.when(f["reporter"].isNotNull(), f["reporter"]["displayName"]).otherwise(NO_REPORTER).alias("reporter"),
         f["created"].alias("created"),
