@@ -22,6 +22,7 @@ HEADLINE = [
     "reconcile_topics", "lag_by_topic", "failover_union", "lead_time", "sla_compliance", "throughput_daily",
     "newest_n", "replay_reversed", "html_to_text", "chunk_fixed", "chunk_recursive",
     "vector_topk", "vector_lsh", "context_rows", "stream_transform", "stream_latest", "stream_silent_keys",
+    "land_typed", "decode_by_schema", "attach_embeddings", "stream_dedupe", "json_rejects", "vector_threshold",
 ]
 
 

@@ -6,7 +6,7 @@ from oracle import compare, connect
 from tidemill.queries import ORACLES, QUERIES
 
 # nothing of this kind lies in the smallest tables
-MAY_BE_EMPTY = {"stale_keys", "stream_silent_keys", "vector_threshold", "issue_poll"}
+MAY_BE_EMPTY = {"stale_keys", "stream_silent_keys", "issue_poll"}
 
 
 @pytest.fixture(scope="module")
