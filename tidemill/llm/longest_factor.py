@@ -21,14 +21,14 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from tidemill.llm.common import batch_of, chunks, keyed, mixed, pack, runs, shuffle_partitions, slots, spread, unpack, with_row
-from tidemill.llm.postings import BLOCKS, Combiner, hit_blocks, hit_values, settle, told, unsettled
+from tidemill.llm.postings import BLOCKS, Combiner, hit_blocks, hit_values, settle, short_key, steps_of, told, unsettled
 from tidemill.llm.token_windows import SPANS, SPANS_TYPE, intervals
 
 _BLOCKS = pa.schema([("pid", pa.int32()), ("block", pa.binary()), ("settled", pa.bool_())])
 #: the place of an interval: start and end
 _SPAN = np.dtype("<u4,<u4")
 #: bytes of segments that a task gathers before it sends them, and that it remembers
-FLUSH_BYTES = 4 << 20
+FLUSH_BYTES = 8 << 20
 REMEMBERED_BYTES = 24 << 20
 #: strings that one step of a reducer sorts
 SLICE_ROWS = 1 << 19
@@ -59,7 +59,7 @@ def seeds(data: np.ndarray, length: int) -> np.ndarray:
         if k < 8:
             piece = piece & np.uint64((1 << (8 * k)) - 1)
         h = mixed(h ^ piece) if at else mixed(piece + np.uint64(0x9E3779B97F4A7C15))
-    return sliding_min(h, length - k + 1)
+    return mixed(sliding_min(h, length - k + 1))  # minima are small: scrambled again, they spread evenly
 
 
 def _post_seeds(length: int, partitions: int):
@@ -75,7 +75,7 @@ def _post_seeds(length: int, partitions: int):
             change[1:] &= (h[1:] != h[:-1]) | (doc[1 : len(h)] != doc[: len(h) - 1]) | ~inside[:-1]
             at = np.flatnonzero(change)
             rank, th = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("rank", "th"))
-            yield from combiner.step(h[at], doc[at], h[at], rank, th)
+            yield from combiner.step(h[at], doc[at], rank, th)
 
     return run
 
@@ -99,14 +99,18 @@ def _segments(length: int, partitions: int, text_col: str):
             ids, blocks = [], []
             for p in np.flatnonzero(np.diff(edge)):
                 part = [waiting[i] for i in order[edge[p] : edge[p + 1]]]
+                docs: dict[tuple[int, int], int] = {}
+                local = [docs.setdefault(w[3:], len(docs)) for w in part]
+                rank, th = zip(*docs)
                 head = pack(
-                    h[order[edge[p] : edge[p + 1]]],
+                    steps_of(h[order[edge[p] : edge[p + 1]]]),
                     np.array([len(w[1]) for w in part], np.uint32),
                     np.array([w[2] for w in part], np.uint32),
-                    np.array([w[3] for w in part], np.int64),
-                    np.array([w[4] for w in part], np.int64),
+                    np.array(local, np.uint32),
+                    np.array(rank, np.int64),
+                    np.array(th, np.int64),
                 )
-                body = zstandard.ZstdCompressor(level=1).compress(b"".join([w[1] for w in part]))
+                body = zstandard.ZstdCompressor(level=3).compress(b"".join([w[1] for w in part]))
                 ids.append(p)
                 blocks.append(len(head).to_bytes(8, "little") + head + body)
             yield batch_of(_BLOCKS, [ids, blocks, [False] * len(ids)])
@@ -121,7 +125,7 @@ def _segments(length: int, partitions: int, text_col: str):
                 if not cell or len(own) < length:
                     continue
                 h = seeds(own, length)
-                shared = np.isin(h, hit_values(cell, np.uint64))
+                shared = np.isin(short_key(h), hit_values(cell, np.uint32))
                 first = runs(h)
                 first = first[shared[first]]
                 last = np.searchsorted(runs(h), first, "right")
@@ -196,8 +200,11 @@ def _order(length: int, partitions: int):
         parts = []
         for raw in blocks:
             size = int.from_bytes(raw[:8], "little")
-            head = unpack(raw[8 : 8 + size], np.uint64, np.uint32, np.uint32, np.int64, np.int64)
-            parts.append((*head, raw[8 + size :]))
+            h, sizes, starts, local, rank, th = unpack(raw[8 : 8 + size], np.uint64, *[np.uint32] * 3, *[np.int64] * 2)
+            body = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[8 + size :]), np.uint8)
+            edges = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+            parts.append((np.cumsum(h, dtype=np.uint64), sizes, starts, rank[local], th[local], edges, body))
+        del blocks
         total = sum(int(p[1].sum()) - len(p[1]) * (length - 1) for p in parts)
         steps = -(-total // SLICE_ROWS)
         if not total:
@@ -207,12 +214,10 @@ def _order(length: int, partitions: int):
             a = low + (high - low) * s // steps
             b = low + (high - low) * (s + 1) // steps if s + 1 < steps else high + 1
             texts, sizes, starts, rank, th = [], [], [], [], []
-            for ph, n, at, r, t, body in parts:  # sorted by seed
+            for ph, n, at, r, t, edge, body in parts:  # sorted by seed
                 i, j = int(np.searchsorted(ph, np.uint64(a))), len(ph) if b > high else int(np.searchsorted(ph, np.uint64(b)))
                 if i < j:
-                    edge = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
-                    raw = zstandard.ZstdDecompressor().decompress(body)
-                    texts.append(np.frombuffer(raw, np.uint8)[edge[i] : edge[j]])
+                    texts.append(body[edge[i] : edge[j]])
                     sizes.append(n[i:j]), starts.append(at[i:j]), rank.append(r[i:j]), th.append(t[i:j])
             if texts:
                 spans = _covered(length, *map(np.concatenate, (texts, sizes, starts, rank, th)))
@@ -296,7 +301,7 @@ def remove_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: s
     n = shuffle_partitions(docs.sparkSession)
 
     posted = rows.select("rank", "th", "text").mapInArrow(_post_seeds(length, n), BLOCKS)
-    shared = told(posted, n, settle(n, False, np.uint64), np.uint64)
+    shared = told(posted, n, settle(n, False), np.uint32)
     whole = rows.select("rank", "th", "row")  # shuffled once for both joins
     segments = whole.join(shared, ["rank", "th"]).mapInArrow(_segments(length, n, text_col), BLOCKS)
     spans = told(segments, n, _order(length, n), _SPAN)

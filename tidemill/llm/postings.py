@@ -36,7 +36,7 @@ class Combiner:
     """Settles in a task what a smaller document of the same task decides already.
 
     ``need_earlier``: a posting counts as a hit if a smaller document has the hash; otherwise it counts
-    as soon as another document has it.
+    as soon as another document has it, and then the hit reports the lower half of the hash.
     """
 
     def __init__(self, partitions: int, need_earlier: bool):
@@ -44,10 +44,13 @@ class Combiner:
         self.known = np.zeros(0, np.uint64)
         self.known_rank = np.zeros(0, np.int64)
 
-    def step(self, h: np.ndarray, doc: np.ndarray, value: np.ndarray, rank: np.ndarray, th: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def step(
+        self, h: np.ndarray, doc: np.ndarray, rank: np.ndarray, th: np.ndarray, value: np.ndarray | None = None
+    ) -> Iterator[pa.RecordBatch]:
         """Postings of one step; ``doc`` indexes ``rank`` and ``th``; ``value`` is what a hit reports."""
         order = np.argsort(h)
-        h, doc, value = h[order], doc[order], value[order]
+        h, doc = h[order], doc[order]
+        value = short_key(h) if value is None else value[order]
         r = rank[doc]
         first = runs(h)
         length = np.diff(np.append(first, len(h)))
@@ -83,10 +86,15 @@ class Combiner:
             part = slice(edge[p], edge[p + 1])
             docs, local = np.unique(doc[part], return_inverse=True)
             ids.append(p)
-            blocks.append(pack(steps_of(h[part]), local.astype(np.uint32), value[part], rank[docs], th[docs]))
+            places = [value[part]] if self.need_earlier else []
+            blocks.append(pack(steps_of(h[part]), local.astype(np.uint32), rank[docs], th[docs], *places))
         yield batch_of(_BLOCKS, [ids, blocks, [False] * len(ids)])
 
 
+def short_key(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
 def hit_blocks(rank: np.ndarray, th: np.ndarray, value: np.ndarray, partitions: int) -> Iterator[pa.RecordBatch]:
     """Hits as one block for each partition of documents; a document's hits may lie in many blocks."""
     if not len(rank):
@@ -142,20 +150,24 @@ def unsettled(batches: Iterable[pa.RecordBatch], blocks: list[bytes]) -> Iterato
         blocks.extend(batch.column("block").filter(pc.invert(done)).to_pylist())
 
 
-def settle(partitions: int, need_earlier: bool, dtype: type):
+def settle(partitions: int, need_earlier: bool):
     """All postings of one partition: which documents get a hit."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: list[bytes] = []
         yield from unsettled(batches, blocks)
-        yield from _settle(blocks, partitions, need_earlier, dtype)
+        yield from _settle(blocks, partitions, need_earlier)
 
     return run
 
 
-def _settle(blocks: list[bytes], partitions: int, need_earlier: bool, dtype: type) -> Iterator[pa.RecordBatch]:
-    parts = [unpack(b, np.uint64, np.uint32, dtype, np.int64, np.int64) for b in blocks]
-    parts = [(np.cumsum(p[0], dtype=np.uint64), *p[1:]) for p in parts]
+def _settle(blocks: list[bytes], partitions: int, need_earlier: bool) -> Iterator[pa.RecordBatch]:
+    kinds = [np.uint64, np.uint32, np.int64, np.int64, *([np.uint32] if need_earlier else [])]
+    parts = []
+    for block in blocks:
+        h, local, rank, th, *value = unpack(block, *kinds)
+        h = np.cumsum(h, dtype=np.uint64)
+        parts.append((h, local, value[0] if value else short_key(h), rank, th))
     total = sum(len(p[0]) for p in parts)
     steps = -(-total // SLICE_ROWS)
     if not total:

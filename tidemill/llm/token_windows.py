@@ -86,7 +86,7 @@ def _post(window: int, partitions: int):
             hashes = window_hashes(word_hashes(data, starts, ends, powers), window)[whole]
             owner = doc[whole]
             rank, th = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("rank", "th"))
-            yield from combiner.step(hashes, owner, (whole - first[owner]).astype(np.uint32), rank, th)
+            yield from combiner.step(hashes, owner, rank, th, (whole - first[owner]).astype(np.uint32))
 
     return run
 
@@ -147,7 +147,7 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     rows = keyed(docs, id_col, text_col)
     n = shuffle_partitions(docs.sparkSession)
     blocks = rows.select("rank", "th", "text").mapInArrow(_post(window, n), BLOCKS)
-    hits = told(blocks, n, settle(n, True, np.uint32), np.uint32)
+    hits = told(blocks, n, settle(n, True), np.uint32)
     joined = rows.select("rank", "th", "row").join(hits, ["rank", "th"], "left").select("row", "hits")
     schema = with_row(joined, f"n_words long, n_removed long, {SPANS}, kept_text string")
     done = joined.mapInArrow(_strip(window, text_col), schema)
