@@ -8,7 +8,7 @@ equi-joins that adaptive execution may split, so a node with very many neighbour
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,18 +51,6 @@ def edge_batches(forest: Forest) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of one partition as the stars of its forest: never more rows than before."""
-    forest = Forest()
-    for batch in batches:
-        for a, b in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
-            forest.link(a, b)
-        if len(forest.parent) > 500_000:
-            yield from edge_batches(forest)
-            forest = Forest()
-    yield from edge_batches(forest)
-
-
 def _state(edges: DataFrame) -> tuple:
     got = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
     return tuple(got)
@@ -74,7 +62,7 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has columns ``u`` and ``v`` (long, not null); loops and repeated edges do no harm.
     """
     linked = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now = materialize(linked.mapInArrow(_contract, EDGES).filter("u <> v").distinct())
+    now = materialize(linked.distinct())
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
