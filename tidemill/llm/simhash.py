@@ -18,14 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import NO_ID, chunks, keyed
-from tidemill.llm.components import EDGES, Forest, components, edge_batches
+from tidemill.llm.components import EDGES, Forest, components
 from tidemill.plans.shared import materialize
 
 BITS = 64
 SEED = 42
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: chance members of a bucket that the number of blocks is chosen for
-BUCKET_MEMBERS = 64
+BUCKET_MEMBERS = 2
+#: blocks that a pair must agree on at most: 210 buckets for each fingerprint, enough for 10^12 of them
+MOST_BLOCKS = 6
 #: members above which a bucket is cut into finer ones
 LARGE_BUCKET = 20_000
 #: members up to which the pairs of many buckets are compared together
@@ -178,13 +180,9 @@ def _links(radius: int):
 
 
 def _signed(forest: Forest) -> Iterator[pa.RecordBatch]:
-    """Fingerprints as Spark's signed 64-bit integers."""
-    signed = Forest()
-    signed.parent = {_to_signed(a): _to_signed(b) for a, b in forest.parent.items()}
-    # the root by unsigned order need not be the least signed one: only the links count
-    u = np.array(list(signed.parent), np.int64)
-    v = np.array(list(signed.parent.values()), np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+    """Links as Spark's signed 64-bit integers; which end is the smaller does not matter."""
+    ends = (np.array(list(x), np.uint64).view(np.int64) for x in (forest.parent.keys(), forest.parent.values()))
+    yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], names=["u", "v"])
 
 
 def _to_signed(x: int) -> int:
@@ -208,7 +206,7 @@ def near_links(prints: DataFrame, radius: int) -> DataFrame:
     that the components are those of all near pairs."""
     n = prints.count()
     agree = 1
-    while agree < 4 and n > BUCKET_MEMBERS << (BITS * agree // (agree + radius)):
+    while agree < MOST_BLOCKS and n > BUCKET_MEMBERS << (BITS * agree // (agree + radius)):
         agree += 1
     keys = prints.select("fp", F.explode(_keys(block_masks(agree + radius, agree))).alias("key"))
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
