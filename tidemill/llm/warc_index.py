@@ -44,29 +44,29 @@ HISTORY = CAPTURES.replace("run long, seq long", "slice int, place long")
 def base32_of_hex(digest: Column) -> Column:
     """A hexadecimal digest of 160 bits in base32: five hex digits are four characters."""
 
-    def char(i: Column) -> Column:
-        bits = F.conv(F.substr(digest, F.floor(i / 4).cast("int") * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        value = F.floor(bits / F.pow(F.lit(32), 3 - i % 4)).cast("int") % 32
-        return F.substr(F.lit(ALPHABET), value + 1, F.lit(1))
+    def four(bits: Column) -> Column:
+        places = [F.shiftright(bits, 15 - 5 * i).bitwiseAND(F.lit(31)) + 1 for i in range(4)]
+        return F.concat(*[F.substr(F.lit(ALPHABET), p, F.lit(1)) for p in places])
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), char), "")
+    groups = F.array(*[F.conv(F.substr(digest, F.lit(i), F.lit(5)), 16, 10).cast("int") for i in range(1, 41, 5)])
+    return F.array_join(F.transform(groups, four), "")
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """``pages`` (``id``, ``payload`` and more) with ``digest``, ``size`` and ``first``: the least id with an equal
-    payload, where that is another one and the payload has ``min_bytes`` or more.
+    """``pages`` (``id``, ``payload`` and more) with ``sha1`` (hexadecimal), ``size`` and ``first``: the least id with an
+    equal payload, where that is another one and the payload has ``min_bytes`` or more.
 
     Digests are grouped and joined without the payloads; a payload that very many pages share is
     combined before the shuffle, and its join is one that adaptive execution may split.
     """
     sized = pages.withColumns(
-        {"digest": base32_of_hex(F.sha1(F.col("payload").cast("binary"))), "size": F.octet_length("payload").cast("long")}
+        {"sha1": F.sha1(F.col("payload").cast("binary")), "size": F.octet_length("payload").cast("long")}
     )
     rank = F.coalesce("id", F.lit(NO_ID))
-    ids = sized.filter(F.col("size") >= min_bytes).select(rank.alias("rank"), "digest")
-    least = ids.groupBy("digest").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
-    revisits = ids.join(least.filter("n > 1"), "digest").filter("rank <> first").select("rank", "digest", "first").distinct()
-    joined = sized.withColumn("rank", rank).join(revisits, ["rank", "digest"], "left").drop("rank")
+    ids = sized.filter(F.col("size") >= min_bytes).select(rank.alias("rank"), "sha1")
+    least = ids.groupBy("sha1").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
+    revisits = ids.join(least.filter("n > 1"), "sha1").filter("rank <> first").select("rank", "sha1", "first").distinct()
+    joined = sized.withColumn("rank", rank).join(revisits, ["rank", "sha1"], "left").drop("rank")
     return joined.withColumn("first", F.nullif("first", F.lit(NO_ID)))
 
 
@@ -85,7 +85,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
         header("WARC-Record-ID", F.concat(F.lit("<urn:x-page:"), F.col("id").cast("string"), F.lit(">"))),
         header("WARC-Target-URI", clean),
         header("WARC-Date", F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_of_hex(F.col("sha1")))),
         header("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<urn:x-page:"), F.col("first").cast("string"), F.lit(">")))),
         header("WARC-Profile", F.when(revisit, F.lit(REVISIT_PROFILE))),
         header("X-Payload-Length", F.when(revisit, F.col("size").cast("string"))),
