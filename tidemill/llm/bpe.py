@@ -23,7 +23,7 @@ from tidemill.llm.common import chunks, mixed, spread, with_row
 #: A vocabulary goes to every task; above this it is refused.
 VOCABULARY_BYTES = 64 << 20
 #: distinct pre-tokens whose ids a task remembers
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: bytes of text whose pre-tokens are looked up together
 STEP_BYTES = 2 << 20
 
