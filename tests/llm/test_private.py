@@ -71,6 +71,35 @@ def test_what_fails_its_check_stays(spark):
     assert r.safe_text == text and r.replaced == []
 
 
+BESIDE = [
+    ("card", "4111 1111 1111 1111", " 05/27"),
+    ("card", "4111111111111111", " 123"),
+    ("card", "4111-1111-1111-1111", " 05 27 123"),
+    ("iban", "DE89370400440532013000", " BIC COBADEFF"),
+    ("iban", "DE89 3704 0044 0532 0130 00", " EUR 50"),
+    ("iban", "GB82 WEST 1234 5698 7654 32", " I"),
+    ("iban", "NO9386011117947", " 2024 A"),
+]
+
+
+def test_values_before_other_groups(spark):
+    """What follows a value and could belong to it by its shape does not hide it, nor does a value that fails."""
+    rows = [(i, f"see {v}{tail}; again {v}.") for i, (_, v, tail) in enumerate(BESIDE)]
+    got = {r.doc_id: r for r in pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for i, (kind, value, tail) in enumerate(BESIDE):
+        assert got[i].replaced == [kind, kind]
+        new, rest, again = re.fullmatch(rf"see (.{{{len(value)}}})(.*); again (.*)\.", got[i].safe_text).groups()
+        assert new == again != value and rest == tail
+
+    mixed = ["4111111111111112 386-555-3733", "4111111111111111 386-555-3733", "AB12 CDEF GHIJ KLMN 4111 1111-1111-1111", "99 4111 1111 1111 1111", "DE88370400440532013000 GB82WEST12345698765432", "2024-13-01 4111111111111111"]
+    kinds = [["nanp"], ["card", "nanp"], ["card"], ["card"], ["iban"], ["card"]]
+    df = spark.createDataFrame(list(enumerate(mixed)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pseudonymize(df, "key").collect()}
+    assert [got[i].replaced for i in range(len(mixed))] == kinds
+    for i, clear in enumerate(["386-555-3733", "386-555-3733", "4111 1111-1111-1111", "4111 1111 1111 1111", "GB82WEST12345698765432", "4111111111111111"]):
+        assert clear not in got[i].safe_text
+
+
 def test_feistel_is_a_permutation(spark):
     cells = spark.range(7 * 11).select(F.floor(F.col("id") / 11).alias("a"), (F.col("id") % 11).alias("b"))
     done = cells.select("a", "b", feistel(F.col("a"), F.col("b"), F.lit(7), F.lit(11), "k", F.lit("t")).alias("s"))

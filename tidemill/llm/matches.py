@@ -6,12 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def found(text: str, pattern: str) -> Column:
+def found(text: str, pattern: str | Column) -> Column:
     """All matches, leftmost and without overlap."""
     return F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
 
 
-def between(text: str, pattern: str) -> Column:
+def between(text: str, pattern: str | Column) -> Column:
     """The pieces before, between and after the matches: one more than there are matches."""
     return F.split(text, pattern, -1)
 

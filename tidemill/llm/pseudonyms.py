@@ -22,6 +22,13 @@ _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
 #: Letters and digits of a mailbox name that one permutation covers; longer names take several.
 MAIL_CHUNK = 20
+#: Length of an account number by country (ISO 13616); numbers of other countries may have any length from 15 to 34.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -108,12 +115,44 @@ def refilled(shape: Column, digits: Column, which: str = "[0-9]") -> Column:
 
 @dataclass(frozen=True)
 class Kind:
-    """A shape in text, the check that a value must pass, and its pseudonym."""
+    """A shape in text and what may not stand beside it, the pseudonym of a value, the check that it must pass
+    (none: every value does), and the readings of a match in the order they are tried (none: the match alone)."""
 
     name: str
-    pattern: str
-    valid: Callable[[Column], Column]
+    before: str
+    shape: str
+    after: str
     pseudonym: Callable[[Column, str, bool], Column]
+    valid: Callable[[Column], Column] | None = None
+    readings: Callable[[Column], Column] | None = None
+
+    @property
+    def pattern(self) -> str:
+        return f"{self.before}(?:{self.shape}){self.after}"
+
+    def values(self, text: Column) -> Column:
+        """The valid values in ``text``, longest first: at every place where the shape begins the first reading that passes."""
+        readings = self.readings or F.array
+        matches = F.array_distinct(F.regexp_extract_all(text, F.lit(f"{self.before}(?=({self.shape}){self.after})"), F.lit(1)))
+        first = F.array_compact(F.transform(matches, lambda m: F.get(F.filter(readings(m), self.valid), 0)))
+        longer = lambda a, b: F.length(b) - F.length(a)
+        return F.array_sort(F.array_distinct(first), longer)
+
+    def found_in(self, text: Column) -> Column:
+        """A pattern of the valid values in ``text``; null if there are none."""
+        if self.valid is None:
+            return F.lit(f"(?:{self.pattern})")
+        literal = lambda values: F.array_join(F.transform(values, lambda v: F.replace(v, F.lit("."), F.lit("[.]"))), "|")
+        return _let(
+            self.values(text),
+            lambda v: F.when(F.size(v) > 0, F.concat(F.lit(f"(?:{self.before}(?:"), literal(v), F.lit(f"){self.after})"))),
+        )
+
+
+def _cut_at(match: Column, separator: str) -> Column:
+    """``match`` and what of it ends before a separator, longest first."""
+    ends = F.filter(F.sequence(F.length(match), F.lit(1), F.lit(-1)), lambda i: F.substr(match, i + 1, F.lit(1)).rlike(f"^{separator}?$"))
+    return F.transform(ends, lambda i: F.left(match, i))
 
 
 def _card(match: Column, key: str, inverse: bool) -> Column:
@@ -122,6 +161,11 @@ def _card(match: Column, key: str, inverse: bool) -> Column:
     return refilled(match, _let(payload, lambda p: F.concat(p, luhn_digit(p))))
 
 
+def _card_readings(match: Column) -> Column:
+    """Of 13 digits or more; what follows the number in the same run of groups may be its expiry date."""
+    return F.filter(_cut_at(match, "[ -]"), lambda r: F.length(_digits(r)) >= 13)
+
+
 def _card_valid(match: Column) -> Column:
     digits = _digits(match)
     return (F.right(digits, F.lit(1)) == luhn_digit(F.left(digits, F.length(digits) - 1))) & ~digits.rlike("^0+$")
@@ -191,6 +235,13 @@ def _iban(match: Column, key: str, inverse: bool) -> Column:
     )
 
 
+def _iban_readings(match: Column) -> Column:
+    """The one of the country's length, then the others."""
+    lengths = F.create_map(*[F.lit(x) for n, codes in IBAN_LENGTHS.items() for c in codes.split() for x in (c, n)])
+    own = lambda r: F.length(F.replace(r, F.lit(" "), F.lit(""))) == F.coalesce(F.try_element_at(lengths, F.left(r, F.lit(2))), F.lit(0))
+    return _let(_cut_at(match, " "), lambda all_: F.concat(F.filter(all_, own), F.filter(all_, lambda r: ~own(r))))
+
+
 def _iban_valid(match: Column) -> Column:
     flat = F.replace(match, F.lit(" "), F.lit(""))
     turned = F.concat(F.substr(flat, F.lit(5), F.length(flat)), F.left(flat, F.lit(4)))
@@ -254,17 +305,17 @@ def _mail(match: Column, key: str, inverse: bool) -> Column:
     return F.when(F.length(flat) == 0, match).otherwise(F.concat(refilled(name, new, "[0-9a-z]"), F.lit("@"), domain))
 
 
-_ALWAYS = lambda match: F.lit(True)
+_WORD = "[0-9A-Za-z]"
 #: In the order in which they are tried at a place.
 KINDS = (
-    Kind("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+", _ALWAYS, _mail),
-    Kind("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]){11,30}(?![0-9A-Za-z])", _iban_valid, _iban),
-    Kind("date", r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9A-Za-z])", _date_valid, _date),
-    Kind("ip", rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9A-Za-z])", _ALWAYS, _ip),
-    Kind("nanp", r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])", _ALWAYS, _nanp),
-    Kind("phone", r"(?<![0-9A-Za-z+])\+[0-9](?:[ ().-]{0,2}[0-9]){7,14}(?![0-9A-Za-z])", _ALWAYS, _phone),
-    Kind("ssn", r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])", _ALWAYS, _ssn),
-    Kind("card", r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])", _card_valid, _card),
+    Kind("email", r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+", "", _mail),
+    Kind("iban", f"(?<!{_WORD})", "[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]){11,30}", f"(?!{_WORD})", _iban, _iban_valid, _iban_readings),
+    Kind("date", "(?<![0-9A-Za-z./-])", "[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4}", f"(?!{_WORD})", _date, _date_valid),
+    Kind("ip", "(?<![0-9A-Za-z.])", rf"{_OCTET}(?:\.{_OCTET}){{3}}", rf"(?!\.?{_WORD})", _ip),
+    Kind("nanp", "(?<![0-9A-Za-z+])", r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}", f"(?!{_WORD})", _nanp),
+    Kind("phone", "(?<![0-9A-Za-z+])", r"\+[0-9](?:[ ().-]{0,2}[0-9]){7,14}", f"(?!{_WORD})", _phone),
+    Kind("ssn", "(?<![0-9A-Za-z-])", "(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}", "(?![0-9A-Za-z-])", _ssn),
+    Kind("card", f"(?<!{_WORD})", "[0-9](?:[ -]?[0-9]){12,18}", f"(?!{_WORD})", _card, _card_valid, _card_readings),
 )
 
 
@@ -275,22 +326,28 @@ def pseudonymize(
     values in order of their places.
 
     ``key`` is the secret of the permutation; ``inverse`` undoes it with the same key (the case of mailbox
-    names is not kept).  What has the shape but fails the check stays as it is.  A value that spans
-    several spellings (separators) has the same digits as its pseudonym in all of them.
+    names is not kept).  What has the shape but fails the check stays as it is, and is searched for shorter values,
+    later ones and other kinds.  A value that spans several spellings (separators) has the same digits as its
+    pseudonym in all of them.
+
+    An account number has its country's length if that passes; a card is the longest run of digit groups that passes.  One
+    run in ten passes by chance, so digits beside a card may count as part of it, here or when ``inverse`` reads the pseudonym.
 
     * Null text gives an empty ``safe_text`` and no kinds; texts are searched whole.
     * Equal rows get equal results; an empty table gives an empty result.
     * Input columns named like a result column are replaced.
     """
-    pattern = "|".join(f"(?:{k.pattern})" for k in kinds)
     text = docs.select(F.struct("*").alias("row"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    cut = text.select("row", "text", found("text", pattern).alias("matches"), between("text", pattern).alias("pieces"))
+    # a check is made before the search, so that what fails it does not hide what it overlaps
+    searched = text.select("row", "text", F.concat_ws("|", *[k.found_in(F.col("text")) for k in kinds]).alias("pattern"))
+    cut = searched.select("row", "text", found("text", F.col("pattern")).alias("matches"), between("text", F.col("pattern")).alias("pieces"))
 
     def replaced(match: Column) -> Column:
         """Kind and new text of a match; no kind if it fails the check."""
         cases = None
         for k in kinds:
-            holds = match.rlike(f"^(?:{k.pattern})$") & k.valid(match)
+            holds = match.rlike(f"^(?:{k.pattern})$")
+            holds = holds & k.valid(match) if k.valid else holds
             value = F.struct(F.lit(k.name).alias("kind"), k.pseudonym(match, key, inverse).alias("new"))
             cases = F.when(holds, value) if cases is None else cases.when(holds, value)
         return cases.otherwise(F.struct(F.lit(None).cast("string").alias("kind"), match.alias("new")))
