@@ -1,6 +1,7 @@
 """Pseudonyms and secret scans, natively, against plain versions."""
 
 import math
+import random
 import re
 
 import pytest
@@ -168,6 +169,29 @@ def test_scan(spark):
     assert "entropy" in found[4] and found[0].count("assign") == 2
 
 
+def window_spans(text):
+    """First and last window of each candidate that has the entropy of its own class."""
+    for m in re.finditer(candidate(20), text):
+        windows = [m[0][i : i + 20] for i in range(len(m[0]) - 19)]
+        least = [2.9 if re.fullmatch("[0-9a-fA-F]+", w) else 3.7 for w in windows]
+        bits = [-sum(w.count(c) / 20 * math.log2(w.count(c) / 20) for c in set(w)) for w in windows]
+        at = [i for i, (b, x) in enumerate(zip(bits, least)) if b >= x - 1e-9]
+        if at and not any(re.search(p, m[0]) for p in ALLOW):
+            yield "entropy", m.start() + at[0], m.start() + at[-1] + 20
+
+
+def test_hex_secrets_beside_names(spark):
+    """Glued to a name or a path, a hexadecimal secret needs no more entropy than alone."""
+    rng = random.Random(2)
+    draw = lambda n: "".join(rng.choice("0123456789ABCDEF") for _ in range(n))
+    texts = [f"see {name}{draw(n)}{tail}" for name in ("SIG=", "id/", "key_", "") for n in (32, 40, 64) for tail in ("", "/zz-top") for _ in range(10)]
+    texts += ["SIG=" + "AB" * 20, "path/to/nothing-more-than/words_and_names", "aB3dE5gH7jK9mN1pQ3sT5v=" + draw(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.secrets if s.kind == "entropy"] for r in scan(df).collect()}
+    assert got == {i: list(window_spans(t)) for i, t in enumerate(texts)}
+    assert all(got[i] for i in range(240)) and not got[240] and not got[241]
+
+
 @pytest.mark.parametrize("pattern", [ACCESS, HEX])
 def test_minimum_lengths_in_the_pattern_change_nothing(pattern):
     loose = re.sub(r"\{\d+,\}", "+", pattern)

@@ -2,11 +2,12 @@
 
 Candidates are long runs of key characters.  A window slides over each; the counts of its characters change by
 one that enters and one that leaves, and with them the sum from which the Shannon entropy follows.  The
-threshold depends on the character class; what the allow list matches is no secret.
+threshold depends on the character class of the window; what the allow list matches is no secret.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -31,7 +32,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """Candidates that ``pattern`` matches need a window of ``bits`` bits a character; the first class holds."""
+    """Windows whose characters all match ``pattern`` need ``bits`` bits a character; the first class holds."""
 
     name: str
     pattern: str
@@ -56,8 +57,9 @@ def _weight(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
 
-def window_ends(text: Column, window: int, bits: Column) -> Column:
-    """Where (code points from 1) a window of ``window`` characters ends that has ``bits`` bits of entropy or more."""
+def window_ends(text: Column, window: int, classes: Sequence[CharacterClass]) -> Column:
+    """Where (code points from 1) a window of ``window`` characters ends that has the entropy of its class or more."""
+    foreign = [F.array(*[F.lit(int(not re.search(c.pattern, x))) for x in ALPHABET]) for c in classes]
     event = lambda i, place, by: F.struct(
         F.instr(F.lit(ALPHABET), F.substr(text, place, F.lit(1))).alias("code"), F.lit(by).alias("by"), i.alias("at")
     )
@@ -69,6 +71,7 @@ def window_ends(text: Column, window: int, bits: Column) -> Column:
     )
     start = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
+        F.array_repeat(F.lit(0), len(classes)).alias("foreign"),
         F.lit(0.0).alias("sum"),
         F.array().cast("array<int>").alias("ends"),
     )
@@ -80,11 +83,13 @@ def window_ends(text: Column, window: int, bits: Column) -> Column:
             F.array(count + e["by"]),
             F.slice(state["counts"], e["code"] + 1, F.lit(len(ALPHABET))),
         )
+        others = F.array(*[F.get(state["foreign"], k) + e["by"] * F.get(f, e["code"] - 1) for k, f in enumerate(foreign)])
+        bits = F.coalesce(*[F.when(F.get(others, k) == 0, F.lit(c.bits)) for k, c in enumerate(classes)], F.lit(float("inf")))
         total = state["sum"] - _weight(count) + _weight(count + e["by"])
         full = (e["by"] == 1) & (e["at"] >= window)
         entropy = F.log2(F.lit(float(window))) - total / F.lit(float(window))
         ends = F.when(full & (entropy >= bits - 1e-9), F.array_append(state["ends"], e["at"])).otherwise(state["ends"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), ends.alias("ends"))
+        return F.struct(counts.alias("counts"), others.alias("foreign"), total.alias("sum"), ends.alias("ends"))
 
     return F.aggregate(events, start, step, lambda state: state["ends"])
 
@@ -100,7 +105,8 @@ def scan(
     start, then kind as in :data:`KINDS`.
 
     An entropy span reaches from the first to the last window of a candidate that passes.  It may overlap a
-    span of a known shape; those always stay.
+    span of a known shape; those always stay.  The class is the window's own: a hexadecimal secret is found with a
+    name or path glued to it, and so is a number of ``window`` digits.  The allow list is for whole candidates.
 
     * Null and empty texts have none.  Texts and candidates of any length are scanned whole, in linear time.
     * Equal rows get equal results; an empty table gives an empty result.
@@ -121,10 +127,8 @@ def scan(
             spans, lambda s: F.struct(s["start"].alias("start"), order.alias("order"), s["end"].alias("end"), F.lit(kind).alias("kind"))
         )
 
-    bits = lambda t: F.coalesce(*[F.when(t.rlike(c.pattern), F.lit(c.bits)) for c in classes], F.lit(float("inf")))
-
     def passing(s: Column) -> Column:
-        ends = window_ends(s["text"], window, bits(s["text"]))
+        ends = window_ends(s["text"], window, classes)
         return F.struct(s["start"].alias("base"), F.array_min(ends).alias("low"), F.array_max(ends).alias("high"))
 
     suspects = F.filter("entropy", lambda s: ~reduce(lambda a, b: a | b, [s["text"].rlike(p) for p in allow], F.lit(False)))
