@@ -213,6 +213,18 @@ def test_signatures_estimate_similarity():
     assert abs(np.mean(errors)) < 0.03 and max(map(abs, errors)) < 0.3
 
 
+def test_bands_miss_few_pairs():
+    """Of pairs of similarity 0.8 no more miss each other than by 16 bands of 5."""
+    from tidemill.llm import fuzzy_lines
+
+    rng = random.Random(1)
+    first = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(79)) for _ in range(10_000)]
+    second = [x[:39] + "#" + x[40:] for x in first]
+    assert fuzzy_lines.similarity(fuzzy_lines.shingles(first[0], 8), fuzzy_lines.shingles(second[0], 8)) == 0.8
+    a, b = (fuzzy_lines.band_keys(signatures(x, 8)) for x in (first, second))
+    assert (~(a == b).any(axis=1)).mean() <= (1 - 0.8**5) ** 16
+
+
 def test_any_two_members_of_a_large_bucket_meet(spark):
     from pyspark.sql import functions as F
 
