@@ -101,6 +101,34 @@ def test_values_before_other_groups(spark):
         assert clear not in got[i].safe_text
 
 
+def test_dates_of_every_layout(spark):
+    same = ["2023-12-25", "12/25/2023", "25/12/2023", "25.12.2023", "2023/12/25", "25-12-2023"]
+    others = ["1985/03/14", "3/4/1985", "2024-1-5", "1.2.2024", "3/14/1985", "12/31/2199", "2/29/2000", "2024-01-05"]
+    tails = ["T10:00:00Z", "", ",", " 10:00"]
+    rows = [(i, f"on {v}{tails[i % 4] if v[:4].isdigit() and v[4] == '-' else ''} it") for i, v in enumerate(same + others)]
+    safe = pseudonymize(spark.createDataFrame([*rows, (90, "2/30/2000 13/13/2000 2024-01-05X 12/25/20231")], "doc_id long, text string"), "key")
+    got = {r.doc_id: r for r in safe.collect()}
+    assert got[90].replaced == [] and all(got[i].replaced == ["date"] for i, _ in rows)
+    new = [re.match(r"on ([0-9./-]+)", got[i].safe_text)[1] for i, _ in rows]
+    parts = [tuple(map(int, re.split("[./-]", x))) for x in new]
+    y, m, d = parts[0]
+    assert (y, m, d) != (2023, 12, 25) and parts[:6] == [(y, m, d), (m, d, y), (d, m, y), (d, m, y), (y, m, d), (d, m, y)]
+    assert got[0].safe_text.endswith("T10:00:00Z it") and all(set(re.findall("[./-]", a)) == set(re.findall("[./-]", b)) for a, b in zip(new, same + others))
+    back = pseudonymize(safe.select("doc_id", F.col("safe_text").alias("text")), "key", inverse=True)
+    plain = lambda t: re.sub(r"\b0", "", t)
+    assert {r.doc_id: plain(r.safe_text) for r in back.collect() if r.doc_id < 90} == {i: plain(t) for i, t in rows}
+
+
+def test_dates_are_permuted(spark):
+    """Every day of the cycle has one pseudonym, and no other day has the same."""
+    days = spark.range(146_097).select(F.date_format(F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("d"))
+    date = next(k for k in KINDS if k.name == "date")
+    new = days.select("d", date.pseudonym(F.col("d"), "k", False).alias("n")).filter(date.valid(F.col("n")))
+    r = new.select(F.count_distinct("n").alias("n"), F.min("n").alias("low"), F.max("n").alias("high")).first()
+    assert tuple(r) == (146_097, "1800-01-01", "2199-12-31")
+    assert new.filter((F.substr("d", F.lit(9), F.lit(2)) > "12") != (F.substr("n", F.lit(9), F.lit(2)) > "12")).count() == 0
+
+
 def test_feistel_is_a_permutation(spark):
     cells = spark.range(7 * 11).select(F.floor(F.col("id") / 11).alias("a"), (F.col("id") % 11).alias("b"))
     done = cells.select("a", "b", feistel(F.col("a"), F.col("b"), F.lit(7), F.lit(11), "k", F.lit("t")).alias("s"))

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from tidemill.llm.matches import between, found
 
 ROUNDS = 8
-#: Days of the 400-year cycle that dates are permuted in; 189 * 773 of them.
-FIRST_DAY, DAY_HALVES = "1800-01-01", (189, 773)
+#: Dates are permuted in the 400-year cycle from here: those to the twelfth of a month (240 * 240 of them) among
+#: themselves and the later ones (9 * 9833) among themselves, so that a month-first date can be read as one.
+FIRST_YEAR, EARLY_HALVES, LATE_HALVES = 1800, (240, 240), (9, 9833)
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
 #: Letters and digits of a mailbox name that one permutation covers; longer names take several.
@@ -250,35 +251,68 @@ def _iban_valid(match: Column) -> Column:
     return (F.length(flat) >= 15) & (F.length(flat) <= 34) & (mod97(turned) == 1) & check.between(2, 98)
 
 
+def _date_parts(match: Column) -> Column:
+    """Year, month and day, and their order: ``ymd``, ``mdy`` (the second part is above twelve) or ``dmy``."""
+    part = lambda i: F.get(F.split(match, "[-./]"), i).cast("int")
+    order = F.when(match.rlike("^[0-9]{4}"), "ymd").when(part(1) > 12, "mdy").otherwise("dmy")
+    named = lambda o: F.struct(*[part(o.index(n)).alias(n) for n in "ymd"], F.lit(o).alias("order"))
+    return F.when(order == "ymd", named("ymd")).when(order == "mdy", named("mdy")).otherwise(named("dmy"))
+
+
+def _late_day(index: Column) -> Column:
+    """The date of a number among those after the twelfth."""
+    first = F.lit(f"{FIRST_YEAR}-01-01").cast("date")
+    day = lambda k: F.date_add(first, (index + (k + 1) * 12).cast("int"))
+    month = lambda d: (F.year(d) - FIRST_YEAR) * 12 + F.month(d) - 1
+    a, b = LATE_HALVES
+    # the month that the mean length points to, or one beside it
+    guess = F.floor(index * 4800 / (a * b)).cast("int")
+    months = F.filter(F.sequence(guess - 2, guess + 2), lambda k: (month(day(k)) == k) & (F.day(day(k)) > 12))
+    return day(F.get(months, 0))
+
+
 def _date(match: Column, key: str, inverse: bool) -> Column:
-    """Any day of the 400-year cycle, in the layout it was written in."""
-    iso = match.rlike("^[0-9]{4}")
-    parts = F.split(match, "[-/.]")
-    day = F.try_to_timestamp(
-        F.when(iso, F.concat_ws("-", F.get(parts, 0), F.get(parts, 1), F.get(parts, 2))).otherwise(
-            F.concat_ws("-", F.get(parts, 2), F.get(parts, 1), F.get(parts, 0))
-        ),
-        F.lit("yyyy-MM-dd"),
-    ).cast("date")
-    a, b = DAY_HALVES
-    index = F.date_diff(day, F.lit(FIRST_DAY).cast("date"))
-    done = feistel(F.floor(index / b), index % b, F.lit(a), F.lit(b), key, F.lit("date"), inverse)
-    new = _let(done, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), (s["a"] * b + s["b"]).cast("int")))
-    return _let(new, lambda d: refilled(match, F.when(iso, F.date_format(d, "yyyyMMdd")).otherwise(F.date_format(d, "ddMMyyyy"))))
+    """Any day of the 400-year cycle on the same side of the twelfth, in the layout it was written in."""
+
+    def permute(p: Column) -> Column:
+        month = (p["y"] - FIRST_YEAR) * 12 + p["m"] - 1
+
+        def permuted(index: Column, halves: tuple[int, int], name: str) -> Column:
+            a, b = halves
+            done = feistel(F.floor(index / b), index % b, F.lit(a), F.lit(b), key, F.lit(name), inverse)
+            return _let(done, lambda s: s["a"] * b + s["b"])
+
+        start = F.lit(f"{FIRST_YEAR}-01-01").cast("date")
+        late = _let(
+            permuted(F.date_diff(F.make_date(p["y"], p["m"], p["d"]), start) - (month + 1) * 12, LATE_HALVES, "date"),
+            lambda i: _let(_late_day(i), lambda d: F.struct(F.year(d).alias("y"), F.month(d).alias("m"), F.day(d).alias("d"))),
+        )
+        early = _let(
+            permuted(month * 12 + p["d"] - 1, EARLY_HALVES, "early date"),
+            lambda i: F.struct(
+                (F.floor(i / 144) + FIRST_YEAR).cast("int").alias("y"), (F.floor(i / 12) % 12 + 1).cast("int").alias("m"), (i % 12 + 1).cast("int").alias("d")
+            ),
+        )
+        return _let(F.when(p["d"] > 12, late).otherwise(early), lambda n: written(p, n))
+
+    def written(p: Column, new: Column) -> Column:
+        # without zeros in front if a part had one digit
+        short = F.exists(F.split(match, "[-./]"), lambda x: F.length(x) == 1)
+        cell = lambda n: F.when(short | F.lit(n == "y"), new[n].cast("string")).otherwise(_padded(new[n], 2))
+        separator = lambda i: F.get(F.regexp_extract_all(match, F.lit("[-./]"), F.lit(0)), i)
+        text = lambda o: F.concat(cell(o[0]), separator(0), cell(o[1]), separator(1), cell(o[2]))
+        return F.when(p["order"] == "ymd", text("ymd")).when(p["order"] == "mdy", text("mdy")).otherwise(text("dmy"))
+
+    return _let(_date_parts(match), permute)
 
 
 def _date_valid(match: Column) -> Column:
-    iso = match.rlike("^[0-9]{4}")
-    parts = F.split(match, "[-/.]")
-    year, day = (F.when(iso, F.get(parts, i)).otherwise(F.get(parts, 2 - i)).cast("int") for i in (0, 2))
-    month = F.get(parts, 1).cast("int")
-    return F.coalesce(
-        year.between(1800, 2199)
-        & month.between(1, 12)
-        & day.between(1, 31)
-        & F.coalesce(day <= F.day(F.last_day(F.try_make_timestamp(year, F.when(month.between(1, 12), month), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date"))), F.lit(False)),
-        F.lit(False),
-    )
+    def holds(p: Column) -> Column:
+        inside = p["y"].between(FIRST_YEAR, FIRST_YEAR + 399) & p["m"].between(1, 12) & p["d"].between(1, 31)
+        first = F.make_date(F.when(inside, p["y"]), p["m"], F.lit(1))
+        return F.coalesce(inside & (p["d"] <= F.day(F.last_day(first))), F.lit(False))
+
+    return _let(_date_parts(match), holds)
 
 
 def _mail(match: Column, key: str, inverse: bool) -> Column:
@@ -306,11 +340,13 @@ def _mail(match: Column, key: str, inverse: bool) -> Column:
 
 
 _WORD = "[0-9A-Za-z]"
+#: Year first or last, with one or two digits for day and month; a time may follow an ISO date.
+_DATES = r"[0-9]{4}(?:-M-M|/M/M|\.M\.M)|M[./]M[./][0-9]{4}|M-M-[0-9]{4}".replace("M", "[0-9]{1,2}")
 #: In the order in which they are tried at a place.
 KINDS = (
     Kind("email", r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+", "", _mail),
     Kind("iban", f"(?<!{_WORD})", "[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]){11,30}", f"(?!{_WORD})", _iban, _iban_valid, _iban_readings),
-    Kind("date", "(?<![0-9A-Za-z./-])", "[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4}", f"(?!{_WORD})", _date, _date_valid),
+    Kind("date", "(?<![0-9A-Za-z./-])", _DATES, f"(?!(?!T[0-9]){_WORD})", _date, _date_valid),
     Kind("ip", "(?<![0-9A-Za-z.])", rf"{_OCTET}(?:\.{_OCTET}){{3}}", rf"(?!\.?{_WORD})", _ip),
     Kind("nanp", "(?<![0-9A-Za-z+])", r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}", f"(?!{_WORD})", _nanp),
     Kind("phone", "(?<![0-9A-Za-z+])", r"\+[0-9](?:[ ().-]{0,2}[0-9]){7,14}", f"(?!{_WORD})", _phone),
@@ -330,6 +366,11 @@ def pseudonymize(
     later ones and other kinds.  A value that spans several spellings (separators) has the same digits as its
     pseudonym in all of them.
 
+    Dates are year-month-day, day-month-year, or month-day-year where the second part is above twelve, with ``-``, ``/`` or ``.``
+    and days and months of one or two digits; of a time stamp the time stays.  Left out: years of two digits, months
+    by name, dates without separators, years before 1800 and after 2199.  A day stays on its side of the twelfth; one
+    digit may become two, and ``inverse`` then gives two.
+
     An account number has its country's length if that passes; a card is the longest run of digit groups that passes.  One
     run in ten passes by chance, so digits beside a card may count as part of it, here or when ``inverse`` reads the pseudonym.
 
