@@ -225,6 +225,21 @@ def test_bands_miss_few_pairs():
     assert (~(a == b).any(axis=1)).mean() <= (1 - 0.8**5) ** 16
 
 
+def test_short_lines_with_one_changed_character(spark, tmp_path):
+    """``op8_fuzzy_lines`` links lines from 49 characters on that differ in one of them, or in a number's last digit."""
+    from tidemill.llm.queries import QUERIES
+
+    rng = random.Random(7)
+    first = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n)).strip().ljust(n, "x") for n in (49, 52, 57, 64, 70, 78, 80)]
+    second = [x[: len(x) // 2] + "#" + x[len(x) // 2 + 1 :] for x in first]
+    first.append("Printed by the harbour office on 3 March, page 4 of 10 of the letter")
+    second.append("Printed by the harbour office on 3 March, page 5 of 10 of the letter")
+    rows = [(1, "\n".join(first)), (2, "\n".join(second) + "\nnothing like the others")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in QUERIES["op8_fuzzy_lines"](spark, str(tmp_path)).collect()}
+    assert got == {1: (8, 0), 2: (9, 8)}
+
+
 def test_any_two_members_of_a_large_bucket_meet(spark):
     from pyspark.sql import functions as F
 

@@ -150,7 +150,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemill.llm.fuzzy_lines import remove_similar_lines
 
-    got = remove_similar_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = remove_similar_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=5)
     return got.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
