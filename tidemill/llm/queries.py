@@ -222,3 +222,15 @@ def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     got = pseudonymize(read(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus-2024")
     return got.select("doc_id", F.size("replaced").cast("long").alias("n_replaced"), F.col("safe_text").alias("text"))
+
+
+@query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemill.llm.alignment import align, score_links
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    linked = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return score_links(linked.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "links", digest))
