@@ -234,3 +234,12 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
     return score_links(linked.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "links", digest))
+
+
+@query()
+def op13_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.ngram_model import score_texts
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return score_texts(docs, F.crc32(F.encode(name, "UTF-8")) % 7 != 2)
