@@ -243,3 +243,48 @@ def op13_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return score_texts(docs, F.crc32(F.encode(name, "UTF-8")) % 7 != 2)
+
+
+_CRC = """list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda crc, b: list_reduce(range(0, 8), lambda v, k: xor(v >> 1, (v & 1) * 3988292384), xor(crc, b)), 4294967295)"""
+
+
+@query(
+    f"""
+WITH t AS (SELECT conv_id, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS turn,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, xor({_CRC}, 4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT c.conv_id, p, turn FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND p <= h
+      UNION ALL SELECT conv_id, p, turn FROM c JOIN t USING (conv_id) WHERE p > h),
+s AS (SELECT conv_id, coalesce(list(turn ORDER BY p) FILTER (p IS NOT NULL), []) AS seq FROM c LEFT JOIN b USING (conv_id) GROUP BY conv_id),
+g AS (SELECT d, seq[1:d] AS pre, min(conv_id) AS conv_id, count(*) AS n_convs,
+      coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(seq) = d), '') AS ends
+    FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM s) GROUP BY d, pre),
+k AS (SELECT d - 1 AS d, pre[1:d - 1] AS pre, count(*) AS n FROM g WHERE d > 0 GROUP BY ALL),
+w AS (SELECT g.d, g.pre, coalesce(n, 0) AS n_children, CASE WHEN n IS NULL THEN 1 ELSE 0 END AS leaf,
+      CASE WHEN g.d = 0 THEN 0 ELSE (n_convs - 1) * length(pre[g.d].t) END AS saved FROM g LEFT JOIN k USING (d, pre)),
+u AS (SELECT a AS d, pre[1:a] AS pre, sum(leaf) AS n_leaves, sum(saved) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM w) GROUP BY ALL)
+SELECT g.conv_id, g.d AS depth, up.conv_id AS parent_conv_id, g.n_convs, w.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(u.saved AS BIGINT) AS saved_tokens, sha256(g.ends) AS ends_sha256
+FROM g JOIN w USING (d, pre) JOIN u USING (d, pre) LEFT JOIN g up ON up.d = g.d - 1 AND up.pre = g.pre[1:g.d - 1]
+"""
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemill.llm.prefix_trie import numbered_turns, prefix_nodes
+
+    turns = numbered_turns(read(spark, sf_dir, "conversations"))
+    opened, conversations = open_alike(turns)
+    return prefix_nodes(opened, conversations)
+
+
+def open_alike(turns: DataFrame, block: int = 100, most: int = 6) -> tuple[DataFrame, DataFrame]:
+    """Every conversation rebuilt, and their ids: it opens with the first h turns of the first conversation of its block of
+    ids, h = crc32(id) mod ``most``, and goes on with its own turns after as many."""
+    c, h = F.col("conv"), F.crc32(F.encode(F.col("conv").cast("string"), "UTF-8")) % most
+    conversations = turns.select("conv").distinct()
+    # at most ``most - 1`` turns of one conversation in each block
+    first = turns.filter((c % block == 0) & (F.col("pos") < most)).withColumnRenamed("conv", "block")
+    opening = conversations.withColumn("block", c - c % block).join(first, "block").filter(F.col("pos") <= h)
+    own = turns.filter(F.col("pos") > h)
+    return own.unionByName(opening.select(*own.columns)), conversations
