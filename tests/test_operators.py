@@ -525,3 +525,74 @@ def test_bodies_are_checked_against_schemas_as_data(spark):
     out = registry.check_bodies(rows, reg).collect()
     assert {(r.b, r._error is None) for r in out if r.schema_id != 6} == set(bodies.items())
     assert {r._error for r in out if r.schema_id == 6} == {"unknown schema id"} and all(r.value == r.b for r in out)
+
+
+# -- bodies to their whole depth --------------------------------------------------------------
+
+_DEEP = {
+    "type": "record", "name": "R", "namespace": "n", "fields": [
+        {"name": "a", "type": {"type": "record", "name": "A", "fields": [{"name": "x", "type": "int"}, {"name": "s", "type": "string", "default": ""}]}},
+        {"name": "l", "type": {"type": "array", "items": "int"}},
+        {"name": "e", "type": {"type": "enum", "name": "E", "symbols": ["A", "B"]}},
+        {"name": "m", "type": ["null", {"type": "map", "values": ["null", "n.A"]}], "default": None},
+        {"name": "u", "type": ["null", "long", "string"], "default": None},
+        {"name": "q", "type": ["null", {"type": "array", "items": "E"}], "default": None},
+        {"name": "d", "type": {"type": "int", "logicalType": "date"}, "default": 0},
+        {"name": "t", "type": {"type": "long", "logicalType": "timestamp-micros"}, "default": 0},
+        {"name": "b", "type": "bytes", "default": ""}, {"name": "f", "type": ["float", "double"], "default": 0.0},
+    ],
+}
+_GOOD = {"a": {"x": 1}, "l": [1, 2], "e": "A"}
+_CASES = [
+    ({}, True), ({"a": {"x": "bad"}}, False), ({"a": {}}, False), ({"a": {"x": None}}, False), ({"a": {"x": 1, "s": None, "more": [1]}}, True),
+    ({"a": []}, False), ({"a": {"x": 2**31}}, False), ({"a": {"x": -(2**31)}}, True), ({"a": {"x": True}}, False), ({"a": {"x": 1.0}}, False),
+    ({"l": ["q"]}, False), ({"l": []}, True), ({"l": [None]}, False), ({"l": [1, [2]]}, False), ({"l": {}}, False), ({"e": "ZZZ"}, False), ({"e": 1}, False),
+    ({"m": {"k": {"x": 1}, "n": None}}, True), ({"m": {"k": {"x": "1"}}}, False), ({"m": {"k": {}}}, False), ({"m": []}, False), ({"m": {}}, True),
+    ({"u": {"member0": 5}}, True), ({"u": {"member0": None, "member1": "x"}}, True), ({"u": {"member0": 1, "member1": "x"}}, False),
+    ({"u": {"member0": "x"}}, False), ({"u": {"member0": None, "member1": None}}, True), ({"u": 5}, False),
+    ({"q": ["A", "B"]}, True), ({"q": ["A", "C"]}, False), ({"q": [None]}, False), ({"d": "2024-02-29"}, True), ({"d": "2023-02-29"}, False),
+    ({"d": 5}, False), ({"t": "2024-01-01T00:00:00.000Z"}, True), ({"t": "2024-01-01T25:00:00Z"}, False), ({"t": "x"}, False), ({"t": 5}, False),
+    ({"b": "AAEC"}, True), ({"f": 1}, True), ({"f": 1.5e300}, True), ({"f": "NaN"}, True), ({"f": "1"}, False), ({"f": {}}, False),
+]
+
+
+def test_bodies_are_checked_to_their_whole_depth(spark):
+    """Landing (schemas as data) and reading (schema in the plan) give the same verdicts."""
+    schema = json.dumps(_DEEP)
+    reg = spark.createDataFrame([("s", 1, 0, "AVRO", schema)], registry.REGISTRY_SCHEMA)
+    bodies = [(i, 0, json.dumps({**_GOOD, **extra})) for i, (extra, _) in enumerate(_CASES)]
+    n = len(bodies)
+    bodies += [(n, 0, '{"a":{"x":1},"l":[1],"e":"A"'), (n + 1, 0, "[]"), (n + 2, 0, "{}"), (n + 3, 0, "null"), (n + 4, 0, "")]
+    want = {i for i, (_, good) in enumerate(_CASES) if good}
+    rows = spark.createDataFrame(bodies, "n int, schema_id int, value string").withColumn("_error", F.lit(None).cast("string"))
+    landed = {r.n for r in registry.check_bodies(rows, reg).filter("_error IS NULL").collect()}
+    read = {r.n for r in rows.filter(registry.json_decoder(F.col("value"), schema).isNotNull()).collect()}
+    assert landed == want and read == want
+    frames = registry.decode_bodies(rows, reg)
+    assert set(frames) == {0, -1} and len(frames) == 2 and 9 not in frames
+    assert {r.n for r in frames[0].collect()} == want
+    assert {(r.n, r.value) for r in frames[-1].collect()} == {(i, b) for i, _, b in bodies if i not in want}
+
+
+def test_written_bodies_fit_their_schema(spark):
+    rows = spark.sql(
+        "SELECT named_struct('x', 1, 's', 'é') AS a, array(1, 2) AS l, 'B' AS e, map('k', named_struct('x', 3, 's', 'y'), 'n', NULL) AS m, "
+        "named_struct('member0', CAST(NULL AS bigint), 'member1', 'x') AS u, array('A') AS q, date'2024-02-29' AS d, "
+        "timestamp'1999-12-31 23:59:59.123456' AS t, X'0001ff' AS b, CAST('NaN' AS double) AS f"
+    )
+    coded = registry.encode_rows(rows, json.dumps(_DEEP)).withColumns({"schema_id": F.lit(0), "_error": F.lit(None).cast("string")})
+    reg = spark.createDataFrame([("s", 1, 0, "AVRO", json.dumps(_DEEP))], registry.REGISTRY_SCHEMA)
+    assert registry.check_bodies(coded, reg).first()["_error"] is None
+    got, want = registry.decode_bodies(coded, reg)[0].first(), rows.first()
+    assert {k: v for k, v in got.asDict(True).items() if k != "f"} == {k: v for k, v in want.asDict(True).items() if k != "f"}
+
+
+def test_recursive_and_unreadable_schemas():
+    from tidemill.functions.bodies import checker, verdicts
+
+    schema = '{"type":"record","name":"L","fields":[{"name":"v","type":"int"},{"name":"next","type":["null","L"]}]}'
+    chain = lambda n, last=1: '{"v":1,"next":' * n + f'{{"v":{last}}}' + "}" * n
+    assert list(verdicts([(schema, chain(50)), (schema, chain(50, '"x"')), (schema, chain(100_000))])) == [True, False, False]
+    assert list(verdicts([('{"type":"odd"}', "{}"), ("{", "{}"), (None, "{}"), ('"int"', "5"), ('"int"', b"\xff")])) == [False, False, None, True, False]
+    with pytest.raises(ValueError):
+        checker('{"type":"record"}')

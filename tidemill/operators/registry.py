@@ -6,14 +6,15 @@ The registry is a table ``(subject, version, id, format, schema)``.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.functions import jsonx as J
+from tidemill.functions import bodies as B
 from tidemill.functions import wire as W
 from tidemill.functions.errors import ERROR, keep_where, with_errors
 from tidemill.plans.skew import lookup_join
@@ -48,6 +49,12 @@ AVRO_TYPES = {
     "local-timestamp-millis": T.TimestampNTZType(),
     "local-timestamp-micros": T.TimestampNTZType(),
 }
+#: how a portable body is written: microseconds kept, null members written
+BODY_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 # ----------------------------------------------------------------------------------------
 
 
@@ -156,36 +163,40 @@ def backward_compatible(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def struct_of_avro(schema: str | dict | list) -> T.DataType:
-    """The Spark type of an Avro schema: records, arrays, maps, enums, fixed, and unions (null and one type
-    become that type, int and long a long, float and double a double, others one optional member each)."""
+    """The Spark type of an Avro schema: records, arrays, maps, enums, fixed, named types, and unions (null and one
+    type become that type, int and long a long, float and double a double, others one optional member each).
+    ``ValueError`` for a type that Spark lacks, such as a record that holds itself."""
     node = json.loads(schema) if isinstance(schema, str) and schema[:1] in '{["' else schema
+    try:
+        return _spark_type(node, {}, "")
+    except RecursionError:
+        raise ValueError("a record holds itself") from None
+
+
+def _spark_type(node: object, names: B.Names, space: str, body: bool = False) -> T.DataType:
+    """``body``: as a portable body writes it, where dates and times are texts."""
+    node, space = B.named(node, names, space)
     if isinstance(node, list):
-        real = [n for n in node if n != "null"]
+        real = B.branches(node)
         if len(real) == 1:
-            return struct_of_avro(real[0])
-        if set(map(str, real)) <= {"int", "long"}:
-            return T.LongType()
-        if set(map(str, real)) <= {"float", "double"}:
-            return T.DoubleType()
-        return T.StructType([T.StructField(f"member{i}", struct_of_avro(n)) for i, n in enumerate(real)])
+            return _spark_type(real[0], names, space, body)
+        return T.StructType([T.StructField(f"member{i}", _spark_type(n, names, space, body)) for i, n in enumerate(real)])
     if isinstance(node, str):
         if node not in AVRO_TYPES:
             raise ValueError(f"unsupported type {node!r}")
         return AVRO_TYPES[node]
     if node.get("logicalType") in AVRO_TYPES:
-        return AVRO_TYPES[node["logicalType"]]
+        return T.StringType() if body and node["logicalType"] in B.TEXT_DATES else AVRO_TYPES[node["logicalType"]]
     kind = node["type"]
     if kind == "record":
-        return T.StructType([T.StructField(f["name"], struct_of_avro(f["type"])) for f in node["fields"]])
+        return T.StructType([T.StructField(f["name"], _spark_type(f["type"], names, space, body)) for f in node["fields"]])
     if kind == "array":
-        return T.ArrayType(struct_of_avro(node["items"]))
+        return T.ArrayType(_spark_type(node["items"], names, space, body))
     if kind == "map":
-        return T.MapType(T.StringType(), struct_of_avro(node["values"]))
+        return T.MapType(T.StringType(), _spark_type(node["values"], names, space, body))
     if kind == "enum":
         return T.StringType()
-    if kind == "fixed":
-        return T.BinaryType()
-    return struct_of_avro(kind)
+    return T.BinaryType() if kind == "fixed" else _spark_type(kind, names, space, body)
 
 
 def _usable(build: Callable[[], Column], spark: SparkSession) -> bool:
@@ -231,28 +242,26 @@ def encode_rows(
     """Rows as payloads: Avro with an encoder, else the portable JSON body with null fields."""
     names = [f["name"] for f in json.loads(schema)["fields"]]
     row = F.struct(*names)
-    body = encoder(row, schema) if encoder else F.to_json(row, {"ignoreNullFields": "false"}).cast("binary")
+    body = encoder(row, schema) if encoder else F.to_json(row, BODY_OPTIONS).cast("binary")
     return df.withColumn(out, body).drop(*[n for n in names if n != out])
 
 
 def json_decoder(body: Column, schema: str) -> Column:
     """The portable payload: a JSON body typed by the registered schema.
 
-    Null for a body that is malformed or mistyped, or lacks a field that has no default and
-    is not nullable; ``from_json`` alone would give a row of nulls.
+    Null for a body that is malformed or mistyped at any depth, has an unknown symbol, or lacks a field that has
+    no default and is not nullable; ``from_json`` alone would give a row of nulls.
     """
     typed = struct_of_avro(schema)
-    checked = typed.add(_UNREAD, T.StringType()) if isinstance(typed, T.StructType) else typed
-    if not isinstance(typed, T.StructType):
+    node = json.loads(schema) if schema[:1] in '{["' else schema
+    if not isinstance(typed, T.StructType) or isinstance(node, list):
         return F.from_json(body.cast("string"), typed)
-    parsed = F.from_json(body.cast("string"), checked, {"columnNameOfCorruptRecord": _UNREAD})
-    required = required_fields(schema)
+    checked = T.StructType([*_spark_type(node, {}, "", True).fields, T.StructField(_UNREAD, T.StringType())])
+    parsed = F.from_json(body.cast("string"), checked, {"columnNameOfCorruptRecord": _UNREAD, "allowSingleQuotes": "false"})
 
     def whole(p: Column) -> Column:
-        good = p[_UNREAD].isNull()
-        for name in required:
-            good = good & p[name].isNotNull()
-        return F.when(good, F.struct(*[p[f.name].alias(f.name) for f in typed.fields if f.name != _UNREAD]))
+        good = p[_UNREAD].isNull() & B.holds(p, node)
+        return F.when(good, F.struct(*[_from_body(p[f.name], f.dataType).alias(f.name) for f in typed.fields]))
 
     return F.get(F.transform(F.array(parsed), whole), 0)
 
@@ -260,10 +269,19 @@ def json_decoder(body: Column, schema: str) -> Column:
 _UNREAD = "_unread"
 
 
-def required_fields(schema: str) -> list[str]:
-    """Fields of a record schema that every body must have."""
-    fields = json.loads(schema).get("fields", [])
-    return [f["name"] for f in fields if "default" not in f and not (isinstance(f["type"], list) and "null" in f["type"])]
+def _from_body(value: Column, kind: T.DataType) -> Column:
+    """A value as its body has it, with the texts of dates and times read."""
+    dates = ("date", "timestamp")
+    if not any(d in kind.simpleString() for d in dates):
+        return value
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[_from_body(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(value.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _from_body(v, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, v: _from_body(v, kind.valueType))
+    return value.try_cast(kind) if any(kind.simpleString().startswith(d) for d in dates) else value
 
 
 def decode_by_schema(
@@ -272,13 +290,12 @@ def decode_by_schema(
     decoder: Callable[[Column, str], Column] = json_decoder,
     column: str = "value",
     on_error: str = "reject",
-) -> dict[int, DataFrame]:
+) -> Mapping[int, DataFrame]:
     """Framed records as one typed frame per schema id, with key, offsets and the payload's columns.
 
-    Records without a frame, with an id outside the registry, or with a body that does not
-    match its schema go to ``-1`` with a message and their body.  Ids become branches of
-    the plan and each branch reads the input: for many schemas land the bodies once
-    (``sources.sinks.land_typed``) and read each with its schema.
+    Records without a frame, with an id outside the registry, or with a body that does not match its schema go to ``-1``
+    with a message and their body.  A frame is planned when it is asked for, so a registry may have any size; each
+    reads the input.  To read many of them land the bodies once (``sources.sinks.land_typed``).
     """
     return decode_bodies(unframe_records(df, column, "reject"), registry, decoder, column, on_error)
 
@@ -289,75 +306,88 @@ def decode_bodies(
     decoder: Callable[[Column, str], Column] = json_decoder,
     column: str = "value",
     on_error: str = "reject",
-) -> dict[int, DataFrame]:
+) -> Mapping[int, DataFrame]:
     """The same for rows that are unframed already (``schema_id``, body, ``_error``)."""
-    # one row per schema, not per record: the number of schemas bounds the plan as well
-    schemas = {r["id"]: r["schema"] for r in registry.select("id", "schema").distinct().toLocalIterator()}
-    meta = [c for c in rows.columns if c not in (column, "schema_id", ERROR)]
-    out, rejected = {}, []
-    for sid, schema in schemas.items():
-        mine = rows.filter((F.col("schema_id") == sid) & F.col(ERROR).isNull())
-        typed = mine.withColumn("_p", decoder(F.col(column), schema))
-        bad = F.when(F.col("_p").isNull(), MISMATCH)
-        out[sid] = with_errors(typed, bad, "fail" if on_error == "fail" else "drop", costly=True).select(*meta, "_p.*")
-        rejected.append(keep_where(typed, F.col("_p").isNull()).withColumn(ERROR, F.lit(MISMATCH)).drop("_p"))
-    known = F.col("schema_id").isin(list(schemas)) if schemas else F.lit(False)
-    reason = (
-        F.when(F.col(ERROR).isNotNull(), F.col(ERROR))
-        .when(F.col("schema_id").isNull(), "missing value")
-        .otherwise("unknown schema id")
-    )
-    odd = rows.filter(F.col(ERROR).isNotNull() | F.col("schema_id").isNull() | ~known).withColumn(ERROR, reason)
-    out[-1] = reduce(lambda a, b: a.unionByName(b), rejected, odd)
-    return out
+    return _Decoded(rows, registry, decoder, column, on_error)
+
+
+class _Decoded(Mapping):
+    """Frames by schema id, each made when it is asked for; JSON bodies are checked with schemas as data."""
 
+    REJECTED = -1
 
-#: names of JSON values, as VARIANT has them, that each Avro type takes
-_ACCEPTED = {
-    "int": ["BIGINT"], "long": ["BIGINT"], "float": ["BIGINT", "DECIMAL", "DOUBLE"], "double": ["BIGINT", "DECIMAL", "DOUBLE"],
-    "string": ["STRING"], "bytes": ["STRING"], "boolean": ["BOOLEAN"], "null": ["VOID"],
-    "record": ["OBJECT"], "map": ["OBJECT"], "array": ["ARRAY"], "enum": ["STRING"], "fixed": ["STRING"],
-}
+    def __init__(self, rows: DataFrame, registry: DataFrame, decoder, column: str, on_error: str):
+        self.registry = registry.select("id", "schema").distinct()
+        self.decoder, self.column, self.fail = decoder, column, on_error == "fail"
+        self.meta = [c for c in rows.columns if c not in (column, "schema_id", ERROR)]
+        self.rows = check_bodies(rows, registry, column) if decoder is json_decoder else rows
+
+    def __iter__(self) -> Iterator[int]:
+        yield from (r["id"] for r in self.registry.toLocalIterator())
+        yield self.REJECTED
+
+    def __len__(self) -> int:
+        return self.registry.count() + 1
+
+    def _typed(self, sid: int, schema: str) -> DataFrame:
+        good = self.rows.filter(F.col("schema_id") == sid) if self.fail else keep_where(
+            self.rows, (F.col("schema_id") == sid) & F.col(ERROR).isNull()
+        )
+        return good.withColumn("_p", self.decoder(F.col(self.column), schema))
+
+    def __getitem__(self, sid: int) -> DataFrame:
+        if sid == self.REJECTED:
+            return self._rejected()
+        found = self.registry.filter(F.col("id") == sid).first()
+        if found is None:
+            raise KeyError(sid)
+        typed = self._typed(sid, found["schema"])
+        bad = F.when(F.col("_p").isNull(), MISMATCH)
+        return with_errors(typed, bad, "fail" if self.fail else "drop", costly=True).select(*self.meta, "_p.*")
+
+    def _rejected(self) -> DataFrame:
+        if self.decoder is json_decoder:
+            missing = F.when(F.col(ERROR).isNull() & F.col("schema_id").isNull(), "missing value")
+            return keep_where(with_errors(self.rows, missing), F.col(ERROR).isNotNull())
+        # binary bodies are told by their decoders, one for each schema
+        schemas = {r["id"]: r["schema"] for r in self.registry.toLocalIterator()}
+        known = F.col("schema_id").isin(list(schemas)) if schemas else F.lit(False)
+        reason = F.when(F.col("schema_id").isNull(), "missing value").when(~known, "unknown schema id")
+        odd = with_errors(self.rows, reason)
+        odd = odd.filter(F.col(ERROR).isNotNull())
+        mismatched = (
+            keep_where(self._typed(sid, s), F.col("_p").isNull()).withColumn(ERROR, F.lit(MISMATCH)).drop("_p") for sid, s in schemas.items()
+        )
+        return reduce(lambda x, y: x.unionByName(y), mismatched, odd)
 
 
 def check_bodies(rows: DataFrame, registry: DataFrame, column: str = "value") -> DataFrame:
-    """Unframed JSON bodies against the schemas of their ids; ``_error`` tells what does not match.
+    """Unframed JSON bodies against the schemas of their ids, to their whole depth; ``_error`` tells what does not match.
 
-    Schemas are data here, one row each, joined by id: the plan is the same for any number of them.  A body
-    must be an object; each field of its schema must have a value of the field's type, or of one
-    type of its union; a field may be absent if it has a default or takes null.
+    Schemas are data here, one row each, joined by id: the plan is the same for any number of them.  Records,
+    arrays, maps, enums, unions and named types are followed (:mod:`tidemill.functions.bodies`); a field may be absent or null if
+    it has a default or takes null; members that the schema does not have are ignored.  What passes here is read
+    with all its values by :func:`json_decoder`.
     """
-    fields = F.from_json(F.min("schema"), _RECORD_FIELDS)["fields"]
-    raw = F.from_json(F.get_json_object(F.min("schema"), "$.fields"), "array<string>")
-    by_id = registry.groupBy(F.col("id").alias("schema_id")).agg(fields.alias("_f"), raw.alias("_r"))
-
-    def plain(kind: Column) -> Column:
-        """The bare type name of one branch."""
-        inner = F.when(kind.startswith("{"), F.get_json_object(kind, "$.type")).otherwise(kind)
-        return F.when(inner.startswith("{"), F.get_json_object(inner, "$.type")).otherwise(inner)
-
-    def known(f: Column, i: Column) -> Column:
-        kinds = F.when(f["type"].startswith("["), F.from_json(f["type"], "array<string>")).otherwise(F.array(f["type"]))
-        optional = F.array_contains(F.json_object_keys(F.get(F.col("_r"), i)), "default") | F.array_contains(kinds, "null")
-        return F.struct(f["name"].alias("name"), F.transform(kinds, plain).alias("kinds"), optional.alias("optional"))
-
-    by_id = by_id.select("schema_id", F.transform("_f", known).alias("_fields"))
-    joined = lookup_join(rows, by_id, ["schema_id"]).withColumn("_m", J.members(J.parse(F.col(column))))
-    accepted = F.create_map(*[x for k, v in _ACCEPTED.items() for x in (F.lit(k), F.array(*[F.lit(n) for n in v]))])
-
-    def fits(f: Column) -> Column:
-        value = F.try_element_at(F.col("_m"), f["name"])
-        kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-        small = (kind != "BIGINT") | F.try_variant_get(value, "$", "int").isNotNull()
-        takes = F.exists(f["kinds"], lambda k: F.array_contains(F.try_element_at(accepted, k), kind) & ((k != "int") | small))
-        return F.coalesce(F.when(value.isNull(), f["optional"]).otherwise(takes), F.lit(False))
-
+    by_id = registry.groupBy(F.col("id").alias("schema_id")).agg(F.min("schema").alias("_schema"))
+    joined = lookup_join(rows, by_id, ["schema_id"])
+    judged = joined.withColumn("_fits", _fits(F.col("_schema"), F.col(column).cast("binary")))
     error = (
         F.when(F.col(column).isNull() & F.col(ERROR).isNull(), "missing value")
-        .when(F.col("schema_id").isNotNull() & F.col("_fields").isNull(), "unknown schema id")
-        .when(F.col("_m").isNull() | ~F.forall("_fields", fits), MISMATCH)
+        .when(F.col("schema_id").isNotNull() & F.col("_schema").isNull(), "unknown schema id")
+        .when(~F.col("_fits"), MISMATCH)
     )
-    return with_errors(joined, error, "reject").drop("_m", "_fields")
+    return with_errors(judged, error, "reject").drop("_schema", "_fits")
+
+
+@F.arrow_udf(T.BooleanType())
+def _fits(schemas: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for schema, body in schemas:
+        # rows of one schema share one text, however often it came
+        coded = schema.dictionary_encode()
+        texts, codes = coded.dictionary.to_pylist(), coded.indices.to_pylist()
+        pairs = zip((None if c is None else texts[c] for c in codes), body.to_pylist())
+        yield pa.array(list(B.verdicts(pairs)), pa.bool_())
 
 
 def decode_click(df: DataFrame, column: str = "value", on_error: str = "reject") -> DataFrame:

@@ -9,7 +9,7 @@ from tidemill.operators import compare as X
 from tidemill.operators.records import decode_cols, regex_filter
 from tidemill.operators.registry import frame_records, json_decoder
 from tidemill.plans.shared import run_dir
-from tidemill.queries.base import READABLE, REC, event_records, micros, query, readable, records_of, table
+from tidemill.queries.base import READABLE, REC, event_records, micros, query, readable, records_of, table, text
 from tidemill.queries.json_queries import stock_lines
 from tidemill.queries.registry_queries import registry_of
 from tidemill.sources import sinks as S
@@ -198,6 +198,56 @@ def land_typed(spark: SparkSession, sf: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+_NESTED = (
+    '{"type":"record","name":"R","fields":[{"name":"a","type":{"type":"record","name":"A","fields":[{"name":"x","type":"int"}]}},'
+    '{"name":"l","type":{"type":"array","items":"long"}},{"name":"e","type":{"type":"enum","name":"E","symbols":[SYMBOLS]}},'
+    '{"name":"m","type":{"type":"map","values":"A"},"default":{}}]}'
+)
+
+
+@query(
+    """WITH e AS (SELECT event_id, user_id, event_type, s_suppkey, event_id % 8 AS odd,
+        CASE WHEN s_suppkey % 2 = 0 THEN event_type IN ('click', 'view') ELSE event_type <> 'view' END AS known,
+        '{"a":{' || CASE event_id % 8 WHEN 1 THEN '"x":"bad"' WHEN 2 THEN '' ELSE '"x":' || user_id END || '},"l":[' || event_id
+          || CASE event_id % 8 WHEN 3 THEN ',"q"' WHEN 4 THEN ',null' ELSE ',7' END || '],"e":"' || event_type || '"'
+          || CASE event_id % 8 WHEN 5 THEN ',"m":{"k":{"x":1},"n":{}}' WHEN 6 THEN ',"m":{"k":{"x":1}}' ELSE '' END || '}' AS body
+      FROM events JOIN supplier ON s_suppkey = user_id % (SELECT max(s_suppkey) FROM supplier) + 1)
+    SELECT CAST(s_suppkey AS INTEGER) AS schema_id, event_id, CAST(CASE WHEN good THEN user_id END AS INTEGER) AS x, CASE WHEN good THEN event_id + 7 END AS total,
+      CASE WHEN good THEN event_type END AS e, CASE WHEN good AND odd = 6 THEN 1 END AS k, CASE WHEN NOT good THEN 'payload does not match its schema' END AS error,
+      CASE WHEN NOT good THEN body END AS body FROM (SELECT *, known AND odd NOT IN (1, 2, 3, 4, 5) AS good FROM e)"""
+)
+def land_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested records, arrays, maps and enums, one schema per supplier, landed, read back and rejected with their body."""
+    suppliers = table(spark, sf, "supplier")
+    key = F.col("s_suppkey")
+    even, odd_ones = (_NESTED.replace("SYMBOLS", x) for x in ('"click","view"', '"signup","click","error","purchase"'))
+    registry = suppliers.select(
+        text("t", key).alias("subject"), F.lit(1).alias("version"), key.cast("int").alias("id"), F.lit("AVRO").alias("format"),
+        F.when(key % 2 == 0, even).otherwise(odd_ones).alias("schema"),
+    )
+    event, case = F.col("event_id"), F.col("event_id") % 8
+    body = text(
+        '{"a":{', F.when(case == 1, '"x":"bad"').when(case == 2, "").otherwise(text('"x":', F.col("user_id"))), '},"l":[', event,
+        F.when(case == 3, ',"q"').when(case == 4, ",null").otherwise(",7"), '],"e":"', F.col("event_type"), '"',
+        F.when(case == 5, ',"m":{"k":{"x":1},"n":{}}').when(case == 6, ',"m":{"k":{"x":1}}').otherwise(""), "}",
+    )
+    most = suppliers.agg(F.max("s_suppkey").alias("most"))
+    sid = (F.col("user_id") % most.scalar() + 1).cast("int")
+    rows = table(spark, sf, "events").select("event_id", sid.alias("sid"), body.cast("binary").alias("value"))
+    path = run_dir(spark, "nested")
+    S.land_typed(frame_records(rows, F.col("sid")).drop("sid"), registry, path)
+    landed = spark.read.parquet(path).filter(F.col(S.LANDED) != S.REJECTED)
+    # both schemas give the same columns
+    read = landed.select("schema_id", "event_id", json_decoder(F.col("value"), _NESTED.replace("SYMBOLS", '"click","view","signup","error","purchase"')).alias("p"))
+    none = F.lit(None).cast("string")
+    good = read.select(
+        "schema_id", "event_id", F.col("p.a.x").alias("x"), F.aggregate("p.l", F.lit(0).cast("long"), lambda s, v: s + v).alias("total"),
+        F.col("p.e").alias("e"), F.col("p.m")["k"]["x"].alias("k"), none.alias("error"), none.alias("body"),
+    )
+    bad = S.read_rejected(spark, path).select("schema_id", "event_id", F.col("_error").alias("error"), F.col("value").cast("string").alias("body"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 _K_SCHEMA = '{"type":"record","name":"K","fields":[{"name":"k","type":"int"}]}'
 
 

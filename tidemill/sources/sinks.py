@@ -108,12 +108,16 @@ def land_typed(df: DataFrame, registry: DataFrame, path: str, mode: str = "appen
     Each body is checked against its schema where it is read (:func:`check_bodies`), and
     everything is written once: good bodies to the folder of their schema id, rejects with
     message and body to the folder :data:`REJECTED`.  :func:`read_landed` types a folder's bodies.
+
+    Rows are dealt out by folder before they are written: a folder gets a file, or as many as adaptive execution
+    makes of a large one.
     """
     unframed = unframe_records(df, on_error="reject")
     checked = check_bodies(unframed, registry)
     folder = F.when(F.col("_error").isNull(), F.col("schema_id")).otherwise(REJECTED)
-    writer = checked.withColumn(LANDED, folder).write.mode(mode)
-    writer.partitionBy(LANDED).parquet(path)
+    # a rebalancing exchange: small folders share a task, a large one is split by size
+    dealt = checked.withColumn(LANDED, folder).hint("rebalance", LANDED)
+    dealt.write.mode(mode).partitionBy(LANDED).parquet(path)
 
 
 def read_landed(
