@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from tidemill.operators import compare, keyed, vectors
+from tidemill.operators import compare, keyed, vector_cells, vectors
 from tidemill.plans import ordered, skew
 from tidemill.plans.shared import run_dir, shared_dir
 
@@ -174,11 +175,10 @@ def test_top_k_by_broadcast(space):
     close(hits_of(vectors.top_k(c, q, 7)), want)
 
 
-def test_top_k_in_a_grid(space, monkeypatch):
+def test_top_k_by_cells(space, monkeypatch):
     c, q, want = space
-    monkeypatch.setattr(vectors, "CELL_BYTES", 6 * 8 * 50)  # 50 rows a cell: 1 x 8 cells
     close(hits_of(vectors.top_k(c, q, 7, max_queries=5)), want)
-    monkeypatch.setattr(vectors, "CELL_BYTES", 6 * 8 * 11)
+    monkeypatch.setattr(vector_cells, "BLOCK_BYTES", 6 * 8 * 11)  # 11 rows of a cell at a time
     close(hits_of(vectors.top_k(c, q, 7, max_queries=5)), want)
 
 
@@ -211,3 +211,87 @@ def test_contexts_and_prompts(spark):
     asked = spark.createDataFrame([(1, "why?"), (2, "{context}?")], "query_id int, question string")
     prompts = vectors.prompt_rows(out, asked, "C: {context} Q: {question}.")
     assert {r["query_id"]: r["prompt"] for r in prompts.collect()} == {1: "C: eleven\nten Q: why?.", 2: "C:  Q: {context}?."}
+
+
+# -- vectors in cells ----------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def clusters(spark):
+    """Clustered vectors, one of them very common, and queries near and far."""
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(20, 8)) * 6
+    corpus = centers[rng.integers(20, size=3000)] + rng.normal(size=(3000, 8))
+    corpus[2000:] = corpus[2000]  # a third are copies
+    asked = np.vstack((centers[rng.integers(20, size=300)] + rng.normal(size=(300, 8)), corpus[1990:2010], rng.normal(size=(5, 8)) * 40))
+    c = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(corpus)], "vec_id long, embedding array<double>, cell string")
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id long, query array<double>")
+    d = np.sqrt(((asked[:, None] - corpus[None]) ** 2).sum(-1))
+    return c.repartition(6), q.repartition(3), d
+
+
+def test_exact_join_prunes_and_equals_brute_force(spark, clusters, monkeypatch):
+    c, q, d = clusters
+    cells = vector_cells.train_cells(c)
+    want = {(i, int(j), r + 1) for i in range(len(d)) for r, j in enumerate(np.lexsort((np.arange(d.shape[1]), d[i]))[:9])}
+    assert {(r.query_id, r.vec_id, r["rank"]) for r in vector_cells.knn_join(c, q, 9, cells).collect()} == want
+    measured = spark.sparkContext.accumulator(0)
+    kernel = vector_cells._nearest
+
+    def counted(k):
+        inner = kernel(k)
+
+        def run(queries, rows):
+            measured.add(queries.num_rows * rows.num_rows)
+            return inner(queries, rows)
+
+        return run
+
+    monkeypatch.setattr(vector_cells, "_nearest", counted)
+    monkeypatch.setattr(vector_cells, "BLOCK_BYTES", 8 * 8 * 100)  # the hot cell in blocks of 100 rows
+    assert {(r.query_id, r.vec_id, r["rank"]) for r in vector_cells.knn_join(c, q, 9, cells).collect()} == want
+    assert measured.value < 0.5 * d.size
+
+
+def test_index_finds_most_and_measures_little(clusters):
+    c, q, d = clusters
+    near = q.filter("query_id < 300")
+    cells = vector_cells.train_cells(c)
+    probes, share = cells.tuned(9)
+    got = vectors.recall(vector_cells.index_top_k(c, near, 9, cells, probes), vectors.top_k(c, near, 9)).first()
+    met = vector_cells.pairs_met(c, near, cells, probes).first()
+    assert got["recall"] >= 0.9 and met["n_pairs"] == 300 * 3000 and met["n_measured"] < 0.5 * met["n_pairs"] and share < 0.7
+    whole = vector_cells.index_top_k(c, near, 9, cells, len(cells.centers))
+    assert vectors.recall(whole, vectors.top_k(c, near, 9)).first()["recall"] == 1
+
+
+@pytest.mark.parametrize("distance", [0.0, 2.5, 11.0])
+def test_range_join_equals_brute_force(clusters, distance):
+    c, q, d = clusters
+    some = q.filter("query_id % 7 = 0 OR query_id > 318")
+    ids = [r.query_id for r in some.select("query_id").collect()]
+    got = {(r.query_id, r.vec_id) for r in vector_cells.range_join(c, some, distance).collect()}
+    assert got == {(i, int(j)) for i in ids for j in np.flatnonzero(d[i] <= distance)}
+
+
+def test_cells_of_odd_tables(spark, clusters):
+    c, q, _ = clusters
+    none, one = c.limit(0), spark.createDataFrame([("a", [1.0, 2.0]), ("b", None), ("c", [1.0, 2.0])], "vec_id string, embedding array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "query_id int, query array<double>")
+    assert vector_cells.knn_join(none, q, 3).count() == 0 == vector_cells.range_join(none, q, 5.0).count() == vector_cells.knn_join(c, q.limit(0), 3).count()
+    assert [tuple(r) for r in vector_cells.knn_join(one, asked, 5).orderBy("rank").collect()] == [(1, "a", 0.0, 1, 1.0), (1, "c", 0.0, 2, 1.0)]
+    assert vector_cells.range_join(one, asked, 0.0).count() == 2
+    with pytest.raises(Exception, match="length"):
+        vector_cells.knn_join(c, asked, 3).collect()
+
+
+def test_many_queries(spark):
+    """More queries than are ever broadcast."""
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(30, 6)) * 5
+    corpus, asked = (centers[rng.integers(30, size=n)] + rng.normal(size=(n, 6)) for n in (1500, 30_000))
+    rows = [spark.createDataFrame(pd.DataFrame({"i": np.arange(len(x)), "v": list(x)}), "i long, v array<double>").repartition(4) for x in (corpus, asked)]
+    got = vectors.top_k(rows[0].toDF("vec_id", "embedding"), rows[1].toDF("query_id", "query"), 2).toPandas().sort_values(["query_id", "rank"])
+    d = np.sqrt(np.maximum((asked**2).sum(1)[:, None] + (corpus**2).sum(1)[None] - 2 * asked @ corpus.T, 0))
+    want = np.argsort(d, axis=1, kind="stable")[:, :2]
+    assert (got["vec_id"].to_numpy().reshape(-1, 2) == want).mean() > 0.9999

@@ -97,3 +97,39 @@ class RandomProjection:
 
     def __call__(self, vectors: np.ndarray) -> np.ndarray:
         return np.floor(vectors @ self.planes / self.bucket).astype(np.int64)
+
+
+def nearest_centers(vectors: np.ndarray, centers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances to all centers, and the numbers of the ``n`` nearest ones (ties: the first)."""
+    if not len(centers) or not len(vectors):
+        return np.zeros((len(vectors), len(centers))), np.zeros((len(vectors), 0), np.int64)
+    square = (vectors * vectors).sum(1)[:, None] + (centers * centers).sum(1)[None, :] - 2.0 * (vectors @ centers.T)
+    d = np.sqrt(np.maximum(square, 0.0))
+    # the expanded form loses digits near zero: what is near is measured again
+    row, col = np.nonzero(square < 1e-4 * (1.0 + (vectors * vectors).sum(1)[:, None]))
+    gap = vectors[row] - centers[col]
+    d[row, col] = np.sqrt((gap * gap).sum(1))
+    return d, np.argsort(d, axis=1, kind="stable")[:, :n]
+
+
+def trained_centers(sample: np.ndarray, n: int, seed: int, rounds: int = 12) -> np.ndarray:
+    """At most ``n`` centers of a sample by k-means; each first center is far from those before it, in proportion."""
+    if not len(sample):
+        return sample
+    rng = np.random.default_rng(seed)
+    centers = sample[rng.integers(len(sample), size=1)]
+    left = ((sample - centers[0]) ** 2).sum(1)
+    while len(centers) < n and left.sum() > 0:
+        pick = min(int(np.searchsorted(np.cumsum(left), rng.random() * left.sum())), len(sample) - 1)
+        centers = np.vstack((centers, sample[pick]))
+        left = np.minimum(left, ((sample - sample[pick]) ** 2).sum(1))
+    for _ in range(rounds):
+        _, home = nearest_centers(sample, centers, 1)
+        size = np.bincount(home[:, 0], minlength=len(centers))
+        total = np.zeros_like(centers)
+        np.add.at(total, home[:, 0], sample)
+        moved = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], centers)
+        if np.allclose(moved, centers):
+            break
+        centers = moved
+    return centers

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,20 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.vectors import Nearest, RandomProjection, ids_of, matrix_of
+from tidemill.operators.vector_cells import knn_join
 from tidemill.plans.ordered import top_per_key
 from tidemill.plans.shared import materialize
-from tidemill.plans.skew import small_side
+from tidemill.plans.skew import fits_broadcast, small_side
 
 # --- fixed values -----------------------------------------------------------------------
 TOP_K = 10
 SCORE_THRESHOLD = 0.75
 # ----------------------------------------------------------------------------------------
 
-#: a query table up to these limits is sent to all tasks; a larger one is met in a grid
+#: a query table up to these limits is sent to all tasks; a larger one is joined by cells
 MAX_QUERIES = 20_000
 MAX_QUERY_BYTES = 256 << 20
-#: bytes of vectors that one grid cell may hold per side
-CELL_BYTES = 64 << 20
 
 
 def top_k(
@@ -45,8 +43,11 @@ def top_k(
     (ties by id).  Every task reads its part of the corpus once and keeps ``k`` rows per
     query, so no pairs are written and only ``queries * k`` rows per task are shuffled.
 
+    More queries than ``max_queries`` are answered by :func:`~tidemill.operators.vector_cells.knn_join`, exactly as well.
+
     ``lsh`` = (tables, bucket length, seed) makes it approximate: only corpus rows that
-    share a random-projection bucket with a query are measured.
+    share a random-projection bucket with a query are measured.  An index that prunes is
+    :func:`~tidemill.operators.vector_cells.index_top_k`.
     """
     c = corpus.select(corpus_id, F.col(corpus_vector).cast("array<double>").alias(corpus_vector)).filter(
         F.col(corpus_vector).isNotNull()
@@ -57,12 +58,9 @@ def top_k(
     hits_schema = T.StructType(
         [q.schema[query_id], c.schema[corpus_id], T.StructField("distance", T.DoubleType())]
     )
-    head = q.limit(max_queries + 1).toArrow()
-    dims = len(head.column(query_vector)[0]) if head.num_rows else 0
-    if head.num_rows <= max_queries and head.num_rows * dims * 8 <= MAX_QUERY_BYTES:
-        pairs = _by_broadcast(c, head, k, hits_schema, lsh)
-    else:
-        pairs = _by_grid(c, q, k, dims, hits_schema, lsh)
+    if not fits_broadcast(q, max_queries, MAX_QUERY_BYTES):
+        return knn_join(c, q, k, None, corpus_id, corpus_vector, query_id, query_vector)
+    pairs = _by_broadcast(c, q.toArrow(), k, hits_schema, lsh)
     ranked = top_per_key(pairs, [query_id], ["distance", corpus_id], k)
     return ranked.withColumn("score", 1.0 / (1.0 + F.col("distance")))
 
@@ -116,41 +114,6 @@ def _by_broadcast(corpus: DataFrame, head: pa.Table, k: int, schema: T.StructTyp
     return corpus.mapInArrow(run, schema)
 
 
-def _by_grid(corpus: DataFrame, queries: DataFrame, k: int, dims: int, schema: T.StructType, lsh) -> DataFrame:
-    """Many queries: both tables are cut into blocks by a hash of the id, and each cell of
-    the grid meets one block of either side.  Cells have a bounded size whatever the data;
-    only ``k`` rows per query leave a cell."""
-    out = _arrow(schema)
-    block = max(1, CELL_BYTES // max(dims * 8, 1))
-    q_blocks = max(1, math.ceil(queries.count() / block))
-    c_blocks = max(1, math.ceil(corpus.count() / block))
-    q_id, c_id = queries.columns[0], corpus.columns[0]
-
-    def block_of(col: str, n: int):
-        return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-
-    q_cells = queries.withColumn("_qb", block_of(q_id, q_blocks)).withColumn(
-        "_cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))
-    )
-    c_cells = corpus.withColumn("_cb", block_of(c_id, c_blocks)).withColumn(
-        "_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
-    )
-
-    def run(cell_q: pa.Table, cell_c: pa.Table) -> pa.Table:
-        matrix = matrix_of(cell_q.column(1))
-        if not cell_q.num_rows or not cell_c.num_rows:
-            return pa.Table.from_batches([], schema=out)
-        near = Nearest(matrix, k)
-        projection = RandomProjection(matrix.shape[1], *lsh) if lsh else None
-        query_buckets = projection(matrix) if lsh else None
-        ids = ids_of(cell_c.column(0).combine_chunks())
-        _measure(near, matrix_of(cell_c.column(1)), ids, projection, query_buckets)
-        return pa.Table.from_batches([_emit(near, ids_of(cell_q.column(0).combine_chunks()), out)])
-
-    by = ["_qb", "_cb"]
-    return q_cells.groupBy(*by).cogroup(c_cells.groupBy(*by)).applyInArrow(run, schema)
-
-
 def above_threshold(hits: DataFrame, threshold: float = SCORE_THRESHOLD) -> DataFrame:
     """Hits with at least the given score.  The score falls with the distance, so the first
     ``k`` above the threshold are among the first ``k`` of all."""

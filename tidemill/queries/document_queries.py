@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators import documents as D
+from tidemill.operators import vector_cells as V
 from tidemill.operators import vectors as N
 from tidemill.plans.shared import run_dir
 from tidemill.queries.base import query, table, text
@@ -135,6 +136,52 @@ def vector_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
+_ASKED = """d AS (SELECT q.vec_id AS query_id, e.vec_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS distance
+      FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0)"""
+
+
+def _fiftieth(vectors: DataFrame) -> DataFrame:
+    return vectors.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+
+
+@query(
+    f"""WITH {_ASKED} SELECT query_id, vec_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank,
+    round(distance, 6) AS distance FROM d QUALIFY rank <= 10"""
+)
+def vector_knn(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact neighbours of every fiftieth vector by a join of cells."""
+    vectors = table(spark, sf, "embeddings")
+    hits = V.knn_join(vectors, _fiftieth(vectors), 10)
+    return hits.select("query_id", "vec_id", "rank", F.round("distance", 6).alias("distance"))
+
+
+@query(f"WITH {_ASKED} SELECT query_id, vec_id, round(distance, 6) AS distance FROM d WHERE distance <= 1.15")
+def vector_range(spark: SparkSession, sf: str) -> DataFrame:
+    """All vectors within a distance of every fiftieth one, however many."""
+    vectors = table(spark, sf, "embeddings")
+    return V.range_join(vectors, _fiftieth(vectors), 1.15).select("query_id", "vec_id", F.round("distance", 6).alias("distance"))
+
+
+@query(
+    """SELECT count(*) AS n_queries, count(*) * least(10, (SELECT count(*) FROM embeddings)) AS n_exact,
+    count(*) * (SELECT count(*) FROM embeddings) AS n_pairs, true AS recall_reached, true AS pruned FROM embeddings WHERE vec_id % 50 = 0"""
+)
+def vector_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fiftieth vector asked of the inverted lists: whether nine of ten true neighbours are found, and
+    fewer than nine of ten pairs measured."""
+    vectors = table(spark, sf, "embeddings")
+    asked = _fiftieth(vectors)
+    cells = V.train_cells(vectors)
+    probes, _ = cells.tuned(10)
+    exact = V.knn_join(vectors, asked, 10, cells)
+    got = N.recall(V.index_top_k(vectors, asked, 10, cells, probes), exact)
+    met = V.pairs_met(vectors, asked, cells, probes)
+    return got.select(
+        asked.agg(F.count(F.lit(1))).scalar().alias("n_queries"), "n_exact", met.select("n_pairs").scalar().alias("n_pairs"),
+        (F.col("recall") >= 0.9).alias("recall_reached"), (met.select(F.col("n_measured") / F.col("n_pairs")).scalar() < 0.9).alias("pruned"),
+    )
+
+
 @query()
 def vector_lsh(spark: SparkSession, sf: str) -> DataFrame:
     """Approximate search and its recall; no SQL twin for the random projections."""
