@@ -21,9 +21,12 @@ from tidemill.llm.common import chunks, mixed, pack, runs, slots, text_buffers,
 from tidemill.plans.shared import run_dir
 
 #: bytes of text whose words share one dictionary
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: n-grams, before equal ones are added up, that one segment of the filter is made from on average
 SEGMENT_NGRAMS = 2 << 20
+#: segments at most, and the bits of a hash that tell n-grams of a segment apart
+MOST_SEGMENTS = 1 << 24
+KEY_BITS = 40
 #: bytes of the filter that go to the workers at a time; a larger filter is probed in several passes
 FILTER_BYTES = 192 << 20
 #: counts are told apart by powers of this
@@ -57,11 +60,19 @@ def ngram_hashes(words: np.ndarray, begins: np.ndarray, order: int) -> list[tupl
     return [(at, h[at]) for at, h in out]
 
 
-def places(h: np.ndarray, level: int, probe: int, bits: np.ndarray) -> np.ndarray:
-    """The bit, among ``bits``, that a probe of a level looks at."""
-    one = mixed(h + np.uint64(level * int(_ODD) & 0xFFFFFFFFFFFFFFFF))
-    other = (one >> np.uint64(32)) | np.uint64(1)
-    return ((one + np.uint64(probe) * other) % bits.astype(np.uint64)).astype(np.int64)
+def keys_of(h: np.ndarray, segments: int) -> np.ndarray:
+    """The segment of each n-gram in the upper bits, by the upper half of its hash, and its key there, by the lower bits."""
+    return (slots(h, segments).astype(np.uint64) << np.uint64(KEY_BITS)) | (h & np.uint64((1 << KEY_BITS) - 1))
+
+
+def places(keys: np.ndarray, level: int, probes: int, bits: np.ndarray | int) -> Iterator[np.ndarray]:
+    """The bits, among ``bits``, that the probes of a level look at, probe after probe."""
+    at = mixed(keys + np.uint64(level * int(_ODD) & 0xFFFFFFFFFFFFFFFF))
+    step = (at << np.uint64(32)) | np.uint64(1 << 31)
+    bits = np.uint64(bits) if isinstance(bits, int) else bits.astype(np.uint64)
+    for _ in range(probes):
+        yield (((at >> np.uint64(32)) * bits) >> np.uint64(32)).astype(np.int64)
+        at = at + step
 
 
 def bits_for(insertions: int, probes: int) -> int:
@@ -69,40 +80,48 @@ def bits_for(insertions: int, probes: int) -> int:
     return max(64, -(-int(insertions * probes / np.log(2)) // 64) * 64)
 
 
-def segment(h: np.ndarray, counts: np.ndarray, probes: int) -> np.ndarray:
+def segment(keys: np.ndarray, counts: np.ndarray, probes: int) -> np.ndarray:
     """The packed bits of a segment."""
     levels = level_of(counts)
     size = bits_for(int(levels.sum()), probes)
     marks = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        h = h[levels >= level]
+        keys = keys[levels >= level]
         levels = levels[levels >= level]
-        for probe in range(probes):
-            marks[places(h, level, probe, np.full(1, size))] = True
+        for at in places(keys, level, probes, size):
+            marks[at] = True
     return np.packbits(marks, bitorder="little")
 
 
 class Filter:
-    """Segments ``low`` up to ``low + len(bits)`` of ``total``: their bits one after another in ``data``."""
+    """Segments ``low`` up to ``low + len(sizes)`` of ``total``: their bits one after another in ``data``."""
 
-    def __init__(self, data: bytes, low: int, sizes: np.ndarray, total: int, probes: int):
+    def __init__(self, data: bytes | bytearray, low: int, sizes: np.ndarray, total: int, probes: int):
         self.data, self.low, self.total, self.probes = np.frombuffer(data, np.uint8), low, total, probes
         self.bits = sizes * 8
         self.start = np.concatenate(([0], np.cumsum(self.bits)))[:-1]
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        """The level of each n-gram; 0 if it is absent or in a segment that is not here."""
-        out = np.zeros(len(h), np.uint8)
-        own = slots(h, self.total) - self.low
+        """The level of each n-gram; 0 if it is absent or in a segment that is not here.
+
+        Equal n-grams are probed once and those of one segment together, which its bits stay in the cache for."""
+        keys, places_ = np.unique(keys_of(h, self.total), return_inverse=True)
+        return self._levels(keys)[places_]
+
+    def _levels(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), np.uint8)
+        own = (keys >> np.uint64(KEY_BITS)).astype(np.int64) - self.low
         active = np.flatnonzero((own >= 0) & (own < len(self.bits)))
         active = active[self.bits[own[active]] > 0]
-        level = 0
+        keys, level = keys & np.uint64((1 << KEY_BITS) - 1), 0
         while len(active) and level < len(VALUE) - 1:
             level += 1
-            for probe in range(self.probes):
-                seg = own[active]
-                at = self.start[seg] + places(h[active], level, probe, self.bits[seg])
-                active = active[(self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0]
+            seg = own[active]
+            start, alive = self.start[seg], np.ones(len(active), bool)
+            for at in places(keys[active], level, self.probes, self.bits[seg]):
+                at += start
+                alive &= (self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+            active = active[alive]
             out[active] = level
         return out
 
@@ -164,14 +183,15 @@ def _post(order: int, segments: int):
                 chunk = Chunk(batch.column("body")[k].as_py(), batch.column("words").slice(k, 1).flatten())
                 trained = np.zeros(len(chunk.tokens) + len(chunk.begins), bool)
                 trained[chunk.at] = chunk.train[chunk.text]
-                h = np.concatenate([h[trained[at]] for at, h in chunk.ngrams(order)])
-                h.sort()
-                first = runs(h)
-                n = np.diff(np.append(first, len(h))).astype(np.uint32)
-                h = h[first]
-                edge = np.searchsorted(slots(h, segments), np.arange(segments + 1))
-                own = np.flatnonzero(np.diff(edge))
-                blocks = [pack(np.diff(h[edge[s] : edge[s + 1]], prepend=np.uint64(0)), n[edge[s] : edge[s + 1]]) for s in own]
+                keys = keys_of(np.concatenate([h[trained[at]] for at, h in chunk.ngrams(order)]), segments)
+                keys.sort()
+                first = runs(keys)
+                n = np.diff(np.append(first, len(keys))).astype(np.uint32)
+                keys = keys[first]
+                edge = np.append(runs(keys >> np.uint64(KEY_BITS)), len(keys))
+                own = (keys[edge[:-1]] >> np.uint64(KEY_BITS)).astype(np.int64)
+                keys &= np.uint64((1 << KEY_BITS) - 1)
+                blocks = [pack(np.diff(keys[a:b], prepend=np.uint64(0)), n[a:b]) for a, b in zip(edge[:-1], edge[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(blocks, pa.binary())], names=["segment", "block"])
 
     return run
@@ -207,23 +227,32 @@ def _fill(probes: int):
     return run
 
 
-def _probe(shipped, order: int):
-    """Adds to the levels of each chunk what the shipped segments know."""
+def _probe(shipped, order: int, score=None):
+    """Adds to the levels of each chunk what the shipped segments know; with ``score`` all is known then, and the
+    scores of the chunk's texts take the place of words and levels."""
+
+    def levels_of(part: Filter, chunk: Chunk, known: bytes | None) -> list[np.ndarray]:
+        width = len(chunk.tokens) + len(chunk.begins)
+        old = unpack(known, *[np.uint8] * order) if known else [np.zeros(width, np.uint8)] * order
+        levels = [x.copy() for x in old]
+        for out, (at, h) in zip(levels, chunk.ngrams(order)):
+            out[at] = np.maximum(out[at], part.levels(h))
+        return levels
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = Filter(*shipped.value)
         for batch in batches:
-            cells = []
             for k in range(batch.num_rows):
-                chunk = Chunk(batch.column("body")[k].as_py(), batch.column("words").slice(k, 1).flatten())
-                known = batch.column("levels")[k].as_py()
-                width = len(chunk.tokens) + len(chunk.begins)
-                old = unpack(known, *[np.uint8] * order) if known else [np.zeros(width, np.uint8)] * order
-                levels = [x.copy() for x in old]
-                for out, (at, h) in zip(levels, chunk.ngrams(order)):
-                    out[at] = np.maximum(out[at], part.levels(h))
-                cells.append(pack(*levels))
-            yield batch.set_column(batch.schema.get_field_index("levels"), "levels", pa.array(cells, pa.binary()))
+                row = batch.slice(k, 1)
+                chunk = Chunk(row.column("body")[0].as_py(), row.column("words").flatten())
+                levels = levels_of(part, chunk, row.column("levels")[0].as_py())
+                if score is None:
+                    yield row.set_column(row.schema.get_field_index("levels"), "levels", pa.array([pack(*levels)], pa.binary()))
+                    continue
+                p = probabilities(levels, chunk.begins, *score)[chunk.at]
+                scores = np.bincount(chunk.text, weights=np.log10(p), minlength=len(chunk.lengths))
+                kept = [row.column(c) for c in ("chunk", "ids", "body")]
+                yield pa.RecordBatch.from_arrays([*kept, _one_list(pa.array(scores))], names=["chunk", "ids", "body", "scores"])
 
     return run
 
@@ -245,22 +274,22 @@ def probabilities(levels: list[np.ndarray], begins: np.ndarray, texts: int, toke
     return p
 
 
-def _score(order: int, texts: int, tokens: int, kinds: int, prior: float):
+def _exact(tokens: int, kinds: int):
+    """The word counts of a chunk to the results of its texts."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 chunk = Chunk(batch.column("body")[k].as_py(), pa.array([], pa.binary()))
-                levels = unpack(batch.column("levels")[k].as_py(), *[np.uint8] * order)
                 found = batch.column("found").slice(k, 1).flatten()
                 count = np.zeros(int(chunk.tokens.max(initial=0)) + 1, np.int64)
                 count[found.field("place").to_numpy(zero_copy_only=False)] = found.field("total").to_numpy(zero_copy_only=False)
                 own = count[chunk.tokens]
                 total = lambda x: np.bincount(chunk.text, weights=x, minlength=len(chunk.lengths))  # noqa: B023, E731
-                p = probabilities(levels, chunk.begins, texts, tokens, kinds, prior)[chunk.at]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("ids").slice(k, 1).flatten(), pa.array(~chunk.train), pa.array(chunk.lengths),
                      pa.array(total(own > 0).astype(np.int64)), pa.array(np.full(len(chunk.lengths), tokens)),
-                     pa.array(total(np.log10((own + 1) / (tokens + kinds + 1)))), pa.array(total(np.log10(p)))],
+                     pa.array(total(np.log10((own + 1) / (tokens + kinds + 1)))), batch.column("scores").slice(k, 1).flatten()],
                     names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
@@ -287,12 +316,12 @@ def score_texts(
     * Null and empty texts are an end alone.  A null ``train`` is false.  Rows without an id, rows with the same id and
       equal rows count each by itself.  Without training texts all scores are 0.  An empty table gives an empty result.
       Other input columns are not returned, so no name can clash.
-    * Word counts are exact: words travel as themselves.  N-grams are 64-bit hashes; an absent one is taken for present with
-      probability ``2 ** -probes`` about, which raises a level, never lowers it.
+    * Word counts are exact: words travel as themselves.  N-grams are hashes (of ``KEY_BITS`` bits in their segment); an absent one is taken
+      for present with probability ``2 ** -probes`` about, which raises a level, never lowers it.
     * The filter has about ``1.44 * probes`` bits for each level of each distinct n-gram, so it grows with the corpus.  It
       is made in segments of bounded size and broadcast ``FILTER_BYTES`` at a time: a larger one takes several passes over
       the packed tokens, with the levels written in between.
-    * Memory of a task: a chunk (12 MB of text, or the longest text) or a segment, beside the part of the filter.
+    * Memory of a task: a chunk (8 MB of text, or the longest text) or a segment, beside the part of the filter.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType
@@ -320,7 +349,7 @@ def score_texts(
     back = spark.read.parquet(f"{folder}/counts")
     kinds = back.agg(F.sum("n_new")).first()[0] or 0
 
-    segments = max(1, -(-order * tokens // SEGMENT_NGRAMS))
+    segments = min(max(1, -(-order * tokens // SEGMENT_NGRAMS)), MOST_SEGMENTS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = packed.select("body", "words").mapInArrow(_post(order, segments), "segment int, block binary")
     filled = blocks.repartition(parts, "segment").sortWithinPartitions("segment")
@@ -328,31 +357,39 @@ def score_texts(
     made = spark.read.parquet(f"{folder}/filter")
 
     levels = packed.select("chunk", "ids", "body", "words", F.lit(None).cast("binary").alias("levels"))
-    for number, shipped in enumerate(_parts(made, segments, probes)):
-        if number:
-            levels.write.parquet(f"{folder}/levels-{number}")
+    slim = StructType([*[levels.schema[c] for c in ("chunk", "ids", "body")], *StructType.fromDDL("scores array<double>").fields])
+    cuts, sizes = _cuts(made, segments)
+    for number, (low, high) in enumerate(cuts):
+        part = _part(made, low, sizes[low:high], segments, probes)
+        if number == len(cuts) - 1:
+            scored = levels.mapInArrow(_probe(part, order, (texts, tokens, kinds, prior)), slim)
+        else:
+            levels.mapInArrow(_probe(part, order), levels.schema).write.parquet(f"{folder}/levels-{number}")
             levels = spark.read.parquet(f"{folder}/levels-{number}")
-        levels = levels.mapInArrow(_probe(shipped, order), levels.schema)
-    scored = levels.drop("words").join(back.select("chunk", "found"), "chunk", "left")
     none = F.array().cast("array<struct<place:int,total:long>>")
-    scored = scored.select("ids", "body", "levels", F.coalesce("found", none).alias("found"))
+    both = scored.join(back.select("chunk", "found"), "chunk", "left").select("ids", "body", "scores", F.coalesce("found", none).alias("found"))
     ddl = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     out = StructType([StructField("id", id_type), *StructType.fromDDL(ddl).fields])
-    return scored.mapInArrow(_score(order, texts, tokens, kinds, prior), out).withColumnRenamed("id", id_col)
+    return both.mapInArrow(_exact(tokens, kinds), out).withColumnRenamed("id", id_col)
 
 
-def _parts(made: DataFrame, segments: int, probes: int) -> Iterator:
-    """The filter in broadcasts of at most ``FILTER_BYTES``, or one segment."""
-    context = made.sparkSession.sparkContext
+def _cuts(made: DataFrame, segments: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Runs of segments of at most ``FILTER_BYTES`` together, or one segment; and the bytes of each segment."""
     sizes = np.zeros(segments, np.int64)
     for r in made.select("segment", "size").toLocalIterator():
         sizes[r["segment"]] = r["size"]
-    low = 0
+    cuts, low = [], 0
     while low < segments:
         high = low + max(1, int(np.searchsorted(np.cumsum(sizes[low:]), FILTER_BYTES, "right")))
-        part, start = bytearray(int(sizes[low:high].sum())), np.concatenate(([0], np.cumsum(sizes[low:high])))
-        for r in made.filter(F.col("segment").between(low, high - 1)).select("segment", "bits").toLocalIterator():
-            a = int(start[r["segment"] - low])
-            part[a : a + len(r["bits"])] = r["bits"]
-        yield context.broadcast((bytes(part), low, sizes[low:high], segments, probes))
+        cuts.append((low, high))
         low = high
+    return cuts, sizes
+
+
+def _part(made: DataFrame, low: int, sizes: np.ndarray, segments: int, probes: int):
+    """The segments from ``low`` on as a broadcast of the arguments of :class:`Filter`."""
+    part, start = bytearray(int(sizes.sum())), np.concatenate(([0], np.cumsum(sizes)))
+    for r in made.filter(F.col("segment").between(low, low + len(sizes) - 1)).select("segment", "bits").toLocalIterator():
+        a = int(start[r["segment"] - low])
+        part[a : a + len(r["bits"])] = r["bits"]
+    return made.sparkSession.sparkContext.broadcast((part, low, sizes, segments, probes))
