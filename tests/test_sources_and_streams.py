@@ -1,14 +1,17 @@
 """Scans, sinks, generators and streaming runs."""
 
 import json
+import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import keyed
 from tidemill.plans.shared import run_dir
 from tidemill.queries.base import records_of
-from tidemill.sources import changes, files, generate, replay, sinks, topics
+from tidemill.sources import batches, changes, files, generate, replay, sinks, topics
 from tidemill.streaming import runs
 
 
@@ -119,7 +122,7 @@ def test_stream_sink_needs_a_checkpoint(spark, sf):
 
 def test_a_batch_run_again_replaces_itself(spark):
     path = run_dir(spark, "b")
-    write = sinks.batch_writer(path)
+    write = batches.batch_writer(path)
     for _ in range(2):
         write(spark.range(5), 0)
     write(spark.range(3), 1)
@@ -138,19 +141,66 @@ def test_state_survives_a_restart_between_files(spark, tmp_path):
     assert sorted(map(tuple, state.collect())) == [(1, 2, "c"), (2, 5, "d"), (3, 1, "e")]
 
 
-def test_keyed_table_is_compacted(spark):
-    """Many batches, some run again: the folders stay as many, the table is that of all batches."""
-    table = runs.KeyedTable(run_dir(spark, "kt"), ["k"], ["t"], every=2)
-    want = {}
+def test_latest_rows_are_compacted(spark):
+    """Many batches, some run again: the table is that of all batches, in few folders."""
+    path = run_dir(spark, "kt")
+    write, want = runs.keep_latest(path, ["k"], ["t"], every=3), {}
     for batch_id in range(11):
         rows = [(k, batch_id * 10 + k, f"b{batch_id}") for k in range(batch_id % 3, 6, 2)]
         want.update({k: (k, t, v) for k, t, v in rows})
         batch = spark.createDataFrame([*rows, (rows[0][0], -1, "old")], "k int, t int, v string")
         for _ in range(1 + batch_id % 2):
-            table.write(batch, batch_id)
-    assert sorted(map(tuple, table.read(spark).collect())) == sorted(want.values())
-    assert spark.read.parquet(f"{table.path}/log").select("slot").distinct().count() <= 4
-    assert spark.read.parquet(f"{table.path}/base").select("slot").distinct().count() == 2
+            write(batch, batch_id)
+        assert sorted(map(tuple, runs.read_latest(spark, path, ["k"], ["t"]).collect())) == sorted(want.values())
+    now = batches.current(batches.folders(spark, path))
+    assert [(f.first, f.last, f.compacted) for f in now] == [(0, 8, True), (9, 9, False), (10, 10, False)]
+    assert spark.read.parquet(now[0].path).count() == 6
+
+
+def _small_batches(folder, n, first=0):
+    """Batches as a stream of small batches leaves them."""
+    for i in range(first, first + n):
+        os.makedirs(f"{folder}/batch_id={i}", exist_ok=True)
+        pq.write_table(pa.table({"k": [i, i], "v": ["x" * 50, f"v{i}"]}), f"{folder}/batch_id={i}/part-0.parquet")
+        open(f"{folder}/batch_id={i}/_SUCCESS", "w").close()
+
+
+def test_a_day_of_small_batches_is_compacted(spark, tmp_path):
+    """17,280 batches (five seconds each for a day) become files of the stated size, and are read back equal."""
+    path, n = str(tmp_path / "day"), 17_280
+    _small_batches(path, n)
+    size = sum(os.path.getsize(f"{path}/batch_id={i}/part-0.parquet") for i in range(n))
+    before = batches.read_batches(spark, path).agg(F.count("k"), F.sum("k"), F.countDistinct("v")).first()
+    done = batches.compact_batches(spark, path, n - 1, file_bytes=(size + n * batches.OPEN_BYTES) // 8)
+    files = [f for f in os.listdir(done.path) if f.endswith(".parquet")]
+    assert (done.first, done.last) == (0, n - 1) and 8 <= len(files) <= 10
+    assert batches.read_batches(spark, path).agg(F.count("k"), F.sum("k"), F.countDistinct("v")).first() == before
+    assert len(batches.read_batches(spark, path).inputFiles()) == len(files)
+
+
+def test_compaction_can_stop_anywhere(spark, tmp_path):
+    path = str(tmp_path / "b")
+    _small_batches(path, 6)
+    count = lambda: batches.read_batches(spark, path).count()
+    os.makedirs(f"{path}/_compacted/0-3")  # a compaction that did not end
+    pq.write_table(pa.table({"k": [0], "v": ["half"]}), f"{path}/_compacted/0-3/part-0.parquet")
+    os.makedirs(f"{path}/batch_id=6")  # a batch that did not end
+    pq.write_table(pa.table({"k": [6], "v": ["half"]}), f"{path}/batch_id=6/part-0.parquet")
+    assert count() == 12
+    batches.compact_batches(spark, path, 3)
+    assert count() == 12 and sorted(f.last for f in batches.current(batches.folders(spark, path))) == [3, 4, 5]
+    assert os.path.exists(f"{path}/batch_id=0")  # kept for readers of before
+    _small_batches(path, 2, 7)
+    assert count() == 16 and batches.compact_batches(spark, path, 7).last == 5  # no further than the batch that did not end
+    _small_batches(path, 1, 6)  # which is run again
+    batches.compact_batches(spark, path, 7)
+    assert not os.path.exists(f"{path}/batch_id=0") and os.path.exists(f"{path}/batch_id=6") and count() == 18
+    assert [(f.first, f.last) for f in batches.current(batches.folders(spark, path))] == [(0, 3), (4, 5), (6, 7), (8, 8)]
+    assert batches.compact_batches(spark, path, 7) is None and batches.remove_replaced(spark, path) == 0
+    batches.compact_batches(spark, path, 8, lambda df: df.filter("v <> 'v1'"))
+    assert [(f.first, f.last) for f in batches.current(batches.folders(spark, path))] == [(0, 8)] and count() == 17
+    with pytest.raises(ValueError):
+        batches.read_batches(spark, str(tmp_path / "none"))
 
 
 def test_merged_changes_are_the_current_table(spark, tmp_path):

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemill.operators.documents import document_rows
 from tidemill.operators.limits import offset_order
 from tidemill.operators.registry import check_bodies, json_decoder, unframe_records
+from tidemill.sources.batches import batch_writer
 from tidemill.sources.topics import has_kafka
 
 # --- fixed values: commit cadence -------------------------------------------------------
@@ -64,23 +65,13 @@ def write_topic(
     )
 
 
-def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that lands each batch in its own folder, so that a batch
-    run again after a failure replaces itself."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
-
-
 def land_key_value(
     df: DataFrame, path: str, checkpoint: str | None = None, trigger: Mapping | None = None
 ) -> StreamingQuery | None:
     """Land records as they are: key and value bytes plus topic, partition, offset, time.
 
     A stream lands one folder per batch, which a repeated batch replaces, and commits at the
-    lake's interval unless another trigger is given.
+    lake's interval unless another trigger is given; ``sources.batches`` compacts and reads them.
     """
     kept = df.select("key", "value", "topic", "partition", "offset", "timestamp", "headers")
     if not df.isStreaming:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators.compare import end_offsets
 from tidemill.operators.keyed import latest_by_key
+from tidemill.sources.batches import batch_writer, compact_batches, read_batches
 
 ONCE = {"availableNow": True}
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -40,46 +40,25 @@ def run_transform(
     return writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start()
 
 
-class KeyedTable:
-    """The latest row of each key as files that do not grow with the number of batches.
+def keep_latest(path: str, keys: Sequence[str], order: Sequence[str], every: int = 20) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: the last row per key of each batch goes to the batch's folder, and every ``every`` batches
+    those before are compacted to one row per key.  :func:`read_latest` is the table.
 
-    A batch writes the keys it changed to a log folder; every ``every`` batches base and log are merged into
-    a new base.  Folders are reused in turn (two for the base, ``2 * every`` for the log): what a
-    merge reads is never what it writes, and a batch that is run again replaces itself.  Read the table
-    between batches.
+    No state is kept between batches: a row that comes late loses against the newer one when the table is read.
     """
+    land = batch_writer(path)
 
-    BATCH = "_batch"
-
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], every: int = 20):
-        self.path, self.keys, self.order, self.every = path, list(keys), list(order), every
-
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        """For ``foreachBatch``: rows are reduced to the last one per key and logged."""
-        changed = latest_by_key(batch, self.keys, self.order, reread=False).withColumn(self.BATCH, F.lit(batch_id).cast("long"))
-        changed.write.mode("overwrite").parquet(f"{self.path}/log/slot={batch_id % (2 * self.every)}")
-        if (batch_id + 1) % self.every == 0:
-            merged = self.read(batch.sparkSession).withColumn(self.BATCH, F.lit(batch_id).cast("long"))
-            merged.write.mode("overwrite").parquet(f"{self.path}/base/slot={batch_id // self.every % 2}")
-
-    def _part(self, spark: SparkSession, name: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(f"{self.path}/{name}").drop("slot")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None  # nothing has been merged yet
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The table: the newest base and what was logged since."""
-        base, rows = self._part(spark, "base"), self._part(spark, "log")
-        if rows is None:
-            raise ValueError(f"no batch has been written to {self.path}")
-        if base is not None:
-            newest = base.agg(F.max(self.BATCH)).first()[0]
-            if newest is not None:
-                rows = rows.filter(F.col(self.BATCH) > newest).unionByName(base.filter(F.col(self.BATCH) == newest))
-        return latest_by_key(rows.drop(self.BATCH), self.keys, self.order, reread=False)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        land(latest_by_key(batch, keys, order, reread=False), batch_id)
+        if (batch_id + 1) % every == 0:
+            compact_batches(batch.sparkSession, path, batch_id, lambda rows: latest_by_key(rows, keys, order, reread=False))
+
+    return write
+
+
+def _into(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: Mapping, mode: str) -> StreamingQuery:
+    writer = df.writeStream.outputMode(mode).foreachBatch(write)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def stream_latest(
@@ -91,27 +70,13 @@ def stream_latest(
     trigger: Mapping = ONCE,
     every: int = 20,
 ) -> StreamingQuery:
-    """Keep the latest row per key of a stream in a :class:`KeyedTable`.
-
-    Each micro-batch reduces its rows per key before the shuffle, and writes only the keys it
-    changed; read the state with :func:`read_latest`.
-    """
-    use_rocksdb(source)
-    rest = [c for c in source.columns if c not in keys]
-    place = F.struct(*order)
-    latest = source.groupBy(*keys).agg(F.max_by(F.struct(*rest), place).alias("_last"))
-    flat = latest.select(*keys, "_last.*").select(*source.columns)
-    return _into_table(flat, KeyedTable(path, keys, order, every), checkpoint, trigger)
-
-
-def _into_table(df: DataFrame, table: KeyedTable, checkpoint: str, trigger: Mapping) -> StreamingQuery:
-    writer = df.writeStream.outputMode("update").foreachBatch(lambda batch, batch_id: table.write(batch, batch_id))
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    """Keep the latest row per key of a stream (:func:`keep_latest`); read it with :func:`read_latest`."""
+    return _into(source, keep_latest(path, keys, order, every), checkpoint, trigger, "append")
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Current rows of the table that :func:`stream_latest` keeps."""
-    return KeyedTable(path, keys, order).read(spark)
+    """Current rows of a table that :func:`keep_latest` writes."""
+    return latest_by_key(read_batches(spark, path), keys, order, reread=False)
 
 
 def throughput_table(
@@ -127,9 +92,8 @@ def throughput_table(
     """Rows per period, open ones included, in a table by period; read it with
     :func:`read_latest`, keys ``period`` and ``by``, order ``n`` (counts only grow)."""
     use_rocksdb(source)
-    return _into_table(
-        throughput_windows(source, time_col, period, lateness, by), KeyedTable(path, ["period", *by], ["n"]), checkpoint, trigger
-    )
+    counted = throughput_windows(source, time_col, period, lateness, by)
+    return _into(counted, keep_latest(path, ["period", *by], ["n"]), checkpoint, trigger, "update")
 
 
 def throughput_windows(
@@ -235,8 +199,7 @@ def query_lag(query: StreamingQuery) -> dict[str, float]:
 
 
 def merge_changes(path: str, keys: Sequence[str], order: Sequence[str], every: int = 20) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that merges a batch of changes into a :class:`KeyedTable`;
+    """A ``foreachBatch`` function that merges a batch of changes (:func:`keep_latest`);
     ``operators.keyed.current_rows`` over :func:`read_latest` is the table.  Deleted rows stay as the last
     change of their key, so that a change that comes late does not bring them back."""
-    table = KeyedTable(path, keys, order, every)
-    return lambda batch, batch_id: table.write(batch, batch_id)
+    return keep_latest(path, keys, order, every)
