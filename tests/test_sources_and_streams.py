@@ -3,6 +3,7 @@
 import json
 import os
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -12,7 +13,7 @@ from tidemill.operators import keyed
 from tidemill.plans.shared import run_dir
 from tidemill.queries.base import records_of
 from tidemill.sources import batches, changes, files, generate, replay, sinks, topics
-from tidemill.streaming import runs
+from tidemill.streaming import runs, timers
 
 
 @pytest.fixture
@@ -216,6 +217,43 @@ def test_merged_changes_are_the_current_table(spark, tmp_path):
     assert sorted((r["id"], r["op"]) for r in keyed.current_rows(log, ["id"], ["ts_ms"]).collect()) == [(1, "u"), (3, "c")]
 
 
+def test_sessions_merge_in_any_order():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        times = rng.integers(0, 400, rng.integers(1, 30))
+        want = timers.merged_sessions([], times, 10)
+        got = []
+        for part in np.array_split(rng.permutation(times), 4):
+            got = timers.merged_sessions(got, part, 10)
+        assert got == want and sum(n for *_, n in want) == len(times)
+        assert all(b[0] - a[1] >= 10 for a, b in zip(want, want[1:]))
+
+
+def test_one_alert_per_silence_across_restarts(spark, tmp_path):
+    """Alerts come once, from the run in which the watermark passes; a key that was silent has no state left."""
+    source, out, progress = str(tmp_path / "in"), run_dir(spark, "al"), run_dir(spark, "cp")
+    at = lambda h, m=0: f"2024-01-01 {h:02d}:{m:02d}:00"
+    runs_ = [
+        [("a", at(0)), ("b", at(0, 30)), ("a", at(1, 30)), ("c", at(3))],  # watermark 2:00 then: b is not yet silent for two hours
+        [("d", at(5)), ("c", at(4, 30)), ("a", at(3, 10))],  # watermark 4:00; a's row at 3:10 keeps it awake until 5:10
+        [("d", at(9)), ("c", at(8))],
+        [("d", at(20))],
+    ]
+    seen = []
+    for rows in runs_:
+        spark.createDataFrame(rows, "k string, t string").withColumn("t", F.to_timestamp("t")).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k string, t timestamp").parquet(source)
+        alerts = timers.silence_alerts(stream, ["k"], "t", "2 hours", "1 hour")
+        runs.append_query(alerts, out, progress).awaitTermination()
+        seen.append(sorted((r.k, r.last_seen.strftime("%H:%M"), r.n) for r in spark.read.parquet(out).collect()))
+    assert seen[0] == []
+    assert seen[1] == [("b", "00:30", 1)]
+    assert seen[2] == [("a", "03:10", 3), ("b", "00:30", 1), ("c", "04:30", 2), ("d", "05:00", 1)]
+    assert seen[3] == [*seen[2][:3], ("c", "08:00", 1), *seen[2][3:], ("d", "09:00", 1)]
+    state = spark.read.format("statestore").option("stateVarName", "open").load(progress)
+    assert [r["key"]["k"] for r in state.select("key").distinct().collect()] == ["d"]
+
+
 def test_typed_landing_keeps_rejects(spark):
     from tidemill.operators import registry
 

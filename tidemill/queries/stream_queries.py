@@ -9,13 +9,15 @@ from tidemill.operators import compare as X
 from tidemill.operators.records import decode_cols, regex_filter
 from tidemill.operators.registry import frame_records, json_decoder
 from tidemill.plans.shared import run_dir
-from tidemill.queries.base import READABLE, REC, event_records, micros, query, readable, records_of, table, text
+from tidemill.queries.base import ORACLES, READABLE, REC, event_records, micros, query, readable, records_of, table, text
 from tidemill.queries.json_queries import stock_lines
 from tidemill.queries.registry_queries import registry_of
 from tidemill.sources import sinks as S
+from tidemill.sources.batches import batch_writer, compact_batches, read_batches
 from tidemill.sources.files import read_csv_dir, read_csv_lines, read_json_lines, stream_table
 from tidemill.sources.topics import read_topic
 from tidemill.streaming import runs as Z
+from tidemill.streaming.timers import silence_alerts
 
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,6 +115,24 @@ def stream_silent_keys(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(ORACLES["stream_silent_keys"])
+def stream_silence_timers(spark: SparkSession, sf: str) -> DataFrame:
+    """The same alerts from event-time timers, over two runs with one checkpoint; new input comes between them."""
+    path, progress = _dirs(spark, "timers")
+    arrived = run_dir(spark, "arrivals")
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    middle = events.agg(F.min("ts") + (F.max("ts") - F.min("ts")) / 2).scalar()
+    important = F.col("event_type").isin("error", "purchase")
+    for early in (True, False):
+        events.filter((F.col("ts") < middle) == early).write.mode("append").parquet(arrived)
+        source = spark.readStream.schema(events.schema).parquet(arrived)
+        alerts = silence_alerts(source, ["user_id"], "ts", "12 hours", "1 hour", important)
+        Z.append_query(alerts, path, progress).awaitTermination()
+    return spark.read.parquet(path).select(
+        "user_id", micros("last_seen").alias("last_seen_us"), micros("alert_at").alias("alert_us")
+    )
+
+
 @query("SELECT event_id, user_id, epoch_us(ts) AS ts_us FROM events")
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """Three overlapping polls of a stream, one row per item."""
@@ -164,6 +184,20 @@ def land_key_value(spark: SparkSession, sf: str) -> DataFrame:
     return readable(decode_cols(spark.read.parquet(path), ["key"]))
 
 
+@query(f"WITH {REC} SELECT {READABLE} FROM rec")
+def land_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed batch by batch, some batches twice; most of them compacted; read back through both kinds of folders."""
+    path = run_dir(spark, "lake")
+    land = batch_writer(path)
+    records = event_records(spark, sf).select("key", "value", "topic", "partition", "offset", "timestamp")
+    for batch in range(6):
+        for _ in range(1 + batch % 2):
+            land(records.filter(F.col("offset") % 6 == batch), batch)
+        if batch % 2:
+            compact_batches(spark, path, batch - 1)
+    return readable(decode_cols(read_batches(spark, path), ["key"]))
+
+
 @query(
     """WITH n AS (SELECT max(s_suppkey) AS top FROM supplier),
     e AS (SELECT event_id, user_id % (top + 3) AS id, event_id % 7 AS odd, props, s_suppkey IS NULL AS unknown
