@@ -125,16 +125,21 @@ def made():
     return _MADE[0]
 
 
+def test_stretches():
+    aligner = made()
+    assert aligner.stretches and aligner.split(" a  b\n c\xa0 \xa0 d ") == [" a", "  b\n", " c\xa0 \xa0 d", " "]
+
+
 def test_whole_texts_when_tokens_cross_blanks(plain):
     aligner = made()
-    fast, aligner.split = aligner.split, alignment.re.compile("(?s).+").findall
+    fast, aligner.split, aligner.stretches = aligner.split, alignment.re.compile("(?s).+").findall, False
     try:
         text = "several words  here,\nand <|endoftext|> more " * 20
         x, y, g, link, _ = plain(text)
         counts, groups, _ = aligner.align([text])
         assert counts[0, :4].tolist() == [len(x), len(y), len(g), len(link)] and groups[0] == as_text(g)
     finally:
-        aligner.split = fast
+        aligner.split, aligner.stretches = fast, True
 
 
 def test_half_a_megabyte_without_blanks_and_with(spark, plain):

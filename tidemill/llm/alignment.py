@@ -27,12 +27,12 @@ from tidemill.plans.shared import run_dir
 #: A vocabulary goes to every task; above this it is refused.
 VOCABULARY_BYTES = 64 << 20
 #: text stretches whose tokens a task remembers, and their characters together
-REMEMBERED = 150_000
-REMEMBERED_CHARS = 4 << 20
+REMEMBERED = 250_000
+REMEMBERED_CHARS = 24 << 20
 #: entries of a matrix product that are expanded at a time
-BLOCK_ENTRIES = 1 << 21
+BLOCK_ENTRIES = 1 << 18
 #: (document, pair) entries that one row of the packed table holds, unless one document has more
-CHUNK_LINKS = 1 << 21
+CHUNK_LINKS = 1 << 19
 #: The pattern that a byte-level pre-tokenizer of this kind splits by.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE_PIECE = "▁"
@@ -92,6 +92,13 @@ class CSR:
             i = j
 
 
+def _before_blanks(tokens: Iterable[bytes]) -> set[str] | None:
+    """The characters after which some token goes on with a blank, other than a blank; none known if a token
+    has part of a character there."""
+    found = {c for t in tokens for c in re.findall("([^ ]) ", t.decode(errors="replace"))}
+    return None if "\ufffd" in found else found
+
+
 def _bytes_of_letters() -> dict[str, int]:
     """The letters that stand for bytes in a byte-level vocabulary: printable bytes stand for themselves,
     the others follow from 256 on."""
@@ -113,19 +120,19 @@ class ByteLevel:
         ids = [model["vocab"][a + b] for a, b in joined]
         splitter = made["pre_tokenizer"] or {}
         plain = splitter.get("type") == "ByteLevel" and splitter.get("use_regex") and not splitter.get("add_prefix_space")
+        self.before_blanks = _before_blanks(self.bytes_of.values())
         if plain and made["normalizer"] is None and ids == sorted(set(ids)) and len(ids) + 256 == len(tokens):
-            # merges in the order of their ids: the ranks say the same, and the pieces never cross into a blank
+            # merges in the order of their ids: the ranks say the same
             ranks = {b: i for i, b in self.bytes_of.items()}
             fast = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
             self.encode: Callable = lambda texts: [fast.encode_ordinary(t) for t in texts]
-            self.splits_at_blanks = True
         else:
             from tokenizers import Tokenizer
 
             slow = Tokenizer.from_str(spec)
             slow.encode_special_tokens = True
             self.encode = lambda texts: [e.ids for e in slow.encode_batch(texts, add_special_tokens=False)]
-            self.splits_at_blanks = False
+            self.before_blanks = None
 
 
 class Pieces:
@@ -139,9 +146,8 @@ class Pieces:
             for i, p in enumerate(names)
         }
         self.blank = [self.model.piece_to_id(SPACE_PIECE)]
-        # no piece goes on after a blank: tokens of a text are those of its stretches
-        crossing = any(re.search(f"[^{SPACE_PIECE}]{SPACE_PIECE}", p) for p in names)
-        self.splits_at_blanks = not crossing and self.blank[0] != self.model.unk_id()
+        alone = self.blank[0] != self.model.unk_id()
+        self.before_blanks = _before_blanks(self.bytes_of.values()) if alone else None
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Each text without its first blank, which the model adds; of nothing else it would make nothing."""
@@ -166,56 +172,65 @@ def cut(ids_a: np.ndarray, ids_b: np.ndarray, len_a: np.ndarray, len_b: np.ndarr
 class Aligner:
     """Aligns stretches of text and remembers those that the task has met lately.
 
-    Where neither vocabulary has a token that goes on after a blank, a text's tokens are those of its
-    stretches (blanks and what follows them up to the next blank); otherwise a text is one stretch.
+    No token goes on with a blank after most characters, so a text's tokens are those of its stretches: a blank and
+    what follows it up to the next blank behind such a character.  If that cannot be told, a text is one stretch.
     """
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
         self.len_a, self.len_b = _lengths(a.bytes_of), _lengths(b.bytes_of)
         # every id as text, followed by each mark that can come after it
-        self.marks_a, self.marks_b = ([[f"{i}{m}" for i in range(n)] for m in marks] for n, marks in
-                                      ((len(self.len_a), ",|"), (len(self.len_b), ",;")))
-        stretches = a.splits_at_blanks and b.splits_at_blanks
-        self.split = re.compile(" +[^ ]*" if stretches else "(?s).+").findall
+        self.marks = [f"{i}{m}" for n, marks in ((len(self.len_a), ",|"), (len(self.len_b), ",;")) for m in marks for i in range(n)]
+        self.mark_size = np.array([len(m) for m in self.marks])
+        self.stretches = a.before_blanks is not None and b.before_blanks is not None
+        self.open_ends = tuple({" "} | (a.before_blanks or set()) | (b.before_blanks or set()))
+        inside = "".join(re.escape(c) for c in self.open_ends)
+        self.split = re.compile(f" (?:[^ ]|(?<=[{inside}]) )*" if self.stretches else "(?s).+").findall
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.chars = 0
         self.texts: list[str] = []
-        self.counts: list[np.ndarray] = []
-        self.links: list[np.ndarray] = []
+        self.counts = np.zeros((0, 6), np.int64)
+        self.links, self.link_ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def _encode(self, side: ByteLevel | Pieces, lengths: np.ndarray, parts: list[str], raw: list[bytes]) -> tuple:
+        """Ids of all parts, the part of each id, and which parts the ids give back byte by byte."""
+        if self.stretches and parts and not any(p.endswith(self.open_ends) for p in parts):
+            ids = side.encode(["".join(parts)])[0]
+            if b"".join(map(side.bytes_of.__getitem__, ids)) == b"".join(raw):
+                flat = np.array(ids, np.int64)
+                ends = np.cumsum([len(r) for r in raw])
+                return flat, np.searchsorted(ends, np.cumsum(lengths[flat])), np.ones(len(parts), bool)
+        lists = side.encode(parts)
+        ok = np.array([b"".join(map(side.bytes_of.__getitem__, x)) == r for x, r in zip(lists, raw)], bool)
+        owner = np.repeat(np.arange(len(parts)), [len(x) for x in lists])
+        return np.array([i for x in lists for i in x], np.int64), owner, ok
 
     def _learn(self, new: list[str]) -> None:
-        ids_a, ids_b = self.a.encode(new), self.b.encode(new)
-        ok = []
-        for text, x, y in zip(new, ids_a, ids_b):
-            raw = text.encode()
-            ok.append(b"".join([self.a.bytes_of.get(i, b"") for i in x]) == raw == b"".join([self.b.bytes_of[i] for i in y]))
-        x = [ids if fine else [] for ids, fine in zip(ids_a, ok)]
-        y = [ids if fine else [] for ids, fine in zip(ids_b, ok)]
-        na, nb = (np.array([len(v) for v in lists], np.int64) for lists in (x, y))
-        fa, fb = (np.array([i for v in lists for i in v], np.int64) for lists in (x, y))
+        raw = [t.encode() for t in new]
+        fa, owner_a, ok_a = self._encode(self.a, self.len_a, new, raw)
+        fb, owner_b, ok_b = self._encode(self.b, self.len_b, new, raw)
+        ok = ok_a & ok_b
+        fa, owner_a, fb, owner_b = fa[ok[owner_a]], owner_a[ok[owner_a]], fb[ok[owner_b]], owner_b[ok[owner_b]]
         i, j, group_a, group_b, si, _ = cut(fa, fb, self.len_a[fa], self.len_b[fb])
-        owner_a, owner_b = np.repeat(np.arange(len(new)), na), np.repeat(np.arange(len(new)), nb)
         tail_a, tail_b = np.append(group_a[1:], -1) != group_a, np.append(group_b[1:], -1) != group_b
         many = lambda owner: np.bincount(owner, minlength=len(new))
-        n_groups, n_links, n_shared = many(owner_a[tail_a]), many(owner_a[i]), many(owner_a[si])
-        marks = [self.marks_a[t][k] for k, t in zip(fa.tolist(), tail_a.tolist())]
-        marks += [self.marks_b[t][k] for k, t in zip(fb.tolist(), tail_b.tolist())]
-        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable").tolist()
-        ends = np.cumsum(na + nb).tolist()
-        pairs = (fa[i] << 32) | fb[j]
-        stops = np.cumsum(n_links).tolist()
-        counts = np.stack((na, nb, n_groups, n_links, n_shared, np.array(ok, np.int64)), 1)
-        u = v = 0
-        for k, text in enumerate(new):
-            self.known[text] = len(self.texts)
-            self.texts.append("".join([marks[o] for o in order[u : ends[k]]]))
-            self.links.append(pairs[v : stops[k]])
-            u, v = ends[k], stops[k]
-        self.counts.append(counts)
+        n_links = many(owner_a[i])
+        counts = [many(owner_a), many(owner_b), many(owner_a[tail_a]), n_links, many(owner_a[si]), ok.astype(np.int64)]
+        na, nb = len(self.len_a), len(self.len_b)
+        marks = np.concatenate((fa + na * tail_a, fb + nb * tail_b + 2 * na))
+        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
+        marks, owner = marks[order], np.concatenate((owner_a, owner_b))[order]
+        line = "".join([self.marks[m] for m in marks.tolist()])
+        stops = np.cumsum(np.bincount(owner, weights=self.mark_size[marks], minlength=len(new)).astype(np.int64)).tolist()
+        self.known.update(zip(new, range(len(self.texts), len(self.texts) + len(new))))
+        self.texts += [line[u:v] for u, v in zip([0, *stops], stops)]
+        self.chars += len(line) + sum(map(len, new))
+        self.counts = np.concatenate((self.counts, np.stack(counts, 1)))
+        self.links = np.concatenate((self.links, fa[i] * nb + fb[j]))
+        self.link_ends = np.concatenate((self.link_ends, self.link_ends[-1] + np.cumsum(n_links)))
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[bytes]]:
         """Counts, groups and links of each text."""
@@ -225,22 +240,32 @@ class Aligner:
         if new and (len(self.known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS):
             self.forget()
             new = list(needed)
-        self.chars += sum(map(len, new))
-        if new:
-            self._learn(new)
-            self.counts = [np.concatenate(self.counts)]
-        known = self.known
-        at = [[known[s] for s in parts] for parts in own]
-        counts, groups, links = np.zeros((len(texts), 6), np.int64), [], []
-        for n, parts in enumerate(at):
-            c = self.counts[0][parts] if parts else np.zeros((0, 6), np.int64)
-            if len(c) and c[:, 5].all():
-                counts[n] = c.sum(0)
-                groups.append("".join([self.texts[p] for p in parts])[:-1])
-                links.append(_counted(np.concatenate([self.links[p] for p in parts])))
-            else:
-                groups.append("")
-                links.append(b"")
+        last = [t for t in new if t.endswith(self.open_ends)]  # the end of a text: never before another stretch
+        for part in ([t for t in new if not t.endswith(self.open_ends)], last):
+            if part:
+                self._learn(part)
+        get = self.known.__getitem__
+        at = [list(map(get, parts)) for parts in own]
+        text = np.repeat(np.arange(len(texts)), [len(x) for x in at])
+        flat = np.array([i for x in at for i in x], np.int64)
+        bad = np.zeros(len(texts), bool)
+        bad[text[self.counts[flat, 5] == 0]] = True
+        good = ~bad[text]
+        flat, text = flat[good], text[good]
+        counts = np.zeros((len(texts), 6), np.int64)
+        np.add.at(counts, text, self.counts[flat])
+        groups = ["" if wrong else "".join([self.texts[p] for p in parts])[:-1] for parts, wrong in zip(at, bad)]
+        # the links of all stretches, counted for each text
+        size = self.link_ends[flat + 1] - self.link_ends[flat]
+        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        key = (np.repeat(text, size) << 32) | self.links[np.repeat(self.link_ends[flat], size) + inside]
+        key.sort()
+        first = runs(key)
+        n = np.diff(np.append(first, len(key)))
+        a, b = np.divmod(key[first] & 0xFFFFFFFF, len(self.len_b))
+        edges = np.searchsorted(key[first] >> 32, np.arange(len(texts) + 1)).tolist()
+        both = (a << 32) | b
+        links = [pack_links(both[u:v], n[u:v]) if v > u else b"" for u, v in zip(edges[:-1], edges[1:])]
         return counts, groups, links
 
 
@@ -250,22 +275,39 @@ def _lengths(bytes_of: dict[int, bytes]) -> np.ndarray:
     return out
 
 
-def _counted(pairs: np.ndarray) -> bytes:
-    keys, n = np.unique(pairs, return_counts=True)
-    return np.stack((keys, n), 1).tobytes()
+def pack_links(pairs: np.ndarray, n: np.ndarray) -> bytes:
+    """Distinct pairs (A id in the upper half), ascending, and their numbers."""
+    return pack(np.diff(pairs, prepend=0), n.astype(np.uint32))
+
+
+def unpack_links(cell: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    if not cell:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    steps, n = unpack(cell, np.int64, np.uint32)
+    return np.cumsum(steps), n
 
 
 def link_rows(cell: bytes) -> list[tuple[int, int, int]]:
     """The content of ``links``: (A id, B id, how many links)."""
-    got = np.frombuffer(cell, np.int64).reshape(-1, 2)
-    return [(k >> 32, k & 0xFFFFFFFF, n) for k, n in got.tolist()]
+    return [(k >> 32, k & 0xFFFFFFFF, m) for k, m in zip(*(x.tolist() for x in unpack_links(cell)))]
+
+
+#: tokenizers that this worker has made, with what they remember
+_MADE: dict[int, Aligner] = {}
+
+
+def _aligner(spec: str, model: bytes) -> Aligner:
+    key = hash((spec, model))
+    if key not in _MADE:
+        _MADE.clear()
+        _MADE[key] = Aligner(ByteLevel(spec), Pieces(model))
+    return _MADE[key]
 
 
 def _align(shipped, text_col: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spec, model = shipped.value
-        aligner = Aligner(ByteLevel(spec), Pieces(model))
-        for rows, data, offsets in chunks(batches, text_col, 1 << 20):
+        aligner = _aligner(*shipped.value)
+        for rows, data, offsets in chunks(batches, text_col, 2 << 20):
             raw = data.tobytes()
             counts, groups, links = aligner.align([raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:])])
             columns = [pa.array(counts[:, k]) for k in range(5)]
@@ -293,12 +335,12 @@ def align(docs: DataFrame, byte_level: str, pieces: str, text_col: str = "text")
     * ``n_a``, ``n_b``: tokens; ``n_groups``; ``n_links``: pairs of tokens with a byte in common; ``n_shared``: pairs
       in the same group.
     * ``groups``: ids as ``a1,a2|b1;a3|b2,b3``.
-    * ``links``: the distinct id pairs with their numbers, see :func:`link_rows`.
+    * ``links``: the distinct id pairs with their numbers, packed; :func:`link_rows` reads them.
 
     Null and empty texts, and texts whose A or B bytes do not give the blank and the text back (a piece for a blank in the
     text itself, a model that rewrites texts), have no tokens: zeros and empty values.  Texts are
     aligned whole; equal rows get equal results; an empty table gives an empty result; input columns named like
-    a result column are replaced.  Memory of a task: 1 MB of text (or the longest text) and what it remembers.
+    a result column are replaced.  Memory of a task: 2 MB of text (or the longest text) and what it remembers.
     """
     shipped = docs.sparkSession.sparkContext.broadcast((_small_file(byte_level).decode(), _small_file(pieces)))
     rows = docs.select(F.struct("*").alias("row"))
@@ -312,41 +354,35 @@ def _packed(links_col: str):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
-        waiting: list[tuple[pa.Array, list[bytes]]] = []
+        waiting: list[tuple[pa.Array, list[tuple]]] = []
         size = 0
 
         def chunk():
             cells = [c for _, own in waiting for c in own]
-            got = [np.frombuffer(c, np.int64).reshape(-1, 2) for c in cells]
-            flat = np.concatenate(got) if got else np.zeros((0, 2), np.int64)
-            keys, place = np.unique(flat[:, 0], return_inverse=True)
-            sizes = np.array([len(g) for g in got], np.uint32)
-            n = np.bincount(place, weights=flat[:, 1], minlength=len(keys)).astype(np.int64)
-            body = pack(sizes, place.astype(np.uint32), flat[:, 1].astype(np.uint32))
+            pairs, n = (np.concatenate(x) for x in zip(*cells))
+            keys, place = np.unique(pairs, return_inverse=True)
+            total = np.bincount(place, weights=n, minlength=len(keys)).astype(np.int64)
+            body = pack(np.array([len(c[0]) for c in cells], np.uint32), place.astype(np.uint32), n)
             rows = pa.concat_arrays([r for r, _ in waiting])
             return pa.RecordBatch.from_arrays(
                 [pa.array([(task << 32) | number]), pa.ListArray.from_arrays([0, len(rows)], rows),
-                 pa.ListArray.from_arrays([0, len(keys)], pa.array(keys)), pa.ListArray.from_arrays([0, len(n)], pa.array(n)),
+                 pa.ListArray.from_arrays([0, len(keys)], pa.array(keys)), pa.ListArray.from_arrays([0, len(keys)], pa.array(total)),
                  pa.array([body], pa.binary())],
                 names=["chunk", "rows", "pairs", "n", "body"],
             )
 
         for batch in batches:
-            rows, cells = batch.column("row"), batch.column("row").field(links_col)
-            sizes = np.array([len(c) // 16 for c in (x.as_py() or b"" for x in cells)])
-            i = 0
-            while i < batch.num_rows:
-                j = i
-                while j < batch.num_rows and (size == 0 or size + sizes[j] <= CHUNK_LINKS):
-                    size += int(sizes[j])
-                    j += 1
-                if j > i:
-                    waiting.append((rows.slice(i, j - i), [x.as_py() or b"" for x in cells.slice(i, j - i)]))
-                if j < batch.num_rows:
+            rows, start, own = batch.column("row"), 0, []
+            for k, cell in enumerate(rows.field(links_col)):
+                got = unpack_links(cell.as_py())
+                if size and size + len(got[0]) > CHUNK_LINKS:
+                    waiting.append((rows.slice(start, k - start), own))
                     yield chunk()
-                    waiting, size, number = [], 0, number + 1
-                i = j
-        if waiting:
+                    waiting, size, number, start, own = [], 0, number + 1, k, []
+                own.append(got)
+                size += len(got[0])
+            waiting.append((rows.slice(start), own))
+        if size or any(own for _, own in waiting):
             yield chunk()
 
     return run
@@ -384,15 +420,17 @@ def score_links(aligned: DataFrame, links_col: str = "links") -> DataFrame:
     result; input columns named like a result column are replaced.
     """
     spark = aligned.sparkSession
-    rows = aligned.select(F.struct("*").alias("row"))
+    folder = run_dir(spark, "alignment")
+    # written before they are packed: a task that aligns and packs would hold two Python workers
+    aligned.write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows").select(F.struct("*").alias("row"))
     whole = rows.schema["row"].dataType
     kept = StructType([f for f in whole.fields if f.name.lower() != links_col.lower()])
     plain = StructType.fromDDL("chunk long, pairs array<long>, n array<long>, body binary").fields
     packed = rows.mapInArrow(_packed(links_col), StructType([plain[0], StructField("rows", ArrayType(whole)), *plain[1:]]))
-    folder = run_dir(spark, "alignment")
     without = F.transform("rows", lambda r: F.struct(*[r[f.name].alias(f.name) for f in kept.fields]))
-    packed.withColumn("rows", without).write.parquet(folder)
-    packed = spark.read.parquet(folder)
+    packed.withColumn("rows", without).write.parquet(f"{folder}/packs")
+    packed = spark.read.parquet(f"{folder}/packs")
 
     entries = packed.select("chunk", F.posexplode(F.arrays_zip("pairs", "n")).alias("place", "e"))
     entries = entries.select("chunk", "place", F.col("e.pairs").alias("pair"), F.col("e.n").alias("n"))
