@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import duckdb
 import pytest
 from corpus import ODD, corpus, docs, empty, odd, with_clashes  # noqa: F401
 from pyspark.sql import functions as F
@@ -166,10 +167,10 @@ def plain_scan(text):
     for m in re.finditer(candidate(20), text):
         if any(re.search(p, m[0]) for p in ALLOW):
             continue
-        bits = 2.9 if re.fullmatch("[0-9a-fA-F]+", m[0]) else 3.7
         at = []
         for i in range(len(m[0]) - 19):
             w = m[0][i : i + 20]
+            bits = 2.9 if re.fullmatch("[0-9a-fA-F]+", w) else 3.7
             if -sum(w.count(c) / 20 * math.log2(w.count(c) / 20) for c in set(w)) >= bits - 1e-9:
                 at.append(i)
         if at:
@@ -188,6 +189,38 @@ SECRETS = [
 ]
 
 
+def glued(n=10):
+    rng = random.Random(2)
+    draw = lambda n: "".join(rng.choice("0123456789ABCDEF") for _ in range(n))
+    return [f"see {name}{draw(k)}{tail}" for name in ("SIG=", "id/", "key_", "") for k in (32, 40, 64) for tail in ("", "/zz-top") for _ in range(n)]
+
+
+def test_scan_and_its_sql(spark, tmp_path):
+    """The query, its SQL and the plain rules over secrets of every kind, also those glued to names."""
+    from oracle import compare
+
+    from tidemill.llm.queries import ORACLES, op9_entropy_scan
+
+    rows = list(enumerate([*SECRETS, *glued(3), "SIG=" + "0F1E2D3C4B5A69788796A5B4C3D2E1F0" + "A" * 8, "", None]))
+    spark.createDataFrame(rows, "doc_id long, text string").toPandas().to_parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    assert compare(con, op9_entropy_scan(spark, str(tmp_path)), ORACLES["op9_entropy_scan"]) is None
+    got = {r.doc_id: r.spans for r in op9_entropy_scan(spark, str(tmp_path)).collect()}
+    assert got == {i: plain_scan(t) for i, t in rows}
+
+
+def test_long_candidates_and_many_matches(spark):
+    """A megabyte in one candidate and 50,000 matches in one text."""
+    key = "Q1w2E3r4T5y6U7i8O9p0"
+    texts = [key * 50_000, "token=abcdef " * 50_000, "z" * 400_000 + key * 3 + "z" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: [tuple(s) for s in r.secrets] for r in scan(df).collect()}
+    assert got[0] == [("entropy", 0, 1_000_000)]
+    assert got[1] == [("assign", 13 * i, 13 * i + 12) for i in range(50_000)]
+    assert got[2] == [(k, a + 399_900, b + 399_900) for k, a, b in window_spans("z" * 100 + key * 3 + "z" * 100)] and len(got[2]) == 1
+
+
 def test_scan(spark):
     rows = list(enumerate(SECRETS + [t for _, t in corpus()]))
     got = scan(with_clashes(spark, rows))
@@ -212,7 +245,7 @@ def test_hex_secrets_beside_names(spark):
     """Glued to a name or a path, a hexadecimal secret needs no more entropy than alone."""
     rng = random.Random(2)
     draw = lambda n: "".join(rng.choice("0123456789ABCDEF") for _ in range(n))
-    texts = [f"see {name}{draw(n)}{tail}" for name in ("SIG=", "id/", "key_", "") for n in (32, 40, 64) for tail in ("", "/zz-top") for _ in range(10)]
+    texts = glued()
     texts += ["SIG=" + "AB" * 20, "path/to/nothing-more-than/words_and_names", "aB3dE5gH7jK9mN1pQ3sT5v=" + draw(40)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: [tuple(s) for s in r.secrets if s.kind == "entropy"] for r in scan(df).collect()}

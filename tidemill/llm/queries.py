@@ -195,7 +195,7 @@ e AS (SELECT *, list_transform(list_filter(coalesce(c, []), lambda x: NOT regexp
     AND NOT regexp_matches(x.t, '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$')
     AND NOT regexp_matches(x.t, '(?i)abcdefghij|0123456789|9876543210')),
     lambda x: {{'s': x.s, 'w': list_filter(range(0, length(x.t) - 19), lambda i: list_aggregate(string_split(substr(x.t, 1 + i, 20), ''), 'entropy')
-       >= CASE WHEN regexp_matches(x.t, '^[0-9a-fA-F]+$') THEN 2.9 ELSE 3.7 END - 1e-9)}}) AS w FROM f),
+       >= CASE WHEN regexp_matches(substr(x.t, 1 + i, 20), '^[0-9a-fA-F]+$') THEN 2.9 ELSE 3.7 END - 1e-9)}}) AS w FROM f),
 n AS (SELECT *, list_transform(coalesce(a, []), lambda x: {{'s': x.s, 'o': 0, 'e': x.e}}) AS na, list_transform(coalesce(k, []), lambda x: {{'s': x.s, 'o': 1, 'e': x.e}}) AS nk,
     list_transform(coalesce(h, []), lambda x: {{'s': x.s, 'o': 2, 'e': x.e}}) AS nh,
     list_transform(list_filter(w, lambda x: len(x.w) > 0), lambda x: {{'s': x.s + list_min(x.w), 'o': 3, 'e': x.s + list_max(x.w) + 20}}) AS ne FROM e),
