@@ -10,13 +10,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from tidemill.llm.common import chunks, keyed, mixed, shuffle_partitions, spread, with_row
 from tidemill.llm.postings import BLOCKS, Combiner, hit_values, settle, told
 
-#: Odd multipliers of the two polynomial hashes (bytes of a word, words of a window).
-BYTE_BASE = 0x9E3779B97F4A7C15
+#: Seed of the words' hashes, and the odd multiplier of the windows' polynomial over them.
+SEED = 0x9E3779B97F4A7C15
 WORD_BASE = 0xC2B2AE3D27D4EB4F
 #: Space, tab, line feed, vertical tab, form feed, carriage return: also what ``bytes.split`` takes.
 _IS_SPACE = np.zeros(256, bool)
@@ -26,26 +27,6 @@ SPANS = "removed_spans array<struct<start:long,end:long>>"
 SPANS_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-class Powers:
-    """Powers of an odd base and of its inverse modulo 2^64, made once and extended when needed."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    @staticmethod
-    def _of(base: int, size: int) -> np.ndarray:
-        factors = np.full(size, base, np.uint64)
-        factors[0] = 1
-        return np.cumprod(factors, dtype=np.uint64)
-
-    def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
-            self.up, self.down = self._of(self.base, size), self._of(self.inverse, size)
-        return self.up[:n], self.down[:n]
-
-
 def word_edges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each word of the concatenated texts; texts are not joined to one another."""
     word = ~_IS_SPACE[data]
@@ -57,12 +38,11 @@ def word_edges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
-    """A polynomial hash of each word's bytes from prefix sums, scrambled."""
-    up, down = powers.first(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts])
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The XXH64 of each word's bytes; a word that comes again is hashed once."""
+    numbers: dict[bytes, int] = {}
+    words = [numbers.setdefault(data[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist())]
+    return np.array([xxhash.xxh64_intdigest(w, SEED) for w in numbers], np.uint64)[np.array(words, np.int64)]
 
 
 def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
@@ -75,7 +55,7 @@ def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
 
 def _post(window: int, partitions: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, combiner = Powers(BYTE_BASE), Combiner(partitions, need_earlier=True)
+        combiner = Combiner(partitions, need_earlier=True)
         for rows, data, offsets in chunks(batches):
             starts, ends = word_edges(data, offsets)
             if len(starts) < window:
@@ -83,7 +63,7 @@ def _post(window: int, partitions: int):
             doc = np.searchsorted(offsets, starts, "right") - 1
             first = np.searchsorted(starts, offsets[:-1])  # the number of each text's first word
             whole = np.flatnonzero(doc[: len(doc) - window + 1] == doc[window - 1 :])
-            hashes = window_hashes(word_hashes(data, starts, ends, powers), window)[whole]
+            hashes = window_hashes(word_hashes(data.tobytes(), starts, ends), window)[whole]
             owner = doc[whole]
             rank, th = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("rank", "th"))
             yield from combiner.step(hashes, owner, rank, th, (whole - first[owner]).astype(np.uint32))
@@ -141,8 +121,8 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     * Memory of a task: one step of text (3 MB, or the longest document) and one partition of packed
       windows, about 12 bytes each; raise ``spark.sql.shuffle.partitions`` with the data.
 
-    Windows are compared by 64-bit hashes: among n distinct windows about n^2 / 2^65 pairs agree by
-    chance (10^-3 at 2*10^8 windows).
+    Windows are compared by 64-bit hashes over the XXH64 of their words: among n distinct windows about n^2 / 2^65
+    pairs agree by chance (10^-3 at 2*10^8 windows).  Words are not compared once more.
     """
     rows = keyed(docs, id_col, text_col)
     n = shuffle_partitions(docs.sparkSession)
