@@ -137,7 +137,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    both = decode(coded, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    both = decode(coded.drop("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return both.select(
         "doc_id",
         "n_tokens",
