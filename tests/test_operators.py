@@ -596,3 +596,72 @@ def test_recursive_and_unreadable_schemas():
     assert list(verdicts([('{"type":"odd"}', "{}"), ("{", "{}"), (None, "{}"), ('"int"', "5"), ('"int"', b"\xff")])) == [False, False, None, True, False]
     with pytest.raises(ValueError):
         checker('{"type":"record"}')
+
+
+# -- nested compatibility and message indexes ------------------------------------------------------
+
+
+def _record(*fields, name="R", **more):
+    return {"type": "record", "name": name, "fields": [dict(zip(("name", "type", "default"), f)) for f in fields], **more}
+
+
+def test_nested_compatibility(spark):
+    enum = lambda *s, **k: {"type": "enum", "name": "E", "symbols": list(s), **k}
+    inner = lambda *f, **k: _record(("a", _record(*f, name="A", **k)))
+    listed, mapped = (lambda t: _record(("l", {"type": "array", "items": t}))), (lambda t: _record(("m", {"type": "map", "values": t})))
+    again = lambda t: _record(("v", t), ("next", ["null", "R"]))
+    renamed = _record(("b", "int"))
+    renamed["fields"][0]["aliases"] = ["a"]
+    cases = [
+        (inner(("x", "int")), inner(("x", "long")), []),
+        (inner(("x", "long")), inner(("x", "int")), [("a.x", "long cannot be read as int")]),
+        (inner(("x", "int")), inner(("x", "int"), ("y", "int")), [("a.y", "new field without a default")]),
+        (inner(("x", "int")), inner(("x", "int"), ("y", ["null", "int"], None)), []),
+        (inner(("x", "int"), ("y", "int")), inner(("x", "int")), []),
+        (inner(("x", ["null", "int"])), inner(("x", "int")), [("a.x", "null cannot be read as int")]),
+        (inner(("x", "int")), inner(("x", ["null", "long"])), []),
+        (inner(("x", "string")), inner(("x", ["null", "int"])), [("a.x", "no branch takes string")]),
+        (listed("int"), listed("double"), []),
+        (listed({"type": "array", "items": "int"}), listed({"type": "array", "items": "string"}), [("l[][]", "int cannot be read as string")]),
+        (mapped(enum("A", "B")), mapped(enum("A")), [("m{}", "unknown symbols B")]),
+        (mapped(enum("A", "B")), mapped(enum("A", default="A")), []), (mapped(enum("A")), mapped(enum("B", "A")), []),
+        (listed("int"), _record(("l", {"type": "map", "values": "int"})), [("l", "array cannot be read as map")]),
+        (_record(("a", "int")), renamed, []), (renamed, _record(("a", "int")), [("a", "new field without a default")]),
+        (again("int"), again("long"), []), (again("long"), again("int"), [("v", "long cannot be read as int")]),
+        (_record(("u", ["null", _record(("x", "int"), name="X")])), _record(("u", ["null", _record(("x", "string"), name="X")])), [("u.x", "int cannot be read as string")]),
+        (_record(("f", {"type": "fixed", "name": "F", "size": 4})), _record(("f", {"type": "fixed", "name": "F", "size": 8})), [("f", "size 4 cannot be read as 8")]),
+        (_record(("x", "int"), name="Old"), _record(("x", "int"), name="New", aliases=["Old"]), []),
+        (_record(("x", "int"), name="Old"), _record(("x", "int"), name="New"), [("", "record has another name")]),
+        (_record(("a", _record(("x", "int"), name="A")), ("b", "A")), _record(("b", _record(("x", "int"), name="A"))), []),
+        (_record(("t", {"type": "long", "logicalType": "timestamp-micros"})), _record(("t", "long")), []),
+    ]
+    sides = [spark.createDataFrame([(str(i), json.dumps(c[k])) for i, c in enumerate(cases)], "subject string, schema string") for k in (0, 1)]
+    got = {}
+    for r in registry.compatibility_problems(*sides).collect():
+        got.setdefault(int(r.subject), []).append((r.path, r.problem))
+    assert {i: got.get(i, []) for i in range(len(cases))} == {i: c[2] for i, c in enumerate(cases)}
+    odd = spark.createDataFrame([("s", "{")], "subject string, schema string")
+    assert [r.path for r in registry.compatibility_problems(odd, odd).collect()] == [""]
+
+
+def _plain_varint(n):
+    n, out = 2 * n, b""
+    while n > 127:
+        out, n = out + bytes([n % 128 + 128]), n // 128
+    return out + bytes([n])
+
+
+def test_message_indexes(spark):
+    lists = [[], [0], [1], [0, 0], [5, 0, 63], [64], [8191, 8192], [2**31 - 1], list(range(100))]
+    rows = spark.createDataFrame([(i, x, b"body%d" % i) for i, x in enumerate(lists)], "i int, x array<int>, value binary")
+    framed = registry.frame_messages(rows, 9, F.col("x"))
+    for r in framed.collect():
+        want = b"\0" if r.x in ([], [0]) else _plain_varint(len(r.x)) + b"".join(map(_plain_varint, r.x))
+        assert bytes(r.value) == b"\0\0\0\0\x09" + want + b"body%d" % r.i
+    back = {r.i: (r.schema_id, r.message_indexes, bytes(r.value)) for r in registry.unframe_messages(framed, on_error="fail").collect()}
+    assert back == {i: (9, x or [0], b"body%d" % i) for i, x in enumerate(lists)}
+    odd = [b"", b"\x04\x02", b"\x80", b"\x01", b"\x02\x01", b"\xff\xff\xff\xff\xff\xff\x01"]
+    framed = registry.frame_records(spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "i int, value binary"), 9)
+    assert {r.i: (r._error, bytes(r.value)) for r in registry.unframe_messages(framed).collect()} == {
+        i: ("unreadable message indexes", x) for i, x in enumerate(odd)
+    }

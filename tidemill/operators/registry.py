@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions import bodies as B
 from tidemill.functions import wire as W
+from tidemill.functions.compatibility import PROMOTIONS, problems
 from tidemill.functions.errors import ERROR, keep_where, with_errors
 from tidemill.plans.skew import lookup_join
 
@@ -25,14 +26,6 @@ REGISTRY_SCHEMA = "subject string, version int, id int, format string, schema st
 # --- fixed values -----------------------------------------------------------------------
 #: defaults of a decoded click
 CLICK_DEFAULTS = {"user_id": -1, "event_type": "unknown", "ts_millis": -1}
-#: widening allowed from the writer's to the reader's type
-PROMOTIONS = {
-    "int": ["long", "float", "double"],
-    "long": ["float", "double"],
-    "float": ["double"],
-    "string": ["bytes"],
-    "bytes": ["string"],
-}
 #: Avro primitive and logical types
 AVRO_TYPES = {
     "string": T.StringType(),
@@ -71,6 +64,21 @@ def unframe_records(df: DataFrame, column: str = "value", on_error: str = "rejec
     return with_errors(out, F.lit(None).cast("string"), on_error)
 
 
+def frame_messages(df: DataFrame, schema_id: int | Column, indexes: Column, column: str = "value") -> DataFrame:
+    """Frame Protobuf bodies: header, the indexes of the message type in its file, body."""
+    return frame_records(df.withColumn(column, F.concat(W.message_indexes(indexes), F.col(column).cast("binary"))), schema_id, column)
+
+
+def unframe_messages(df: DataFrame, column: str = "value", on_error: str = "reject") -> DataFrame:
+    """Split a framed Protobuf payload into ``schema_id``, ``message_indexes`` and body; null payloads pass, and a body whose
+    indexes cannot be read is an error and keeps them."""
+    rows = unframe_records(df, column).withColumn("_read", W.read_message_indexes(F.col(column)))
+    bad = F.when(F.col(column).isNotNull() & F.col("_read").isNull(), "unreadable message indexes")
+    body = F.when(F.col("_read").isNull(), F.col(column)).otherwise(F.substr(column, F.col("_read.size") + 1))
+    split = rows.withColumns({"message_indexes": F.col("_read.indexes"), column: body, "_bad": bad}).drop("_read")
+    return with_errors(split, F.col("_bad"), on_error).drop("_bad")
+
+
 def with_schema(df: DataFrame, registry: DataFrame, on_error: str = "reject") -> DataFrame:
     """Attach ``schema`` and ``format`` by ``schema_id``; an unknown id is an error.
 
@@ -159,6 +167,25 @@ def backward_compatible(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def compatibility_problems(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What keeps readers with the new schema from old data: a row for each place, ``subject, path, problem``.
+
+    Both have ``subject`` and ``schema``, one version per subject.  Schemas are resolved to their whole depth: records by field
+    names and aliases, arrays, maps, unions, enum symbols, fixed sizes, promotions and named types
+    (:func:`tidemill.functions.compatibility.problems`).  Subjects without a problem have no row; neither have those
+    that only one side knows.
+    """
+    pairs = old.select("subject", F.col("schema").alias("old")).join(new.select("subject", F.col("schema").alias("new")), "subject")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(r["subject"], *p) for r in batch.to_pylist() for p in problems(r["old"], r["new"])]
+            columns = list(zip(*rows)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["subject", "path", "problem"])
+
+    return pairs.mapInArrow(run, "subject string, path string, problem string")
+
+
 # -- typed payloads --------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators import registry as G
@@ -201,3 +201,55 @@ def framed_positions(spark: SparkSession, sf: str) -> DataFrame:
     schema = '{"type":"record","name":"P","fields":[{"name":"latitude","type":"double"},{"name":"timestamp","type":"int"}]}'
     framed = G.frame_records(G.encode_rows(typed, schema), 7)
     return framed.select("event_id", F.hex("value").alias("frame"))
+
+
+@query(
+    """SELECT event_id, '000000000' || (event_id % 5) || CASE event_id % 5 WHEN 0 THEN '00' WHEN 1 THEN '0202' WHEN 2 THEN '040004'
+      WHEN 3 THEN '048001808001' ELSE '06060002' END || hex(encode(props)) AS frame,
+    CASE event_id % 5 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '0,2' WHEN 3 THEN '64,8192' ELSE '3,0,1' END AS indexes, props AS body FROM events"""
+)
+def framed_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Bodies of nested Protobuf messages framed with their message indexes and read back."""
+    case = F.col("event_id") % 5
+    lists = [[0], [1], [0, 2], [64, 8192], [3, 0, 1]]
+    indexes = F.get(F.array(*[F.lit(x) for x in lists]), case.cast("int"))
+    rows = table(spark, sf, "events").select("event_id", "props", F.col("props").cast("binary").alias("value"))
+    framed = G.frame_messages(rows, case.cast("int"), indexes).withColumn("frame", F.hex("value"))
+    out = G.unframe_messages(framed, on_error="drop")
+    read = F.array_join(out["message_indexes"].cast("array<string>"), ",").alias("indexes")
+    return out.select("event_id", "frame", read, F.col("value").cast("string").alias("body"))
+
+
+@query(
+    """SELECT 't' || s_suppkey AS subject, CASE s_suppkey % 8 WHEN 0 THEN 'a.x' WHEN 1 THEN 'a.y' WHEN 2 THEN 'l[]' WHEN 3 THEN 'm{}.x' WHEN 4 THEN 'e' END AS path,
+    CASE s_suppkey % 8 WHEN 0 THEN 'long cannot be read as int' WHEN 1 THEN 'new field without a default' WHEN 2 THEN 'null cannot be read as long'
+      WHEN 3 THEN 'int cannot be read as string' WHEN 4 THEN 'unknown symbols n' || s_nationkey END AS problem FROM supplier WHERE s_suppkey % 8 < 5"""
+)
+def nested_compatibility(spark: SparkSession, sf: str) -> DataFrame:
+    """Per supplier one nested change: narrower, new without a default, no longer null, another type, a symbol less; and
+    a wider type, an alias and a new branch, which are no problems."""
+    parts = {n: f'{{"type":"record","name":"{n}","fields":[{{"name":"x","type":"int"}}]}}' for n in ("A", "M")}
+
+    def schema(a: str, items: str, values: str, symbols: Column, name: str = '"l"') -> Column:
+        return text(
+            '{"type":"record","name":"R","fields":[{"name":"a","type":', a, '},{"name":', name, ',"type":{"type":"array","items":', items,
+            '}},{"name":"m","type":{"type":"map","values":', values, '}},{"name":"e","type":{"type":"enum","name":"E","symbols":', symbols, "}}]}",
+        )
+
+    own = text('["old","n', F.col("s_nationkey"), '"]')
+    wide, more = parts["A"].replace('"int"', '"long"'), parts["A"].replace("]}", ',{"name":"y","type":"int"}]}')
+    changes = {
+        0: (schema(wide, '"long"', parts["M"], own), schema(parts["A"], '"long"', parts["M"], own)),
+        1: (schema(parts["A"], '"long"', parts["M"], own), schema(more, '"long"', parts["M"], own)),
+        2: (schema(parts["A"], '["null","long"]', parts["M"], own), schema(parts["A"], '"long"', parts["M"], own)),
+        3: (schema(parts["A"], '"long"', parts["M"], own), schema(parts["A"], '"long"', parts["M"].replace('"int"', '"string"'), own)),
+        4: (schema(parts["A"], '"long"', parts["M"], own), schema(parts["A"], '"long"', parts["M"], F.lit('["old"]'))),
+        5: (schema(parts["A"], '"long"', parts["M"], own), schema(wide, '"long"', parts["M"], own)),
+        6: (schema(parts["A"], '"long"', parts["M"], own), schema(parts["A"], '"long"', parts["M"], own, '"k","aliases":["l"]')),
+        7: (schema(parts["A"], '"long"', parts["M"], own), schema(parts["A"], '["null","long"]', parts["M"], own)),
+    }
+    k = F.col("s_suppkey")
+    pick = lambda side: F.coalesce(*[F.when(k % 8 == n, pair[side]) for n, pair in changes.items()]).alias("schema")
+    s = table(spark, sf, "supplier")
+    old, new = (s.select(text("t", k).alias("subject"), pick(side)) for side in (0, 1))
+    return G.compatibility_problems(old, new)
