@@ -23,6 +23,7 @@ HEADLINE = [
     "newest_n", "replay_reversed", "html_to_text", "chunk_fixed", "chunk_recursive",
     "vector_topk", "vector_lsh", "context_rows", "stream_transform", "stream_latest", "stream_silent_keys",
     "land_typed", "decode_by_schema", "attach_embeddings", "stream_dedupe", "json_rejects", "vector_threshold",
+    "land_nested", "land_compacted", "framed_messages", "nested_compatibility", "vector_knn", "vector_range", "stream_silence_timers",
 ]
 
 
