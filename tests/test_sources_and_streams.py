@@ -254,6 +254,24 @@ def test_one_alert_per_silence_across_restarts(spark, tmp_path):
     assert [r["key"]["k"] for r in state.select("key").distinct().collect()] == ["d"]
 
 
+def test_a_key_has_one_timer_however_many_sessions_are_open(spark, tmp_path):
+    """All sessions that the watermark passes are alerted together; the rest wait for the next timer."""
+    source, out, progress = str(tmp_path / "in"), run_dir(spark, "al"), run_dir(spark, "cp")
+    got = []
+    for days in ([1, 2, 3, 4, 5], [8], [30]):
+        rows = [("a" if d < 8 else "b", f"2024-01-{d:02d}") for d in days] + [(None, f"2024-01-{days[0]:02d}")]
+        spark.createDataFrame(rows, "k string, t string").withColumn("t", F.to_timestamp("t")).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k string, t timestamp").parquet(source)
+        runs.append_query(timers.silence_alerts(stream, ["k"], "t", "2 hours", "5 days"), out, progress).awaitTermination()
+        got.append(sorted((r.k or "-", r.last_seen.day, r.n) for r in spark.read.parquet(out).collect()))
+        left = spark.read.format("statestore").option("readRegisteredTimers", True).load(progress)
+        n_timers = left.groupBy(F.col("key.k").alias("k")).count().collect()
+        assert n_timers and {r["count"] for r in n_timers} == {1}
+    assert got[0] == []
+    assert got[1] == [("-", 1, 1), ("a", 1, 1), ("a", 2, 1)]
+    assert got[2] == [("-", 1, 1), ("-", 8, 1), *[("a", d, 1) for d in (1, 2, 3, 4, 5)], ("b", 8, 1)]
+
+
 def test_typed_landing_keeps_rejects(spark):
     from tidemill.operators import registry
 

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemill.streaming.runs import use_rocksdb
 
-_SESSION = T.StructType([T.StructField(c, T.LongType()) for c in ("first", "last", "n")])
+_SESSIONS = T.StructType([T.StructField(c, T.ArrayType(T.LongType())) for c in ("first", "last", "n")])
+#: rows of a key that are merged at a time
+_ROWS = 10_000
 
 
 def merged_sessions(sessions: Sequence[tuple[int, int, int]], times: np.ndarray, gap: int) -> list[tuple[int, int, int]]:
@@ -37,47 +39,54 @@ def _runs(times: np.ndarray, gap: int) -> list[tuple[int, int, int]]:
 
 
 class SilenceAlerts(StatefulProcessor):
-    """Keeps the open sessions of a key, a timer at the end of each, and nothing once the last one has closed."""
+    """Keeps the open sessions of a key and one timer, at the end of the one that closes first; nothing once the last one has
+    closed.  What a key costs does not grow with its sessions: each call of a timer closes all that the watermark has passed."""
 
     def __init__(self, silence_us: int):
         self.silence = silence_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", _SESSION)
+        self.open = handle.getValueState("open", _SESSIONS)
 
     def _due(self, last: int) -> int:
         """When a session is over: the millisecond that timers and the watermark know."""
         return (last + self.silence) // 1000
 
     def _sessions(self) -> list[tuple[int, int, int]]:
-        return [tuple(r) for r in self.open.get()] if self.open.exists() else []
+        held = self.open.get()
+        return [] if held is None else list(zip(*held))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def _keep(self, sessions: list[tuple[int, int, int]]) -> None:
+        self.open.update(tuple(map(list, zip(*sessions))))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         before = sessions = self._sessions()
-        for part in rows:
-            sessions = merged_sessions(sessions, part.iloc[:, -1].to_numpy(), self.silence)
-        self.open.put(sessions)
-        old, new = ({self._due(last) for _, last, _ in s} for s in (before, sessions))
-        for due in old - new:
-            self.handle.deleteTimer(due)
-        for due in new - old:
-            self.handle.registerTimer(due)
+        times = (r[-1] for r in rows)
+        while part := list(islice(times, _ROWS)):
+            sessions = merged_sessions(sessions, np.array(part, np.int64), self.silence)
+        self._keep(sessions)
+        # sessions are in order of time: the first one closes first
+        old, new = (self._due(s[0][1]) if s else None for s in (before, sessions))
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(new)
         yield from ()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # the sessions whose own timers would have expired in this batch
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         sessions = self._sessions()
         over = [s for s in sessions if self._due(s[1]) <= now]
-        left = [s for s in sessions if self._due(s[1]) > now]
+        left = sessions[len(over) :]
         if left:
-            self.open.put(left)
+            self._keep(left)
+            self.handle.registerTimer(self._due(left[0][1]))
         else:
             self.open.clear()
         if over:
-            out = pd.DataFrame([key] * len(over), columns=[f"k{i}" for i in range(len(key))])
-            out["last"], out["n"] = [s[1] for s in over], [s[2] for s in over]
-            yield out
+            yield Row(*(f"k{i}" for i in range(len(key))), "last", "n")(*key, [s[1] for s in over], [s[2] for s in over])
 
     def close(self) -> None:
         pass
@@ -90,18 +99,21 @@ def silence_alerts(
     ``last_seen``.  The alert comes from an event-time timer; a key without an open session has no state.
 
     Rows may come in any order within ``lateness``; later ones are left out.  A row in the gap joins two sessions, and the
-    alert between them is not given.  Rows of a key are taken in by batches of bounded size.
+    alert between them is not given.  Rows of a key are taken in by batches of bounded size,
+    and a key with many open sessions is called once for all that are over.
     """
     use_rocksdb(source)
     silence_us = source.sparkSession.range(1).select((F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {silence}"))).alias("s")).first()["s"]
     rows = source if important is None else source.filter(important)
     narrow = rows.withWatermark(time_col, lateness).select(*keys, time_col, F.unix_micros(time_col).alias("_at"))
     kinds = [T.StructField(f"k{i}", narrow.schema[k].dataType) for i, k in enumerate(keys)]
-    out = T.StructType([*kinds, T.StructField("last", T.LongType()), T.StructField("n", T.LongType())])
-    alerts = narrow.groupBy(*keys).transformWithStateInPandas(
+    out = T.StructType([*kinds, *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("last", "n"))])
+    alerts = narrow.groupBy(*keys).transformWithState(
         statefulProcessor=SilenceAlerts(silence_us), outputStructType=out, outputMode="Append", timeMode="EventTime"
     )
     named = [F.col(f"k{i}").alias(k) for i, k in enumerate(keys)]
-    return alerts.select(
-        *named, F.timestamp_micros("last").alias("last_seen"), F.timestamp_micros(F.col("last") + silence_us).alias("alert_at"), "n"
+    each = alerts.select(*named, F.explode(F.arrays_zip("last", "n")).alias("_s"))
+    last = F.col("_s.last")
+    return each.select(
+        *keys, F.timestamp_micros(last).alias("last_seen"), F.timestamp_micros(last + silence_us).alias("alert_at"), F.col("_s.n").alias("n")
     )
