@@ -287,6 +287,25 @@ def test_typed_landing_keeps_rejects(spark):
     assert {(r["n"], r["_error"]) for r in odd.collect()} == {(2, "unknown schema id"), (3, "missing value"), (4, "frame too short")}
 
 
+def test_folders_do_not_grow_with_the_registry(spark):
+    from tidemill.operators import registry
+
+    schema = '{"type":"record","name":"R","fields":[{"name":"k","type":"int"}]}'
+    ids = [*range(600), 7 - (1 << 31), -1, (1 << 31) - 1]
+    reg = spark.createDataFrame([(f"s{i}", 1, i, "AVRO", schema) for i in ids], registry.REGISTRY_SCHEMA)
+    rows = [(n, i, b'{"k":%d}' % n if n % 3 else b"{}") for n, i in enumerate(ids * 2)]
+    framed = registry.frame_records(spark.createDataFrame(rows, "n int, sid int, value binary"), F.col("sid")).drop("sid")
+    path = run_dir(spark, "typed")
+    sinks.land_typed(framed, reg, path)
+    landed = spark.read.parquet(path)
+    assert landed.count() == len(rows)
+    assert landed.select(sinks.LANDED).distinct().count() <= sinks.FOLDERS + 1
+    for sid in (1, 257, 514, *ids[-2:]):
+        want = sorted(n for n, i, _ in rows if i == sid and n % 3)
+        assert want and sorted(r["n"] for r in sinks.read_landed(spark, path, sid, schema).filter("k = n").collect()) == want
+    assert sorted(r["n"] for r in sinks.read_rejected(spark, path).collect()) == [n for n, *_ in rows if not n % 3]
+
+
 def test_dedupe_with_and_without_salts(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [(i % 20, f"2024-01-01 00:00:{i % 60:02d}") for i in range(400)] + [(0, "2024-01-01 00:00:30")] * 300

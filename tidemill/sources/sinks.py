@@ -18,9 +18,10 @@ from tidemill.sources.topics import has_kafka
 BATCH_INTERVAL = "1 second"
 LAKE_COMMIT_INTERVAL = "5 seconds"
 # ----------------------------------------------------------------------------------------
-#: the folder column of landed records, and its value for rejects
+#: the folder column of landed records, its value for rejects, and the folders of good records at most
 LANDED = "landed"
 REJECTED = -1
+FOLDERS = 256
 
 
 def assign_partition(df: DataFrame, number: Column, partitions: int) -> DataFrame:
@@ -97,20 +98,25 @@ def land_typed(df: DataFrame, registry: DataFrame, path: str, mode: str = "appen
     """Land framed records by their schema, in one pass and for a registry of any size.
 
     Each body is checked against its schema where it is read (:func:`check_bodies`), and
-    everything is written once: good bodies to the folder of their schema id, rejects with
-    message and body to the folder :data:`REJECTED`.  :func:`read_landed` types a folder's bodies.
+    everything is written once: good bodies to the folder of their schema id (modulo :data:`FOLDERS`, so that a large registry
+    does not make as many folders), rejects with message and body to the folder :data:`REJECTED`.  :func:`read_landed`
+    types a schema's bodies.
 
     Rows are dealt out by folder before they are written: a folder gets a file, or as many as adaptive execution
-    makes of a large one.
+    makes of a large one.  In a file the rows of a schema lie together.
     """
     unframed = unframe_records(df, on_error="reject")
     checked = check_bodies(unframed, registry)
-    folder = F.when(F.col("_error").isNull(), F.col("schema_id")).otherwise(REJECTED)
+    folder = F.when(F.col("_error").isNull(), _folder(F.col("schema_id"))).otherwise(REJECTED)
     # a rebalancing exchange: small folders share a task, a large one is split by size
-    dealt = checked.withColumn(LANDED, folder).hint("rebalance", LANDED)
+    dealt = checked.withColumn(LANDED, folder).hint("rebalance", LANDED).sortWithinPartitions(LANDED, "schema_id")
     dealt.write.mode(mode).partitionBy(LANDED).parquet(path)
 
 
+def _folder(schema_id: Column) -> Column:
+    return F.pmod(schema_id, F.lit(FOLDERS))
+
+
 def read_landed(
     spark: SparkSession,
     path: str,
@@ -119,8 +125,8 @@ def read_landed(
     decoder: Callable[[Column, str], Column] = json_decoder,
     column: str = "value",
 ) -> DataFrame:
-    """The records of one schema with typed columns; only that schema's folders are read."""
-    rows = spark.read.parquet(path).filter(F.col(LANDED) == schema_id)
+    """The records of one schema with typed columns; only the folders that may hold them are read."""
+    rows = spark.read.parquet(path).filter((F.col(LANDED) == _folder(F.lit(schema_id))) & (F.col("schema_id") == schema_id))
     typed = rows.withColumn("_p", decoder(F.col(column), schema))
     meta = [c for c in rows.columns if c not in (column, "schema_id", "_error", LANDED, "batch_id")]
     return typed.select(*meta, "_p.*")
