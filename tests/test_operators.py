@@ -665,3 +665,16 @@ def test_message_indexes(spark):
     assert {r.i: (r._error, bytes(r.value)) for r in registry.unframe_messages(framed).collect()} == {
         i: ("unreadable message indexes", x) for i, x in enumerate(odd)
     }
+
+
+def test_message_indexes_are_read_once_and_not_beyond_their_list(spark):
+    from tidemill.functions import wire
+
+    rows = spark.createDataFrame([(b"\x06\x06\x00\x02" + b"x" * 50,), (b"\x02\x81\x81\x81\x81\x81\x81\x02x",), (b"\x01ab",), (b"\x04\x02",)], "value binary")
+    read = rows.select(wire.read_message_indexes(F.col("value")).alias("r")).collect()
+    assert [r["r"] and (r["r"]["indexes"], r["r"]["size"]) for r in read] == [([3, 0, 1], 4), None, None, None]
+    framed = registry.frame_messages(rows, 3, F.array(F.lit(0), F.lit(2)))
+    for policy in ("reject", "drop"):
+        out = registry.unframe_messages(framed, on_error=policy)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("aggregate(") == 1 and out.count() == 4

@@ -97,7 +97,10 @@ def read_message_indexes(payload: Column) -> Column:
         whole = (state["wanted"] >= 0) & (F.size(state["indexes"]) >= state["wanted"])
         return F.when(whole, F.struct(state["indexes"].alias("indexes"), state["size"].alias("size")))
 
-    places = F.sequence(F.lit(1), F.octet_length(payload))
+    # a count of one byte tells how long its list can be: five bytes for each index
+    size, count = F.octet_length(payload), byte(F.lit(1))
+    most = F.when(count < 128, F.least(size, (1 + 5 * F.call_function("shiftright", count, F.lit(1))).cast("int"))).otherwise(size)
+    places = F.sequence(F.lit(1), most)
     first = F.struct(F.array(F.lit(0)).alias("indexes"), F.lit(1).alias("size"))
     plain = F.hex(F.substring(payload, 1, 1)) == "00"  # most bodies are of the first message
     return F.when(plain, first).when(F.octet_length(payload) > 0, F.aggregate(places, start, lambda s, i: one(i, s), found))

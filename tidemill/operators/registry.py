@@ -76,7 +76,8 @@ def unframe_messages(df: DataFrame, column: str = "value", on_error: str = "reje
     bad = F.when(F.col(column).isNotNull() & F.col("_read").isNull(), "unreadable message indexes")
     body = F.when(F.col("_read").isNull(), F.col(column)).otherwise(F.substr(column, F.col("_read.size") + 1))
     split = rows.withColumns({"message_indexes": F.col("_read.indexes"), column: body, "_bad": bad}).drop("_read")
-    return with_errors(split, F.col("_bad"), on_error).drop("_bad")
+    # read once: a filter below would read the indexes again
+    return with_errors(split, F.col("_bad"), on_error, costly=True).drop("_bad")
 
 
 def with_schema(df: DataFrame, registry: DataFrame, on_error: str = "reject") -> DataFrame:
