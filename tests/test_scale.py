@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 import pytest
 from conftest import plan_of
@@ -216,6 +217,18 @@ def test_contexts_and_prompts(spark):
 # -- vectors in cells ----------------------------------------------------------------------------
 
 
+def test_vectors_sent_to_many_cells_leave_in_small_batches(monkeypatch):
+    monkeypatch.setattr(vector_cells, "SEND_BYTES", 10_000)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(50)), "v": [[float(i)] * 16 for i in range(50)]})
+    row, cell = np.nonzero(np.ones((50, 40), bool))
+    parts = list(vector_cells._copies(batch, row, cell, row + cell / 100))
+    assert max(p.select(["id", "v"]).nbytes for p in parts) < 12_000
+    whole = pa.Table.from_batches(parts)
+    assert whole["id"].to_pylist() == row.tolist() and whole["cell"].to_pylist() == cell.tolist()
+    assert [v[0] for v in whole["v"].to_pylist()] == row.tolist() and whole["d"].to_pylist() == (row + cell / 100).tolist()
+    assert not list(vector_cells._copies(batch, row[:0], cell[:0], row[:0].astype(float)))
+
+
 @pytest.fixture(scope="module")
 def clusters(spark):
     """Clustered vectors, one of them very common, and queries near and far."""

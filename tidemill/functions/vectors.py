@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-#: upper bound for the cells of one distance matrix (32 MB of doubles)
-_CELLS = 4_000_000
+#: upper bound for the cells of one distance matrix (8 MB of doubles)
+_CELLS = 1_000_000
 
 
 def matrix_of(column: pa.Array) -> np.ndarray:
@@ -109,7 +109,7 @@ def nearest_centers(vectors: np.ndarray, centers: np.ndarray, n: int) -> tuple[n
     row, col = np.nonzero(square < 1e-4 * (1.0 + (vectors * vectors).sum(1)[:, None]))
     gap = vectors[row] - centers[col]
     d[row, col] = np.sqrt((gap * gap).sum(1))
-    return d, np.argsort(d, axis=1, kind="stable")[:, :n]
+    return d, np.argsort(d, axis=1, kind="stable")[:, :n] if n else np.zeros((len(d), 0), np.int64)
 
 
 def trained_centers(sample: np.ndarray, n: int, seed: int, rounds: int = 12) -> np.ndarray:

@@ -25,7 +25,9 @@ from tidemill.plans.shared import materialize
 MAX_CELLS = 4096
 SAMPLE_PER_CELL = 48
 #: bytes of vectors that one block of a cell may hold per side
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
+#: bytes of vectors that a task sends on at a time: a vector that goes to many cells is copied for each
+SEND_BYTES = 4 << 20
 #: neighbours of a vector that the number of cells is chosen by, how many of them should be found, and sampled vectors that are asked
 TUNING_K, TARGET_RECALL, TUNING_ROWS = 10, 0.95, 1000
 #: rounding of distances that are compared by the triangle inequality
@@ -105,7 +107,7 @@ def _sent(df: DataFrame, cells: Cells, pick: Callable[[np.ndarray, pa.RecordBatc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centers = shared.value
-        step = max(1, 2_000_000 // max(1, len(centers)))
+        step = max(1, 500_000 // max(1, len(centers)))
         for whole in batches:
             for i in range(0, whole.num_rows, step):
                 batch = whole.slice(i, step)
@@ -114,13 +116,21 @@ def _sent(df: DataFrame, cells: Cells, pick: Callable[[np.ndarray, pa.RecordBatc
                     raise ValueError("vectors of different lengths")
                 d, _ = nearest_centers(vectors, centers, 0)
                 row, cell = np.nonzero(pick(d, batch))
-                out = batch.take(pa.array(row))
-                columns = [*out.columns, pa.array(cell.astype(np.int32)), pa.array(d[row, cell])]
-                yield pa.RecordBatch.from_arrays(columns, names=[*out.schema.names, "cell", "d"])
+                yield from _copies(batch, row, cell, d[row, cell])
 
     return df.mapInArrow(run, schema)
 
 
+def _copies(batch: pa.RecordBatch, row: np.ndarray, cell: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The given rows of a batch with their cells and distances, in batches of bounded bytes."""
+    step = max(1, SEND_BYTES // max(1, batch.nbytes // max(1, batch.num_rows)))
+    for i in range(0, len(row), step):
+        part = slice(i, i + step)
+        out = batch.take(pa.array(row[part]))
+        columns = [*out.columns, pa.array(cell[part].astype(np.int32)), pa.array(d[part])]
+        yield pa.RecordBatch.from_arrays(columns, names=[*out.schema.names, "cell", "d"])
+
+
 def _blocks(sizes: DataFrame, width: int) -> Column:
     """How many blocks each cell is cut into, as a map: one entry for each cell, ``MAX_CELLS`` at most."""
     rows = max(1, BLOCK_BYTES // max(8, width * 8))
