@@ -272,6 +272,16 @@ def test_a_key_has_one_timer_however_many_sessions_are_open(spark, tmp_path):
     assert got[2] == [("-", 1, 1), ("-", 8, 1), *[("a", d, 1) for d in (1, 2, 3, 4, 5)], ("b", 8, 1)]
 
 
+def test_alerts_of_numeric_keys_beside_a_null_key(spark, tmp_path):
+    source, out = str(tmp_path / "in"), run_dir(spark, "al")
+    rows = [(k, f"2024-01-{d:02d}") for k in (None, 7, (1 << 53) + 1) for d in (1, 1, 3)] + [(1, "2024-01-30")]
+    spark.createDataFrame(rows, "k bigint, t string").withColumn("t", F.to_timestamp("t")).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema("k bigint, t timestamp").parquet(source)
+    runs.append_query(timers.silence_alerts(stream, ["k"], "t", "2 hours", "1 hour"), out, run_dir(spark, "cp")).awaitTermination()
+    got = {(r.k, r.last_seen.day, r.n) for r in spark.read.parquet(out).collect()}
+    assert got == {(k, d, n) for k in (None, 7, (1 << 53) + 1) for d, n in ((1, 2), (3, 1))}
+
+
 def test_typed_landing_keeps_rejects(spark):
     from tidemill.operators import registry
 
