@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import xxhash
 from corpus import ODD, corpus, docs, empty, odd, prose, with_clashes  # noqa: F401
 from hypothesis import given, settings
@@ -250,3 +252,89 @@ def test_any_two_members_of_a_large_bucket_meet(spark):
         by_size.setdefault(r.size, []).append(set(r.b))
     for sets in by_size.values():
         assert all(a & b for a in sets for b in sets)
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefgh ", "aé€😀 ", "".join(map(chr, range(32, 2500)))])
+def test_sets_of_shingles_are_exact(alphabet):
+    """Sets as numbers have the sizes and the intersections of sets of strings, also where 64 bits don't hold a shingle."""
+    from tidemill.llm import fuzzy_lines
+
+    rng = random.Random(len(alphabet))
+    for shingle in (1, 5, 8, 13):
+        lines = ["".join(rng.choice(alphabet) for _ in range(rng.choice([shingle, shingle + 1, 60]))) for _ in range(25)]
+        lines += [lines[0], lines[-1] + "a"]
+        cells, starts = fuzzy_lines.shingle_cells(pa.array(["not of them", *lines])[1:], shingle)
+        found = [set(cells[a:b].tolist()) for a, b in zip(starts[:-1], starts[1:])]
+        sets = [fuzzy_lines.shingles(x, shingle) for x in lines]
+        assert [len(x) for x in found] == np.diff(starts).tolist() == [len(x) for x in sets]
+        assert all(len(found[i] & found[j]) == len(sets[i] & sets[j]) for i in range(len(sets)) for j in range(i))
+
+
+@pytest.mark.parametrize("limits", [{}, {"TOGETHER_LINES": 6}, {"VERIFY_BYTES": 900}, {"VERIFY_LINES": 3, "VERIFY_PAIRS": 5}])
+def test_buckets_of_a_least_line_are_verified_together(limits, monkeypatch):
+    """All pairs that share a bucket, and no others, are linked if they are similar, however the rows are dealt to
+    batches; buckets of an ordinary size need no sets of strings."""
+    from tidemill.llm import fuzzy_lines
+
+    for name, value in limits.items():
+        monkeypatch.setattr(fuzzy_lines, name, value)
+    if "TOGETHER_LINES" not in limits:
+        monkeypatch.setattr(fuzzy_lines, "shingles", None)
+    rng = random.Random(8)
+    lines, rows, links = {}, [], []
+    for key in range(40):
+        words = prose(rng, 25).split()
+        nodes = [key * 100 + i for i in range(rng.choice([2, 3, 9, 14]))]
+        for node in nodes:
+            own = list(words)
+            for _ in range(rng.randrange(5)):
+                own[rng.randrange(25)] = rng.choice(["né", "w"]) + str(rng.randrange(999))
+            lines[node] = " ".join(own)
+        buckets = {b: sorted({nodes[0], *rng.sample(nodes, rng.randrange(1, len(nodes)))}) for b in range(key * 20, key * 20 + 3)}
+        links += [(i, j) for b in buckets.values() for i in b for j in b if i < j]
+        rows += [(key, n, lines[n], [b for b, members in buckets.items() if n in members]) for n in nodes if any(n in b for b in buckets.values())]
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("line", pa.string()), ("buckets", pa.list_(pa.int64()))])
+    sets = {n: {x[i : i + 5] for i in range(len(x) - 4)} for n, x in lines.items()}
+    true = classes(lines, [(i, j) for i, j in links if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
+    assert 20 < len(set(true.values())) < len(lines)
+    for step in (1, 7, len(rows)):
+        batches = [pa.record_batch([*map(list, zip(*rows[a : a + step]))], schema=schema) for a in range(0, len(rows), step)]
+        found = [x for b in fuzzy_lines._verify(5, 0.8)(batches) for x in zip(b.column("u").to_pylist(), b.column("v").to_pylist())]
+        assert classes(lines, found) == true
+
+
+def test_a_line_goes_once_to_the_buckets_of_a_least_line(spark):
+    from pyspark.sql import functions as F
+
+    from tidemill.llm.fuzzy_lines import _meetings
+
+    rows = [(9, [(1, 11, 2), (1, 12, 5), (3, 13, 2), (1, 14, 9000)]), (8, [(3, 13, 2)])]
+    df = spark.createDataFrame(rows, "node long, buckets array<struct<low: long, bucket: long, size: long>>")
+    got = {r.node: r.m for r in df.select("node", _meetings(F.col("buckets"), F.col("node")).alias("m")).collect()}
+    assert [(m.key, m.buckets) for m in got[8]] == [(3, [13])]
+    assert [(m.key, sorted(m.buckets)) for m in got[9][:2]] == [(1, [11, 12]), (3, [13])]
+    assert [m.buckets for m in got[9][2:]] == [[14]] * 3 and len({m.key for m in got[9]}) == 5  # 3 blocks, any two of which meet
+
+
+def test_ends_of_lines(spark):
+    """All white space of ASCII is cut from both ends, and no other."""
+    long = "the pilots of the old harbour counted forty ships before the storm"
+    cut = [long, f" {long}", f"{long}\t", f"\x0b{long}\r", f"\x0c \t{long} \x0c\x0b"]
+    rows = [(i, f"{x}\n{chr(97 + i) * 20}") for i, x in enumerate(cut)] + [(10, "\xa0x\n \t\x0b\x0c\r\nx\n\x85x\nx "), (11, "x\n\xa0x ")]
+    got = remove_similar_lines(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5)
+    found = {r.doc_id: (r.n_lines, r.removed_lines) for r in got.collect()}
+    assert found == {0: (2, []), **{i: (2, [0]) for i in range(1, 5)}, 10: (4, [4]), 11: (2, [0, 1])}
+
+
+def test_what_was_shuffled_is_removed_only_on_the_way(spark):
+    from tidemill.plans.shared import shuffles_removed
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with pytest.raises(KeyError), shuffles_removed(spark):
+        assert spark.conf.get(name) == "true"
+        raise KeyError
+    assert spark.conf.get(name) == before
+    got = remove_similar_lines(spark.createDataFrame([(1, "a line\na line")], "doc_id long, text string").repartition(3, "doc_id"))
+    assert spark.conf.get(name) == before
+    assert [got.collect()[0].n_removed for _ in range(2)] == [1, 1]
