@@ -114,6 +114,45 @@ def test_few_levels_are_too_high():
     assert abs(np.unpackbits(bits).mean() - 0.5) < 0.02
 
 
+class Counting(np.ndarray):
+    """Bytes of a filter that count how many of them are looked at."""
+
+    looked = 0
+
+    def __getitem__(self, at):
+        Counting.looked += np.size(at)
+        return np.asarray(self)[at]
+
+
+def test_absent_ngrams_are_soon_given_up():
+    rng = np.random.default_rng(2)
+    h = rng.integers(0, 2**64, 400_000, np.uint64)
+    bits = segment(*by_key(h[:200_000], np.ones(200_000, int)), 6)
+    made = Filter(bits.tobytes(), 0, np.array([len(bits)]), 1, 6)
+    want = made.levels(h[200_000:])
+    made.data, Counting.looked = made.data.view(Counting), 0
+    assert (made.levels(np.repeat(h[200_000:], 2)) == np.repeat(want, 2)).all() and Counting.looked < 2.5 * 200_000
+
+
+def test_distinct_keys_that_agree_in_their_upper_bits():
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 8, 50_000, np.uint64) | (rng.integers(0, 3, 50_000, np.uint64) << np.uint64(63))
+    found, place = ngram_model._distinct(keys, 64)
+    assert (found[place] == keys).all() and len(found) <= len(keys)
+    assert [len(x) for x in ngram_model._distinct(keys[:0], 64)] == [0, 0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aB \t\n\x0b\x0c\r\x1c\x85\xa0\u2003\u00dc", max_size=12), min_size=1, max_size=6))
+def test_words_are_numbered_as_they_come(texts):
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    words, lengths, tokens = ngram_model._numbered(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    want = [[*words_of(t), b""] for t in texts]
+    assert words.to_pylist() == list(dict.fromkeys([b"", *sum(want, [])])) and lengths.tolist() == [len(w) for w in want]
+    assert [words[int(i)].as_py() for i in tokens] == sum(want, [])
+
+
 def test_query_learns(spark, sf):
     got = op13_ngram_scores(spark, sf).collect()
     rows = spark.read.parquet(f"{sf}/documents.parquet").collect()

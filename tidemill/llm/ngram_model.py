@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from tidemill.llm.common import chunks, mixed, pack, runs, slots, text_buffers, unpack
+from tidemill.llm.common import chunks, mixed, pack, runs, slots, unpack
 from tidemill.plans.shared import run_dir
 
 #: bytes of text whose words share one dictionary
@@ -31,7 +31,12 @@ KEY_BITS = 40
 FILTER_BYTES = 192 << 20
 #: counts are told apart by powers of this
 LEVEL_BASE = 1.5
+#: keys that are probed together, whose arrays stay in a core's own cache, and the levels up to which they are
+PROBED_KEYS, FIRST_LEVELS = 1 << 16, 6
+#: share of present keys below which the absent ones are left out of further probes
+PROBED_SHARE = 0.8
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_IN_WORD = np.array([c != 32 and not 9 <= c <= 13 for c in range(256)])
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: least count of each level, and what a level stands for: the middle of its counts
@@ -43,38 +48,29 @@ def level_of(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.searchsorted(_LEAST, counts, "right"), len(VALUE) - 1)
 
 
-def ngram_hashes(words: np.ndarray, begins: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each length up to ``order``: the places where such an n-gram ends, and its hash.
-
-    ``words`` are word hashes, each text led by a begin mark at one of ``begins``; the mark counts as a word
-    of context, and no n-gram ends at it."""
-    depth = np.arange(len(words)) - np.repeat(begins, np.diff(np.append(begins, len(words))))
-    h = mixed(words + _ODD)
-    h[begins] = _BEGIN
-    out = [(np.flatnonzero(depth > 0), h)]
-    for n in range(2, order + 1):
-        longer = h.copy()
-        longer[1:] = mixed(h[:-1] * _ODD + words[1:] + np.uint64(n))
-        h = longer
-        out.append((np.flatnonzero(depth >= n - 1), h))
-    return [(at, h[at]) for at, h in out]
-
-
 def keys_of(h: np.ndarray, segments: int) -> np.ndarray:
     """The segment of each n-gram in the upper bits, by the upper half of its hash, and its key there, by the lower bits."""
     return (slots(h, segments).astype(np.uint64) << np.uint64(KEY_BITS)) | (h & np.uint64((1 << KEY_BITS) - 1))
 
 
-def places(keys: np.ndarray, level: int, probes: int, bits: np.ndarray | int) -> Iterator[np.ndarray]:
+def places(keys: np.ndarray, level: int, probes: int, bits: int) -> Iterator[np.ndarray]:
     """The bits, among ``bits``, that the probes of a level look at, probe after probe."""
-    at = mixed(keys + np.uint64(level * int(_ODD) & 0xFFFFFFFFFFFFFFFF))
-    step = (at << np.uint64(32)) | np.uint64(1 << 31)
-    bits = np.uint64(bits) if isinstance(bits, int) else bits.astype(np.uint64)
+    at, step = _first(keys, level)
     for _ in range(probes):
-        yield (((at >> np.uint64(32)) * bits) >> np.uint64(32)).astype(np.int64)
+        yield _place(at, np.uint64(bits))
         at = at + step
 
 
+def _first(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of a level's first probe, and the step from probe to probe."""
+    at = mixed(keys + np.uint64(level * int(_ODD) & 0xFFFFFFFFFFFFFFFF))
+    return at, (at << np.uint64(32)) | np.uint64(1 << 31)
+
+
+def _place(at: np.ndarray, bits: np.ndarray | np.uint64) -> np.ndarray:
+    return (((at >> np.uint64(32)) * bits) >> np.uint64(32)).astype(np.int64)
+
+
 def bits_for(insertions: int, probes: int) -> int:
     """Bits of a segment: half of them will be set."""
     return max(64, -(-int(insertions * probes / np.log(2)) // 64) * 64)
@@ -93,6 +89,23 @@ def segment(keys: np.ndarray, counts: np.ndarray, probes: int) -> np.ndarray:
     return np.packbits(marks, bitorder="little")
 
 
+def _distinct(keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of ``width`` bits by segment, equal ones once, and where each one of ``keys`` is among them.
+
+    Sorted by as many upper bits as fit beside a number, which is far quicker than a sort of numbers by keys; a key whose lower
+    bits alone differ from another's may come twice, which does no harm."""
+    small = np.uint64(len(keys).bit_length())
+    order = keys >> np.uint64(max(0, width + int(small) - 64)) << small
+    order |= np.arange(len(keys), dtype=np.uint64)
+    order.sort()
+    order = (order & ((np.uint64(1) << small) - np.uint64(1))).view(np.int64)
+    keys = keys[order]
+    new = np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)]
+    places_ = np.empty(len(keys), np.int64)
+    places_[order] = np.cumsum(new) - 1
+    return keys[new], places_
+
+
 class Filter:
     """Segments ``low`` up to ``low + len(sizes)`` of ``total``: their bits one after another in ``data``."""
 
@@ -105,7 +118,7 @@ class Filter:
         """The level of each n-gram; 0 if it is absent or in a segment that is not here.
 
         Equal n-grams are probed once and those of one segment together, which its bits stay in the cache for."""
-        keys, places_ = np.unique(keys_of(h, self.total), return_inverse=True)
+        keys, places_ = _distinct(keys_of(h, self.total), KEY_BITS + (self.total - 1).bit_length())
         return self._levels(keys)[places_]
 
     def _levels(self, keys: np.ndarray) -> np.ndarray:
@@ -113,40 +126,72 @@ class Filter:
         own = (keys >> np.uint64(KEY_BITS)).astype(np.int64) - self.low
         active = np.flatnonzero((own >= 0) & (own < len(self.bits)))
         active = active[self.bits[own[active]] > 0]
-        keys, level = keys & np.uint64((1 << KEY_BITS) - 1), 0
-        while len(active) and level < len(VALUE) - 1:
-            level += 1
+        keys = keys & np.uint64((1 << KEY_BITS) - 1)
+        # most end at a low level; the few that go on are probed all at once
+        parts = [active[a : a + PROBED_KEYS] for a in range(0, len(active), PROBED_KEYS)]
+        parts = [self._climb(keys, own, part, out, 1, FIRST_LEVELS) for part in parts]
+        if parts:
+            self._climb(keys, own, np.concatenate(parts), out, FIRST_LEVELS + 1, len(VALUE) - 1)
+        return out
+
+    def _climb(self, keys: np.ndarray, own: np.ndarray, active: np.ndarray, out: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Probe level after level from ``low`` to ``high``; returns what of ``active`` reaches ``high``."""
+        for level in range(low, high + 1):
+            if not len(active):
+                break
             seg = own[active]
-            start, alive = self.start[seg], np.ones(len(active), bool)
-            for at in places(keys[active], level, self.probes, self.bits[seg]):
-                at += start
-                alive &= (self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+            (at, step), bits, start = _first(keys[active], level), self.bits[seg].astype(np.uint64), self.start[seg]
+            alive = np.ones(len(active), bool)
+            for _ in range(self.probes):
+                place = _place(at, bits)
+                place += start
+                alive &= ((self.data[place >> 3] >> (place & 7).astype(np.uint8)) & 1).view(bool)
+                at = at + step
+                # each probe misses half of what is absent, which is probed no more once it is many
+                if np.count_nonzero(alive) < PROBED_SHARE * len(alive):
+                    left = np.flatnonzero(alive)
+                    active, at, step, bits, start = (x[left] for x in (active, at, step, bits, start))
+                    alive = np.ones(len(active), bool)
             active = active[alive]
             out[active] = level
-        return out
+        return active
 
 
 def _tokenize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each chunk: ids, words and their training counts, and every token as the number of its word."""
     task, number = TaskContext.get().partitionId(), 0
     for rows, data, offsets in chunks(batches, limit=CHUNK_BYTES):
-        raw = data.tobytes().translate(_LOWER)
-        numbers: dict[bytes, int] = {b"": 0}  # the end of a text is the empty word
-        texts = []
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            texts.append(np.array([numbers.setdefault(w, len(numbers)) for w in raw[a:b].split()] + [0], np.uint32))
-        lengths = np.array([len(t) for t in texts], np.uint32)
-        tokens = np.concatenate(texts)
+        words, lengths, tokens = _numbered(data, offsets)
         train = rows.column("train").to_numpy(zero_copy_only=False).astype(np.uint8)
-        n = np.bincount(tokens[np.repeat(train, lengths) > 0], minlength=len(numbers))
+        n = np.bincount(tokens[np.repeat(train, lengths) > 0], minlength=len(words))
         yield pa.RecordBatch.from_arrays(
             [pa.array([(task << 32) | number]), _one_list(rows.column("id")), pa.array([pack(lengths, train, tokens)], pa.binary()),
-             _one_list(pa.array(list(numbers), pa.binary())), _one_list(pa.array(n)), pa.array([int(n.sum())]), pa.array([int(train.sum())])],
+             _one_list(words), _one_list(pa.array(n)), pa.array([int(n.sum())]), pa.array([int(train.sum())])],
             names=["chunk", "ids", "body", "words", "n", "n_train", "n_texts"],
         )
         number += 1
 
 
+def _numbered(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words as they come, the empty one first, the tokens of each text, and every token as the number of its word."""
+    data = np.frombuffer(data.tobytes().translate(_LOWER), np.uint8)
+    inside = _IN_WORD[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    begins[edges] = inside[edges]
+    lengths = np.diff(np.searchsorted(np.flatnonzero(begins), offsets)) + 1
+    # the bytes of all words side by side
+    starts = np.append(np.flatnonzero(begins[inside]), np.count_nonzero(inside))
+    buffers = [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data[inside])]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, buffers).dictionary_encode()
+    tokens = np.zeros(int(lengths.sum()), np.uint32)  # the end of a text is the empty word
+    word = np.ones(len(tokens), bool)
+    word[np.cumsum(lengths) - 1] = False
+    tokens[word] = coded.indices.to_numpy() + 1
+    return pa.concat_arrays([pa.array([b""], pa.binary()), coded.dictionary.cast(pa.binary())]), lengths.astype(np.uint32), tokens
+
+
 def _one_list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays([0, len(values)], values)
 
@@ -163,15 +208,26 @@ class Chunk:
         self.text = np.repeat(np.arange(len(ends)), self.lengths)
         self.at = np.arange(len(tokens)) + self.text + 1  # where the tokens are once begin marks are among them
         self.tokens = tokens.astype(np.int64)
-        data, off = text_buffers(words)
-        raw = data[off[0] : off[-1]].tobytes() if len(words) else b""
-        off = off - off[0]
-        self.hashes = np.array([xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist())], np.uint64)
+        self.words = np.fromiter(map(xxhash.xxh64_intdigest, words.to_numpy(zero_copy_only=False)), np.uint64, len(words))
+        self.hashes = mixed(self.words + _ODD)  # of each word as an n-gram
 
     def ngrams(self, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each length from 2 up to ``order``: the places where such an n-gram ends, and its hash.
+
+        The begin mark counts as a word of context, and no n-gram ends at it."""
         words = np.zeros(len(self.tokens) + len(self.begins), np.uint64)
-        words[self.at] = self.hashes[self.tokens]
-        return ngram_hashes(words, self.begins, order)
+        words[self.at] = self.words[self.tokens]
+        h = np.full(len(words), _BEGIN)
+        h[self.at] = self.hashes[self.tokens]
+        depth = np.arange(len(words)) - np.repeat(self.begins, self.lengths + 1)
+        out = []
+        for n in range(2, order + 1):
+            longer = h.copy()
+            longer[1:] = mixed(h[:-1] * _ODD + words[1:] + np.uint64(n))
+            h = longer
+            at = np.flatnonzero(depth >= n - 1)
+            out.append((at, h[at]))
+        return out
 
 
 def _post(order: int, segments: int):
@@ -183,16 +239,24 @@ def _post(order: int, segments: int):
                 chunk = Chunk(batch.column("body")[k].as_py(), batch.column("words").slice(k, 1).flatten())
                 trained = np.zeros(len(chunk.tokens) + len(chunk.begins), bool)
                 trained[chunk.at] = chunk.train[chunk.text]
-                keys = keys_of(np.concatenate([h[trained[at]] for at, h in chunk.ngrams(order)]), segments)
-                keys.sort()
-                first = runs(keys)
-                n = np.diff(np.append(first, len(keys))).astype(np.uint32)
-                keys = keys[first]
-                edge = np.append(runs(keys >> np.uint64(KEY_BITS)), len(keys))
-                own = (keys[edge[:-1]] >> np.uint64(KEY_BITS)).astype(np.int64)
-                keys &= np.uint64((1 << KEY_BITS) - 1)
-                blocks = [pack(np.diff(keys[a:b], prepend=np.uint64(0)), n[a:b]) for a, b in zip(edge[:-1], edge[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(blocks, pa.binary())], names=["segment", "block"])
+                n = batch.column("n").slice(k, 1).flatten().to_numpy()
+                known = np.flatnonzero(n)  # single words are counted already
+                keys = keys_of(chunk.hashes[known], segments)
+                by_key = np.argsort(keys)
+                parts = [blocks(keys[by_key], n[known][by_key])]
+                for at, h in chunk.ngrams(order):
+                    keys = keys_of(h[trained[at]], segments)
+                    keys.sort()
+                    first = runs(keys)
+                    parts.append(blocks(keys[first], np.diff(np.append(first, len(keys)))))
+                yield from parts
+
+    def blocks(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        edge = np.append(runs(keys >> np.uint64(KEY_BITS)), len(keys))
+        own = (keys[edge[:-1]] >> np.uint64(KEY_BITS)).astype(np.int32)
+        keys = keys & np.uint64((1 << KEY_BITS) - 1)
+        packed = [pack(np.diff(keys[a:b], prepend=np.uint64(0)), n[a:b].astype(np.uint32)) for a, b in zip(edge[:-1], edge[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(packed, pa.binary())], names=["segment", "block"])
 
     return run
 
@@ -235,7 +299,9 @@ def _probe(shipped, order: int, score=None):
         width = len(chunk.tokens) + len(chunk.begins)
         old = unpack(known, *[np.uint8] * order) if known else [np.zeros(width, np.uint8)] * order
         levels = [x.copy() for x in old]
-        for out, (at, h) in zip(levels, chunk.ngrams(order)):
+        single = part.levels(chunk.hashes)
+        levels[0][chunk.at] = np.maximum(levels[0][chunk.at], single[chunk.tokens])
+        for out, (at, h) in zip(levels[1:], chunk.ngrams(order)):
             out[at] = np.maximum(out[at], part.levels(h))
         return levels
 
@@ -351,7 +417,7 @@ def score_texts(
 
     segments = min(max(1, -(-order * tokens // SEGMENT_NGRAMS)), MOST_SEGMENTS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = packed.select("body", "words").mapInArrow(_post(order, segments), "segment int, block binary")
+    blocks = packed.select("body", "words", "n").mapInArrow(_post(order, segments), "segment int, block binary")
     filled = blocks.repartition(parts, "segment").sortWithinPartitions("segment")
     filled.mapInArrow(_fill(probes), "segment int, size long, bits binary").write.parquet(f"{folder}/filter")
     made = spark.read.parquet(f"{folder}/filter")
