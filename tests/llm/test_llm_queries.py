@@ -64,6 +64,13 @@ def test_pipeline(spark, sf):
     assert {r.doc_id for r in done.collect()} == want
 
 
+def test_pipeline_holds_texts_once_and_one_python_worker_a_task(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert "text" not in corpus_pipeline._apart(docs).schema["_doc"].dataType.fieldNames()
+    coded = corpus_pipeline.tokenize(spark, docs, sf)
+    assert coded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_pipeline_of_odd_tables(spark, sf, tmp_path):
     """Columns named like what the operators add, null and repeated rows, long texts, and empty tables."""
     from corpus import prose
